@@ -5,26 +5,71 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from townlens.llm import simhash, token_counts, token_output
+from townlens.llm import decontaminate, html_extract, mixing, pii, secret_scan, simhash, token_counts, token_output, topk, toxicity
 from townlens.llm.common import table
 
+#: Shares of the tokens that documents of low (0) and high (1) quality should have.
+TARGETS = {0: 0.1, 1: 0.9}
+
+
+def op1_toxicity_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op3_secret_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), weights=TARGETS)
+    rounded = {"rate": F.round("rate", 9), "domain_error": F.round("domain_error", 6)}
+    return mixed.withColumns(rounded | {"posterior": F.transform("posterior", lambda p: F.round(p, 9))})
+
+
+def op6_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).filter("consistent")
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+ALL = (op1_toxicity_noisy_channel, op2_pii_bootstrap, op3_secret_linking, op4_token_counts, op5_soft_mixing, op6_wrapper_induction, op7_block_topk, op8_simhash_golay, op9_template_decontamination, op10_token_output, pipeline)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_counts, op8_simhash_golay, op10_token_output)}
+    return {f.__name__: f for f in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from townlens.llm.oracles import ORACLES
+
+    return dict(ORACLES)

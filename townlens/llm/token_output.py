@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townlens.llm.common import narrow, written
-from townlens.llm.vocab import ByteIds
+from townlens.llm.vocab import byte_ids
 
 MAGIC, VERSION, BLOCK = b"TLPF", 1, 1024
 PERCENTILES = (100.0, 99.0, 97.0, 90.0)
@@ -116,7 +116,7 @@ def write_token_file(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_
     tail = np.array([end_id] if end_id is not None else [], dtype="<u4").tobytes()
 
     def run(batches):
-        encode, part = ByteIds(tokenizer), TaskContext.get().partitionId()
+        encode, part = byte_ids(tokenizer), TaskContext.get().partitionId()
         held: list[tuple[object, bytes]] = []
         size = offset = 0
 

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
-import regex
+import numpy as np
 
 #: Entries after which a worker's memo starts anew: bounds its memory, changes no result.
-MEMO = 400_000
+MEMO = 1_000_000
 #: Characters on which every Unicode version agrees; texts of these only are split here, others by the library.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‟…]*+")
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‟…]*+")
+#: The byte-level split of texts of these characters: contractions, letters, numbers, signs, white space.
+_LETTER, _NUMBER = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 
 
 def path_of(name: str) -> str:
@@ -31,10 +34,24 @@ def tokenizer(name: str):
     return Tokenizer.from_file(path_of(name))
 
 
+@lru_cache(4)
+def byte_ids(name: str) -> ByteIds:
+    """One for each worker, so that its memo serves all tasks of the worker."""
+    return ByteIds(name)
+
+
+def slices(values: list[str], size: int):
+    for at in range(0, len(values), size):
+        yield values[at : at + size]
+
+
 class ByteIds:
     """Ids of whole texts by a byte-level vocabulary, as little-endian unsigned 32-bit integers.
 
-    The library splits a text into words and encodes each alone, so a word's ids are asked for once and then joined."""
+    The library splits a text into words and encodes each alone, so a word's ids are asked for once and then joined.
+    New words are given to the library in rows: where each starts with a space it splits the row into these words."""
+
+    ROW = 2000
 
     def __init__(self, name: str, special: tuple[str, ...] = ("<|endoftext|>",)) -> None:
         self.library, self.special, self.memo = tokenizer(name), special, {}
@@ -42,17 +59,29 @@ class ByteIds:
     def plain(self, text: str) -> bool:
         return not any(s in text for s in self.special) and PLAIN.fullmatch(text) is not None
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+    def learn(self, words: list[str]) -> None:
+        spaced = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        for some in slices(spaced, self.ROW):
+            e = self.library.encode("".join(some), add_special_tokens=False)
+            ids, word = np.array(e.ids, dtype="<u4"), np.array(e.word_ids)
+            cuts = np.searchsorted(word, np.arange(len(some) + 1)).tolist()
+            raw = ids.tobytes()
+            self.memo.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]))
+        rest = [w for w in words if not (w[0] == " " and w[1:].isalpha())]
+        for some in slices(rest, 20_000):
+            for w, e in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
+                self.memo[w] = np.array(e.ids, dtype="<u4").tobytes()
 
+    def __call__(self, texts: list[str]) -> list[bytes]:
         split = [WORDS.findall(t) if self.plain(t) else None for t in texts]
-        fresh = list(set().union(*(w for w in split if w)).difference(self.memo))
+        met = set()
+        for w in split:
+            if w:
+                met.update(w)
+        fresh = [w for w in met if w not in self.memo]
         if len(self.memo) + len(fresh) > MEMO:
-            self.memo = {}
-            fresh = list(set().union(*(w for w in split if w)))
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            for word, e in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
-                self.memo[word] = np.array(e.ids, dtype="<u4").tobytes()
+            self.memo.clear()
+            fresh = list(met)
+        self.learn(fresh)
         get = self.memo.__getitem__
         return [b"".join(map(get, w)) if w is not None else np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t, w in zip(texts, split)]
