@@ -41,6 +41,10 @@ def valid(kind: str, v: Column) -> Column:
     return F.lit(True)
 
 
+def _valid_spans(kind: str) -> Column:
+    return F.filter(kind, lambda x: valid(kind, x["v"]))
+
+
 def shape(v: Column) -> Column:
     """Runs of digits become 9, runs of letters a; signs stay."""
     return F.regexp_replace(F.regexp_replace(v, "[0-9]+", "9"), r"\p{L}+", "a")
@@ -52,7 +56,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     patterns = KINDS | {"token": TOKEN}
     df = df.select("doc_id", "text", *[matches(F.col("text"), p).alias(f"m_{k}") for k, p in patterns.items()])
     df = df.select("doc_id", "text", *[spans(F.col("text"), p, F.col(f"m_{k}")).alias(k) for k, p in patterns.items()])
-    df = df.select("doc_id", "text", "token", *[F.filter(k, lambda x, k=k: valid(k, x["v"])).alias(k) for k in KINDS])
+    df = df.select("doc_id", "text", "token", *[_valid_spans(k).alias(k) for k in KINDS])
     base = F.concat(*KINDS)
 
     def described(x: Column, i: Column) -> Column:

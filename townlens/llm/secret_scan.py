@@ -62,10 +62,14 @@ def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     return weak.select("doc_id", "row", "s", "e").distinct()
 
 
+def _ordered(tags: Column, rank: int) -> Column:
+    start = lambda x: F.split_part(x, F.lit(":"), F.lit(2)).cast("int")
+    return F.transform(tags, lambda x: F.struct(start(x).alias("s"), F.lit(rank).alias("k"), x.alias("x")))
+
+
 def _in_order(*tags: Column) -> Column:
     """Tagged spans by start, then by kind as listed."""
-    keyed = [F.transform(t, lambda x, i=i: F.struct(F.split_part(x, F.lit(":"), F.lit(2)).cast("int").alias("s"), F.lit(i).alias("k"), x.alias("x"))) for i, t in enumerate(tags)]
-    return F.array_join(F.transform(F.array_sort(F.concat(*keyed)), lambda y: y["x"]), ",")
+    return F.array_join(F.transform(F.array_sort(F.concat(*[_ordered(t, i) for i, t in enumerate(tags)])), lambda y: y["x"]), ",")
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:

@@ -130,7 +130,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     left = blocks.withColumn("group", F.pmod(F.xxhash64("pack"), F.lit(n_groups)).cast("int")).join(F.broadcast(wanted), "dim")
     right = queries.withColumnRenamed("pack", "chunk").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
 
-    def run(theirs: pa.Table, mine: pa.Table) -> pa.Table:
+    def run(theirs, mine):
         out = {"q": [], "query_id": [], "vec_id": [], "score": []}
         cells = [_matrix(i, d, dim) for i, d, dim in zip(*(theirs.column(c).to_pylist() for c in ("ids", "data", "dim")))]
         for chunk, ids, data, dim in zip(*(mine.column(c).to_pylist() for c in ("chunk", "ids", "data", "dim"))):
