@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from functools import lru_cache
 
@@ -35,14 +36,15 @@ from townlens.llm.common import narrow, written
 #: Symbols of the language model: 0 is the word boundary, 1 to 26 are a to z, 27 is any other letter.
 SYMBOLS, ORDER = 28, 4
 ACCENTS = {"à": "a", "á": "a", "â": "a", "ã": "a", "ä": "a", "å": "a", "ç": "c", "è": "e", "é": "e", "ê": "e", "ë": "e", "ì": "i", "í": "i", "î": "i", "ï": "i", "ñ": "n", "ò": "o", "ó": "o", "ô": "o", "õ": "o", "ö": "o", "ù": "u", "ú": "u", "û": "u", "ü": "u", "ý": "y", "ÿ": "y"}
-#: What a sign or digit may stand for; * may stand for any letter.
+#: What a sign or digit may stand for; a single * may stand for any letter, a run of them is filler.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "#": "h", "€": "e", "£": "l", "¡": "i", "v": "u", "*": "abcdefghijklmnopqrstuvwxyz"}
+FOLD = str.maketrans(ACCENTS)
 #: Channel prices in bits.
 LEET_COST, WILD_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, SPLIT_COST = 1.0, 3.0, 1.5, 0.5, 3.0, 4.0
 G2_MIN, LEAST_EVIDENCE, MAX_LEXICON = 24.0, 4, 2000
 MAX_TRAIN = 20_000
 #: Distinct tokens after which a worker's memo starts anew: bounds its memory, changes no result.
-MEMO = 300_000
+MEMO = 1_000_000
 
 
 @lru_cache(1)
@@ -97,7 +99,7 @@ def char_model(counts: np.ndarray, weight: float = 4.0) -> np.ndarray:
 
 def viterbi(token: str, bits: np.ndarray) -> str:
     """The cheapest reading of a token: letters, and a space where spaced letters split into words."""
-    token = "".join(ACCENTS.get(c, c) for c in token.lower())
+    token = token.lower().translate(FOLD)
     states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
     spaced = " " in token
     for i, c in enumerate(token):
@@ -115,7 +117,8 @@ def viterbi(token: str, bits: np.ndarray) -> str:
             moves.append((27, 0.0))
         else:
             price = WILD_COST if c == "*" else LEET_COST
-            moves += [(ord(x) - 96, price) for x in LEET.get(c, "")]
+            if c != "*" or "*" not in (token[i - 1 : i], token[i + 1 : i + 2]):
+                moves += [(ord(x) - 96, price) for x in LEET.get(c, "")]
             moves.append((-1, REPEAT_COST if before == c else DROP_COST))
         after: dict[tuple[int, int, int], tuple[float, str]] = {}
         for (x, y, z), (cost, out) in states.items():
@@ -152,6 +155,17 @@ def restore(text: str, bits: np.ndarray) -> str:
     return re.sub(r"\S+", lambda m: viterbi(m[0], bits) if suspicious(m[0]) else m[0], text)
 
 
+#: Spellers of this worker by the scoring run, so that a memo serves all tasks of the worker.
+SPELLERS: dict[str, Speller] = {}
+
+
+def speller(run: str, lexicon: list[str], bits: np.ndarray) -> Speller:
+    if run not in SPELLERS:
+        SPELLERS.clear()
+        SPELLERS[run] = Speller(lexicon, bits)
+    return SPELLERS[run]
+
+
 class Speller:
     """Which words of a lexicon a token is read as."""
 
@@ -159,24 +173,37 @@ class Speller:
         self.words, self.bits, self.memo = {w: i for i, w in enumerate(lexicon)}, bits, {}
         back: dict[str, str] = {}
         for sign, letters in LEET.items():
-            for x in letters:
+            for x in letters if sign != "*" else "":
                 back[x] = back.get(x, "") + sign
-        plain = lambda w: "".join(ACCENTS.get(c, c) for c in w)
         gap = r"[\W\d_]*"
-        spell = [gap.join(f"[{re.escape(c + back.get(c, ''))}]+" for c in RUN.sub(r"\1", plain(w))) for w in lexicon]
+        wild = r"(?<!\*)\*(?!\*)"
+        bare = [RUN.sub(r"\1", w.translate(FOLD)) for w in lexicon]
+        spell = [gap.join(f"(?:[{re.escape(c + back.get(c, ''))}]+|{wild})" for c in w) for w in bare]
         self.maybe = re.compile("|".join(spell) or r"(?!)")
-        self.bare = {RUN.sub(r"\1", plain(w)) for w in lexicon}
+        self.bare = set(bare)
 
     def hits(self, token: str) -> tuple[int, ...]:
         """Numbers of the lexicon's words that a lower-case token holds."""
-        words = LETTERS.findall(token)
-        found = {self.words[w] for w in words if w in self.words}
-        if not found and len(token) < 200:
-            plain = "".join(ACCENTS.get(c, c) for c in token)
-            alone = plain.isalpha()
-            if RUN.sub(r"\1", plain) in self.bare if alone else self.maybe.search(plain):
-                for reading in (viterbi(token, self.bits), viterbi(token.strip(EDGE + "*#$!+@|"), self.bits)):
-                    found |= {self.words[w] for w in reading.split() if w in self.words}
+        core = token.strip(EDGE)
+        if core.isalpha() and "(" not in token and "<" not in token:
+            if core in self.words:
+                return (self.words[core],)
+            plain = core.translate(FOLD)
+            squeezed = RUN.sub(r"\1", plain)
+            if squeezed not in self.bare:
+                return ()
+            return self._read(core)
+        found = {self.words[w] for w in LETTERS.findall(token) if w in self.words}
+        if found:
+            return tuple(sorted(found))
+        if len(token) < 200 and self.maybe.search(token.translate(FOLD)):
+            return self._read(token)
+        return ()
+
+    def _read(self, token: str) -> tuple[int, ...]:
+        found: set[int] = set()
+        for reading in {viterbi(token, self.bits), viterbi(token.strip(EDGE + "*#$!+@|"), self.bits)}:
+            found |= {self.words[w] for w in reading.split() if w in self.words}
         return tuple(sorted(found))
 
     def text_hits(self, text: str) -> set[int]:
@@ -272,18 +299,18 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_train:
     """(doc_id, held_out, score, predicted, words): words are the telling words found in the restored text."""
     counts = char_counts(docs, id_col, text)
     model = learn(training_sample(docs, labels, max_train, id_col, text=text))
-    context = docs.sparkSession.sparkContext.broadcast((char_model(counts), model))
+    context = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, char_model(counts), model))
     source = narrow(docs, id_col, text)
 
     def run(batches):
-        bits, model = context.value
-        speller = Speller(model["lexicon"], bits)
+        name, bits, model = context.value
+        reader = speller(name, model["lexicon"], bits)
         for b in batches:
             column = b.column("text")
             scores, words = [], []
             for at in range(0, b.num_rows, 500):
                 for t in column.slice(at, 500).to_pylist():
-                    hits = speller.text_hits(t)
+                    hits = reader.text_hits(t)
                     clean = 1.0 - model["base"]
                     for k in sorted(hits):
                         clean *= 1.0 - model["p"][k]
@@ -299,18 +326,18 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max
     """The rows of docs whose text scores under the threshold, in one pass: each row is judged where it lies."""
     counts = char_counts(docs, id_col, text)
     model = learn(training_sample(docs, labels, max_train, id_col, text=text))
-    context = docs.sparkSession.sparkContext.broadcast((char_model(counts), model))
+    context = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, char_model(counts), model))
     telling = [p for p in model["p"]]
 
     def run(batches):
-        bits, model = context.value
-        speller = Speller(model["lexicon"], bits)
+        name, bits, model = context.value
+        reader = speller(name, model["lexicon"], bits)
         for b in batches:
             keep = []
             for at in range(0, b.num_rows, 500):
                 for t in b.column(text).slice(at, 500).to_pylist():
                     clean = 1.0 - model["base"]
-                    for k in speller.text_hits(t or ""):
+                    for k in reader.text_hits(t or ""):
                         clean *= 1.0 - telling[k]
                     keep.append(1.0 - clean < threshold)
             yield b.filter(pa.array(keep, pa.bool_()))
