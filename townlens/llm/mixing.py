@@ -27,20 +27,22 @@ EDGES = {
     "variety": (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95),
     "length": (2.5, 3.5, 4.5, 5.0, 5.5, 6.0, 7.0, 9.0, 14.0),
 }
-SIGNS = "%$*&#!|"
+SIGNS = "[%$*&#!|]"
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, one bin number for each feature); tokens are words."""
-    source = narrow(docs, id_col, text).select("doc_id", "text", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
+    # One projection each for words, measures and bins: a measure is compared with many edges but computed once.
+    split = narrow(docs, id_col, text).select("doc_id", "text", F.array_remove(F.split("text", r"\s+"), "").alias("w"))
     n = F.size("w").cast("double")
-    values = {
-        "signs": (F.length("text") - F.length(F.translate("text", SIGNS, ""))) / F.length("text"),
-        "variety": F.size(F.array_distinct("w")) / n,
-        "length": F.length("text") / n - 1,
-    }
-    bins = [F.when(n == 0, 0).otherwise(_bin(values[f], edges)).cast("int").alias(f) for f, edges in EDGES.items()]
-    return source.select("doc_id", F.size("w").cast("long").alias("n_tokens"), *bins)
+    measured = split.select(
+        "doc_id",
+        F.size("w").cast("long").alias("n_tokens"),
+        F.when(n > 0, F.regexp_count("text", F.lit(SIGNS)) / F.length("text")).alias("v_signs"),
+        F.when(n > 0, F.size(F.array_distinct("w")) / n).alias("v_variety"),
+        F.when(n > 0, F.length("text") / n - 1).alias("v_length"),
+    )
+    return measured.select("doc_id", "n_tokens", *[F.when(F.col("n_tokens") == 0, 0).otherwise(_bin(F.col(f"v_{f}"), edges)).cast("int").alias(f) for f, edges in EDGES.items()])
 
 
 def _bin(value: Column, edges: tuple[float, ...]) -> Column:
