@@ -187,7 +187,7 @@ def score_candidates(enriched: DataFrame) -> DataFrame:
         "review_candidate_eligible": flag(tagged & clean & (~on("artifact_name_flag") | on("artifact_structural_allow_flag")) & (~bad_name | tolerated) & (filled("name") | described) & (reachable() | described)),
     })
     group = Window.partitionBy("municipality_id", "role_normalized")
-    order = [F.desc("candidate_score"), F.coalesce("display_confidence", F.lit(0.0)).desc(), F.coalesce("contact_id", F.lit("")).asc()]
+    order = [F.desc("candidate_score"), F.round(F.coalesce("display_confidence", F.lit(0.0)), 9).desc(), F.coalesce("contact_id", F.lit("")).asc()]
     df = df.withColumns({"candidate_rank": F.row_number().over(group.orderBy(*order)), "high_confidence_rank": F.row_number().over(Window.partitionBy("municipality_id", "role_normalized", "high_confidence_eligible").orderBy(*order)), "eligible_candidate_count": F.sum("high_confidence_eligible").over(group)})
     state = chain((on("high_confidence_eligible") & on("high_confidence_rank"), "high_confidence_winner"), (tagged & on("review_candidate_eligible"), "candidate_for_review"), (tagged & on("blank_name_fallback_eligible"), "role_only_fallback"), default="disqualified")
     invalid = tagged & (on("role_only_person_name_flag") | on("revize_department_page_artifact_flag") | (on("artifact_name_flag") & ~on("artifact_structural_allow_flag")) | (bad_name & ~tolerated & ~on("blank_name_fallback_eligible")))
@@ -214,7 +214,7 @@ def best_role_per_town(candidates: DataFrame) -> DataFrame:
         chain((filled("name") & reachable(), 1), (filled("name"), 2), (reachable(), 3), default=4),
         chain(*[(F.col("source_structure_type") == s, i + 1) for i, s in enumerate(STRUCTURES)], default=5),
         F.desc("candidate_score"),
-        F.coalesce("display_confidence", F.lit(0.0)).desc(),
+        F.round(F.coalesce("display_confidence", F.lit(0.0)), 9).desc(),
         chain(*[(low("title").contains(s), i + 1) for i, s in enumerate(SENIORITY)], default=7),
         F.coalesce("contact_id", F.lit("")).asc(),
     ]
@@ -229,7 +229,7 @@ def unresolved_roles(candidates: DataFrame, winners: DataFrame) -> DataFrame:
     untitled = ~filled("title") | has_any(F.col("title_norm"), "department", "office")
     nameless = ~filled("name") | on("blank_name_flag")
     most = lambda test: F.max(flag(test))
-    order = F.struct(F.col("candidate_score").alias("s"), F.coalesce("display_confidence", F.lit(0.0)).alias("d"))
+    order = F.struct(F.col("candidate_score").alias("s"), F.round(F.coalesce("display_confidence", F.lit(0.0)), 9).alias("d"))
     lead = Window.partitionBy("municipality_id", "role_group").orderBy(order.desc(), F.coalesce("contact_id", F.lit("")).asc())
     ranked = df.withColumn("role_group_rank", F.row_number().over(lead))
     top = F.first(F.when(F.col("role_group_rank") == 1, F.struct("role_normalized", "contact_id", "name", "title", "department", "email", "phone", "page_type", "source_url", "candidate_score", "candidate_state", "winner_disqualifier_reason")), ignorenulls=True)

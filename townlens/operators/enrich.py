@@ -208,7 +208,7 @@ def clean_title() -> Column:
 def rank_order(legacy: bool = False) -> list[Column]:
     noise = F.coalesce("is_likely_noise", F.lit(0)).asc()
     has = [F.coalesce(f"has_{f}", F.lit(0)).desc() for f in ("name", "email", "phone")]
-    tail = [F.coalesce("semantic_confidence", F.lit(0.0)).desc(), F.coalesce("source_url", F.lit("")).asc(), F.coalesce("contact_id", F.lit("")).asc()]
+    tail = [F.round(F.coalesce("semantic_confidence", F.lit(0.0)), 9).desc(), F.coalesce("source_url", F.lit("")).asc(), F.coalesce("contact_id", F.lit("")).asc()]
     return [*has, noise, *tail] if legacy else [noise, *has, *tail]
 
 
