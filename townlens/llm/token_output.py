@@ -39,12 +39,14 @@ SEGMENT_IDS = 1 << 17
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
-    return np.where(values > 0, np.floor(np.log2(np.maximum(values, 1).astype(np.float64))).astype(np.int64) + 1, 0)
+    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
 
 
 def _pack(rows: np.ndarray, width: int) -> np.ndarray:
-    bits = (rows[:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+    """The low bits of each value, one after the other."""
+    kind, wide = ("<u2", 16) if width <= 16 else ("<u4", 32)
+    bits = np.unpackbits(rows.astype(kind).view(np.uint8), axis=1, bitorder="little").reshape(len(rows), -1, wide)
+    return np.packbits(bits[:, :, :width].reshape(len(rows), -1), axis=1, bitorder="little")
 
 
 def _unpack(packed: np.ndarray, width: int, block: int) -> np.ndarray:
@@ -64,17 +66,17 @@ def encode_segment(ids: np.ndarray, lengths: np.ndarray, block: int = BLOCK, per
     rows = padded.reshape(n_blocks, block)
     low = rows.min(axis=1) if n_blocks else np.zeros(0, dtype=np.uint32)
     rows = rows - low[:, None]
-    need = np.sort(_widths(rows), axis=1)
     ranks = [min(block - 1, int(np.ceil(block * p / 100)) - 1) for p in percentiles]
-    tried = np.stack([need[:, r] for r in ranks], axis=1) if n_blocks else np.zeros((0, len(ranks)), dtype=np.int64)
-    over = np.stack([(need > tried[:, [k]]).sum(axis=1) for k in range(len(ranks))], axis=1) if n_blocks else tried
+    tried = _widths(np.partition(rows, ranks, axis=1)[:, ranks])
+    over = np.stack([np.count_nonzero(rows >> tried[:, [k]].astype(np.uint32), axis=1) if n_blocks else tried[:, k] for k in range(len(ranks))], axis=1)
+    over[tried >= 32] = 0
     cost = tried * (block // 8) + over * 6
     best = cost.argmin(axis=1)
     width, n_over = tried[np.arange(n_blocks), best], over[np.arange(n_blocks), best]
     bodies: list[bytes] = [b""] * n_blocks
     for w in np.unique(width):
         at = np.nonzero(width == w)[0]
-        packed = _pack(rows[at] & np.uint32((1 << int(w)) - 1), int(w)) if w else np.zeros((len(at), 0), dtype=np.uint8)
+        packed = _pack(rows[at], int(w)) if w else np.zeros((len(at), 0), dtype=np.uint8)
         for k, p in zip(at, packed):
             places = np.nonzero(rows[k] >> np.uint32(w))[0] if w < 32 else np.zeros(0, dtype=np.int64)
             extra = b"".join((places.astype("<u2").tobytes(), rows[k][places].astype("<u4").tobytes())) if len(places) else b""

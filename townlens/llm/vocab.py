@@ -14,7 +14,7 @@ MEMO = 1_000_000
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‟…]*+")
 #: The byte-level split of texts of these characters: contractions, letters, numbers, signs, white space.
 _LETTER, _NUMBER = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe"
-WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
+WORDS = re.compile(rf" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 
 
 def path_of(name: str) -> str:
@@ -60,14 +60,15 @@ class ByteIds:
         return not any(s in text for s in self.special) and PLAIN.fullmatch(text) is not None
 
     def learn(self, words: list[str]) -> None:
-        spaced = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        spaced, rest = [], []
+        for w in words:
+            (spaced if w[0] == " " and w[1:].isalpha() else rest).append(w)
         for some in slices(spaced, self.ROW):
             e = self.library.encode("".join(some), add_special_tokens=False)
             ids, word = np.array(e.ids, dtype="<u4"), np.array(e.word_ids)
             cuts = np.searchsorted(word, np.arange(len(some) + 1)).tolist()
             raw = ids.tobytes()
             self.memo.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]))
-        rest = [w for w in words if not (w[0] == " " and w[1:].isalpha())]
         for some in slices(rest, 20_000):
             for w, e in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
                 self.memo[w] = np.array(e.ids, dtype="<u4").tobytes()
@@ -78,7 +79,7 @@ class ByteIds:
         for w in split:
             if w:
                 met.update(w)
-        fresh = [w for w in met if w not in self.memo]
+        fresh = list(met.difference(self.memo))
         if len(self.memo) + len(fresh) > MEMO:
             self.memo.clear()
             fresh = list(met)
