@@ -143,3 +143,14 @@ def evidence(contacts: DataFrame) -> DataFrame:
     """One evidence row for each contact, its claims as valid JSON."""
     fields = ("name", "title", "department", "email", "phone", "address", "hours", "source_url")
     return contacts.select("contact_id", F.lit("initial_backfill").alias("extraction_method"), F.to_json(F.struct(*[F.coalesce(c(f), F.lit("")).alias(f) for f in fields])).alias("field_claims_json"))
+
+
+def manual_review(suspicious: DataFrame, candidates: DataFrame, unresolved: DataFrame, missing: DataFrame) -> DataFrame:
+    """All that a person should look at, by town and kind of review."""
+    row = lambda df, kind, role, contact, groups: df.select("municipality_id", F.lit(kind).alias("review_type"), role.alias("role_normalized"), contact.alias("contact_id"), groups.alias("missing_role_groups"))
+    none = F.lit("")
+    review = candidates.filter((F.col("is_revize") == 1) & (F.col("candidate_state") == "candidate_for_review"))
+    out = row(suspicious, "suspicious_winner", F.col("role_normalized"), F.col("contact_id"), none)
+    out = out.unionByName(row(review, "candidate_for_review", F.col("role_normalized"), F.col("contact_id"), none))
+    out = out.unionByName(row(unresolved, "unresolved_role", F.col("role_normalized"), F.col("top_candidate_contact_id"), none))
+    return out.unionByName(row(missing.filter("missing_group_count >= 2"), "missing_role_groups_2plus", none, none, F.col("missing_role_groups")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from townlens.functions import text as t
 from townlens.functions import urls
 from townlens.operators import candidates as cand
-from townlens.operators import enrich, extract, merge, reports
+from townlens.operators import enrich, extract, merge, mining, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED, UNRESOLVED
 from townlens.sources.staging import spark_table, with_sql
 
@@ -468,5 +468,100 @@ def upsert_locations(spark, sf_dir):
     return merge.upsert_locations(df).select("location_id", "address", "hours")
 
 
+# ---- mining
+
+
+INVENTORY = f"""{ENRICHED}, pi AS (SELECT *, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_extract(trim(source_url), '^[a-z]+://[^/?#]*([^?#]*)', 1)), '/+', '/', 'g'), '/+$', ''), ''), '/') AS canonical_path, lower(coalesce(role_normalized, '') || ' ' || coalesce(role_family, '') || ' ' || coalesce(department_normalized, '') || ' ' || coalesce(title, '')) AS mb
+  FROM enriched WHERE trim(ul) <> '' AND is_likely_noise = 0 AND (page_type IN ('staff_directory', 'department_page', 'contact_hub') OR (page_type = 'other' AND regexp_matches(ul, 'directory|department|government|finance|clerk|assessor|tax|building|planning|zoning|land-use|staff')))),
+inv AS (SELECT *, CASE WHEN canonical_path LIKE '%directory%' OR canonical_path LIKE '%staffdirectory%' THEN 'directory' WHEN regexp_matches(canonical_path, 'finance|treasurer|comptroller') THEN 'finance' WHEN canonical_path LIKE '%clerk%' THEN 'clerk' WHEN regexp_matches(canonical_path, 'assessor|assessment') THEN 'assessor' WHEN canonical_path LIKE '%tax%' THEN 'tax' WHEN regexp_matches(canonical_path, 'building|inspectional|code-enforcement') THEN 'building' WHEN regexp_matches(canonical_path, 'planning|zoning|land-use') THEN 'planning' WHEN regexp_matches(canonical_path, '/departments|/government') THEN 'departments_root'
+  WHEN regexp_matches(mb, 'finance|treasurer|comptroller') THEN 'finance' WHEN mb LIKE '%clerk%' THEN 'clerk' WHEN mb LIKE '%assessor%' THEN 'assessor' WHEN role_normalized = 'Tax Collector' OR role_family = 'tax_collector' OR ' ' || mb || ' ' LIKE '% tax %' OR mb LIKE '%tax-collector%' THEN 'tax' WHEN regexp_matches(mb, 'building|inspectional|inspection|code enforcement') THEN 'building' WHEN role_normalized = 'Planner' OR regexp_matches(mb, 'planning|zoning|land-use|land use') THEN 'planning' ELSE 'other' END AS category FROM pi)"""
+
+
+@query(f"WITH {INVENTORY} SELECT contact_id, canonical_path, category FROM inv")
+def path_inventory(spark, sf_dir):
+    return mining.path_inventory(enriched(spark, sf_dir)).select("contact_id", "canonical_path", "category")
+
+
+MINED = f"""{SCORED}, {INVENTORY.removeprefix(ENRICHED + ", ")}, pc0 AS (SELECT category, canonical_path, count(DISTINCT municipality_id) AS municipality_count, count(*) AS row_count, count(DISTINCT CASE WHEN municipality_id IN (SELECT municipality_id FROM winners) THEN municipality_id END) AS winner_backed_count, count(*) FILTER (page_type IN ('staff_directory', 'department_page')) AS pref FROM inv GROUP BY ALL),
+pc1 AS (SELECT *, 3 * (municipality_count >= 2)::INT + 3 * (winner_backed_count > 0)::INT + 2 * (category NOT IN ('departments_root', 'other'))::INT + (pref > 0)::INT - 2 * (canonical_path IN ('/', '/home', '/index', '/contact-us'))::INT - 2 * regexp_matches(canonical_path, 'news|calendar|events|bid|alert')::INT AS score FROM pc0),
+pc AS (SELECT *, regexp_matches(canonical_path, '/[0-9]+(/|$)')::INT AS is_numeric_slug, (canonical_path <> '/' AND NOT regexp_matches(canonical_path, '/[0-9]+(/|$)') AND regexp_matches(canonical_path, '^/[a-z0-9][a-z0-9/.-]*$'))::INT AS is_clean_slug, CASE WHEN canonical_path IN ('/', '/home', '/index', '/contact-us') OR score <= 1 THEN 'too_generic' WHEN score >= 7 THEN 'add_to_probe_list' ELSE 'review_manually' END AS recommendation FROM pc1)"""
+
+
+@query(f"WITH {MINED} SELECT category, canonical_path, score, municipality_count, row_count, winner_backed_count, is_clean_slug, is_numeric_slug, recommendation FROM pc")
+def path_candidates(spark, sf_dir):
+    df = enriched(spark, sf_dir)
+    return mining.path_candidates(mining.path_inventory(df), cand.best_role_per_town(cand.score_candidates(df))).drop("example_municipalities")
+
+
+@query(f"WITH {MINED} SELECT category, row_number() OVER (PARTITION BY category ORDER BY is_clean_slug DESC, score DESC, municipality_count DESC, row_count DESC, canonical_path)::INT AS rank, canonical_path FROM pc WHERE recommendation = 'add_to_probe_list' AND municipality_count >= 2 AND (is_numeric_slug = 0 OR municipality_count >= 3) AND category <> 'other' QUALIFY rank <= 10")
+def probe_paths(spark, sf_dir):
+    df = enriched(spark, sf_dir)
+    return mining.probe_paths(mining.path_candidates(mining.path_inventory(df), cand.best_role_per_town(cand.score_candidates(df))))
+
+
+_sig = {g: " OR ".join(f"contains(kb, '{w if ' ' in w else f' {w} '}')" for w in words) for g, words in mining.GROUP_SIGNALS.items()}
+_signals = " ".join(f"WHEN '{g}' THEN role_family = '{mining.GROUP_FAMILY[g]}' OR lower(coalesce(department_normalized, '')) IN ({', '.join(repr(d) for d in mining.GROUP_DEPARTMENTS[g])}) OR {_sig[g]}" for g in mining.GROUP_FAMILY)
+SYNONYMS = f"""{SCORED}, {with_sql("municipalities")}, gr(g, members) AS (VALUES {', '.join(f"('{g}', {list(reports.ROLE_GROUPS[g])!r})" for g in mining.GROUP_FAMILY)}),
+lack AS (SELECT m.municipality_id, g, members FROM municipalities m, gr WHERE NOT EXISTS (SELECT 1 FROM winners w WHERE w.municipality_id = m.municipality_id AND list_contains(members, w.role_normalized))),
+sy AS (SELECT e.*, g, members, ' ' || trim(regexp_replace(lower(coalesce(e.title, '') || ' ' || coalesce(department, '') || ' ' || coalesce(source_context, '')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS kb FROM enriched e JOIN lack USING (municipality_id) WHERE e.title IS NOT NULL OR f_dept),
+sg AS (SELECT g AS role_group_target, lower(trim(coalesce(title, ''))) AS title_key, lower(trim(coalesce(department, ''))) AS department_key, count(DISTINCT municipality_id) AS municipality_count, count(*) AS contact_count, sum(coalesce(list_contains(members, role_normalized), FALSE)::INT)::BIGINT AS normalized_match_count, sum(is_likely_noise) AS n,
+  count(*) FILTER (CASE g {' '.join(f"WHEN '{g}' THEN role_family = '{f}'" for g, f in mining.GROUP_FAMILY.items())} END) AS f, count(*) FILTER (CASE g {' '.join(f"WHEN '{g}' THEN lower(coalesce(department_normalized, '')) IN ({', '.join(repr(d) for d in ds)})" for g, ds in mining.GROUP_DEPARTMENTS.items())} END) AS d
+  FROM sy WHERE coalesce(CASE g {_signals} END, FALSE) GROUP BY ALL), sh AS (SELECT *, trim(title_key || ' ' || department_key) AS tx FROM sg)"""
+
+
+@query(f"WITH {SYNONYMS} SELECT role_group_target, title_key, department_key, municipality_count, contact_count, normalized_match_count, 3 * (f > 0)::INT + 3 * (d > 0)::INT + 2 * (municipality_count >= 2)::INT + 2 - 3 * (tx LIKE '%board%')::INT - 3 * (tx LIKE '%page%')::INT - 2 * (n > 0)::INT - 4 * (normalized_match_count = contact_count)::INT AS score, CASE WHEN n > 0 OR regexp_matches(tx, 'board|page') THEN 'likely_noise' WHEN role_group_target = 'finance' AND tx LIKE '%treasurer%' THEN 'map_to_treasurer' WHEN role_group_target = 'finance' AND regexp_matches(tx, 'finance|financial|cfo|comptroller|administrative services|business manager') THEN 'map_to_finance_director' WHEN role_group_target = 'clerk' AND tx LIKE '%clerk%' THEN 'map_to_town_clerk' WHEN role_group_target = 'building' AND regexp_matches(tx, 'building|inspector|inspection|code enforcement') THEN 'map_to_building_official' WHEN role_group_target = 'planning' AND regexp_matches(tx, 'planning|planner|land use|zoning|zeo') THEN 'map_to_planner' ELSE 'review_manually' END AS recommendation FROM sh")
+def synonym_candidates(spark, sf_dir):
+    df = enriched(spark, sf_dir)
+    missing = mining.missing_groups(towns(spark, sf_dir), cand.best_role_per_town(cand.score_candidates(df)))
+    return mining.synonym_candidates(df, missing).drop("example_municipalities", "proposed_role_normalized")
+
+
+# ---- reviews and recovery
+
+
+REVIEWS = f"""{UNRESOLVED}, {SUSPICIOUS.removeprefix(SCORED + ", ")}, {MISSING.removeprefix(SCORED + ", ")}"""
+
+
+@query(f"WITH {REVIEWS} SELECT municipality_id, 'suspicious_winner' AS review_type, role_normalized, contact_id, '' AS missing_role_groups FROM sus WHERE q1 OR sr <> '' OR q2 OR q3 OR q4 OR q5 OR q6 OR q7 OR is_likely_noise = 1 UNION ALL SELECT municipality_id, 'candidate_for_review', role_normalized, contact_id, '' FROM cand WHERE tagged AND candidate_state = 'candidate_for_review' UNION ALL SELECT municipality_id, 'unresolved_role', role_normalized, top_candidate_contact_id, '' FROM unresolved UNION ALL SELECT municipality_id, 'missing_role_groups_2plus', '', '', missing_role_groups FROM missing WHERE missing_group_count >= 2")
+def manual_review_towns(spark, sf_dir):
+    sc = scored(spark, sf_dir)
+    won = cand.best_role_per_town(sc)
+    return reports.manual_review(reports.suspicious_winners(won), sc, cand.unresolved_roles(sc, won), reports.missing_key_roles(towns(spark, sf_dir), won))
+
+
+NOTES = "concat('api_hit=', CAST(event_id % 2 AS {t}), '; API_type=', CASE event_id % 3 WHEN 0 THEN 'Swagger' WHEN 1 THEN 'rest_root' ELSE 'odd' END, ';deep_path_hits=', CASE WHEN event_id % 5 = 0 THEN 'x' ELSE CAST(event_id % 7 AS {t}) END, ';api_hit=9')"
+
+
+@query(f"WITH n AS (SELECT event_id, string_split({NOTES.format(t='VARCHAR')}, ';') AS p FROM events) SELECT event_id, CAST(split_part(p[1], '=', 2) AS INT) AS api_hit, CASE WHEN lower(trim(split_part(p[2], '=', 2))) IN ('swagger', 'rest_root') THEN lower(trim(split_part(p[2], '=', 2))) ELSE 'none' END AS api_type, coalesce(try_cast(split_part(p[3], '=', 2) AS INT), 0) AS deep_path_hits FROM n")
+def notes_parse(spark, sf_dir):
+    notes = F.expr(NOTES.format(t="STRING"))
+    df = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", notes.alias("notes"))
+    return df.select("event_id", recovery.note_int("notes", "api_hit").alias("api_hit"), recovery.note_enum("notes", "api_type", recovery.API_TYPES, "none").alias("api_type"), recovery.note_int("notes", "deep_path_hits").alias("deep_path_hits"))
+
+
+COUNTERS = {"directory_hit": "event_id % 2", "recovered_contact_count": "event_id % 3", "recovered_role_winner_count": "event_id % 5 % 2", "recovered_from_sitemap": "event_id % 7 % 2", "recovered_from_known": "event_id % 11 % 2", "has_any_200": "event_id % 13 % 2", "known_path_hits": "event_id % 4 % 2", "discovered_path_hits": "event_id % 17 % 2", "blocked_responses": "event_id % 19", "deep_path_hits": "event_id % 9 % 2", "deep_extraction_contact_total": "event_id % 23 % 2", "deep_html_candidate_count": "event_id % 6", "deep_extraction_attempt_count": "event_id % 8 % 3", "successful_api_probe_count": "event_id % 10 % 3", "likely_structured_endpoint_count": "event_id % 14 % 3", "documented_get_count": "event_id % 12 % 5", "api_hit": "event_id % 15 % 2"}
+COUNTED = "SELECT event_id, CASE WHEN event_id % 3 = 1 THEN '/swagger.json' ELSE '' END AS swagger_json_path, " + ", ".join(f"{v} AS {k}" for k, v in COUNTERS.items()) + " FROM "
+
+
+@query(f"WITH k AS ({COUNTED}events) SELECT event_id, CASE WHEN deep_path_hits > 0 THEN CASE WHEN recovered_contact_count > 0 AND recovered_role_winner_count > 0 THEN 'recovered_deep_path' WHEN recovered_contact_count > 0 OR deep_extraction_contact_total > 0 THEN 'partial_deep_path_recovery' ELSE 'deep_path_present_no_extract' END WHEN recovered_contact_count = 0 AND successful_api_probe_count > 0 AND likely_structured_endpoint_count > 0 THEN 'api_structured_data_found' WHEN recovered_contact_count = 0 AND swagger_json_path <> '' AND documented_get_count > 0 THEN 'api_inventory_viable' WHEN recovered_contact_count = 0 AND api_hit = 1 THEN 'api_available_no_scrape' WHEN directory_hit = 1 THEN CASE WHEN recovered_contact_count > 0 AND recovered_role_winner_count = 0 THEN 'partial_directory_recovery' WHEN recovered_contact_count > 0 THEN 'recovered_directory_hit' ELSE 'directory_present_no_extract' END WHEN recovered_contact_count > 0 THEN CASE WHEN recovered_from_sitemap = 1 THEN 'recovered_sitemap_path' WHEN recovered_from_known = 1 THEN 'recovered_known_path' ELSE 'partial_recovery' END WHEN has_any_200 = 1 AND known_path_hits > 0 THEN 'discovery_failure' WHEN known_path_hits > 0 OR discovered_path_hits > 0 THEN 'partial_recovery' WHEN blocked_responses >= 3 THEN 'unrecovered_http_block' ELSE 'recovered_manual_seed_needed' END AS recovery_result, CASE WHEN deep_path_hits > 0 THEN CASE WHEN deep_html_candidate_count <= 0 THEN 'no_html_candidate' WHEN deep_extraction_attempt_count <= 0 THEN 'guard_filtered_all_html' WHEN deep_extraction_contact_total <= 0 THEN 'extractor_returned_zero' WHEN recovered_contact_count <= 0 THEN 'upsert_no_net_new' ELSE 'none' END END AS zero_reason FROM k")
+def recovery_result(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
+    return spark.sql(COUNTED + "stage_events").select("event_id", recovery.recovery_result().alias("recovery_result"), recovery.zero_reason().alias("zero_reason"))
+
+
+@query("WITH p(i, c, x) AS (VALUES " + ", ".join(f"({i}, '{k}', '{p}')" for i, (k, p) in enumerate((k, p) for k, v in recovery.DEEP_PATHS.items() for p in v)) + "), f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY lower(x) ORDER BY i) = 1) SELECT row_number() OVER (ORDER BY i)::INT AS ordinal, c AS category, x AS path FROM f QUALIFY ordinal <= 20")
+def deep_path_plan(spark, sf_dir):
+    return recovery.deep_path_plan(spark)
+
+
+PROBES = "SELECT user_id % 25 AS municipality_id, event_id AS ordinal, CASE WHEN event_id * 7 % 11 < 6 THEN 403 ELSE 200 END AS status FROM "
+
+
+@query(f"WITH p AS ({PROBES}events), a AS (SELECT *, status = 403 AND lag(status, 1, 0) OVER w = 403 AND lag(status, 2, 0) OVER w = 403 AS hit FROM p WINDOW w AS (PARTITION BY municipality_id ORDER BY ordinal)) SELECT municipality_id, ordinal FROM a WHERE ordinal <= coalesce((SELECT min(ordinal) FROM a b WHERE b.municipality_id = a.municipality_id AND b.hit), 9e18)")
+def probes_until_blocked(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
+    return recovery.until_blocked(spark.sql(PROBES + "stage_events")).select("municipality_id", "ordinal")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
