@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from townlens.functions import text as t
 from townlens.functions import urls
 from townlens.operators import candidates as cand
-from townlens.operators import enrich, extract, merge, mining, recovery, reports
+from townlens.operators import enrich, extract, merge, mining, page_contacts, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED, UNRESOLVED
 from townlens.sources.staging import spark_table, with_sql
 
@@ -563,5 +563,37 @@ def probes_until_blocked(spark, sf_dir):
     return recovery.until_blocked(spark.sql(PROBES + "stage_events")).select("municipality_id", "ordinal")
 
 
+# ---- pages read as documents: no SQL twin, tests hold the readers against golden pages
+
+
+@query()
+def contacts_in_pages(spark, sf_dir):
+    return page_contacts.extract_contacts(pages(spark, sf_dir))
+
+
+@query()
+def locations_in_pages(spark, sf_dir):
+    return page_contacts.extract_locations(pages(spark, sf_dir))
+
+
+@query(f"WITH {LINKED}, t AS (SELECT municipality_id AS mid, domain FROM ({with_sql('municipalities').removeprefix('municipalities AS (')[:-1]})), c AS (SELECT *, regexp_replace(lower(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)), '^www[.]', '') AS h FROM sc JOIN t ON mid = municipality_id) SELECT service_id FROM c WHERE h <> '' AND (h = domain OR suffix(h, '.' || domain))")
+def internal_links(spark, sf_dir):
+    df = spark_table(spark, sf_dir, "service_links").join(towns(spark, sf_dir).select("municipality_id", F.col("domain").alias("town_domain")), "municipality_id")
+    host = urls.domain("url")
+    return df.filter(host.isNotNull() & urls.is_internal(host, F.col("town_domain"))).select("service_id")
+
+
+@query()
+def child_links(spark, sf_dir):
+    df = spark_table(spark, sf_dir, "service_links").join(towns(spark, sf_dir).select("municipality_id", F.col("domain").alias("town_domain")), "municipality_id")
+    return extract.select_child_links(df, "municipality_id", F.col("town_domain"), F.lit("directory_page")).select("municipality_id", "url", "score", "rank")
+
+
+@query("SELECT nullif(trim(regexp_replace(lower(n_name), '[^a-z0-9]+', ' ', 'g')), '') AS canonical, n_nationkey FROM nation")
+def canonical_text(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return df.select(F.trim(t.keyword_blob("n_name")).alias("canonical"), "n_nationkey")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
