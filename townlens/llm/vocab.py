@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries after which a worker's memo starts anew: bounds its memory, changes no result.
-MEMO = 1_000_000
+MEMO = 1_500_000
 #: Characters on which every Unicode version agrees; texts of these only are split here, others by the library.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‟…]*+")
 #: The byte-level split of texts of these characters: contractions, letters, numbers, signs, white space.
@@ -75,14 +75,19 @@ class ByteIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [WORDS.findall(t) if self.plain(t) else None for t in texts]
-        met = set()
-        for w in split:
-            if w:
-                met.update(w)
-        fresh = list(met.difference(self.memo))
+        known = self.memo.get
+        parts = [w if w is None else list(map(known, w)) for w in split]
+        holes, fresh = [], set()
+        for w, p in zip(split, parts):
+            if p is not None and None in p:
+                at = [i for i, x in enumerate(p) if x is None]
+                holes.append((w, p, at))
+                fresh.update([w[i] for i in at])
         if len(self.memo) + len(fresh) > MEMO:
             self.memo.clear()
-            fresh = list(met)
-        self.learn(fresh)
+        self.learn(list(fresh))
         get = self.memo.__getitem__
-        return [b"".join(map(get, w)) if w is not None else np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t, w in zip(texts, split)]
+        for w, p, at in holes:
+            for i in at:
+                p[i] = get(w[i])
+        return [b"".join(p) if p is not None else np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t, p in zip(texts, parts)]
