@@ -43,13 +43,17 @@ def _widths(values: np.ndarray) -> np.ndarray:
 
 
 def _pack(rows: np.ndarray, width: int) -> np.ndarray:
-    """The low bits of each value, one after the other."""
+    """The low bits of each value, one after the other; widths of whole bytes need no bit work."""
+    if width in (8, 16, 32):
+        return rows.astype(f"<u{width // 8}").view(np.uint8).reshape(len(rows), -1)
     kind, wide = ("<u2", 16) if width <= 16 else ("<u4", 32)
     bits = np.unpackbits(rows.astype(kind).view(np.uint8), axis=1, bitorder="little").reshape(len(rows), -1, wide)
     return np.packbits(bits[:, :, :width].reshape(len(rows), -1), axis=1, bitorder="little")
 
 
 def _unpack(packed: np.ndarray, width: int, block: int) -> np.ndarray:
+    if width in (8, 16, 32):
+        return packed.view(f"<u{width // 8}").astype(np.uint32)
     bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(packed), block, width)
     wide = np.zeros((len(packed), block, 32 if width > 16 else 16), dtype=np.uint8)
     wide[:, :, :width] = bits
@@ -103,11 +107,11 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
             rows = np.nonzero(widths == w)[0]
             packed = raw[(starts[rows] + BLOCK_HEAD.size)[:, None] + np.arange(block * w // 8)]
             out[rows] = _unpack(packed, int(w), block)
-    for k, (low, w, n_over) in enumerate(heads):
+    for k, (_, w, n_over) in enumerate(heads):
         if n_over:
             s = int(starts[k]) + BLOCK_HEAD.size + block * w // 8
             out[k][np.frombuffer(data, "<u2", n_over, s)] = np.frombuffer(data, "<u4", n_over, s + 2 * n_over)
-        out[k] += np.uint32(low)
+    out += np.array([h[0] for h in heads], dtype=np.uint32)[:, None]
     return out.reshape(-1)[:n_ids], lengths
 
 
