@@ -71,9 +71,17 @@ def encode_segment(ids: np.ndarray, lengths: np.ndarray, block: int = BLOCK, per
     low = rows.min(axis=1) if n_blocks else np.zeros(0, dtype=np.uint32)
     rows = rows - low[:, None]
     ranks = [min(block - 1, int(np.ceil(block * p / 100)) - 1) for p in percentiles]
-    tried = _widths(np.partition(rows, ranks, axis=1)[:, ranks])
-    over = np.stack([np.count_nonzero(rows >> tried[:, [k]].astype(np.uint32), axis=1) if n_blocks else tried[:, k] for k in range(len(ranks))], axis=1)
-    over[tried >= 32] = 0
+    top = _widths(rows.max(axis=1)) if n_blocks else np.zeros(0, dtype=np.int64)
+    tried = np.repeat(top[:, None], len(ranks), axis=1)
+    # Only where few values need the full width can a percentile be narrower.
+    wide = np.count_nonzero(rows >> np.maximum(top - 1, 0).astype(np.uint32)[:, None], axis=1)
+    few = np.nonzero(wide < block - min(ranks))[0]
+    if len(few):
+        tried[few] = _widths(np.partition(rows[few], ranks, axis=1)[:, ranks])
+    over = np.zeros(tried.shape, dtype=np.int64)
+    for k in range(len(ranks)):
+        at = np.nonzero(tried[:, k] < top)[0]
+        over[at, k] = np.count_nonzero(rows[at] >> tried[at, k].astype(np.uint32)[:, None], axis=1)
     cost = tried * (block // 8) + over * 6
     best = cost.argmin(axis=1)
     width, n_over = tried[np.arange(n_blocks), best], over[np.arange(n_blocks), best]
