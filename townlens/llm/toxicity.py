@@ -44,7 +44,7 @@ LEET_COST, WILD_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, SPLIT_COST = 1.0, 3.0
 G2_MIN, LEAST_EVIDENCE, MAX_LEXICON = 24.0, 4, 2000
 MAX_TRAIN = 20_000
 #: Distinct tokens after which a worker's memo starts anew: bounds its memory, changes no result.
-MEMO = 1_000_000
+MEMO = 250_000
 
 
 @lru_cache(1)
@@ -196,9 +196,11 @@ class Speller:
         found = {self.words[w] for w in LETTERS.findall(token) if w in self.words}
         if found:
             return tuple(sorted(found))
-        if len(token) < 200 and self.maybe.search(token.translate(FOLD)):
-            return self._read(token)
-        return ()
+        for at in range(0, max(1, len(token) - 60), 100):  # a long token is read in overlapping pieces
+            piece = token[at : at + 160]
+            if self.maybe.search(piece.translate(FOLD)):
+                found.update(self._read(piece))
+        return tuple(sorted(found))
 
     def _read(self, token: str) -> tuple[int, ...]:
         found: set[int] = set()
