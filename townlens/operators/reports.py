@@ -154,3 +154,54 @@ def manual_review(suspicious: DataFrame, candidates: DataFrame, unresolved: Data
     out = out.unionByName(row(review, "candidate_for_review", F.col("role_normalized"), F.col("contact_id"), none))
     out = out.unionByName(row(unresolved, "unresolved_role", F.col("role_normalized"), F.col("top_candidate_contact_id"), none))
     return out.unionByName(row(missing.filter("missing_group_count >= 2"), "missing_role_groups_2plus", none, none, F.col("missing_role_groups")))
+
+
+def town_sample(towns: DataFrame, enriched: DataFrame, services: DataFrame, locations: DataFrame, signals: DataFrame) -> DataFrame:
+    """One row a town: rows of each table, contacts with each field, and whether a fallback signal was seen."""
+    people = enriched.groupBy("municipality_id").agg(F.count("*").alias("contacts"), *[F.sum(f"has_{f}").alias(f"with_{f}") for f in ("name", "email", "phone", "department")])
+    seen = lambda kind: F.max(flag(F.col("signal_type") == kind))
+    flags = signals.groupBy("municipality_id").agg(F.count("*").alias("signals"), seen("crawl_diagnostics").alias("has_diagnostics"), seen("blocked_recovery_status").alias("has_recovery"))
+    out = towns.select("municipality_id").join(people, "municipality_id", "left").join(flags, "municipality_id", "left")
+    for name, df in (("service_links", services), ("locations", locations)):
+        out = out.join(counts(df, name), "municipality_id", "left")
+    return out.fillna(0)
+
+
+def stage_counts(enriched: DataFrame, clean: DataFrame, candidates: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows that reach each stage, by town; one pass over the tagged union instead of a join for each stage."""
+    stages = {"loaded": enriched, "clean": clean, "candidates": candidates, "winners": winners}
+    tagged = None
+    for name, df in stages.items():
+        part = df.select("municipality_id", F.lit(name).alias("stage"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.groupBy("municipality_id").agg(*[F.sum(flag(F.col("stage") == s)).alias(s) for s in stages])
+
+
+def missing_ids(manifest: DataFrame, towns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The towns of a manifest that exist, and those that do not."""
+    known = towns.select("municipality_id")
+    return manifest.join(known, "municipality_id", "left_semi"), manifest.join(known, "municipality_id", "left_anti")
+
+
+def enum_counts(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
+    """Rows of each value of an enumeration, zero where there are none."""
+    have = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    listed = df.sparkSession.createDataFrame([(v,) for v in values], "value string")
+    return listed.join(have, "value", "left").fillna(0, ["n"])
+
+
+def recovery_status(towns: DataFrame, statuses: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """A status row for each town: the newest JSON payload over the defaults. fields: name and type of each."""
+    shape = ", ".join(f"{k} {v}" for k, v in fields.items())
+    newest = latest(statuses).select("municipality_id", F.from_json("value", shape).alias("p"))
+    default = {"int": F.lit(0), "string": F.lit("")}
+    return towns.select("municipality_id").join(newest, "municipality_id", "left").select("municipality_id", *[F.coalesce(F.col(f"p.{k}"), default[v]).alias(k) for k, v in fields.items()])
+
+
+def validate(**frames: DataFrame) -> DataFrame:
+    """(name, rows, ok): whether each table of a finished run has rows."""
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows", (F.col("rows") > 0).alias("ok"))
+        out = one if out is None else out.unionByName(one)
+    return out

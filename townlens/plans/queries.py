@@ -595,5 +595,53 @@ def canonical_text(spark, sf_dir):
     return df.select(F.trim(t.keyword_blob("n_name")).alias("canonical"), "n_nationkey")
 
 
+# ---- samples and traces
+
+
+@query(f"WITH {ENRICHED}, {with_sql('municipalities', 'service_links', 'locations', 'signals')} SELECT m.municipality_id, (SELECT count(*) FROM enriched x WHERE x.municipality_id = m.municipality_id) AS contacts, {', '.join(f'coalesce((SELECT sum(has_{f}) FROM enriched x WHERE x.municipality_id = m.municipality_id), 0)::BIGINT AS with_{f}' for f in ('name', 'email', 'phone', 'department'))}, (SELECT count(*) FROM signals x WHERE x.municipality_id = m.municipality_id) AS signals, EXISTS (SELECT 1 FROM signals x WHERE x.municipality_id = m.municipality_id AND signal_type = 'crawl_diagnostics')::INT AS has_diagnostics, EXISTS (SELECT 1 FROM signals x WHERE x.municipality_id = m.municipality_id AND signal_type = 'blocked_recovery_status')::INT AS has_recovery, (SELECT count(*) FROM service_links x WHERE x.municipality_id = m.municipality_id) AS service_links, (SELECT count(*) FROM locations x WHERE x.municipality_id = m.municipality_id) AS locations FROM municipalities m")
+def town_sample(spark, sf_dir):
+    return reports.town_sample(towns(spark, sf_dir), enriched(spark, sf_dir), *[spark_table(spark, sf_dir, n) for n in ("service_links", "locations", "signals")])
+
+
+@query(f"WITH {SCORED}, u AS (SELECT municipality_id, 1 AS k FROM enriched UNION ALL SELECT municipality_id, 2 FROM clean UNION ALL SELECT municipality_id, 3 FROM cand UNION ALL SELECT municipality_id, 4 FROM winners) SELECT municipality_id, count(*) FILTER (k = 1) AS loaded, count(*) FILTER (k = 2) AS clean, count(*) FILTER (k = 3) AS candidates, count(*) FILTER (k = 4) AS winners FROM u GROUP BY 1")
+def stage_counts(spark, sf_dir):
+    df = enriched(spark, sf_dir)
+    sc = cand.score_candidates(df)
+    return reports.stage_counts(df, enrich.clean_contacts(df), sc, cand.best_role_per_town(sc))
+
+
+@query(f"WITH {with_sql('manifest', 'municipalities')} SELECT municipality_id FROM manifest WHERE municipality_id NOT IN (SELECT municipality_id FROM municipalities WHERE town_no % 2 = 0)")
+def manifest_missing_ids(spark, sf_dir):
+    return reports.missing_ids(spark_table(spark, sf_dir, "manifest"), towns(spark, sf_dir).filter("town_no % 2 = 0"))[1].select("municipality_id")
+
+
+KINDS = ("staff_directory", "department_page", "contact_hub", "generic", "homepage", "board_page", "other", "archive")
+
+
+@query(f"WITH {ENRICHED} SELECT v AS value, count(e.contact_id) AS n FROM (SELECT unnest({list(KINDS)!r}) AS v) LEFT JOIN enriched e ON e.page_type = v GROUP BY v")
+def page_class_counts(spark, sf_dir):
+    return reports.enum_counts(enriched(spark, sf_dir), "page_type", KINDS)
+
+
+@query(f"WITH {with_sql('municipalities')}, s AS (SELECT concat('ct_nation_', CAST(user_id % 31 AS VARCHAR)) AS municipality_id, event_id, concat('{{\"api_hit\": ', CAST(event_id % 3 AS VARCHAR), ', \"api_type\": \"', event_type, '\"}}') AS value FROM events WHERE user_id % 31 < 20), l AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY municipality_id ORDER BY event_id DESC) = 1) SELECT m.municipality_id, coalesce(CAST(json_extract_string(value, '$.api_hit') AS INT), 0) AS api_hit, coalesce(json_extract_string(value, '$.api_type'), '') AS api_type, 0 AS deep_path_hits FROM municipalities m LEFT JOIN l USING (municipality_id)")
+def recovery_status(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").filter("user_id % 31 < 20")
+    value = F.to_json(F.struct((F.col("event_id") % 3).alias("api_hit"), F.col("event_type").alias("api_type")))
+    statuses = ev.select(F.concat(F.lit("ct_nation_"), (F.col("user_id") % 31).cast("string")).alias("municipality_id"), F.col("event_id").alias("seq"), value.alias("value"))
+    return reports.recovery_status(towns(spark, sf_dir), statuses, {"api_hit": "int", "api_type": "string", "deep_path_hits": "int"})
+
+
+@query(f"WITH {SCORED} SELECT 'contacts' AS name, count(*) AS rows, count(*) > 0 AS ok FROM contacts UNION ALL SELECT 'winners', count(*), count(*) > 0 FROM winners")
+def pipeline_validation(spark, sf_dir):
+    return reports.validate(contacts=spark_table(spark, sf_dir, "contacts"), winners=winners(spark, sf_dir))
+
+
+@query()
+def catalog_columns(spark, sf_dir):
+    """Tables of the staged schema with the number of their columns."""
+    rows = [(n, len(spark_table(spark, sf_dir, n).columns)) for n in ("municipalities", "contacts", "service_links", "locations", "signals", "manifest")]
+    return spark.createDataFrame(rows, "table_name string, columns int")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
