@@ -48,3 +48,14 @@ def text_of(df: DataFrame, text: str = "text") -> Column:
 def narrow(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, under fixed names, so that further columns of any name cannot clash."""
     return df.select(df[id_col].alias("doc_id"), text_of(df, text).alias("text"))
+
+
+_MEMOS: dict[str, object] = {}
+
+
+def only_memo(name: str, clear) -> None:
+    """A Python worker serves several operators in turn and keeps the memo of the last one alone: taking it drops the
+    others', so that memory does not add up over the stages of a pipeline."""
+    for other in [k for k in _MEMOS if k != name]:
+        _MEMOS.pop(other)()
+    _MEMOS[name] = clear

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from townlens.llm.common import narrow, written
+from townlens.llm.common import narrow, only_memo, written
 from townlens.llm.vocab import byte_ids
 
 MAGIC, VERSION, BLOCK = b"TLPF", 1, 1024
@@ -130,6 +130,7 @@ def write_token_file(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_
     tail = np.array([end_id] if end_id is not None else [], dtype="<u4").tobytes()
 
     def run(batches):
+        only_memo("byte ids", byte_ids.cache_clear)
         encode, part = byte_ids(tokenizer), TaskContext.get().partitionId()
         held: list[tuple[object, bytes]] = []
         size = offset = 0

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townlens.llm.common import narrow, written
+from townlens.llm.common import narrow, only_memo, written
 
 #: Symbols of the language model: 0 is the word boundary, 1 to 26 are a to z, 27 is any other letter.
 SYMBOLS, ORDER = 28, 4
@@ -160,6 +160,7 @@ SPELLERS: dict[str, Speller] = {}
 
 
 def speller(run: str, lexicon: list[str], bits: np.ndarray) -> Speller:
+    only_memo("toxicity", SPELLERS.clear)
     if run not in SPELLERS:
         SPELLERS.clear()
         SPELLERS[run] = Speller(lexicon, bits)

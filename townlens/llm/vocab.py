@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries after which a worker's memo starts anew: bounds its memory, changes no result.
-MEMO = 1_000_000
+MEMO = 600_000
 #: Characters on which every Unicode version agrees; texts of these only are split here, others by the library.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‟…]*+")
 #: The byte-level split of texts of these characters: contractions, letters, numbers, signs, white space.
