@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townlens.llm.common import narrow, only_memo, written
-from townlens.llm.vocab import byte_ids
+from townlens.llm.vocab import MEMO, byte_ids
 
 MAGIC, VERSION, BLOCK = b"TLPF", 1, 1024
 PERCENTILES = (100.0, 99.0, 97.0, 90.0)
@@ -123,7 +123,7 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(-1)[:n_ids], lengths
 
 
-def write_token_file(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int | None = 2, id_col: str = "doc_id", text: str = "text", segment_ids: int = SEGMENT_IDS) -> DataFrame:
+def write_token_file(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int | None = 2, id_col: str = "doc_id", text: str = "text", segment_ids: int = SEGMENT_IDS, memo: int = MEMO) -> DataFrame:
     """Encode every text and write the segments in ascending id order; the written table of segments comes back."""
     source = narrow(docs, id_col, text)
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -131,7 +131,7 @@ def write_token_file(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_
 
     def run(batches):
         only_memo("byte ids", byte_ids.cache_clear)
-        encode, part = byte_ids(tokenizer), TaskContext.get().partitionId()
+        encode, part = byte_ids(tokenizer, memo), TaskContext.get().partitionId()
         held: list[tuple[object, bytes]] = []
         size = offset = 0
 
@@ -187,6 +187,6 @@ def read_token_file(segments: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
-def token_output(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int | None = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write the token file of docs and return the digest of each document as read back from it."""
-    return read_token_file(write_token_file(docs, tokenizer, end_id, id_col, text))
+def token_output(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int | None = 2, id_col: str = "doc_id", text: str = "text", memo: int = MEMO) -> DataFrame:
+    """Write the token file of docs (memo: words a worker keeps, which bounds its memory) and return the digest of each document as read back from it."""
+    return read_token_file(write_token_file(docs, tokenizer, end_id, id_col, text, memo=memo))

@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries after which a worker's memo starts anew: bounds its memory, changes no result.
-MEMO = 600_000
+MEMO = 1_000_000
 #: Characters on which every Unicode version agrees; texts of these only are split here, others by the library.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‟…]*+")
 #: The byte-level split of texts of these characters: contractions, letters, numbers, signs, white space.
@@ -35,9 +35,9 @@ def tokenizer(name: str):
 
 
 @lru_cache(4)
-def byte_ids(name: str) -> ByteIds:
+def byte_ids(name: str, memo: int = MEMO) -> ByteIds:
     """One for each worker, so that its memo serves all tasks of the worker."""
-    return ByteIds(name)
+    return ByteIds(name, limit=memo)
 
 
 def slices(values: list[str], size: int):
@@ -53,8 +53,8 @@ class ByteIds:
 
     ROW = 2000
 
-    def __init__(self, name: str, special: tuple[str, ...] = ("<|endoftext|>",)) -> None:
-        self.library, self.special, self.memo = tokenizer(name), special, {}
+    def __init__(self, name: str, special: tuple[str, ...] = ("<|endoftext|>",), limit: int = MEMO) -> None:
+        self.library, self.special, self.memo, self.limit = tokenizer(name), special, {}, limit
 
     def plain(self, text: str) -> bool:
         return not any(s in text for s in self.special) and PLAIN.fullmatch(text) is not None
@@ -83,7 +83,7 @@ class ByteIds:
                 at = [i for i, x in enumerate(p) if x is None]
                 holes.append((w, p, at))
                 fresh.update([w[i] for i in at])
-        if len(self.memo) + len(fresh) > MEMO:
+        if len(self.memo) + len(fresh) > self.limit:
             self.memo.clear()
         self.learn(list(fresh))
         get = self.memo.__getitem__
