@@ -86,3 +86,34 @@ def test_empty_and_null_ids(spark):
     odd = spark.createDataFrame([(None, "a b c d"), (7, "a b c d"), (None, "x y z")], "doc_id long, text string")
     assert sorted(str((r["doc_id"], r["component_id"])) for r in simhash.near_duplicates(odd).collect()) == ["(7, 7)", "(None, 7)", "(None, None)"]
     assert simhash.keep_one(odd).count() == 3
+
+
+def test_similarity_stage_against_brute_force(spark):
+    """Copies with one to six words changed, among them chains and pairs on both sides of 0.8."""
+    rng, rows = random.Random(4), []
+    for _ in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([3, 40, 120, 400]))]
+        for _ in range(rng.choice([1, 2, 4, 30])):
+            words = list(words)
+            for _ in range(rng.randrange(7)):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(9000, ""), (9001, None), (9002, rows[0][1].upper())]
+    sets = {i: {tuple((t or "").lower().split()[k : k + 5]) for k in range(max(1, len((t or "").split()) - 4))} for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = [(i, j) for i, j in combinations(sets, 2) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    for i, j in links:
+        x, y = sorted((find(i), find(j)))
+        root[y] = x
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs).collect()}
+    assert got == {i: find(i) for i in sets}
+    bits = {i: simhash.fingerprint(t or "") for i, t in rows}
+    assert sum((bits[i] ^ bits[j]).bit_count() > 2 for i, j in links) > 20
+    assert {r["doc_id"] for r in simhash.keep_one(docs, shingle=5, similarity=0.8).collect()} == set(got.values())

@@ -11,6 +11,12 @@ fingerprint so gets 3 keys of one kind and 3 to 18 of the other, of 34 selective
 Equal fingerprints are one node before any join, a candidate pair leaves the join only if it is a link, and a node
 has at most 64 + 2016 links, so what is emitted grows in proportion to the input however large a group is.
 
+Beside the fingerprints there is a stage by shingle similarity (similar_groups): documents whose sets of word shingles
+have a Jaccard similarity of at least `similarity` are linked. Candidates are documents that share one of BANDS keys of
+ROWS minhashes each (a pair at 0.8 is missed with a chance of 3 in 100,000), and each link is verified on the sets
+themselves. Equal sets are one node. Each document is first held against the least of its bucket; a bucket whose
+documents are then of one group needs no further pair, so a large group of near copies makes no square of pairs.
+
 Defined cases: a null or wordless text has fingerprint zero and is linked like any other; fewer than three words make
 one shingle; repeated rows are copies; a null doc_id keeps its row and never becomes a component_id unless alone.
 """
@@ -32,6 +38,8 @@ GOLAY = 0b110001110101
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (1, 2), (2, 0))
 SEED, SHINGLE, MAX_BITS = 42, 3, 2
+#: Minhash keys of the similarity stage: BANDS keys of ROWS minhashes.
+BANDS, ROWS = 26, 5
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -154,9 +162,100 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+@lru_cache(4)
+def _factors(n: int) -> np.ndarray:
+    """Odd 64-bit factors, the same in every worker."""
+    return np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little"), SEED) | 1 for i in range(n)], dtype=np.uint64)
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of the word shingles; fewer words than that make one shingle."""
+    words = text.encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    h = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], dtype=np.uint64)
+    size = min(shingle, len(words))
+    n, out = len(h) - size + 1, np.full(len(h) - size + 1, size, dtype=np.uint64)
+    for k in range(size):
+        out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def band_keys(grams: np.ndarray) -> np.ndarray:
+    """One key for each band of minhashes."""
+    factors, low = _factors(BANDS * ROWS)[:, None], None
+    for at in range(0, len(grams), 1024):
+        part = grams[at : at + 1024] * factors
+        part = (part ^ (part >> np.uint64(32))).min(axis=1)
+        low = part if low is None else np.minimum(low, part)
+    if low is None:
+        return np.zeros(0, dtype=np.int64)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(low.reshape(BANDS, ROWS))], dtype=np.uint64).view(np.int64)
+
+
+def _sets(docs: DataFrame, shingle: int, keys: bool) -> DataFrame:
+    """(doc_id, same, found): a hash of the shingle set, with its band keys or the set itself."""
+
+    def run(batches):
+        only_memo("none", lambda: None)
+        for b in batches:
+            column = b.column("text")
+            for at in range(0, b.num_rows, 500):
+                same, found = [], []
+                for t in column.slice(at, 500).to_pylist():
+                    grams = shingle_set(t, shingle)
+                    same.append(xxhash.xxh64_intdigest(grams.tobytes(), SEED))
+                    found.append(band_keys(grams) if keys else grams.view(np.int64))
+                same = np.array(same, dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, 500), pa.array(same), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "same", "found"])
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, same long, found array<long>")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of set hashes whose sets are similar enough; only the texts of candidates are read into sets."""
+    asked = pairs.select(F.col("u").alias("same")).union(pairs.select(F.col("v").alias("same"))).distinct()
+    ids = nodes.join(asked, "same", "left_semi").select(F.col("node").alias("doc_id")).distinct()
+    sets = written(_sets(docs.join(ids, "doc_id", "left_semi"), shingle, False).dropDuplicates(["same"]), "sets")
+    one = sets.select(F.col("same").alias("u"), F.col("found").alias("a"))
+    two = sets.select(F.col("same").alias("v"), F.col("found").alias("b"))
+    both = pairs.hint("merge").join(one, "u").hint("merge").join(two, "v")
+    met = F.size(F.array_intersect("a", "b"))
+    out = written(both.filter(met >= F.lit(similarity) * (F.size("a") + F.size("b") - met)).select("u", "v"), "similar")
+    forget(sets)
+    return out
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, component_id), one row for each row of docs: groups by Jaccard similarity of the word shingles."""
+    source = narrow(docs, id_col, text)
+    sets = written(_sets(source, shingle, True), "shingles")
+    nodes = written(sets.groupBy("same").agg(F.min("doc_id").alias("node"), F.any_value("found").alias("keys")).filter("node is not null"), "nodes")
+    keyed = written(nodes.select("same", F.explode("keys").alias("key")), "keys")
+    least = keyed.groupBy("key").agg(F.min("same").alias("u"), F.count("*").alias("n")).filter("n > 1").select("key", "u")
+    first = written(keyed.join(least, "key").filter("same <> u").select("u", F.col("same").alias("v")).distinct(), "pairs")
+    near = _verified(first, nodes, source, shingle, similarity)
+
+    grouped = keyed.join(components(near).select(F.col("node").alias("same"), "component"), "same", "left").withColumn("component", F.coalesce("component", "same"))
+    split = grouped.groupBy("key").agg((F.min("component") < F.max("component")).alias("split")).filter("split").select("key")
+    mixed = written(grouped.join(split, "key", "left_semi"), "mixed")
+    x = mixed.select("key", F.col("same").alias("u"), F.col("component").alias("cu"))
+    y = mixed.select("key", F.col("same").alias("v"), F.col("component").alias("cv"))
+    second = x.hint("merge").join(y, "key").filter("u < v and cu <> cv").select("u", "v").distinct()
+    second = written(second.join(first, ["u", "v"], "left_anti"), "pairs")
+    near = near.unionByName(_verified(second, nodes, source, shingle, similarity))
+
+    classes = nodes.join(components(near).select(F.col("node").alias("same"), "component"), "same", "left").select("same", "node", F.coalesce("component", "same").alias("component"))
+    named = classes.groupBy("component").agg(F.min("node").alias("component_id"))
+    return sets.select("doc_id", "same").join(classes.join(named, "component").select("same", "component_id"), "same", "left").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """The rows of docs without near-duplicates: of each group the document with the smallest id stays, once. Rows
-    that share an id are copies of one document; rows without an id cannot be grouped and stay."""
-    kept = written(near_duplicates(docs, id_col, text).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
+    that share an id are copies of one document; rows without an id cannot be grouped and stay. With a similarity the
+    groups are those of similar_groups, else those of the fingerprints."""
+    groups = near_duplicates(docs, id_col, text) if similarity is None else similar_groups(docs, shingle, similarity, id_col, text)
+    kept = written(groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
     named = docs.filter(docs[id_col].isNotNull())
     return named.join(kept, named[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col]).unionByName(docs.filter(docs[id_col].isNull()))
