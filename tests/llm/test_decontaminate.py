@@ -81,3 +81,10 @@ def test_empty(spark, tables):
     docs, benchmark = tables
     assert d.contaminated(docs, benchmark.limit(0)).count() == 0 and d.contaminated(docs.limit(0), benchmark).count() == 0
     assert d.decontaminate(docs, benchmark.limit(0)).count() == docs.count()
+
+
+def test_headings_and_hard_spaces_keep_slots_in_place(spark, tables):
+    texts = [f"# Title\n\n## Part\n{ITEMS[40][1]}", f"two\u00a0words and\u2003more # {ITEMS[40][1]}", f"# {REWRITTEN}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = d.contaminated(docs, tables[1]).filter("item_id = 100 and consistent").collect()
+    assert {r["doc_id"]: r["share"] for r in rows} == {0: 1.0, 1: 1.0, 2: 1.0}

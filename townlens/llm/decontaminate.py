@@ -24,7 +24,7 @@ WINDOW, LEAST_SHARE = 8, 0.5
 BROADCAST_WINDOWS = 200_000
 #: Units that count as such behind a number.
 UNITS = "kg|g|mg|km|m|cm|mm|miles?|feet|ft|inch(?:es)?|l|ml|litres?|liters?|seconds?|s|minutes?|min|hours?|h|days?|weeks?|months?|years?|percent|dollars?|euros?|cents?|degrees?"
-EDGE = r"[^\p{L}\p{N}#\s]+"
+EDGE = r"[^\p{L}\p{N}#\s\p{Z}]+"
 
 
 def raw_words(text: Column) -> Column:
@@ -40,9 +40,9 @@ def canonical_text(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Canonical words in order."""
+    """Canonical words in order: of the same tokens as raw_words, those with a letter or digit, so that places agree."""
     bare = F.regexp_replace(canonical_text(text), EDGE, "")
-    return F.filter(F.split(F.trim(bare), r"[\s\p{Z}]+"), lambda w: w != "")
+    return F.filter(F.split(F.trim(bare), r"[\s\p{Z}]+"), lambda w: (w != "") & (~w.startswith("#") | w.rlike(r"[\p{L}\p{N}]")))
 
 
 def windows(df: DataFrame, keys: list[str], size: int, name: str) -> DataFrame:
