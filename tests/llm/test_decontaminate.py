@@ -88,3 +88,23 @@ def test_headings_and_hard_spaces_keep_slots_in_place(spark, tables):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = d.contaminated(docs, tables[1]).filter("item_id = 100 and consistent").collect()
     assert {r["doc_id"]: r["share"] for r in rows} == {0: 1.0, 1: 1.0, 2: 1.0}
+
+
+def test_insertions_partial_copies_and_second_copies(spark):
+    plain = " ".join(f"v{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(59))
+    slots = ITEMS[40][1]
+    twice = "a box holds pears for Anna while the other box over there holds plums for Peter and a third one holds figs for Anna in all of these days"
+    items = spark.createDataFrame([(1, plain), (2, slots), (3, twice)], "item_id long, text string")
+    w = plain.split()
+    texts = [
+        " ".join([*w[:30], "inserted", *w[30:]]),
+        " ".join([*w[:29], *w[30:]]),
+        " ".join(slots.split()[:20]) + " sing with anna and then the rest is about something else of 99 and 99",
+        f"{BROKEN} and also {prose(30)} {REWRITTEN}",
+        twice.replace("Anna", "Mary Ann").replace("Peter", "John Paul Lee"),
+        twice.replace("Anna", "Mary Ann", 1),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["matched"], r["windows"]) for r in d.contaminated(docs, items).filter("consistent").collect()}
+    assert got[0, 1] == (45, 52) and got[1, 1] == (44, 52)
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)} and got[4, 3][0] == got[4, 3][1]

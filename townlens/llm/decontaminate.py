@@ -3,8 +3,10 @@
 Words are made comparable by case and edge punctuation, and the parts of a question that a rewrite changes become typed
 placeholders: numbers #n, units behind a number #u, names (capitalised words inside a sentence) #p. Hashes of all
 windows of the documents meet those of the benchmark items in a hash join; a document is contaminated by an item when
-enough of the item's windows meet on one alignment and the placeholders are filled consistently, i.e. one value of the
-item always became one value of the document and no two became the same.
+enough of the item's windows meet on one alignment and the placeholders of these windows are filled consistently, i.e.
+one value of the item always became one value of the document and no two became the same. An alignment is a place of the
+document with every window that meets within the item's length of it, each at the nearest such place: words put in or
+left out shift the rest without ending it. Every alignment with enough windows is judged.
 
 The item side is broadcast while its measured number of windows is under BROADCAST_WINDOWS; beyond, the join shuffles.
 Items shorter than the window make one window of their own length.
@@ -25,16 +27,19 @@ BROADCAST_WINDOWS = 200_000
 #: Units that count as such behind a number.
 UNITS = "kg|g|mg|km|m|cm|mm|miles?|feet|ft|inch(?:es)?|l|ml|litres?|liters?|seconds?|s|minutes?|min|hours?|h|days?|weeks?|months?|years?|percent|dollars?|euros?|cents?|degrees?"
 EDGE = r"[^\p{L}\p{N}#\s\p{Z}]+"
+#: Where a capitalised word counts as a name, and the word.
+INSIDE, NAME = r"(?<=[\p{Ll}\p{N}][,;:]?[ \t])", r"\p{Lu}\p{Ll}+"
 
 
 def raw_words(text: Column) -> Column:
-    """The words as written; one for each canonical word."""
-    return F.filter(F.split(text, r"[\s\p{Z}]+"), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+    """The words as written, names of several words joined; one for each canonical word."""
+    joined = F.regexp_replace(text, rf"{INSIDE}({NAME})[ \t](?={NAME}(?![\p{{L}}\p{{N}}]))", "$1_")
+    return F.filter(F.split(joined, r"[\s\p{Z}]+"), lambda w: w.rlike(r"[\p{L}\p{N}]"))
 
 
 def canonical_text(text: Column) -> Column:
-    """Placeholders are put in before case is dropped; no replacement joins or splits words."""
-    t = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N}][,;:]?[ \t])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", "#p")
+    """Placeholders are put in before case is dropped; a name of several words is one, nothing else joins or splits words."""
+    t = F.regexp_replace(text, rf"{INSIDE}{NAME}(?:[ \t]{NAME})*(?![\p{{L}}\p{{N}}])", "#p")
     t = F.when(t.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(t, rf"(?<=[0-9][ \t])(?i:{UNITS})(?![\p{{L}}\p{{N}}])", "#u"), r"[0-9]+(?:[.,:/][0-9]+)*", "#n")).otherwise(t)
     return F.lower(t)
 
@@ -62,38 +67,57 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
     """(doc_id, item_id, matched, windows, share, slots, consistent) of each document and item that meet."""
     items = written(item_windows(benchmark, window, item_col, text), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most `window` numbers
-    source = narrow(docs, id_col, text)
-    hashed = source.select("doc_id", words(F.col("text")).alias("w"))
+    source = narrow(docs, id_col, text).withColumn("row", F.xxhash64("text"))
+    hashed = source.select("doc_id", "row", words(F.col("text")).alias("w"))
     hits = None
     for size in sizes:
         mine = windows(items.filter(F.col("size") == size), ["item_id"], size, "q").dropDuplicates(["item_id", "q"])
-        theirs = windows(hashed, ["doc_id"], size, "p")
+        theirs = windows(hashed, ["doc_id", "row"], size, "p")
         small = items.filter(F.col("size") == size).agg(F.sum(F.size("w"))).first()[0] <= BROADCAST_WINDOWS
-        met = theirs.join(F.broadcast(mine) if small else mine, "hash").select("doc_id", "item_id", "q", (F.col("p") - F.col("q")).alias("shift"))
+        met = theirs.join(F.broadcast(mine) if small else mine, "hash").select("doc_id", "row", "item_id", "p", "q")
         hits = met if hits is None else hits.unionByName(met)
     kinds = source.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     if hits is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, matched long, windows int, share double, slots int, consistent boolean")
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.count_distinct("q").alias("matched"))
-    best = aligned.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", -F.abs("shift"), "shift")).alias("b"))
-    facts = items.select("item_id", (F.size("w") - F.col("size") + 1).alias("windows"), F.size(F.filter("w", lambda x: x.contains("#"))).alias("slots"), F.col("w").alias("iw"), F.col("raw").alias("iraw"))
-    pairs = best.select("doc_id", "item_id", F.col("b.matched").alias("matched"), F.col("b.shift").alias("shift")).join(facts.drop("iw", "iraw").dropDuplicates(["item_id"]), "item_id")
-    share = F.col("matched") / F.col("windows").cast("double")
-    found = written(pairs.withColumn("share", share).filter(share >= least_share), "met")
-
-    slotted = found.filter("slots > 0").join(facts.select("item_id", "iw", "iraw").dropDuplicates(["item_id"]), "item_id")
-    texts = source.select("doc_id", raw_words(F.col("text")).alias("raw"))
-    filled = slotted.join(texts, "doc_id").select(
-        "doc_id",
-        "item_id",
-        F.filter(F.transform(F.sequence(F.lit(1), F.size("iw")), lambda k: F.struct(F.element_at("iw", k).alias("c"), F.lower(F.try_element_at("iraw", k)).alias("i"), F.lower(F.try_element_at("raw", (k + F.col("shift")).cast("int"))).alias("d"))), lambda x: x["c"].contains("#") & x["d"].isNotNull()).alias("s"),
-    )
-    distinct = lambda f: F.size(F.array_distinct(F.transform("s", f)))
-    both = distinct(lambda x: F.struct(x["c"], x["i"], x["d"]))
-    checked = filled.select("doc_id", "item_id", ((both == distinct(lambda x: F.struct(x["c"], x["i"]))) & (both == distinct(lambda x: F.struct(x["c"], x["d"])))).alias("consistent"))
-    verdict = checked.groupBy("doc_id", "item_id").agg(F.max("consistent").alias("consistent"))
-    out = found.join(verdict, ["doc_id", "item_id"], "left").withColumn("consistent", F.coalesce("consistent", F.lit(True)))
-    return out.select("doc_id", "item_id", "matched", "windows", "share", "slots", "consistent")
+    facts = items.select("item_id", "size", (F.size("w") - F.col("size") + 1).alias("windows"), F.size(F.filter("w", lambda x: x.contains("#"))).alias("slots"), F.col("w").alias("iw"), F.col("raw").alias("iraw")).dropDuplicates(["item_id"])
+    enough = lambda n: n / F.col("windows").cast("double") >= least_share
+    pairs = hits.groupBy("row", "item_id").agg(F.collect_set("doc_id").alias("ids"), F.max(F.col("doc_id").isNull()).alias("unnamed"), F.collect_set(F.struct("p", "q")).alias("hits"))
+    pairs = pairs.join(facts.select("item_id", "windows", F.size("iw").alias("reach")), "item_id")
+    pairs = written(pairs.filter(enough(F.size(F.array_distinct("hits.q")))), "met")
+
+    placed = pairs.select("row", "item_id", "windows", "reach", F.explode("hits").alias("h")).select("row", "item_id", "windows", "reach", "h.p", "h.q", (F.col("h.p") - F.col("h.q")).alias("shift"))
+    bucket = F.floor(F.col("shift") / F.col("reach"))
+    anchors = placed.select("row", "item_id", "reach", F.col("shift").alias("at")).distinct().select("row", "item_id", "at", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: k + F.floor(F.col("at") / F.col("reach")))).alias("bucket"))
+    off = F.abs(F.col("shift") - F.col("at"))
+    near = placed.withColumn("bucket", bucket).join(anchors, ["row", "item_id", "bucket"]).filter(off <= F.col("reach"))
+    chosen = near.groupBy("row", "item_id", "windows", "at", "q").agg(F.min_by("p", F.struct(off, "p")).alias("p"))
+    aligned = chosen.groupBy("row", "item_id", "windows", "at").agg(F.count("*").alias("matched"), F.sort_array(F.collect_list(F.struct("q", "p"))).alias("hits")).filter(enough(F.col("matched")))
+    # copies of one alignment, seen from each of its shifts, are one
+    found = aligned.groupBy("row", "item_id").agg(F.collect_set(F.struct("matched", "hits")).alias("ways"))
+
+    asked = found.select("row").distinct()
+    texts = source.join(asked, "row", "left_semi").dropDuplicates(["row"]).select("row", raw_words(F.col("text")).alias("raw"))
+    whole = found.join(texts, "row").join(facts, "item_id")
+
+    def filled(way: Column) -> Column:
+        """The distinct slots (canonical word, the item's word, the document's word) of the windows that met."""
+        at = lambda c, k: F.lower(F.try_element_at(c, (k + 1).cast("int")))
+        words_of = lambda h: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda j: F.struct((h["q"] + j).alias("i"), (h["p"] + j).alias("d")))
+        places = F.array_distinct(F.flatten(F.transform(way["hits"], words_of)))
+        slots = F.transform(places, lambda x: F.struct(F.try_element_at("iw", (x["i"] + 1).cast("int")).alias("c"), at("iraw", x["i"]).alias("i"), at("raw", x["d"]).alias("d")))
+        return F.array_distinct(F.filter(slots, lambda x: x["c"].contains("#")))
+
+    def one_to_one(s: Column) -> Column:
+        distinct = lambda f: F.size(F.array_distinct(F.transform(s, f)))
+        both = F.size(s)
+        return (both == distinct(lambda x: F.struct(x["c"], x["i"]))) & (both == distinct(lambda x: F.struct(x["c"], x["d"])))
+
+    slotted = whole.withColumn("slotted", F.transform("ways", lambda w: F.struct(w["matched"].alias("matched"), filled(w).alias("s"))))
+    judged = slotted.withColumn("best", F.array_max(F.transform("slotted", lambda w: F.struct(one_to_one(w["s"]).alias("consistent"), w["matched"].alias("matched")))))
+    verdict = judged.select("row", "item_id", "windows", "slots", "best")
+    named = pairs.select("row", "item_id", F.explode(F.when(F.col("unnamed"), F.concat("ids", F.array(F.lit(None).cast(kinds[0])))).otherwise(F.col("ids"))).alias("doc_id"))
+    out = named.join(verdict, ["row", "item_id"]).groupBy("doc_id", "item_id", "windows", "slots").agg(F.max("best").alias("best"))
+    return out.select("doc_id", "item_id", F.col("best.matched").alias("matched"), "windows", (F.col("best.matched") / F.col("windows").cast("double")).alias("share"), "slots", F.col("best.consistent").alias("consistent"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
