@@ -87,3 +87,15 @@ def test_no_labels_and_empty_tables(spark, tables):
     assert {r["predicted"] for r in toxicity.score(docs.limit(20), labels.limit(0)).collect()} == {0}
     assert toxicity.score(docs.limit(0), labels).count() == 0
     assert toxicity.reject_toxic(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_spaced_words_at_edges_and_second_words():
+    local = random.Random(7)
+    filler = ["".join(local.choices(PARTS, k=local.randint(1, 3))) for _ in range(3000)]
+    bits = toxicity.char_model(toxicity.gram_counts([" ".join(filler + ["idiot", "moron"] * 40)]))
+    reader = toxicity.Speller(["idiot", "moron"], bits)
+    for t in ("i d i o t.", "i d i o t,", "i d i o t!", '"i d i o t"', "(i d i o t)", "i  d  i  o  t", "i\nd\ni\no\nt", "i \t d i   o t?", "y o u  i d i o t"):
+        assert reader.text_hits(f"an {t} on") == {0}, t
+    for t in ("idiot/m0r0n", "m0r0n,idiot!", "idiot+m0r0n", "m0r0n/1d1ot"):
+        assert reader.text_hits(t) == {0, 1}, t
+    assert reader.text_hits("a b c d. e  f  g") == set()

@@ -137,7 +137,11 @@ def viterbi(token: str, bits: np.ndarray) -> str:
 
 EDGE = ".,;:?\"'’“”«»()[]{}…-_/\\&%^~=`<>"
 LETTERS = re.compile(r"[^\W\d_]+")
-SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+#: Letters spaced out, with signs at both ends: by one space, so that wider gaps part words, and by any white space.
+SPACED = re.compile(r"(?<!\S)[^\w\s]*\S(?:[ \t]\S){2,}[^\w\s]*(?!\S)")
+WIDE = re.compile(r"(?<!\S)[^\w\s]*\S(?:\s+\S){2,}[^\w\s]*(?!\S)")
+SPACE = re.compile(r"\s+")
+PARTED = re.compile(r"[/\\,;:&=~_…-]+")
 RUN = re.compile(r"(.)\1+", re.S)
 
 
@@ -151,7 +155,8 @@ def suspicious(token: str) -> bool:
 
 def restore(text: str, bits: np.ndarray) -> str:
     """The text with every suspicious token and spaced run replaced by its cheapest reading."""
-    text = SPACED.sub(lambda m: viterbi(m[0], bits), text)
+    for pattern in (SPACED, WIDE):
+        text = pattern.sub(lambda m: viterbi(SPACE.sub(" ", m[0]), bits), text)
     return re.sub(r"\S+", lambda m: viterbi(m[0], bits) if suspicious(m[0]) else m[0], text)
 
 
@@ -195,12 +200,14 @@ class Speller:
                 return ()
             return self._read(core)
         found = {self.words[w] for w in LETTERS.findall(token) if w in self.words}
-        if found:
-            return tuple(sorted(found))
-        for at in range(0, max(1, len(token) - 60), 100):  # a long token is read in overlapping pieces
-            piece = token[at : at + 160]
-            if self.maybe.search(piece.translate(FOLD)):
-                found.update(self._read(piece))
+        parts = {token, *PARTED.split(token)}
+        if found:  # what lies between plainly written words
+            parts.update(LETTERS.sub(lambda m: " " if m[0] in self.words else m[0], token).split())
+        for part in parts:
+            for at in range(0, max(1, len(part) - 60), 100):  # a long token is read in overlapping pieces
+                piece = part[at : at + 160]
+                if self.maybe.search(piece.translate(FOLD)):
+                    found.update(self._read(piece))
         return tuple(sorted(found))
 
     def _read(self, token: str) -> tuple[int, ...]:
@@ -221,9 +228,9 @@ class Speller:
                 got = self.memo[t] = self.hits(t)
             if got:
                 out.update(got)
-        for m in SPACED.finditer(low):
-            for at in range(0, len(m[0]), 100):  # a long run is read in overlapping pieces
-                out.update(self.hits(m[0][at : at + 160]))
+        for run in {SPACE.sub(" ", m[0]) for pattern in (SPACED, WIDE) for m in pattern.finditer(low)}:
+            for at in range(0, len(run), 100):  # a long run is read in overlapping pieces
+                out.update(self.hits(run[at : at + 160]))
         return out
 
 
