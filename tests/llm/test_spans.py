@@ -104,3 +104,10 @@ def test_linking_needs_all_parts_in_scope(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.personal_data(none).count() == 0 and secret_scan.secrets(none).count() == 0
+
+
+def test_linking_beside_long_parts_and_long_keys(spark):
+    url = f"https://h.example.com/{'q=' * 400}"
+    rows = [(1, f"user = bob {' ' * 400} {url} pass = hunter2"), (2, f"{url} pass = hunter2 user = bob"), (3, f"user = bob host = db.example.com {'aB3' * 28}Zz")]
+    got = {r["doc_id"]: r["n_linked"] for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1}

@@ -3,8 +3,8 @@
 A credential often comes in parts: an access identifier, a secret, an endpoint. Weak candidates (a short or oddly named
 secret, a mixed token of 20 characters) say little alone; they are reported, as kind `linked`, only when an identifier
 and an endpoint lie within SCOPE code points. Parts of one text are interval-joined: each weak candidate looks into the
-buckets of SCOPE code points that its scope touches and the join keeps those within reach. Only texts with all three
-kinds of part send any, and a semi join emits no pairs.
+buckets of SCOPE code points that its scope touches, a part lies in each bucket from its start to its end, and the join
+keeps those within reach. Only texts with all three kinds of part send any, and a semi join emits no pairs.
 
 Defined cases: null is empty; empty has no spans; repeated rows each have their own result; rows without an id are kept.
 """
@@ -27,7 +27,7 @@ KINDS = {
 }
 PARTS = {
     "identifier": r"""AKIA[A-Z0-9]{4,}+|(?i:\b(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}+""",
-    "weak": r"""(?i:\b(?:password|passwd|passphrase|pwd|pass|secret(?:_?key)?|token|api_?key|auth|credential))["']?\x20*[:=]\x20*["']?[^\s"',;]{4,}+|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[0-9A-Z+/_-]{0,40}[a-z])[A-Za-z0-9+/_-]{20,64}+(?![A-Za-z0-9+/_-])""",
+    "weak": r"""(?i:\b(?:password|passwd|passphrase|pwd|pass|secret(?:_?key)?|token|api_?key|auth|credential))["']?\x20*[:=]\x20*["']?[^\s"',;]{4,}+|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9A-Z+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+(?![A-Za-z0-9+/_-])""",
     "endpoint": r"""(?i:https?|jdbc:[a-z]++|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|ssh)://[^\s"'<>]++|(?i:\b(?:host|endpoint|server|url|region|bucket))["']?\x20*[:=]\x20*["']?[^\s"',;]{3,}+""",
 }
 SCOPE = 300
@@ -55,7 +55,8 @@ def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     weak = whole.select("doc_id", "row", F.explode(unseen).alias("x")).select("doc_id", "row", "x.s", "x.e")
     weak = weak.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("s") - scope) / scope), F.floor((F.col("e") + scope) / scope))))
     for part in ("identifier", "endpoint"):
-        there = whole.select(F.col("row").alias("_row"), F.explode(part).alias("x")).select("_row", F.col("x.s").alias("_s"), F.col("x.e").alias("_e"), F.floor(F.col("x.s") / scope).alias("_bucket"))
+        there = whole.select(F.col("row").alias("_row"), F.explode(part).alias("x")).select("_row", F.col("x.s").alias("_s"), F.col("x.e").alias("_e"))
+        there = there.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_s") / scope), F.floor(F.col("_e") / scope))))
         near = (F.col("_s") - F.col("e") <= scope) & (F.col("s") - F.col("_e") <= scope) & ((F.col("_e") <= F.col("s")) | (F.col("_s") >= F.col("e")))
         held = weak.join(there, (weak["row"] == there["_row"]) & (weak["bucket"] == there["_bucket"]) & near, "left_semi").select("doc_id", "row", "s", "e").distinct()
         weak = held.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("s") - scope) / scope), F.floor((F.col("e") + scope) / scope))))
