@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from itertools import accumulate
 
 import pytest
 
@@ -86,6 +87,84 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[60]["n_context"] == got[61]["n_context"] == got[50]["n_context"] == 0
 
 
+def bootstrap(rows):
+    """The tokens that the rounds find, by brute force over plain one-space texts without base spans beside seeds."""
+    clean = lambda w: re.sub(r"[^\w]", "", w.lower()) or None
+    shape = lambda v: re.sub(r"[^\W\d_]+", "a", re.sub("[0-9]+", "9", v))
+    tokens = []
+    for i, t in rows:
+        w, at = t.split(" "), 0
+        ids = [any(c in "0123456789@" for c in x) for x in w]
+        for k, x in enumerate(w):
+            if ids[k]:
+                v, seed = x.strip("._%:/#'-+"), any(good(kind, m) for kind, p in PII.items() for m in re.finditer(p, x))
+                left = clean(w[k - 1]) if k and not ids[k - 1] else None
+                two = f"{clean(w[k - 2])} {left}" if left and k > 1 and not ids[k - 2] else None
+                right = clean(w[k + 1]) if k + 1 < len(w) and not ids[k + 1] else None
+                sides = {("l", left) if left else None, ("ll", two) if two else None, ("r", right) if right else None, ("b", left, right) if left and right else None, ("s", left, shape(v)) if left else None} - {None}
+                tokens.append((i, at, at + len(v), v.lower(), sides, seed))
+            at += len(x) + 1
+    instances = {p: {t[3] for t in tokens if p in t[4]} for t in tokens for p in t[4]}
+    own = {v: max(t[5] for t in tokens if t[3] == v) for v in {t[3] for t in tokens}}
+    trust, accepted = {v: float(x) for v, x in own.items()}, {}
+    while True:
+        fresh = {}
+        for p, seen in instances.items():
+            confidence = sum(trust[v] for v in seen) / (len(seen) + 1)
+            if p not in accepted and sum(trust[v] >= pii.LEAST_CONFIDENCE for v in seen) >= pii.LEAST_INSTANCES and confidence >= pii.LEAST_CONFIDENCE:
+                fresh[p] = confidence
+        if not fresh:
+            break
+        accepted |= fresh
+        for v in trust:
+            miss = 1.0
+            for p in {p for t in tokens if t[3] == v for p in t[4] if p in accepted}:
+                miss *= 1 - min(accepted[p], 0.999)
+            trust[v] = max(float(own[v]), 1 - miss)
+    return {(t[0], t[1], t[2]) for t in tokens if t[4] & accepted.keys() and not t[5]}, len(accepted)
+
+
+def test_rounds_against_brute_force(spark):
+    rng, rows = random.Random(3), []
+    words = ["the", "box", "of", "and", "near", "with"]
+    cards = [f"411111111111{n:04d}" for n in range(2000) if luhn(f"411111111111{n:04d}")]
+    say = lambda *mid: " ".join([*rng.choices(words, k=rng.randint(2, 5)), *mid, *rng.choices(words, k=rng.randint(2, 5))])
+    new = [f"ZX-{n}" for n in range(40)]
+    rows += [(i, say("card", "number", c, "please")) for i, c in enumerate(cards[:80])]  # known: "card number" is learnt
+    rows += [(100 + i, say("card", "number", v, "please")) for i, v in enumerate(new[:12])]  # another shape, first round
+    rows += [(200 + i, say("member", "ref", v)) for i, v in enumerate(new[:12] * 2)]  # the same values elsewhere
+    rows += [(300, say("member", "ref", "QQ/77.1"))]  # found only through the second round
+    rows += [(400 + i, say(str(rng.randint(1, 500)))) for i in range(200)] + [(700, say("number", "12")), (701, say("mail", "x@y.org", "7"))]
+    want, n = bootstrap(rows)
+    assert {d for d, _, _ in want} >= {100, 103, 200, 300} and n > 4
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {(r["doc_id"], *map(int, s.split(":")[1:])) for r in pii.personal_data(df).collect() for s in r["spans"].split(",") if s.startswith("context")}
+    assert got == want
+    once = {r["doc_id"] for r in pii.personal_data(df, rounds=1).filter("n_context > 0").collect()}
+    assert 100 in once and 300 not in once
+
+
+def test_long_texts_in_linear_time(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from townlens.llm.spans import running
+
+    took = []
+    for n in (100_000, 400_000):
+        df = spark.range(1).select(F.lit(1).alias("doc_id"), F.repeat(F.lit("user 12345 at 10.1.2.3 or +1 (017) 555-7713, "), n // 4).alias("text")).repartition(1)
+        began = time.time()
+        r = pii.personal_data(df).select("n_ip", "n_phone", "n_context").first()
+        assert (r["n_ip"], r["n_phone"]) == (n // 4, n // 4)
+        assert secret_scan.secrets(df).first()["n_hex"] == 0
+        took.append(time.time() - began)
+    assert took[1] < 4 * took[0] + 30
+    for n in (0, 1, 255, 256, 257, 70_000):
+        got = spark.range(1).select(running(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: i % 7)).alias("r")).first()["r"]
+        assert got == list(accumulate(i % 7 for i in range(n + 1)))
+
+
 def test_linking_needs_all_parts_in_scope(spark):
     far = " " * 400
     rows = [
@@ -111,3 +190,22 @@ def test_linking_beside_long_parts_and_long_keys(spark):
     rows = [(1, f"user = bob {' ' * 400} {url} pass = hunter2"), (2, f"{url} pass = hunter2 user = bob"), (3, f"user = bob host = db.example.com {'aB3' * 28}Zz")]
     got = {r["doc_id"]: r["n_linked"] for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 0, 2: 1, 3: 1}
+
+
+def test_linking_against_brute_force(spark):
+    rng = random.Random(9)
+    kinds = {"identifier": ["user = bob", "AKIA12345", "ann@corp.org", "client_id: c-77"], "weak": ["pass = hunter2", "pwd: xyzzy", "Ab3defghijklmnopqrstu"], "endpoint": ["https://h.example.com/x", "host = db1", "10.2.3.4:5432"], "": ["word", "of text, and", "\n"]}
+    rows, want = [], {}
+    for i in range(150):
+        text, parts = "", {k: [] for k in kinds}
+        for _ in range(rng.randint(3, 14)):
+            kind = rng.choice([*kinds, "", ""])
+            said = rng.choice(kinds[kind])
+            text += " " * rng.choice([1, 2, 90, 200])
+            parts[kind].append((len(text), len(text) + len(said.split(":")[0] if said.startswith("10.") else said)))
+            text += said
+        near = lambda w, p: p[0] - w[1] <= 300 and w[0] - p[1] <= 300
+        want[i] = [f"linked:{w[0]}:{w[1]}" for w in parts["weak"] if any(near(w, p) for p in parts["identifier"]) and any(near(w, p) for p in parts["endpoint"])]
+        rows.append((i, text))
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("linked")] for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want and sum(map(len, want.values())) > 40 and not all(want.values())

@@ -2,11 +2,13 @@
 
 A credential often comes in parts: an access identifier, a secret, an endpoint. Weak candidates (a short or oddly named
 secret, a mixed token of 20 characters) say little alone; they are reported, as kind `linked`, only when an identifier
-and an endpoint lie within SCOPE code points. Parts of one text are interval-joined: each weak candidate looks into the
+(an access key id, a user or account, a mail address) and an endpoint (an address with a scheme, a host, an IP address)
+lie within SCOPE code points. Parts of one text are interval-joined: each weak candidate looks into the
 buckets of SCOPE code points that its scope touches, a part lies in each bucket from its start to its end, and the join
 keeps those within reach. Only texts with all three kinds of part send any, and a semi join emits no pairs.
 
-Defined cases: null is empty; empty has no spans; repeated rows each have their own result; rows without an id are kept.
+Defined cases: null is empty; empty has no spans; repeated rows each have their own result; rows without an id are kept;
+a candidate that holds a base secret is reported as that alone; columns of other names, whatever they are, are not read.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ KINDS = {
     "hex": r"(?<![0-9a-f])[0-9a-f]{16,}+",
 }
 PARTS = {
-    "identifier": r"""AKIA[A-Z0-9]{4,}+|(?i:\b(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}+""",
+    "identifier": r"""AKIA[A-Z0-9]{4,}+|(?i:\b(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}+|(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++""",
     "weak": r"""(?i:\b(?:password|passwd|passphrase|pwd|pass|secret(?:_?key)?|token|api_?key|auth|credential))["']?\x20*[:=]\x20*["']?[^\s"',;]{4,}+|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9A-Z+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+(?![A-Za-z0-9+/_-])""",
-    "endpoint": r"""(?i:https?|jdbc:[a-z]++|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|ssh)://[^\s"'<>]++|(?i:\b(?:host|endpoint|server|url|region|bucket))["']?\x20*[:=]\x20*["']?[^\s"',;]{3,}+""",
+    "endpoint": r"""(?i:https?|jdbc:[a-z]++|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|ssh)://[^\s"'<>]++|(?i:\b(?:host|endpoint|server|url|region|bucket))["']?\x20*[:=]\x20*["']?[^\s"',;]{3,}+|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}+(?![0-9.])""",
 }
 SCOPE = 300
 
@@ -44,15 +46,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     df = df.select("doc_id", "text", *[spans(F.col("text"), p, F.col(f"m_{k}")).alias(k) for k, p in (KINDS | PARTS).items()])
     strong = F.filter("assign", lambda x: F.length(F.regexp_extract(x["v"], ASSIGN, 2)) >= 12)
     places = lambda c: F.transform(c, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    own = F.filter("weak", lambda x: ~x["v"].rlike(f"{KINDS['access']}|{KINDS['hex']}") & (F.length(F.regexp_extract(x["v"], ASSIGN, 2)) < 12))
+    df = df.withColumn("weak", own)
     return df.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), places(strong).alias("assign"), *[places(k).alias(k) for k in ("access", "hex", *PARTS)])
 
 
 def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(doc_id, row, s, e): weak candidates that have an identifier and an endpoint within scope."""
     whole = scanned.filter((F.size("weak") > 0) & (F.size("identifier") > 0) & (F.size("endpoint") > 0))
-    base = F.concat("assign", "access", "hex")
-    unseen = F.filter("weak", lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
-    weak = whole.select("doc_id", "row", F.explode(unseen).alias("x")).select("doc_id", "row", "x.s", "x.e")
+    weak = whole.select("doc_id", "row", F.explode("weak").alias("x")).select("doc_id", "row", "x.s", "x.e")
     weak = weak.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("s") - scope) / scope), F.floor((F.col("e") + scope) / scope))))
     for part in ("identifier", "endpoint"):
         there = whole.select(F.col("row").alias("_row"), F.explode(part).alias("x")).select("_row", F.col("x.s").alias("_s"), F.col("x.e").alias("_e"))
