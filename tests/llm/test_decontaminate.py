@@ -73,7 +73,7 @@ def test_only_contaminated_documents_go(tables):
 
 def test_broadcast_and_shuffle_agree(tables, monkeypatch):
     one = sorted(map(tuple, d.contaminated(*tables).collect()), key=str)
-    monkeypatch.setattr(d, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(d, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, d.contaminated(*tables).collect()), key=str) == one
 
 
@@ -108,3 +108,34 @@ def test_insertions_partial_copies_and_second_copies(spark):
     got = {(r["doc_id"], r["item_id"]): (r["matched"], r["windows"]) for r in d.contaminated(docs, items).filter("consistent").collect()}
     assert got[0, 1] == (45, 52) and got[1, 1] == (44, 52)
     assert set(got) == {(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)} and got[4, 3][0] == got[4, 3][1]
+
+
+def test_repeated_ids_and_numbers_alone(spark):
+    one, two, numbers = prose(30), prose(30), "3 1 4 1 5 9 2 6 5 3 5 8"
+    items = spark.createDataFrame([(1, one), (1, two), (1, two), (2, numbers), (None, prose(20))], "item_id long, text string")
+    rows = [(10, f"x {one}"), (10, f"y {two}"), (11, two), (11, "nothing here"), (12, f"the digits {numbers} end"), (13, "7 8 9 7 6 5 4 3 2 1 0 11 12 13 14 15"), (14, "0 " * 20_000), (None, two), (None, two)]
+    df = spark.createDataFrame([(i, t, 1, "h") for i, t in rows], "doc_id long, text string, row int, hash string")
+    got = sorted(((r["doc_id"], r["item_id"]) for r in d.contaminated(df, items).filter("consistent").collect()), key=str)
+    assert got == [(10, 1), (11, 1), (12, 2), (None, 1)]
+    assert sorted(r["doc_id"] or 0 for r in d.decontaminate(df, items).collect()) == [0, 0, 13, 14]
+
+
+def test_canonical_words_and_values_in_step(spark):
+    pieces = ["#", "##", "5", "3.5", "1/2", "12:30", "kg", "m", "Anna", "Mary", "Ann", "Lee-Ann", "AnnB", "word", "and,", "—", "½", " ", " ", "\n", "x2", "5kg", "\ue000n", "\ue001", "é", "_", ".5", "a.b", "it's", "  "]
+    r = random.Random(5)
+    rows = [(" ".join(r.choices(pieces, k=30)),) for _ in range(300)]
+    got = spark.createDataFrame(rows, "text string").select("text", d.marked_text(d.F.col("text")).alias("m")).select("text", d.words(d.F.col("m")).alias("v"), d.words(d.canonical(d.F.col("m"))).alias("c")).collect()
+    for x in got:
+        assert len(x["v"]) == len(x["c"]) and "" not in x["v"] and "" not in x["c"], x
+        for v, c in zip(x["v"], x["c"]):
+            assert re.sub("\ue000([nup])[^\ue001]*\ue001", r"\ue000\1".replace(r"\ue000", "\ue000"), v) == c
+
+
+def test_windows_many_items_share(spark):
+    """A beginning that all items share brings no pairs of its own; what an item adds to it decides."""
+    start = prose(12)
+    items = [(i, f"{start} {prose(14)}") for i in range(60)]
+    rows = [(i, f"{prose(5)} {t} {prose(5)}") for i, t in items[:20]] + [(100 + i, f"{start} {prose(60)}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in d.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(rows, items) and got >= {(i, i) for i in range(20)}

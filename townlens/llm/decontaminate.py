@@ -1,18 +1,25 @@
 """Benchmark decontamination over template-canonical windows, in DataFrame operations only.
 
 Words are made comparable by case and edge punctuation, and the parts of a question that a rewrite changes become typed
-placeholders: numbers #n, units behind a number #u, names (capitalised words inside a sentence) #p. Hashes of all
-windows of the documents meet those of the benchmark items in a hash join; a document is contaminated by an item when
-enough of the item's windows meet on one alignment and the placeholders of these windows are filled consistently, i.e.
-one value of the item always became one value of the document and no two became the same. An alignment is a place of the
-document with every window that meets within the item's length of it, each at the nearest such place: words put in or
-left out shift the rest without ending it. Every alignment with enough windows is judged.
-
-The item side is broadcast while its measured number of windows is under BROADCAST_WINDOWS; beyond, the join shuffles.
-Items shorter than the window make one window of their own length.
-
-Defined cases: null texts are empty; items without a word meet nothing; repeated items each report; documents with
-equal ids are judged row by row and reported once an item; an empty benchmark reports nothing.
+placeholders: numbers, units behind a number, and names (capitalised words inside a sentence; a name of several words is
+one). A placeholder is written into the text with its value behind it, so that one split gives the canonical words and
+the values in step. Windows of WINDOW canonical words (shorter items: one window of all their words) are hashed; a window
+of placeholders alone says nothing and is left out, and an item that has no other windows is compared as it is written.
+
+A document is contaminated by an item when at least LEAST_SHARE of the item's distinct windows meet on one alignment and
+the placeholders of these windows are filled consistently, i.e. one value of the item always became one value of the
+document and no two became the same. An alignment is a place of the document with every window that meets within the
+item's length of it, each at the nearest such place: words put in or left out shift the rest without ending it. Every
+alignment with enough windows is judged.
+
+Candidates come from a hash join of the documents' windows with the rarest windows of each item, so many that a document
+which meets a share of LEAST_SHARE must meet one of them; a window that many items share is so rarely among them. Only
+pairs (text, item) leave that join; places are looked up for these alone. The item side is broadcast while its measured
+size is under BROADCAST_BYTES, beyond, the join shuffles.
+
+Defined cases: null texts are empty; items without a word meet nothing; rows that share an item_id are judged each by its
+own text and reported once, by the best of them; so are documents that share a doc_id; equal texts are judged once;
+an empty benchmark reports nothing; columns of other names, whatever they are, are not read.
 """
 
 from __future__ import annotations
@@ -23,101 +30,153 @@ from pyspark.sql import functions as F
 from townlens.llm.common import narrow, written
 
 WINDOW, LEAST_SHARE = 8, 0.5
-BROADCAST_WINDOWS = 200_000
+BROADCAST_BYTES = 16 << 20
 #: Units that count as such behind a number.
 UNITS = "kg|g|mg|km|m|cm|mm|miles?|feet|ft|inch(?:es)?|l|ml|litres?|liters?|seconds?|s|minutes?|min|hours?|h|days?|weeks?|months?|years?|percent|dollars?|euros?|cents?|degrees?"
-EDGE = r"[^\p{L}\p{N}#\s\p{Z}]+"
+#: Signs of private use: a placeholder begins (its type follows), its value ends, words of one name are joined.
+BEGIN, END, JOIN = "\ue000", "\ue001", "\ue002"
+OWN = f"[{BEGIN}-{JOIN}]"
+#: Signs that are no part of a word; points and the like stay between digits.
+EDGE = rf"[^\p{{L}}\p{{N}}{BEGIN}-{JOIN}\s\p{{Z}}.,:/]++|[.,:/](?![0-9])|(?<![0-9])[.,:/]"
 #: Where a capitalised word counts as a name, and the word.
 INSIDE, NAME = r"(?<=[\p{Ll}\p{N}][,;:]?[ \t])", r"\p{Lu}\p{Ll}+"
+NO_MORE = r"(?![\p{L}\p{N}])"
+SPACE = r"[\s\p{Z}]+"
 
 
-def raw_words(text: Column) -> Column:
-    """The words as written, names of several words joined; one for each canonical word."""
-    joined = F.regexp_replace(text, rf"{INSIDE}({NAME})[ \t](?={NAME}(?![\p{{L}}\p{{N}}]))", "$1_")
-    return F.filter(F.split(joined, r"[\s\p{Z}]+"), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+def marked_text(text: Column) -> Column:
+    """Lower-case words, one space between them, with placeholders and their values written in."""
+    t = F.when(text.rlike(OWN), F.regexp_replace(text, OWN, "")).otherwise(text)
+    joined = F.regexp_replace(t, rf"{INSIDE}({NAME})[ \t](?={NAME}{NO_MORE})", f"$1{JOIN}")
+    t = F.regexp_replace(joined, rf"{INSIDE}{NAME}(?:{JOIN}{NAME})*{NO_MORE}", f"{BEGIN}p$0{END}")
+    units = F.regexp_replace(t, rf"(?<=[0-9][ \t])(?i:{UNITS}){NO_MORE}", f"{BEGIN}u$0{END}")
+    t = F.when(t.rlike("[0-9]"), F.regexp_replace(units, r"[0-9]+(?:[.,:/][0-9]+)*", f"{BEGIN}n$0{END}")).otherwise(t)
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(t), EDGE, ""), SPACE, " "))
 
 
-def canonical_text(text: Column) -> Column:
-    """Placeholders are put in before case is dropped; a name of several words is one, nothing else joins or splits words."""
-    t = F.regexp_replace(text, rf"{INSIDE}{NAME}(?:[ \t]{NAME})*(?![\p{{L}}\p{{N}}])", "#p")
-    t = F.when(t.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(t, rf"(?<=[0-9][ \t])(?i:{UNITS})(?![\p{{L}}\p{{N}}])", "#u"), r"[0-9]+(?:[.,:/][0-9]+)*", "#n")).otherwise(t)
-    return F.lower(t)
+def canonical(marked: Column) -> Column:
+    """The same words without the values."""
+    return F.when(marked.contains(BEGIN), F.regexp_replace(marked, rf"{BEGIN}([nup])[^{END}\s]*+{END}", f"{BEGIN}$1")).otherwise(marked)
 
 
-def words(text: Column) -> Column:
-    """Canonical words in order: of the same tokens as raw_words, those with a letter or digit, so that places agree."""
-    bare = F.regexp_replace(canonical_text(text), EDGE, "")
-    return F.filter(F.split(F.trim(bare), r"[\s\p{Z}]+"), lambda w: (w != "") & (~w.startswith("#") | w.rlike(r"[\p{L}\p{N}]")))
+def words(joined: Column) -> Column:
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " "))
 
 
-def windows(df: DataFrame, keys: list[str], size: int, name: str) -> DataFrame:
-    """(keys, name, hash): the hash of each window of the array column w, and its place."""
-    n = F.size("w") - F.lit(size - 1)
-    parts = [F.slice("w", k + 1, n).alias(f"w{k}") for k in range(size)]
-    rows = df.filter(F.size("w") >= size).select(*keys, F.posexplode(F.arrays_zip(*parts)).alias(name, "x"))
-    return rows.select(*keys, name, F.xxhash64(F.lit(size), *[F.col(f"x.w{k}") for k in range(size)]).alias("hash"))
+def _codes(w: Column, as_written: bool) -> Column:
+    """A number for each word; odd where it holds a placeholder that is compared as such."""
+    code = lambda x: F.xxhash64(x).bitwiseAND(F.lit(-2))
+    return F.transform(w, code if as_written else lambda x: code(x) + x.contains(BEGIN).cast("long"))
 
 
-def item_windows(benchmark: DataFrame, window: int, item_col: str, text: str) -> DataFrame:
-    items = narrow(benchmark, item_col, text).select(F.col("doc_id").alias("item_id"), words(F.col("text")).alias("w"), raw_words(F.col("text")).alias("raw"))
-    return items.withColumn("size", F.least(F.size("w"), F.lit(window))).filter("size > 0")
+def windows(df: DataFrame, keys: list[str], sizes: list[int], at: str) -> DataFrame:
+    """(keys, at, hash): the hash of each window of the array column w (of codes), and its place; one pass for all sizes."""
+    top = max(sizes)
+    parts = [F.slice("w", k + 1, F.size("w")).alias(f"w{k}") for k in range(top)]
+    rows = df.filter(F.size("w") >= min(sizes)).select(*keys, F.posexplode(F.arrays_zip(*parts)).alias(at, "x"))
+    whole = lambda n: F.col(f"x.w{n - 1}").isNotNull()
+
+    def hashed(n: int) -> Column:
+        cells = [F.col(f"x.w{k}") for k in range(n)]
+        told = cells[0]
+        for c in cells[1:]:
+            told = told.bitwiseAND(c)
+        return F.when(whole(n) & (told.bitwiseAND(F.lit(1)) == 0), F.xxhash64(F.lit(n), *cells))
+
+    if len(sizes) == 1:
+        return rows.select(*keys, at, hashed(top).alias("hash")).filter("hash is not null")
+    return rows.select(*keys, at, F.explode(F.array(*[hashed(n) for n in sizes])).alias("hash")).filter("hash is not null")
+
+
+def read_items(benchmark: DataFrame, window: int, item_col: str, text: str) -> DataFrame:
+    """(item, item_id, size, marked, plain): a key for each distinct row, its window size, and its texts."""
+    items = narrow(benchmark, item_col, text).select(F.col("doc_id").alias("item_id"), "text")
+    items = items.withColumn("item", F.xxhash64(F.col("item_id").cast("string"), "text")).dropDuplicates(["item"])
+    items = items.withColumn("marked", marked_text(F.col("text"))).withColumn("plain", canonical(F.col("marked")))
+    return items.withColumn("size", F.least(F.size(words(F.col("plain"))), F.lit(window))).filter("size > 0").drop("text")
+
+
+def item_windows(items: DataFrame, as_written: bool) -> DataFrame:
+    """(item, hash, q, windows, reach): the distinct windows of each item, the first place of each."""
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most `window` numbers
+    text = F.col("marked" if as_written else "plain")
+    source = items.select("item", "size", _codes(words(text), as_written).alias("w"))
+    out = None
+    for n in sizes:
+        some = windows(source.filter(F.col("size") == n), ["item"], [n], "q")
+        out = some if out is None else out.unionByName(some)
+    first = out.groupBy("item", "hash").agg(F.min("q").alias("q"))
+    return first.join(first.groupBy("item").agg(F.count("*").alias("windows")), "item").join(source.select("item", F.size("w").alias("reach")), "item")
+
+
+def _small(df: DataFrame, width: int) -> DataFrame:
+    """A hint to broadcast df if its rows, of width bytes, are few enough."""
+    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df
+
+
+def _meet(texts: DataFrame, items: DataFrame, known: DataFrame, least_share: float, as_written: bool) -> DataFrame:
+    """(row, item, matched, windows, slots, consistent) of each text (row, text) and item, the best of their alignments."""
+    sizes = sorted(r["size"] for r in items.join(known.select("item").distinct(), "item", "left_semi").select("size").distinct().collect())
+    marked = marked_text(F.col("text"))
+    coded = texts.select("row", (marked if as_written else canonical(marked)).alias("joined")).select("row", _codes(words(F.col("joined")), as_written).alias("w"))
+
+    # any share of LEAST_SHARE of n windows holds one of the n - need + 1 rarest
+    need = F.ceil(F.col("windows") * least_share)
+    common = known.groupBy("hash").agg(F.count("*").alias("items"))
+    order = F.sort_array(F.collect_list(F.struct("items", "hash")))
+    rarest = known.join(common, "hash").groupBy("item").agg(order.alias("h"), F.first("windows").alias("windows")).select("item", F.explode(F.slice("h", F.lit(1), (F.col("windows") - need + 1).cast("int"))).alias("h"))
+    probes = written(rarest.select("item", F.col("h.hash").alias("hash")), "probes")
+    pairs = written(windows(coded, ["row"], sizes, "p").join(_small(probes, 40), "hash").select("row", "item").distinct(), "pairs")
+
+    mine = texts.join(pairs.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"]).select("row", marked.alias("marked"))
+    mine = written(mine.withColumn("plain", F.col("marked") if as_written else canonical(F.col("marked"))), "asked")
+    placed = windows(mine.select("row", _codes(words(F.col("plain")), as_written).alias("w")), ["row"], sizes, "p")
+    wanted = pairs.join(known, "item")
+    hits = wanted.join(placed, ["row", "hash"]).select("row", "item", "q", "p", "windows", "reach", (F.col("p") - F.col("q")).alias("shift"))
+    enough = lambda n: n >= F.ceil(F.col("windows") * least_share)
+    full = hits.groupBy("row", "item").agg(F.count_distinct("q").alias("n"), F.first("windows").alias("windows")).filter(enough(F.col("n"))).select("row", "item")
+    hits = written(hits.join(full, ["row", "item"], "left_semi"), "hits")
+
+    at = F.floor(F.col("shift") / F.col("reach"))
+    anchors = hits.select("row", "item", F.col("shift").alias("at"), at.alias("k")).distinct().select("row", "item", "at", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("bucket"))
+    off = F.abs(F.col("shift") - F.col("at"))
+    near = hits.withColumn("bucket", at).join(anchors, ["row", "item", "bucket"]).filter(off <= F.col("reach"))
+    ways = near.groupBy("row", "item", "at", "q").agg(F.min_by("p", F.struct(off, "p")).alias("p"), F.first("windows").alias("windows"))
+    sizes_of = ways.groupBy("row", "item", "at").agg(F.count("*").alias("matched"), F.first("windows").alias("windows")).filter(enough(F.col("matched"))).select("row", "item", "at", "matched")
+    ways = written(ways.join(sizes_of, ["row", "item", "at"]), "ways")
+
+    slot = lambda df, key, place: df.select(key, F.posexplode(F.arrays_zip(words(F.col("plain")).alias("c"), words(F.col("marked")).alias("v"))).alias(place, "x")).select(key, place, "x.c", "x.v")
+    theirs = slot(items.join(known.select("item").distinct(), "item", "left_semi"), "item", "i").filter(F.col("c").contains(BEGIN))
+    values = slot(mine, "row", "d").filter(F.col("c").contains(BEGIN)).select("row", "d", F.col("v").alias("dv"))
+    inner = ways.join(items.select("item", "size"), "item").select("row", "item", "at", F.explode(F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda j: F.struct((F.col("q") + j).alias("i"), (F.col("p") + j).alias("d")))).alias("x")).select("row", "item", "at", "x.i", "x.d").distinct()
+    filled = inner.join(theirs, ["item", "i"]).join(values, ["row", "d"]).select("row", "item", "at", "c", "v", "dv").distinct()
+    judged = filled.groupBy("row", "item", "at").agg((F.count("*") == F.count_distinct("c", "v")).alias("to"), (F.count("*") == F.count_distinct("c", "dv")).alias("fro"))
+    verdict = ways.select("row", "item", "at", "matched", "windows").distinct().join(judged, ["row", "item", "at"], "left")
+    best = verdict.groupBy("row", "item").agg(F.max(F.struct(F.coalesce(F.col("to") & F.col("fro"), F.lit(True)).alias("consistent"), "matched")).alias("best"), F.first("windows").alias("windows"))
+    slots = theirs.groupBy("item").agg(F.count("*").cast("int").alias("slots"))
+    return best.join(slots, "item", "left").select("row", "item", "best.matched", F.col("windows").cast("int").alias("windows"), F.coalesce("slots", F.lit(0)).alias("slots"), "best.consistent")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, matched, windows, share, slots, consistent) of each document and item that meet."""
-    items = written(item_windows(benchmark, window, item_col, text), "items")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most `window` numbers
+    items = written(read_items(benchmark, window, item_col, text), "items")
     source = narrow(docs, id_col, text).withColumn("row", F.xxhash64("text"))
-    hashed = source.select("doc_id", "row", words(F.col("text")).alias("w"))
-    hits = None
-    for size in sizes:
-        mine = windows(items.filter(F.col("size") == size), ["item_id"], size, "q").dropDuplicates(["item_id", "q"])
-        theirs = windows(hashed, ["doc_id", "row"], size, "p")
-        small = items.filter(F.col("size") == size).agg(F.sum(F.size("w"))).first()[0] <= BROADCAST_WINDOWS
-        met = theirs.join(F.broadcast(mine) if small else mine, "hash").select("doc_id", "row", "item_id", "p", "q")
-        hits = met if hits is None else hits.unionByName(met)
     kinds = source.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    if hits is None:
+    found = None
+    if not items.isEmpty():
+        known = written(item_windows(items, False), "windows")
+        # items of placeholders alone
+        bare = written(items.join(known.select("item").distinct(), "item", "left_anti"), "bare")
+        found = _meet(source, items, known, least_share, False)
+        if not bare.isEmpty():
+            found = found.unionByName(_meet(source, bare, written(item_windows(bare, True), "windows"), least_share, True))
+    if found is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, matched long, windows int, share double, slots int, consistent boolean")
-    facts = items.select("item_id", "size", (F.size("w") - F.col("size") + 1).alias("windows"), F.size(F.filter("w", lambda x: x.contains("#"))).alias("slots"), F.col("w").alias("iw"), F.col("raw").alias("iraw")).dropDuplicates(["item_id"])
-    enough = lambda n: n / F.col("windows").cast("double") >= least_share
-    pairs = hits.groupBy("row", "item_id").agg(F.collect_set("doc_id").alias("ids"), F.max(F.col("doc_id").isNull()).alias("unnamed"), F.collect_set(F.struct("p", "q")).alias("hits"))
-    pairs = pairs.join(facts.select("item_id", "windows", F.size("iw").alias("reach")), "item_id")
-    pairs = written(pairs.filter(enough(F.size(F.array_distinct("hits.q")))), "met")
-
-    placed = pairs.select("row", "item_id", "windows", "reach", F.explode("hits").alias("h")).select("row", "item_id", "windows", "reach", "h.p", "h.q", (F.col("h.p") - F.col("h.q")).alias("shift"))
-    bucket = F.floor(F.col("shift") / F.col("reach"))
-    anchors = placed.select("row", "item_id", "reach", F.col("shift").alias("at")).distinct().select("row", "item_id", "at", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: k + F.floor(F.col("at") / F.col("reach")))).alias("bucket"))
-    off = F.abs(F.col("shift") - F.col("at"))
-    near = placed.withColumn("bucket", bucket).join(anchors, ["row", "item_id", "bucket"]).filter(off <= F.col("reach"))
-    chosen = near.groupBy("row", "item_id", "windows", "at", "q").agg(F.min_by("p", F.struct(off, "p")).alias("p"))
-    aligned = chosen.groupBy("row", "item_id", "windows", "at").agg(F.count("*").alias("matched"), F.sort_array(F.collect_list(F.struct("q", "p"))).alias("hits")).filter(enough(F.col("matched")))
-    # copies of one alignment, seen from each of its shifts, are one
-    found = aligned.groupBy("row", "item_id").agg(F.collect_set(F.struct("matched", "hits")).alias("ways"))
-
-    asked = found.select("row").distinct()
-    texts = source.join(asked, "row", "left_semi").dropDuplicates(["row"]).select("row", raw_words(F.col("text")).alias("raw"))
-    whole = found.join(texts, "row").join(facts, "item_id")
-
-    def filled(way: Column) -> Column:
-        """The distinct slots (canonical word, the item's word, the document's word) of the windows that met."""
-        at = lambda c, k: F.lower(F.try_element_at(c, (k + 1).cast("int")))
-        words_of = lambda h: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda j: F.struct((h["q"] + j).alias("i"), (h["p"] + j).alias("d")))
-        places = F.array_distinct(F.flatten(F.transform(way["hits"], words_of)))
-        slots = F.transform(places, lambda x: F.struct(F.try_element_at("iw", (x["i"] + 1).cast("int")).alias("c"), at("iraw", x["i"]).alias("i"), at("raw", x["d"]).alias("d")))
-        return F.array_distinct(F.filter(slots, lambda x: x["c"].contains("#")))
-
-    def one_to_one(s: Column) -> Column:
-        distinct = lambda f: F.size(F.array_distinct(F.transform(s, f)))
-        both = F.size(s)
-        return (both == distinct(lambda x: F.struct(x["c"], x["i"]))) & (both == distinct(lambda x: F.struct(x["c"], x["d"])))
-
-    slotted = whole.withColumn("slotted", F.transform("ways", lambda w: F.struct(w["matched"].alias("matched"), filled(w).alias("s"))))
-    judged = slotted.withColumn("best", F.array_max(F.transform("slotted", lambda w: F.struct(one_to_one(w["s"]).alias("consistent"), w["matched"].alias("matched")))))
-    verdict = judged.select("row", "item_id", "windows", "slots", "best")
-    named = pairs.select("row", "item_id", F.explode(F.when(F.col("unnamed"), F.concat("ids", F.array(F.lit(None).cast(kinds[0])))).otherwise(F.col("ids"))).alias("doc_id"))
-    out = named.join(verdict, ["row", "item_id"]).groupBy("doc_id", "item_id", "windows", "slots").agg(F.max("best").alias("best"))
-    return out.select("doc_id", "item_id", F.col("best.matched").alias("matched"), "windows", (F.col("best.matched") / F.col("windows").cast("double")).alias("share"), "slots", F.col("best.consistent").alias("consistent"))
+    found = written(found.join(items.select("item", "item_id"), "item"), "found")
+    named = source.select("doc_id", "row").join(_small(found, 128), "row")
+    share = (F.col("matched") / F.col("windows").cast("double")).alias("share")
+    best = named.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", share, "matched", "windows", "slots")).alias("best"))
+    return best.select("doc_id", "item_id", *[f"best.{c}" for c in ("matched", "windows", "share", "slots", "consistent")])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
