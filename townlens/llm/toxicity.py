@@ -10,9 +10,9 @@ The classifier is fitted on a bounded sample of labelled rows (max_train, by has
 smaller of the labelled documents and the distinct neighbour pairs it occurs in, so copies of one document do not make
 its words look telling; words need a likelihood ratio above G2_MIN and a precision of one half.
 
-Restoring every suspicious token costs a Viterbi pass for each; scoring only asks whether a token can be read as a word
-of the lexicon, so it decodes the tokens that a pattern of the lexicon's possible spellings admits: no other reading
-could be a lexicon word, and the scores are those of the fully restored text.
+The score of a text is that of its restored text, restore(text, bits, lexicon). Every token that hides something, and every
+run of spaced-out letters, is decoded whole, however long, and once a worker; a token that cannot be read as any word of
+the lexicon, by a look that admits every reading the lattice has, adds nothing to the score and is not decoded.
 
 Defined cases: null and empty texts have the score of a document without a telling word; labels that are null are not
 used; repeated labels of one id count once (the highest); no usable label at all gives every document the same score.
@@ -40,7 +40,7 @@ ACCENTS = {"à": "a", "á": "a", "â": "a", "ã": "a", "ä": "a", "å": "a", "ç
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "#": "h", "€": "e", "£": "l", "¡": "i", "v": "u", "*": "abcdefghijklmnopqrstuvwxyz"}
 FOLD = str.maketrans(ACCENTS)
 #: Channel prices in bits.
-LEET_COST, WILD_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, SPLIT_COST = 1.0, 3.0, 1.5, 0.5, 3.0, 4.0
+LEET_COST, WILD_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, SPLIT_COST, PART_COST = 1.0, 3.0, 1.5, 0.5, 3.0, 4.0, 1.6
 G2_MIN, LEAST_EVIDENCE, MAX_LEXICON = 24.0, 4, 2000
 MAX_TRAIN = 20_000
 #: Distinct tokens after which a worker's memo starts anew: bounds its memory, changes no result.
@@ -97,67 +97,95 @@ def char_model(counts: np.ndarray, weight: float = 4.0) -> np.ndarray:
     return -np.log2(lower).astype(np.float32)
 
 
+#: What parts words when written between them; other signs may, at a higher price.
+PARTS = "/\\,;:&=~_…-.?’'\"“”«»"
+
+
 def viterbi(token: str, bits: np.ndarray) -> str:
-    """The cheapest reading of a token: letters, and a space where spaced letters split into words."""
-    token = token.lower().translate(FOLD)
-    states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
-    spaced = " " in token
+    """The cheapest reading of a token: letters (those written keep their accents), and a space where spaced letters or
+    signs part words. A tab stands for a gap of more than one space."""
+    written_as = token.lower()
+    token = written_as.translate(FOLD)
+    states: dict[tuple[int, int, int], tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
+    end = len(token)
+    earlier = before = ""  # the last two characters that are no gaps
     for i, c in enumerate(token):
-        before = token[:i].rstrip(" ")[-1:]
-        run = before == c and token[:i].rstrip(" ")[-2:] == c * 2 or before == c and token[i + 1 : i + 2] == c
-        moves: list[tuple[int, float]] = []  # symbol written (-1: none, -2: a boundary may follow), price
+        moves: list[tuple[int, float, str]] = []  # symbol written (-1: none), price, letter
         if "a" <= c <= "z":
-            moves.append((ord(c) - 96, 0.0))
-            moves += [(ord(x) - 96, LEET_COST + 1) for x in LEET.get(c, "")]
+            moves.append((ord(c) - 96, 0.0, written_as[i]))
+            moves += [(ord(x) - 96, LEET_COST + 1, x) for x in LEET.get(c, "")]
             if before == c:
-                moves.append((-1, REPEAT_COST if run else DOUBLE_COST))
+                run = earlier == c or (i + 1 < end and token[i + 1] == c)
+                moves.append((-1, REPEAT_COST if run else DOUBLE_COST, ""))
         elif c == " ":
-            moves += [(-1, 0.0), (0, SPLIT_COST)]
+            moves += [(-1, 0.0, ""), (0, SPLIT_COST, " ")]
+        elif c == "\t":
+            moves += [(-1, 1.0, ""), (0, 0.5, " ")]
         elif c.isalpha():
-            moves.append((27, 0.0))
+            moves.append((27, 0.0, c))
         else:
-            price = WILD_COST if c == "*" else LEET_COST
-            if c != "*" or "*" not in (token[i - 1 : i], token[i + 1 : i + 2]):
-                moves += [(ord(x) - 96, price) for x in LEET.get(c, "")]
-            moves.append((-1, REPEAT_COST if before == c else DROP_COST))
-        after: dict[tuple[int, int, int], tuple[float, str]] = {}
+            if c == "*":
+                if "*" not in (token[i - 1 : i], token[i + 1 : i + 2]):
+                    moves += [(ord(x) - 96, WILD_COST, x) for x in LEET[c]]
+            else:
+                moves += [(ord(x) - 96, LEET_COST, x) for x in LEET.get(c, "")]
+            moves += [(-1, REPEAT_COST if before == c else DROP_COST, ""), (0, PART_COST if c in PARTS else SPLIT_COST, " ")]
+        after: dict[tuple[int, int, int], tuple[float, tuple | None]] = {}
         for (x, y, z), (cost, out) in states.items():
-            for s, price in moves:
+            for s, price, letter in moves:
                 if s < 0:
-                    key, total, text = (x, y, z), cost + price, out
+                    key, total = (x, y, z), cost + price
                 else:
                     key, total = (y, z, s), cost + price + float(bits[x, y, z, s])
-                    text = out + (" " if s == 0 else c if s == 27 else chr(s + 96))
                 if key not in after or total < after[key][0]:
-                    after[key] = (total, text)
+                    after[key] = (total, (out, letter) if letter else out)
         states = after
-    ends = [(cost + (float(bits[x, y, z, 0]) if z else 0.0), out) for (x, y, z), (cost, out) in states.items()]
-    return min(ends)[1] if spaced or ends else ""
+        if c not in " \t":
+            earlier, before = before, c
+    _, _, back = min((cost + (float(bits[x, y, z, 0]) if z else 0.0), (x, y, z), out) for (x, y, z), (cost, out) in states.items())
+    letters = []
+    while back:
+        back, letter = back
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
-EDGE = ".,;:?\"'’“”«»()[]{}…-_/\\&%^~=`<>"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Letters spaced out, with signs at both ends: by one space, so that wider gaps part words, and by any white space.
-SPACED = re.compile(r"(?<!\S)[^\w\s]*\S(?:[ \t]\S){2,}[^\w\s]*(?!\S)")
-WIDE = re.compile(r"(?<!\S)[^\w\s]*\S(?:\s+\S){2,}[^\w\s]*(?!\S)")
-SPACE = re.compile(r"\s+")
-PARTED = re.compile(r"[/\\,;:&=~_…-]+")
+#: Letters spaced out, with signs at both ends.
+SPACED = re.compile(r"(?<!\S)[^\w\s]*\S(?:\s+\S){2,}[^\w\s]*(?!\S)")
+GAP = re.compile(r"\s+")
 RUN = re.compile(r"(.)\1+", re.S)
+#: Signs that stand for no letter: at the ends of a token they are always dropped, which is the cheapest there.
+_FILLER = r"[^\w\s" + re.escape("".join(LEET)) + r"]|_|(?<=\*)\*|\*(?=\*)"
+ENDS = re.compile(rf"^(?:{_FILLER})+|(?:{_FILLER})+$")
+#: Classes of letters that one sign may stand for, for a first look at what a token can be read as at all.
+CLASS = {"l": "i", "g": "b", "v": "u"}
+LOOK = {x: CLASS.get(x, x) for x in "abcdefghijklmnopqrstuvwxyz"} | {sign: CLASS.get(x[0], x[0]).upper() for sign, x in LEET.items() if not sign.isalpha()} | {"*": "?"}
+#: Tokens whose first look is longer are decoded without it, for the look may then cost more.
+LOOK_LENGTH = 200
+
 
+def gaps(run: str) -> str:
+    return GAP.sub(lambda m: " " if len(m[0]) == 1 else "\t", run)
 
-def suspicious(token: str) -> bool:
-    """Whether a token may hide a word: signs or digits beside letters, or a letter three times in a row."""
-    core = token.strip(EDGE)
-    if not core or not any(c.isalpha() for c in core):
-        return " " in token
-    return not core.isalpha() or re.search(r"(.)\1\1", core) is not None
 
+def plain(token: str, words) -> str | None:
+    """The core of a lower-case token that hides nothing: a known word, or letters of which no two neighbours are alike."""
+    core = ENDS.sub("", token)
+    if core in words or (core.isalpha() and RUN.search(core.translate(FOLD)) is None):
+        return core
+    return None
 
-def restore(text: str, bits: np.ndarray) -> str:
-    """The text with every suspicious token and spaced run replaced by its cheapest reading."""
-    for pattern in (SPACED, WIDE):
-        text = pattern.sub(lambda m: viterbi(SPACE.sub(" ", m[0]), bits), text)
-    return re.sub(r"\S+", lambda m: viterbi(m[0], bits) if suspicious(m[0]) else m[0], text)
+
+def restore(text: str, bits: np.ndarray, words=()) -> str:
+    """The lower-case text with every token and spaced run replaced by its cheapest reading; words: known ones, which
+    are left as they are."""
+    low, out, at = text.lower(), [], 0
+    read = lambda m: core if (core := plain(m[0], words)) is not None else viterbi(m[0], bits)
+    for run in SPACED.finditer(low):
+        out += [re.sub(r"\S+", read, low[at : run.start()]), viterbi(gaps(run[0]), bits)]
+        at = run.end()
+    return "".join([*out, re.sub(r"\S+", read, low[at:])])
 
 
 #: Spellers of this worker by the scoring run, so that a memo serves all tasks of the worker.
@@ -173,52 +201,35 @@ def speller(run: str, lexicon: list[str], bits: np.ndarray) -> Speller:
 
 
 class Speller:
-    """Which words of a lexicon a token is read as."""
+    """Which words of a lexicon a text holds once it is restored. Tokens are decoded whole, each once; those whose
+    letters and signs cannot spell any word of the lexicon need no decoding, for no reading of them counts."""
 
     def __init__(self, lexicon: list[str], bits: np.ndarray) -> None:
-        self.words, self.bits, self.memo = {w: i for i, w in enumerate(lexicon)}, bits, {}
-        back: dict[str, str] = {}
-        for sign, letters in LEET.items():
-            for x in letters if sign != "*" else "":
-                back[x] = back.get(x, "") + sign
-        gap = r"[\W\d_]*"
-        wild = r"(?<!\*)\*(?!\*)"
-        bare = [RUN.sub(r"\1", w.translate(FOLD)) for w in lexicon]
-        spell = [gap.join(f"(?:[{re.escape(c + back.get(c, ''))}]+|{wild})" for c in w) for w in bare]
+        self.words = {w: i for i, w in enumerate(lexicon)}
+        self.bits, self.memo = bits, {}
+        bare = sorted({self.look(w) for w in self.words})
+        spell = ["".join(rf"(?:{c}|{c.upper()}|\?)[{c}A-Z?]*" if "a" <= c <= "z" else re.escape(c) for c in w) for w in bare]
         self.maybe = re.compile("|".join(spell) or r"(?!)")
-        self.bare = set(bare)
+
+    @staticmethod
+    def look(token: str) -> str:
+        """Classes of the letters, upper case where a sign may stand for one; equal neighbours are one."""
+        token = token.translate(FOLD)
+        return RUN.sub(r"\1", "".join([LOOK.get(c, c if c.isalpha() else "") for c in token]))
 
     def hits(self, token: str) -> tuple[int, ...]:
-        """Numbers of the lexicon's words that a lower-case token holds."""
-        core = token.strip(EDGE)
-        if core.isalpha() and "(" not in token and "<" not in token:
-            if core in self.words:
-                return (self.words[core],)
-            plain = core.translate(FOLD)
-            squeezed = RUN.sub(r"\1", plain)
-            if squeezed not in self.bare:
-                return ()
-            return self._read(core)
-        found = {self.words[w] for w in LETTERS.findall(token) if w in self.words}
-        parts = {token, *PARTED.split(token)}
-        if found:  # what lies between plainly written words
-            parts.update(LETTERS.sub(lambda m: " " if m[0] in self.words else m[0], token).split())
-        for part in parts:
-            for at in range(0, max(1, len(part) - 60), 100):  # a long token is read in overlapping pieces
-                piece = part[at : at + 160]
-                if self.maybe.search(piece.translate(FOLD)):
-                    found.update(self._read(piece))
-        return tuple(sorted(found))
-
-    def _read(self, token: str) -> tuple[int, ...]:
-        found: set[int] = set()
-        for reading in {viterbi(token, self.bits), viterbi(token.strip(EDGE + "*#$!+@|"), self.bits)}:
-            found |= {self.words[w] for w in reading.split() if w in self.words}
-        return tuple(sorted(found))
+        """Numbers of the lexicon's words in the reading of a lower-case token or spaced run."""
+        if (core := plain(token, self.words)) is not None:
+            return (self.words[core],) if core in self.words else ()
+        look = self.look(token)
+        if len(look) <= LOOK_LENGTH and not self.maybe.search(look):
+            return ()
+        return tuple(sorted({self.words[w] for w in LETTERS.findall(viterbi(token, self.bits)) if w in self.words}))
 
     def text_hits(self, text: str) -> set[int]:
         low = text.lower()
-        tokens = set(low.split())
+        runs = {gaps(m[0]) for m in SPACED.finditer(low)}
+        tokens = set((SPACED.sub(" ", low) if runs else low).split()) | runs
         if len(self.memo) > MEMO:
             self.memo = {}
         out: set[int] = set()
@@ -228,9 +239,6 @@ class Speller:
                 got = self.memo[t] = self.hits(t)
             if got:
                 out.update(got)
-        for run in {SPACE.sub(" ", m[0]) for pattern in (SPACED, WIDE) for m in pattern.finditer(low)}:
-            for at in range(0, len(run), 100):  # a long run is read in overlapping pieces
-                out.update(self.hits(run[at : at + 160]))
         return out
 
 
