@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from townlens.llm import topk
 
 
-def brute(rows, k=5, every=50):
-    good = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if v is not None and i is not None and all(x is not None and np.isfinite(x) for x in v)]
+def brute(rows, k=5, every=50, exact=False):
+    good = [(i, [int(np.floor(256 * (x if exact else float(np.float32(x))))) for x in v]) for i, v in rows if v is not None and i is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for q, v in good:
         if q % every == 0:
@@ -36,5 +36,29 @@ def test_pruning_skips_blocks():
     assert visits == 1 and (found // 64 == 7).all() and (np.diff(scores[0]) <= 0).all()
 
 
+def test_blocks_that_bounds_exclude_are_not_sent(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "CHUNK", 8)
+    monkeypatch.setattr(topk, "BOUND_BLOCKS", 7)
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(1200):  # ids in order of topic, as crawls are
+        topic = np.eye(12)[i // 100]
+        rows.append((i, (topic + 0.02 * rng.normal(size=12)).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got, met = topk.search(df, F.col("vec_id") % 50 == 0)
+    want = sorted((q, r, i, s) for q, r, i, s in brute([(i, v) for i, v in rows], exact=True))
+    assert sorted(tuple(r) for r in got.collect()) == want
+    blocks, visits = 1200 / 16, met.agg(F.sum("visits")).first()[0]
+    assert visits < 0.35 * blocks * 24, visits / (blocks * 24)
+
+
+def test_repeated_ids_and_query_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (50, [0.0, 1.0]), (7, [2.0, 1.0]), (7, [2.0, 1.0]), (7, [0.5, 3.0]), (9, [1.0, 1.0])]
+    got = [tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=3).collect()]
+    one = [(0, 1, 7, 131072), (0, 2, 7, 131072), (0, 3, 9, 65536)]
+    assert sorted(got) == sorted([*one, *one, (50, 1, 7, 196608), (50, 2, 7, 65536), (50, 3, 7, 65536)])
+
+
 def test_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).count() == 0
