@@ -38,6 +38,8 @@ GOLAY = 0b110001110101
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (1, 2), (2, 0))
 SEED, SHINGLE, MAX_BITS = 42, 3, 2
+#: Rows of one fingerprint above which it is no key of a shuffle, and the bytes of such fingerprints that are broadcast.
+HEAVY, HEAVY_BYTES = 50_000, 16 << 20
 #: Minhash keys of the similarity stage: BANDS keys of ROWS minhashes.
 BANDS, ROWS = 26, 5
 
@@ -155,11 +157,17 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for each row of docs."""
     prints = written(fingerprints(docs, id_col, text), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "nodes")
     found = written(links(nodes.filter("node is not null")), "links")
     groups = components(found)
-    classes = nodes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = written(nodes.join(groups, "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component_id")), "classes")
+    heavy = classes.filter(F.col("n") > HEAVY).drop("n")
+    if heavy.count() * 24 > HEAVY_BYTES:
+        named = prints.join(classes.drop("n"), "fp")
+    else:  # fingerprints of many rows, of which there are few, meet their rows where these lie; no key of the join is hot
+        few = prints.join(F.broadcast(heavy.select("fp")), "fp", "left_anti").join(classes.filter(F.col("n") <= HEAVY).drop("n"), "fp")
+        named = prints.join(F.broadcast(heavy), "fp").unionByName(few)
+    return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 @lru_cache(4)
