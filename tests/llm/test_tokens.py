@@ -1,5 +1,7 @@
 import random
 import zlib
+from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pytest
@@ -75,6 +77,38 @@ def test_output_digest(docs):
         at += len(ids)
 
 
+def test_files_of_the_format(spark, docs, tmp_path, monkeypatch):
+    """Any reader can take the files apart, and rows that share an id or have none are spread over parts."""
+    monkeypatch.setattr(token_output, "FILE_SEGMENTS", 2)
+    many = docs.unionByName(docs.limit(1).selectExpr("cast(null as long) doc_id", "explode(sequence(1, 400)) n").selectExpr("doc_id", "concat('same id ', n) text", "null n_tokens"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path = token_output.write_token_file(many, f"file://{tmp_path}/out", segment_ids=500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    library, texts, found, parts = tokenizer("byte_bpe_50k.json"), Counter(), 0, Counter()
+    for r in many.collect():
+        texts[(r["doc_id"], tuple(library.encode(r["text"] or "", add_special_tokens=False).ids) + (2,))] += 1
+    for f in (tmp_path / "out" / "segments").glob("part-*"):
+        data = f.read_bytes()
+        for at, h in token_output.headers(data):
+            assert data[at + h[-1]] == 10
+            ids, lengths, keys = token_output.decode_whole(data[at : at + h[-1]])
+            for k, n, e in zip(keys, lengths, np.cumsum(lengths)):
+                texts[(k, tuple(ids[e - n : e].tolist()))] -= 1
+                parts[h[7]] += k is None
+            found += len(keys)
+    assert found == many.count() and not any(texts.values())
+    assert sum(n > 0 for n in parts.values()) > 1
+    rows = sorted(token_output.read_token_file(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in rows] == list(accumulate((r["n_tokens"] for r in rows[:-1]), initial=0))
+    named = [r["doc_id"] for r in rows]
+    assert named == sorted(named, key=lambda k: (k is not None, k or 0))
+
+
+def test_string_ids(spark):
+    df = spark.createDataFrame([("b", "two"), ("a", "one"), (None, "none"), ("é", "")], "doc_id string, text string")
+    assert [r["doc_id"] for r in sorted(token_output.token_output(df).collect(), key=lambda r: r["start"])] == [None, "a", "b", "é"]
+
+
 def test_empty(spark, docs):
     none = docs.limit(0)
     assert token_counts.token_counts(none).count() == 0
