@@ -28,22 +28,32 @@ def test_counts_equal_the_library(docs):
         assert (rows[i]["n_tokens"], rows[i]["n_bytes"], rows[i]["over_limit"]) == (n, len(t.encode()), n > 20), repr(t)
 
 
-def test_every_prefix_and_budget(docs):
-    dp, library = token_counts.PrefixCounter(), tokenizer("word_bpe_49k.json")
-    for t in TEXTS[5:9] + TEXTS[11:30]:
+def test_every_prefix_and_budget(spark):
+    library = tokenizer("word_bpe_49k.json")
+    texts = TEXTS[5:9] + TEXTS[11:60] + ["", "word " * 60 + "x" * 300, "  two  spaces\n", "z" * 700 + " tail", "é🙂" * 150]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables = token_counts.prefix_tables(df).collect()
+    assert [r["doc_id"] for r in tables] == list(range(len(texts)))
+    for t, r in zip(texts, tables):
         truth = [len(library.encode(t[:k], add_special_tokens=False).ids) for k in range(len(t) + 1)]
-        assert [dp.prefix_count(t, k) for k in range(len(t) + 1)] == truth
-        pieces = dp.pieces(t)
-        dp.learn(set(pieces))
+        counts = token_counts.counts_of(r["changes"])
+        inside = {k for m in token_counts.PIECE.finditer(t) if len(m[0]) > token_counts.LONG for k in range(m.start() + 1, m.end())}
+        truth = [-1 if k in inside else n for k, n in enumerate(truth)]
+        assert counts.tolist() == truth, repr(t)
         for budget in (0, 1, 5, 20):
-            got = dp.fits(t, dp.table(pieces), budget)
-            ends = [0, *(m.end() for m in token_counts.PIECE.finditer(t))]
-            assert got == (len(t) if truth[-1] <= budget else max(e for e in ends if truth[e] <= budget))
+            assert token_counts.longest_within(counts, budget) == max(k for k, n in enumerate(truth) if 0 <= n <= budget)
 
 
-def test_prefix_tables(docs):
-    for r in token_counts.prefix_tables(docs).limit(40).collect():
-        assert len(r["ends"]) == len(r["counts"]) and r["ends"][0] == r["counts"][0] == 0
+def test_answers_from_stored_tables(spark, docs, monkeypatch):
+    stored = token_counts.written(token_counts.prefix_tables(docs), "test-tables")
+    monkeypatch.setattr(token_counts, "tokenizer", None)  # no tokenizer, no text
+    rows = [r for r in token_counts.answers(stored, 20, chars=30).collect() if r["doc_id"] is not None]
+    library = tokenizer("word_bpe_49k.json")
+    for r in rows:
+        t = ([*TEXTS, ""])[r["doc_id"]]
+        assert r["prefix_tokens"] == (None if t[:1] == "a" and len(t) == 30_000 else len(library.encode(t[:30], add_special_tokens=False).ids)), repr(t)
+        assert len(library.encode(t[: r["fit_chars"]], add_special_tokens=False).ids) <= 20
+    assert len(rows) == docs.count() - 1
 
 
 def test_ids_equal_the_library():
