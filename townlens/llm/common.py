@@ -14,9 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of its own only where the session names none (local runs)."""
+    """The folder that driver and executors share; one of its own only where a local session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='townlens-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
