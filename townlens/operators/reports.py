@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from townlens.functions.text import c, chain, filled, flag, has_any, low, one_of
+from townlens.functions.text import c, chain, filled, flag, has_any, low, normalize_whitespace, one_of
 from townlens.operators.extract import effectively_blocked
 
 # Role groups in report order, roles of the saved queries, operational signals.
@@ -99,7 +99,7 @@ def coverage_summary(summary: DataFrame, missing: DataFrame, diagnostics: DataFr
 def vendor_rollup(towns: DataFrame, summary: DataFrame, missing: DataFrame, diagnostics: DataFrame, column: str = "platform") -> DataFrame:
     """Conditional counts of towns by platform vendor; a blank vendor is named."""
     blocked = latest(diagnostics).select("municipality_id", effectively_blocked().alias("blocked"))
-    vendor = F.when(filled(column), F.trim(column)).otherwise("(blank)").alias("vendor")
+    vendor = vendor_name(column).alias("vendor")
     df = towns.select("municipality_id", vendor).join(summary.drop("town_name"), "municipality_id", "left").join(blocked, "municipality_id", "left").join(missing.select("municipality_id", "missing_group_count"), "municipality_id", "left")
     b, gaps = F.coalesce("blocked", F.lit(False)), F.coalesce("missing_group_count", F.lit(0))
     n = lambda test: F.sum(flag(test))
@@ -119,12 +119,15 @@ def customer_contacts(enriched: DataFrame) -> DataFrame:
     return enriched.filter((F.col("is_likely_noise") == 0) & (F.col("record_rank") == 1) & (filled("email") | filled("phone")))
 
 
-def role_gaps(enriched: DataFrame, winners: DataFrame) -> DataFrame:
-    """Contacts without a role in towns that miss the role's group: the inventory of unread titles."""
-    return enriched.filter(~filled("role_normalized") & filled("title")).groupBy(F.lower(F.trim("title")).alias("title_key")).agg(
-        F.count("*").alias("rows"), F.count_distinct("municipality_id").alias("towns"), F.sum(flag(filled("email"))).alias("with_email"), F.sum(flag(filled("phone"))).alias("with_phone"),
-        F.slice(F.sort_array(F.collect_set("municipality_id")), 1, 8).alias("_towns"),
-    ).select("title_key", "rows", "towns", "with_email", "with_phone", F.array_join("_towns", "; ").alias("example_towns"))
+def role_gaps(enriched: DataFrame, missing: DataFrame) -> DataFrame:
+    """Contacts with a title or department in towns that lack a role group, counted over all that describes them."""
+    gaps = missing.select("municipality_id", "town_name", F.array_join(F.array_sort(F.split("missing_role_groups", "; ")), "; ").alias("missing_role_groups"))
+    text = lambda f: F.coalesce(normalize_whitespace(f), F.lit("")).alias(f)
+    fields = ("title", "department", "source_context", "role_family", "role_normalized", "department_normalized")
+    rows = enriched.select("municipality_id", *[text(f) for f in fields]).join(gaps, "municipality_id")
+    # counted instead of filtered: a filter would be pushed into the long rules below and make code too long to compile
+    described = F.sum(flag((F.col("title") != "") | (F.col("department") != ""))).alias("count_rows")
+    return rows.groupBy("municipality_id", "town_name", "missing_role_groups", *fields).agg(described).filter("count_rows > 0")
 
 
 def orphans(child: DataFrame, towns: DataFrame) -> DataFrame:
@@ -139,10 +142,30 @@ def dropped_before_clean(enriched: DataFrame, clean: DataFrame) -> DataFrame:
     return lost.groupBy("municipality_id", reason.alias("drop_reason")).agg(F.count("*").alias("dropped"))
 
 
-def evidence(contacts: DataFrame) -> DataFrame:
-    """One evidence row for each contact, its claims as valid JSON."""
+def evidence(contacts: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """One evidence row for each contact that existing evidence does not know, its claims as valid JSON."""
     fields = ("name", "title", "department", "email", "phone", "address", "hours", "source_url")
-    return contacts.select("contact_id", F.lit("initial_backfill").alias("extraction_method"), F.to_json(F.struct(*[F.coalesce(c(f), F.lit("")).alias(f) for f in fields])).alias("field_claims_json"))
+    fresh = contacts if existing is None else contacts.join(existing.select("contact_id"), "contact_id", "left_anti")
+    return fresh.select("contact_id", F.lit("initial_backfill").alias("extraction_method"), F.to_json(F.struct(*[F.coalesce(c(f), F.lit("")).alias(f) for f in fields])).alias("field_claims_json"))
+
+
+def legacy_suspicious(winners: DataFrame) -> DataFrame:
+    """Winners that the first review query would show."""
+    role, url = F.col("role_normalized"), F.lower("source_url")
+    shown = ~filled("email") | ((role == "Assessor") & url.contains("tax")) | ((role == "Tax Collector") & url.contains("clerk")) | ((role == "Town Clerk") & url.contains("planning")) | low("name").contains("assistant")
+    return winners.filter(F.coalesce(shown, F.lit(False))).select("municipality_id", "role_normalized", "name", "email", "phone", "department", "source_url")
+
+
+#: Vendors as reports name them.
+VENDORS = {"apptegy": "Apptegy", "aptuitiv": "Aptuitiv", "awr web design": "AWR Web Design", "catalis": "Catalis", "catalisgov": "Catalisgov", "civiclift": "CivicLift", "corebt": "CoreBT", "egovlink": "egovlink", "evogov": "EvoGov", "finalsite": "finalsite", "granicus": "Granicus", "ifsight": "ifsight", "purpledog": "PurpleDog", "quasar": "Quasar", "revize": "Revize", "town web": "TownWeb", "townweb": "TownWeb", "web solutions": "Web Solutions", "wordpress": "Wordpress"}
+VENDOR_PREFIX = "Quasar Internet Solutions"
+
+
+def vendor_name(x: Column | str) -> Column:
+    """A vendor by the name of the map, else as written; a blank one is named."""
+    bare = F.trim(F.coalesce(c(x), F.lit("")))
+    known = F.create_map(*[F.lit(y) for pair in VENDORS.items() for y in pair])
+    return F.when(bare == "", "(blank)").when(F.lower(bare).startswith(VENDOR_PREFIX.lower()), VENDOR_PREFIX).otherwise(F.coalesce(F.try_element_at(known, F.lower(bare)), bare))
 
 
 def manual_review(suspicious: DataFrame, candidates: DataFrame, unresolved: DataFrame, missing: DataFrame) -> DataFrame:

@@ -156,14 +156,6 @@ def presence_sums(spark, sf_dir):
     return enriched(spark, sf_dir).groupBy("municipality_id").agg(F.count("*").alias("contacts"), *[F.sum(f"has_{f}").alias(f"with_{f}") for f in ("name", "email", "phone", "department")], F.max((F.col("record_rank") > 1).cast("int")).alias("any_duplicate"))
 
 
-@query(f"WITH {ENRICHED} SELECT lower(trim(raw_title)) AS title_key, count(*) AS rows, count(DISTINCT municipality_id) AS towns, sum(has_email)::BIGINT AS with_email, sum(has_phone)::BIGINT AS with_phone, array_to_string((list_sort(list(DISTINCT municipality_id)))[1:8], '; ') AS example_towns FROM enriched WHERE role_normalized IS NULL AND title IS NOT NULL GROUP BY 1")
-def role_gap_inventory(spark, sf_dir):
-    return reports.role_gaps(enriched(spark, sf_dir), None)
-
-
-# ---- candidates, winners, unresolved roles
-
-
 @query(f"WITH {SCORED} SELECT contact_id, person_name_score, source_score, reconstruction_score, contact_score, department_score, role_match_score, suspicious_score, candidate_score, winner_disqualifier_reason, high_confidence_eligible, review_candidate_eligible, candidate_rank, high_confidence_rank, eligible_candidate_count, candidate_state, invalid_candidate_disqualified, source_structure_type FROM cand")
 def candidates_scored(spark, sf_dir):
     return scored(spark, sf_dir).select("contact_id", "person_name_score", "source_score", "reconstruction_score", "contact_score", "department_score", "role_match_score", "suspicious_score", "candidate_score", "winner_disqualifier_reason", "high_confidence_eligible", "review_candidate_eligible", "candidate_rank", "high_confidence_rank", "eligible_candidate_count", "candidate_state", "invalid_candidate_disqualified", "source_structure_type")
@@ -610,9 +602,10 @@ def stage_counts(spark, sf_dir):
     return reports.stage_counts(df, enrich.clean_contacts(df), sc, cand.best_role_per_town(sc))
 
 
-@query(f"WITH {with_sql('manifest', 'municipalities')} SELECT municipality_id FROM manifest WHERE municipality_id NOT IN (SELECT municipality_id FROM municipalities WHERE town_no % 2 = 0)")
+@query(f"WITH {with_sql('manifest', 'municipalities')} SELECT municipality_id FROM manifest WHERE municipality_id NOT IN (SELECT municipality_id FROM municipalities WHERE platform = 'CivicPlus')")
 def manifest_missing_ids(spark, sf_dir):
-    return reports.missing_ids(spark_table(spark, sf_dir, "manifest"), towns(spark, sf_dir).filter("town_no % 2 = 0"))[1].select("municipality_id")
+    """Of the whole manifest the towns that are not on one platform."""
+    return reports.missing_ids(spark_table(spark, sf_dir, "manifest"), towns(spark, sf_dir).filter("platform = 'CivicPlus'"))[1].select("municipality_id")
 
 
 KINDS = ("staff_directory", "department_page", "contact_hub", "generic", "homepage", "board_page", "other", "archive")
@@ -623,9 +616,9 @@ def page_class_counts(spark, sf_dir):
     return reports.enum_counts(enriched(spark, sf_dir), "page_type", KINDS)
 
 
-@query(f"WITH {with_sql('municipalities')}, s AS (SELECT concat('ct_nation_', CAST(user_id % 31 AS VARCHAR)) AS municipality_id, event_id, concat('{{\"api_hit\": ', CAST(event_id % 3 AS VARCHAR), ', \"api_type\": \"', event_type, '\"}}') AS value FROM events WHERE user_id % 31 < 20), l AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY municipality_id ORDER BY event_id DESC) = 1) SELECT m.municipality_id, coalesce(CAST(json_extract_string(value, '$.api_hit') AS INT), 0) AS api_hit, coalesce(json_extract_string(value, '$.api_type'), '') AS api_type, 0 AS deep_path_hits FROM municipalities m LEFT JOIN l USING (municipality_id)")
+@query(f"WITH {with_sql('municipalities')}, s AS (SELECT concat('ct_nation_', CAST(user_id % 31 AS VARCHAR)) AS municipality_id, event_id, concat('{{\"api_hit\": ', CAST(event_id % 3 AS VARCHAR), ', \"api_type\": \"', event_type, '\"}}') AS value FROM events), l AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY municipality_id ORDER BY event_id DESC) = 1) SELECT m.municipality_id, coalesce(CAST(json_extract_string(value, '$.api_hit') AS INT), 0) AS api_hit, coalesce(json_extract_string(value, '$.api_type'), '') AS api_type, 0 AS deep_path_hits FROM municipalities m LEFT JOIN l USING (municipality_id)")
 def recovery_status(spark, sf_dir):
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").filter("user_id % 31 < 20")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     value = F.to_json(F.struct((F.col("event_id") % 3).alias("api_hit"), F.col("event_type").alias("api_type")))
     statuses = ev.select(F.concat(F.lit("ct_nation_"), (F.col("user_id") % 31).cast("string")).alias("municipality_id"), F.col("event_id").alias("seq"), value.alias("value"))
     return reports.recovery_status(towns(spark, sf_dir), statuses, {"api_hit": "int", "api_type": "string", "deep_path_hits": "int"})
@@ -643,5 +636,8 @@ def catalog_columns(spark, sf_dir):
     return spark.createDataFrame(rows, "table_name string, columns int")
 
 
+from townlens.plans import gathering  # noqa: E402, F401  (registers its queries)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -43,6 +43,10 @@ def _pools(spark: bool) -> dict[str, str]:
         "locations": f"SELECT concat('l', {s('s_suppkey')}) AS location_id, {key('n_name')} AS municipality_id, {p((None, '1 Main Street', '2 Elm Ave.', '203 Middlesex Avenue , Connecticut'), 's_suppkey')} AS address, {p((None, 'Mon-Fri 9-5', 'and Mon ,Tue;8 -4', '9–5'), 's_suppkey + s_nationkey')} AS hours, {p(URLS, 's_suppkey')} AS source_url, s_suppkey AS seq FROM supplier JOIN nation ON s_nationkey = n_nationkey",
         "signals": f"SELECT concat('g', {s('event_id % 3000')}) AS signal_id, {key('n_name')} AS municipality_id, {p(SIGNALS, 'event_id * 3')} AS signal_type, CASE WHEN event_id % 2 = 0 THEN event_type ELSE props END AS value, CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) / CAST(100 AS DOUBLE) END AS confidence, {p(URLS, 'event_id')} AS source_url, event_id AS seq FROM events JOIN nation ON user_id % 25 = n_nationkey",
         "diagnostics": f"SELECT {key('n_name')} AS municipality_id, event_id AS seq, " + ", ".join(f"{num(k, 'event_id * 7 + user_id')} AS {name}" for k, name in enumerate(("http_status", "extracted_link_count", "candidate_service_link_count", "contact_rows_extracted", "response_text_length", "detected_block_signal", "detected_js_shell_signal"))) + " FROM events JOIN nation ON user_id % 25 = n_nationkey WHERE event_id % 5 = 0",
+        "contact_pages": f"SELECT *, CASE layout WHEN 0 THEN concat('<h1>Staff</h1><table><tr><th>Name</th><th>Title</th><th>Phone</th><th>Email</th></tr><tr><td>', name, '</td><td>', title, '</td><td>', dialled, '</td><td><a href=\"mailto:', email, '\">mail</a></td></tr></table><p>', address, '</p><p>', hours, '</p>') WHEN 1 THEN concat('<div><div class=\"contact-name\">', name, '</div><div class=\"contact-position\">', title, '</div><span>', dialled, '</span> <a href=\"mailto:', email, '\">write</a></div><p>', address, '</p><p>', hours, '</p>') WHEN 2 THEN concat('<p>', name, ', ', title, ' - <a href=\"mailto:', email, '\">', email, '</a> ', dialled, '</p><p>', address, '</p><p>', hours, '</p>') ELSE concat('<div>Name: ', name, '<br>Title: ', title, '<br>Phone: ', dialled, '<br>Email: ', email, '</div><p>', address, '</p><p>', hours, '</p>') END AS html FROM (SELECT c_custkey AS page_id, concat('https://t', {s('c_nationkey')}, '.example.org/people/', {s('c_custkey')}) AS url, {pool((0, 1, 2, 3), 'c_custkey', 'INT')} AS layout, {p(('Jane Doe', 'John Smith', 'Mary Ann Jones', 'Ann Bell', 'Carl Dow'), 'c_custkey')} AS name, {p(('Town Clerk', 'Assessor', 'Tax Collector', 'Building Official', 'Town Planner', 'Finance Director', 'Mayor'), 'c_custkey')} AS title, concat('(860) 555-', {s('1000 + c_custkey % 500')}) AS dialled, concat('860555', {s('1000 + c_custkey % 500')}) AS phone, concat('p', {s('c_custkey')}, '@t', {s('c_nationkey')}, '.example.org') AS email, {p(('12 Main Ave.', '7 Elm Street', '203 Middlesex Rd', '1 Oak blvd.'), 'c_custkey * 3')} AS address, 'Hours: Monday-Friday 9 am - 5 pm' AS hours FROM customer ) people",
+        "fallback_signals": f"SELECT {key('n_name')} AS municipality_id, event_id AS seq, {p(('blocked_homepage', 'crawl_status', 'alternate_seed_attempted', 'email_pattern', None, 'gis_vendor', 'crawl_status'), 'event_id')} AS signal_type, {p(('cloudflare_403', 'homepage_fetch_failed', ' Yes', 'ok', None, 'false', 'Attempted', 'bot_protection_403', 'x', 'true', '1'), 'event_id * 3 + user_id')} AS value FROM events JOIN nation ON user_id % 25 = n_nationkey",
+        "attempts": f"SELECT event_id, {pool((200, 403, 404, 301, 503, 200, None, 429, 500, 200, 418), 'event_id', 'INT')} AS status, {p(('directory', 'js_shell', 'unknown', 'blocked', 'unknown'), 'event_id')} AS kind, {p((None, '<p>x</p>', '', '<p>y</p>', '<p>z</p>', '<p>w</p>', '<p>v</p>'), 'event_id')} AS body, {pool((0, 0, 1), 'event_id', 'INT')} AS redirects, {p(('https://a/x', 'https://b/y', ''), 'event_id * 2')} AS final_url, {p(('https://a/x', 'https://b/y'), 'event_id')} AS url, {p(('server: cloudflare', 'cf-ray: 1; server: x', 'server: nginx', 'x-cdn: Incapsula', 'server: AkamaiGHost; via: y', ''), 'event_id')} AS headers FROM events",
+        "vendor_names": f"SELECT p_partkey, {p(('Revize', 'revize ', ' TOWN WEB', 'townweb', 'Quasar Internet Solutions LLC', 'quasar', '', None, 'Acme', 'AWR Web Design', 'egovlink', 'WordPress', 'CivicLift'), 'p_partkey')} AS vendor FROM part ",
         "manifest": f"SELECT {key('n_name')} AS municipality_id, n_name AS town_name, r_name AS county, concat('batch_', {s('n_nationkey % 5')}) AS batch_id, {s('1 + n_nationkey % 3')} AS priority, {p(STATUSES, 'n_nationkey')} AS status, '' AS notes FROM nation JOIN region ON n_regionkey = r_regionkey",
     }
 
