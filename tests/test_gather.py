@@ -66,3 +66,24 @@ def test_reasons_and_empty_tables(spark):
     df = spark.createDataFrame([("tax; permit",), ("tax",), (None,), ("",)], "reasons string")
     assert {r["reason"]: r["n"] for r in gather.reason_histogram(df).collect()} == {"tax": 2, "permit": 1}
     assert gather.merge_contacts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_files_of_a_run(spark, tmp_path):
+    from townlens.sources import files
+
+    full = spark.createDataFrame([("ct_a", "8605551234.0"), ("ct_b", None)], "municipality_id string, phone string")
+    files.write_qa_set(spark, {files.QA_FILES[0]: full}, f"file://{tmp_path}/qa")
+    read = lambda name: "".join(p.read_text() for p in sorted((tmp_path / "qa" / f"{name}.csv").glob("part-*")))
+    assert read(files.QA_FILES[0]).splitlines() == ["municipality_id,phone", "ct_a,8605551234", "ct_b,"]
+    assert all(read(name) == "" for name in files.QA_FILES[1:])
+    files.write_json_lines(full, f"file://{tmp_path}/rows")
+    assert spark.read.schema(full.schema).json(f"file://{tmp_path}/rows").count() == 2
+
+
+def test_gate_and_api(spark):
+    from townlens.operators import recovery
+
+    probes = [("a", 1, recovery.EXTRACTABLE[0], "text/html; x", "y" * 600, 200, "/api"), ("a", 1, recovery.EXTRACTABLE[0], "text/html", "short", 200, "/x"), ("b", 0, recovery.EXTRACTABLE[0], "text/html", "y" * 600, 404, "/api"), ("c", 1, "none", "text/html", "openapi " * 90, 200, "/docs")]
+    df = spark.createDataFrame(probes, "municipality_id string, hit int, category string, content_type string, text string, status int, path string")
+    assert df.filter(recovery.extraction_gate()).count() == 1
+    assert {r[0]: (r[1], r[2]) for r in recovery.api_presence(df).collect()} == {"a": (1, "rest_root"), "b": (0, "none"), "c": (1, "swagger")}

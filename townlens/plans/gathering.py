@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from townlens.functions import places
-from townlens.operators import enrich, gather, page_contacts, reports
+from townlens.functions import places, text, urls
+from townlens.operators import enrich, extract, gather, merge, page_contacts, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED
 from townlens.plans.queries import MISSING, enriched, query, towns, winners
+from townlens.sources import files
 from townlens.sources.staging import spark_table, with_sql
 
 ROUTES = "directory|staff|department|government|town-clerk|tax|assessor|building|planning|zoning|finance|contact"
@@ -174,3 +175,50 @@ CLEANED = {f: f"coalesce(trim(regexp_replace({f}, ' +', ' ', 'g')), '')" for f i
 def role_gap_inventory(spark, sf_dir):
     df = enriched(spark, sf_dir)
     return reports.role_gaps(df, reports.missing_key_roles(towns(spark, sf_dir), winners(spark, sf_dir)))
+
+
+# ---- manifests, names and signals of crawls
+
+
+@query(f"WITH {with_sql('municipalities')} SELECT municipality_id, name AS town_name, county, 'batch_x' AS batch_id, '1' AS priority, 'pending' AS status, '' AS notes FROM municipalities WHERE lower(trim(coalesce(platform, ''))) <> 'civicplus' AND coalesce(trim(platform), '') <> ''")
+def manifest_of_other_platforms(spark, sf_dir):
+    return files.manifest_of(towns(spark, sf_dir), "CivicPlus", "batch_x", exclude=True, keep_blank=False)
+
+
+@query(f"WITH {with_sql('manifest')} SELECT municipality_id, batch_id, status FROM manifest WHERE lower(trim(batch_id)) = 'batch_2'")
+def manifest_batch(spark, sf_dir):
+    return files.select_manifest(spark_table(spark, sf_dir, "manifest"), " Batch_2 ").select("municipality_id", "batch_id", "status")
+
+
+@query(f"WITH {with_sql('municipalities')} SELECT municipality_id, array_to_string(list_transform(string_split(replace(substr(municipality_id, 4), '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS shown, concat('https://', domain) AS homepage FROM municipalities")
+def shown_towns(spark, sf_dir):
+    return towns(spark, sf_dir).select("municipality_id", text.display_name("municipality_id").alias("shown"), urls.with_scheme("domain").alias("homepage"))
+
+
+@query(f"WITH {with_sql('contacts')}, p AS (SELECT contact_id, lower(regexp_extract(coalesce(source_url, ''), '^(?:[a-zA-Z]+://[^/?#]*)?([^?#]*)', 1)) AS p FROM contacts) SELECT contact_id, CASE WHEN contains(p, 'building-department') THEN 'Building Department' WHEN contains(p, 'tax-collector') THEN 'Tax Collector' WHEN contains(p, 'assessor') THEN 'Assessor' WHEN contains(p, 'town-clerk') THEN 'Town Clerk' WHEN contains(p, 'planning') THEN 'Planning' WHEN contains(p, 'zoning') THEN 'Zoning' WHEN contains(p, 'public-works') THEN 'Public Works Department' WHEN contains(p, 'human-resources') THEN 'Human Resources' END AS department FROM p")
+def url_departments(spark, sf_dir):
+    return spark_table(spark, sf_dir, "contacts").select("contact_id", extract.url_department("source_url").alias("department"))
+
+
+@query(f"WITH {with_sql('attempts')}, a AS (SELECT *, concat(kind, ' Access DENIED') AS title, CASE WHEN redirects = 1 THEN 'please enable javascript' ELSE coalesce(body, '') END AS t, (event_id % 3000)::INT AS n, (event_id % 4)::INT AS links FROM attempts) SELECT event_id, CASE WHEN kind = 'blocked' OR contains(lower(t), 'cloudflare') THEN 1 ELSE 0 END AS block, CASE WHEN status = 200 AND (contains(t, 'enable javascript') OR n <= 1200 OR (n > 0 AND links <= 1)) THEN 1 ELSE 0 END AS shell, round(least(0.99, 0.35 + n / 10.0 + 0.4 * 0.5), 6)::DOUBLE AS confidence FROM a")
+def crawl_signals(spark, sf_dir):
+    df = spark_table(spark, sf_dir, "attempts").withColumns({"t": F.when(F.col("redirects") == 1, "please enable javascript").otherwise(F.coalesce("body", F.lit(""))), "n": (F.col("event_id") % 3000).cast("int"), "links": (F.col("event_id") % 4).cast("int")})
+    title = F.when(F.col("kind") == "blocked", "Access DENIED").otherwise(F.col("kind"))
+    confidence = F.round(extract.service_confidence(F.col("n"), F.lit(0.5)), 6).alias("confidence")
+    return df.select("event_id", extract.block_signal(title, "t").alias("block"), extract.shell_signal(F.col("status"), F.lit(""), "t", F.col("n"), F.col("links")).alias("shell"), confidence)
+
+
+@query(f"WITH {with_sql('attempts')} SELECT event_id, concat_ws(';', 'status=' || status, 'kind=' || kind, 'final=' || final_url) AS notes FROM attempts")
+def recovery_notes(spark, sf_dir):
+    return spark_table(spark, sf_dir, "attempts").select("event_id", recovery.notes_of(status=F.col("status"), kind=F.col("kind"), final=F.col("final_url")).alias("notes"))
+
+
+@query(f"WITH {with_sql('service_links')}, k AS (SELECT *, concat(municipality_id, '|', coalesce(category, '')) AS id FROM service_links) SELECT id AS service_id, arg_min_null(url, seq) AS url, arg_max(label, seq) AS label, arg_max(vendor, seq) AS vendor, CASE WHEN count(confidence) = count(*) THEN round(max(confidence), 6) END AS confidence FROM k GROUP BY id")
+def upsert_service_links(spark, sf_dir):
+    df = spark_table(spark, sf_dir, "service_links").withColumn("service_id", F.concat("municipality_id", F.lit("|"), F.coalesce("category", F.lit(""))))
+    return merge.upsert_service_links(df).select("service_id", "url", "label", "vendor", F.round("confidence", 6).alias("confidence"))
+
+
+@query(f"WITH {with_sql('service_links')} SELECT municipality_id, arg_max_null(label, seq) AS label, arg_max_null(vendor, seq) AS vendor FROM service_links GROUP BY 1")
+def upsert_municipalities(spark, sf_dir):
+    return merge.upsert_municipalities(spark_table(spark, sf_dir, "service_links").select("municipality_id", "label", "vendor", "seq"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from townlens.functions import text as t
 from townlens.functions import urls
 from townlens.operators import candidates as cand
-from townlens.operators import enrich, extract, merge, mining, page_contacts, recovery, reports
+from townlens.operators import enrich, extract, merge, mining, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED, UNRESOLVED
+from townlens.sources import files
 from townlens.sources.staging import spark_table, with_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,8 +337,7 @@ def blocked_reason(spark, sf_dir):
 
 @query(f"WITH {with_sql('manifest')} SELECT municipality_id, town_name, county, batch_id, priority, status, notes FROM manifest WHERE lower(batch_id) = 'batch_1' AND lower(status) = 'active'")
 def manifest_select(spark, sf_dir):
-    df = spark_table(spark, sf_dir, "manifest")
-    return df.filter((t.norm("batch_id") == "batch_1") & (t.norm("status") == "active"))
+    return files.select_manifest(spark_table(spark, sf_dir, "manifest"), "batch_1", "active")
 
 
 @query(f"WITH {with_sql('municipalities')}, u AS (SELECT municipality_id, 1 AS k, jobs_url AS url, domain FROM municipalities UNION ALL SELECT municipality_id, 2, directory_url, domain FROM municipalities UNION ALL SELECT municipality_id, 3, assessor_url, domain FROM municipalities UNION ALL SELECT municipality_id, 4, tax_url, domain FROM municipalities) SELECT municipality_id, url, CASE WHEN regexp_extract(url, '//([^/]+)', 1) = domain OR suffix(regexp_extract(url, '//([^/]+)', 1), '.' || domain) THEN 'internal' ELSE 'external' END AS seed_kind FROM u WHERE coalesce(trim(url), '') <> ''")
@@ -372,10 +372,10 @@ def emails_in_text(spark, sf_dir):
 PHONE_SQL = r"(?i)(?:\+?1[\s.\-]?)?\(?([2-9][0-9]{2})\)?[\s.\-]?([0-9]{3})[\s.\-]?([0-9]{4})(?:\s*(?:,|;)?\s*(?:ext\.?|extension|x)\s*([0-9]{1,6}))?"
 
 
-@query(f"WITH f AS (SELECT doc_id, list_transform(regexp_extract_all(text, '{PHONE_SQL}'), lambda x: regexp_extract(x, '{PHONE_SQL}', 1) || regexp_extract(x, '{PHONE_SQL}', 2) || regexp_extract(x, '{PHONE_SQL}', 3)) AS p FROM documents) SELECT doc_id, array_to_string(list_sort(list_distinct(p)), ',') AS phones FROM f WHERE len(p) > 0")
+@query(f"WITH f AS (SELECT doc_id, list_transform(regexp_extract_all(text, '{PHONE_SQL}'), lambda x: regexp_extract(x, '{PHONE_SQL}', 1) || regexp_extract(x, '{PHONE_SQL}', 2) || regexp_extract(x, '{PHONE_SQL}', 3) || coalesce('x' || nullif(regexp_extract(x, '{PHONE_SQL}', 4), ''), '')) AS p FROM documents) SELECT doc_id, array_to_string(list_sort(list_distinct(p)), ',') AS phones FROM f WHERE len(p) > 0")
 def phones_in_text(spark, sf_dir):
     found = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", extract.phones("text").alias("p")).filter(F.size("p") > 0)
-    return found.select("doc_id", F.array_join(F.array_sort(F.array_distinct(F.transform("p", lambda x: x["phone"]))), ",").alias("phones"))
+    return found.select("doc_id", F.array_join(F.array_sort(F.array_distinct(F.transform("p", lambda x: F.concat(x["phone"], F.coalesce(F.concat(F.lit("x"), x["phone_ext"]), F.lit("")))))), ",").alias("phones"))
 
 
 HINTS = "|".join(extract.ROLE_EMAIL_HINTS)
@@ -558,16 +558,6 @@ def probes_until_blocked(spark, sf_dir):
 # ---- pages read as documents: no SQL twin, tests hold the readers against golden pages
 
 
-@query()
-def contacts_in_pages(spark, sf_dir):
-    return page_contacts.extract_contacts(pages(spark, sf_dir))
-
-
-@query()
-def locations_in_pages(spark, sf_dir):
-    return page_contacts.extract_locations(pages(spark, sf_dir))
-
-
 @query(f"WITH {LINKED}, t AS (SELECT municipality_id AS mid, domain FROM ({with_sql('municipalities').removeprefix('municipalities AS (')[:-1]})), c AS (SELECT *, regexp_replace(lower(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)), '^www[.]', '') AS h FROM sc JOIN t ON mid = municipality_id) SELECT service_id FROM c WHERE h <> '' AND (h = domain OR suffix(h, '.' || domain))")
 def internal_links(spark, sf_dir):
     df = spark_table(spark, sf_dir, "service_links").join(towns(spark, sf_dir).select("municipality_id", F.col("domain").alias("town_domain")), "municipality_id")
@@ -629,11 +619,17 @@ def pipeline_validation(spark, sf_dir):
     return reports.validate(contacts=spark_table(spark, sf_dir, "contacts"), winners=winners(spark, sf_dir))
 
 
-@query()
+CATALOG = ("municipalities", "contacts", "service_links", "locations", "signals", "manifest")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, column_name FROM (DESCRIBE WITH {with_sql(n)} SELECT * FROM {n})" for n in CATALOG))
 def catalog_columns(spark, sf_dir):
-    """Tables of the staged schema with the number of their columns."""
-    rows = [(n, len(spark_table(spark, sf_dir, n).columns)) for n in ("municipalities", "contacts", "service_links", "locations", "signals", "manifest")]
-    return spark.createDataFrame(rows, "table_name string, columns int")
+    """The columns of the staged tables, as the catalog of the session lists them."""
+    rows = []
+    for n in CATALOG:
+        spark_table(spark, sf_dir, n).createOrReplaceTempView(f"catalog_{n}")
+        rows += [(n, c.name) for c in spark.catalog.listColumns(f"catalog_{n}")]
+    return spark.createDataFrame(rows, "table_name string, column_name string")
 
 
 from townlens.plans import gathering  # noqa: E402, F401  (registers its queries)

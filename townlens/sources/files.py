@@ -64,10 +64,11 @@ def manifest_of(seed: DataFrame, platform: str, batch_id: str, exclude: bool = F
 
 
 def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """One CSV file with a header; phone columns become plain text. For reports of a few rows a town."""
+    """One CSV file with a header, or an empty one without where there are no rows; phone columns become plain text. For
+    reports of a few rows a town."""
     phones = {c: safe_phone(c) for c in df.columns if c in ("phone", "top_candidate_phone")}
     out = df.withColumns(phones) if phones else df
-    (out.orderBy(*order) if order else out).coalesce(1).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+    (out.orderBy(*order) if order else out).coalesce(1).write.mode("overwrite").csv(path, header=not out.isEmpty(), escape='"', emptyValue="")
 
 
 def write_qa_set(spark: SparkSession, frames: dict[str, DataFrame], folder: str) -> None:
