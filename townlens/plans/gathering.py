@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from townlens.functions import places, text, urls
+from townlens.operators import candidates as cand
 from townlens.operators import enrich, extract, gather, merge, page_contacts, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED
-from townlens.plans.queries import MISSING, enriched, query, towns, winners
+from townlens.plans.queries import MISSING, query, settled_enriched, towns, winners
 from townlens.sources import files
 from townlens.sources.staging import spark_table, with_sql
 
@@ -173,8 +174,8 @@ CLEANED = {f: f"coalesce(trim(regexp_replace({f}, ' +', ' ', 'g')), '')" for f i
 
 @query(f"WITH {MISSING}, x AS (SELECT municipality_id, {', '.join(f'{v} AS {k}' for k, v in CLEANED.items())} FROM enriched) SELECT x.municipality_id, town_name, array_to_string(list_sort(string_split(missing_role_groups, '; ')), '; ') AS missing_role_groups, {', '.join(CLEANED)}, count(*) AS count_rows FROM x JOIN missing m ON m.municipality_id = x.municipality_id WHERE title <> '' OR department <> '' GROUP BY ALL")
 def role_gap_inventory(spark, sf_dir):
-    df = enriched(spark, sf_dir)
-    return reports.role_gaps(df, reports.missing_key_roles(towns(spark, sf_dir), winners(spark, sf_dir)))
+    df = settled_enriched(spark, sf_dir)
+    return reports.role_gaps(df, reports.missing_key_roles(towns(spark, sf_dir), cand.best_role_per_town(cand.score_candidates(df))))
 
 
 # ---- manifests, names and signals of crawls

@@ -13,6 +13,7 @@ from townlens.operators import candidates as cand
 from townlens.operators import enrich, extract, merge, mining, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED, UNRESOLVED
 from townlens.sources import files
+from townlens.sources.shared import settled
 from townlens.sources.staging import spark_table, with_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,15 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cand.score_candidates(enriched(spark, sf_dir))
 
 
+def settled_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For queries that read the enriched contacts more than once."""
+    return settled(enriched(spark, sf_dir), "enriched")
+
+
+def settled_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(scored(spark, sf_dir), "scored")
+
+
 def winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cand.best_role_per_town(scored(spark, sf_dir))
 
@@ -148,7 +158,7 @@ def role_directory(spark, sf_dir):
 
 @query(f"WITH {ENRICHED} SELECT e.municipality_id, CASE WHEN record_rank > 1 THEN 'duplicate_rank' WHEN is_likely_noise = 1 THEN 'likely_noise' ELSE 'other' END AS drop_reason, count(*) AS dropped FROM enriched e WHERE contact_id NOT IN (SELECT contact_id FROM clean) GROUP BY ALL")
 def drop_reasons(spark, sf_dir):
-    df = enriched(spark, sf_dir)
+    df = settled_enriched(spark, sf_dir)
     return reports.dropped_before_clean(df, enrich.clean_contacts(df))
 
 
@@ -169,7 +179,7 @@ def best_role_per_town(spark, sf_dir):
 
 @query(f"WITH {UNRESOLVED} SELECT municipality_id, role_normalized, candidate_count, review_candidate_count, invalid_candidate_disqualified_count, 1 AS forced_fallback_blocked, top_candidate_contact_id, top_candidate_score, top_candidate_state, top_candidate_winner_block_reason, unresolved_reason FROM unresolved")
 def unresolved_roles(spark, sf_dir):
-    df = scored(spark, sf_dir)
+    df = settled_scored(spark, sf_dir)
     out = cand.unresolved_roles(df, cand.best_role_per_town(df))
     return out.select("municipality_id", "role_normalized", "candidate_count", "review_candidate_count", "invalid_candidate_disqualified_count", "forced_fallback_blocked", "top_candidate_contact_id", "top_candidate_score", "top_candidate_state", "top_candidate_winner_block_reason", "unresolved_reason")
 
@@ -194,7 +204,7 @@ def roles_without_email(spark, sf_dir):
 
 @query(f"WITH {SCORED} SELECT DISTINCT c.municipality_id, c.role_normalized FROM cand c WHERE NOT EXISTS (SELECT 1 FROM winners w WHERE w.municipality_id = c.municipality_id AND w.role_normalized = c.role_normalized)")
 def roles_with_no_winner(spark, sf_dir):
-    df = scored(spark, sf_dir)
+    df = settled_scored(spark, sf_dir)
     key = ["municipality_id", "role_normalized"]
     return df.select(*key).distinct().join(cand.best_role_per_town(df).select(*key), key, "left_anti")
 
@@ -227,8 +237,8 @@ last AS (SELECT * FROM diag QUALIFY row_number() OVER (PARTITION BY municipality
 
 
 def summary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    df = enriched(spark, sf_dir)
-    won = cand.best_role_per_town(cand.score_candidates(df))
+    df = settled_enriched(spark, sf_dir)
+    won = settled(cand.best_role_per_town(cand.score_candidates(df)), "winners")
     return reports.batch_summary(towns(spark, sf_dir), raw=spark_table(spark, sf_dir, "contacts"), clean=enrich.clean_contacts(df), winners=won), reports.missing_key_roles(towns(spark, sf_dir), won)
 
 
@@ -282,9 +292,9 @@ def category_counts(spark, sf_dir):
 
 @query(f"WITH {UNRESOLVED} SELECT (SELECT count(*) FROM contacts) AS contacts, (SELECT count(*) FROM clean) AS clean_contacts, (SELECT count(*) FROM cand) AS candidates, (SELECT count(*) FROM winners) AS winners, (SELECT count(*) FROM winners WHERE forced_fallback = 1) AS forced_winners, (SELECT count(*) FROM unresolved) AS unresolved, (SELECT count(*) FROM enriched WHERE is_likely_noise = 1) AS noise, (SELECT count(*) FROM enriched WHERE suspicious_reason IS NOT NULL) AS suspicious, (SELECT count(DISTINCT municipality_id) FROM winners) AS towns_with_winner")
 def postprocess_metrics(spark, sf_dir):
-    df = enriched(spark, sf_dir)
-    sc = cand.score_candidates(df)
-    won = cand.best_role_per_town(sc)
+    df = settled_enriched(spark, sf_dir)
+    sc = settled(cand.score_candidates(df), "scored")
+    won = settled(cand.best_role_per_town(sc), "winners")
     one = df.agg(F.count("*").alias("contacts"), F.sum(t.flag((F.col("record_rank") == 1) & ((F.col("is_likely_noise") == 0) | (F.col("key_is_noise") == 1)))).alias("clean_contacts"), F.sum("is_likely_noise").alias("noise"), F.count("suspicious_reason").alias("suspicious"))
     two = won.agg(F.count("*").alias("winners"), F.sum("forced_fallback").alias("forced_winners"), F.count_distinct("municipality_id").alias("towns_with_winner"))
     return one.join(sc.agg(F.count("*").alias("candidates"))).join(two).join(cand.unresolved_roles(sc, won).agg(F.count("*").alias("unresolved")))  # one row each
@@ -481,13 +491,13 @@ pc AS (SELECT *, regexp_matches(canonical_path, '/[0-9]+(/|$)')::INT AS is_numer
 
 @query(f"WITH {MINED} SELECT category, canonical_path, score, municipality_count, row_count, winner_backed_count, is_clean_slug, is_numeric_slug, recommendation FROM pc")
 def path_candidates(spark, sf_dir):
-    df = enriched(spark, sf_dir)
+    df = settled_enriched(spark, sf_dir)
     return mining.path_candidates(mining.path_inventory(df), cand.best_role_per_town(cand.score_candidates(df))).drop("example_municipalities")
 
 
 @query(f"WITH {MINED} SELECT category, row_number() OVER (PARTITION BY category ORDER BY is_clean_slug DESC, score DESC, municipality_count DESC, row_count DESC, canonical_path)::INT AS rank, canonical_path FROM pc WHERE recommendation = 'add_to_probe_list' AND municipality_count >= 2 AND (is_numeric_slug = 0 OR municipality_count >= 3) AND category <> 'other' QUALIFY rank <= 10")
 def probe_paths(spark, sf_dir):
-    df = enriched(spark, sf_dir)
+    df = settled_enriched(spark, sf_dir)
     return mining.probe_paths(mining.path_candidates(mining.path_inventory(df), cand.best_role_per_town(cand.score_candidates(df))))
 
 
@@ -503,7 +513,7 @@ sg AS (SELECT g AS role_group_target, lower(trim(coalesce(title, ''))) AS title_
 
 @query(f"WITH {SYNONYMS} SELECT role_group_target, title_key, department_key, municipality_count, contact_count, normalized_match_count, 3 * (f > 0)::INT + 3 * (d > 0)::INT + 2 * (municipality_count >= 2)::INT + 2 - 3 * (tx LIKE '%board%')::INT - 3 * (tx LIKE '%page%')::INT - 2 * (n > 0)::INT - 4 * (normalized_match_count = contact_count)::INT AS score, CASE WHEN n > 0 OR regexp_matches(tx, 'board|page') THEN 'likely_noise' WHEN role_group_target = 'finance' AND tx LIKE '%treasurer%' THEN 'map_to_treasurer' WHEN role_group_target = 'finance' AND regexp_matches(tx, 'finance|financial|cfo|comptroller|administrative services|business manager') THEN 'map_to_finance_director' WHEN role_group_target = 'clerk' AND tx LIKE '%clerk%' THEN 'map_to_town_clerk' WHEN role_group_target = 'building' AND regexp_matches(tx, 'building|inspector|inspection|code enforcement') THEN 'map_to_building_official' WHEN role_group_target = 'planning' AND regexp_matches(tx, 'planning|planner|land use|zoning|zeo') THEN 'map_to_planner' ELSE 'review_manually' END AS recommendation FROM sh")
 def synonym_candidates(spark, sf_dir):
-    df = enriched(spark, sf_dir)
+    df = settled_enriched(spark, sf_dir)
     missing = mining.missing_groups(towns(spark, sf_dir), cand.best_role_per_town(cand.score_candidates(df)))
     return mining.synonym_candidates(df, missing).drop("example_municipalities", "proposed_role_normalized")
 
@@ -516,7 +526,7 @@ REVIEWS = f"""{UNRESOLVED}, {SUSPICIOUS.removeprefix(SCORED + ", ")}, {MISSING.r
 
 @query(f"WITH {REVIEWS} SELECT municipality_id, 'suspicious_winner' AS review_type, role_normalized, contact_id, '' AS missing_role_groups FROM sus WHERE q1 OR sr <> '' OR q2 OR q3 OR q4 OR q5 OR q6 OR q7 OR is_likely_noise = 1 UNION ALL SELECT municipality_id, 'candidate_for_review', role_normalized, contact_id, '' FROM cand WHERE tagged AND candidate_state = 'candidate_for_review' UNION ALL SELECT municipality_id, 'unresolved_role', role_normalized, top_candidate_contact_id, '' FROM unresolved UNION ALL SELECT municipality_id, 'missing_role_groups_2plus', '', '', missing_role_groups FROM missing WHERE missing_group_count >= 2")
 def manual_review_towns(spark, sf_dir):
-    sc = scored(spark, sf_dir)
+    sc = settled_scored(spark, sf_dir)
     won = cand.best_role_per_town(sc)
     return reports.manual_review(reports.suspicious_winners(won), sc, cand.unresolved_roles(sc, won), reports.missing_key_roles(towns(spark, sf_dir), won))
 
@@ -587,7 +597,7 @@ def town_sample(spark, sf_dir):
 
 @query(f"WITH {SCORED}, u AS (SELECT municipality_id, 1 AS k FROM enriched UNION ALL SELECT municipality_id, 2 FROM clean UNION ALL SELECT municipality_id, 3 FROM cand UNION ALL SELECT municipality_id, 4 FROM winners) SELECT municipality_id, count(*) FILTER (k = 1) AS loaded, count(*) FILTER (k = 2) AS clean, count(*) FILTER (k = 3) AS candidates, count(*) FILTER (k = 4) AS winners FROM u GROUP BY 1")
 def stage_counts(spark, sf_dir):
-    df = enriched(spark, sf_dir)
+    df = settled_enriched(spark, sf_dir)
     sc = cand.score_candidates(df)
     return reports.stage_counts(df, enrich.clean_contacts(df), sc, cand.best_role_per_town(sc))
 
