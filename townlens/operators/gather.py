@@ -174,3 +174,62 @@ def reason_histogram(df: DataFrame, reasons: str = "reasons") -> DataFrame:
     """How often each reason of a joined list occurs."""
     one = F.explode(F.split(F.coalesce(c(reasons), F.lit("")), r"\s*;\s*")).alias("reason")
     return df.select(one).filter("reason <> ''").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+# ---- departments and towns
+
+# Words of departments, texts of menus, and the weights of what a text holds.
+STRONG_DEPARTMENTS = ("inland wetlands and watercourses agency", "assessor", "tax collector", "building department", "planning and zoning commission", "public works department", "human resources", "town clerk", "board of selectmen")
+ENTITIES = ("department", "office", "agency", "board", "commission", "committee", "authority", "division", "bureau")
+FUNCTIONS = ("clerk", "assessor", "collector", "treasurer", "finance", "hr", "human resources", "public works", "planning", "zoning", "land use", "wetlands", "building", "permitting", "recreation", "library", "police", "fire", "emergency management", "registrar", "health")
+MENU_TEXTS = ("contact us", "phone numbers", "staff directory", "home", "government", "departments", "services", "view map", "click here", "email us", "hours", "physical address", "mailing address", "quick links", "popular links")
+SHORT_ROLES = ("assessor", "clerk", "collector", "treasurer", "registrar")
+LEAST_SCORE, LEAST_SCORE_OF_ROLE = 2.4, 0.9
+
+
+def department_score(x: Column | str) -> Column:
+    """How much a text reads like the name of a department; 0 for menus, addresses and texts of another length."""
+    t = F.regexp_replace(F.regexp_replace(F.coalesce(c(x), F.lit("")), extract.EMAIL, " "), extract.PHONE, " ")
+    t = F.lower(F.btrim(F.regexp_replace(F.regexp_replace(t, r"[|•]+", " "), r"\s+", " "), F.lit(" -:;,.")))
+    blob = keyword_blob(t)
+    held = lambda words, weight: sum((F.when(any_keyword(blob, (w,)), weight).otherwise(0.0) for w in words), F.lit(0.0))
+    score = held(STRONG_DEPARTMENTS, 2.2) + held(ENTITIES, 1.3) + held(FUNCTIONS, 1.0) + F.when(t.startswith("board of "), 1.2).otherwise(0.0)
+    out = ~F.length(t).between(3, 120) | t.isin(*MENU_TEXTS) | has_any(t, "http://", "https://", "www.", ".gov/", "click here")
+    return F.when(out, 0.0).otherwise(F.round(score, 6))
+
+
+def reads_as_department(x: Column | str) -> Column:
+    """Whether the score is enough: less of it for a role in few words."""
+    words = F.size(F.filter(F.split(F.trim(F.coalesce(c(x), F.lit(""))), r"\s+"), lambda w: w != ""))
+    least = F.when(any_keyword(keyword_blob(x), SHORT_ROLES) & (words <= 4), LEAST_SCORE_OF_ROLE).otherwise(LEAST_SCORE)
+    return department_score(x) >= least
+
+
+def troubled_towns(towns: DataFrame, signals: DataFrame) -> DataFrame:
+    """Towns whose home page is blocked or failed, or whose other seed did not help."""
+    value = F.lower(F.trim("value"))
+    seen = lambda kind, *values: F.max(flag((F.col("signal_type") == kind) & (value.isin(*values) if values else F.lit(True)))).alias(kind)
+    rolled = signals.groupBy("municipality_id").agg(
+        seen("blocked_homepage"), F.max(F.when(F.col("signal_type") == "blocked_homepage", F.col("value"))).alias("blocked_homepage_value"),
+        seen("crawl_status", "homepage_fetch_failed"), seen("alternate_seed_attempted", *TRUE_WORDS), seen("alternate_seed_recovered", *TRUE_WORDS[:3]),
+    )
+    df = towns.select("municipality_id", "name").join(rolled, "municipality_id", "left")
+    is_ = lambda f: F.coalesce(F.col(f), F.lit(0)) == 1
+    shown = is_("blocked_homepage") | is_("crawl_status") | (is_("alternate_seed_attempted") & ~is_("alternate_seed_recovered"))
+    return df.filter(shown).select("municipality_id", "name", true_false("blocked_homepage").alias("blocked_homepage"), F.coalesce("blocked_homepage_value", F.lit("")).alias("blocked_homepage_value"), *[true_false(f).alias(f) for f in ("alternate_seed_attempted", "alternate_seed_recovered")])
+
+
+def table_counts(towns: DataFrame, **tables: DataFrame) -> DataFrame:
+    """Rows of each table by town, from one tagged union."""
+    tagged = None
+    for name, df in tables.items():
+        part = df.select("municipality_id", F.lit(name).alias("table"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    counts = tagged.groupBy("municipality_id").agg(*[F.sum(flag(F.col("table") == n)).alias(n) for n in tables])
+    return towns.select("municipality_id").join(counts, "municipality_id", "left").fillna(0)
+
+
+def of_batch(df: DataFrame, manifest: DataFrame, batch_id: str) -> DataFrame:
+    """The rows of the towns of one batch."""
+    mine = manifest.filter(F.lower(F.trim("batch_id")) == batch_id.strip().lower()).select("municipality_id")
+    return df.join(mine.distinct(), "municipality_id", "left_semi")

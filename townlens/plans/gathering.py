@@ -223,3 +223,45 @@ def upsert_service_links(spark, sf_dir):
 @query(f"WITH {with_sql('service_links')} SELECT municipality_id, arg_max_null(label, seq) AS label, arg_max_null(vendor, seq) AS vendor FROM service_links GROUP BY 1")
 def upsert_municipalities(spark, sf_dir):
     return merge.upsert_municipalities(spark_table(spark, sf_dir, "service_links").select("municipality_id", "label", "vendor", "seq"))
+
+
+def _held(words: tuple[str, ...], weight: float) -> str:
+    return " + ".join(f"CASE WHEN contains(b, '{w if ' ' in w else f' {w} '}') THEN {weight} ELSE 0 END" for w in words)
+
+
+DEPARTMENT_SQL = f"""d AS (SELECT contact_id, x, trim(lower(trim(regexp_replace(coalesce(x, ''), '\\s+', ' ', 'g'), ' -:;,.'))) AS l FROM (SELECT contact_id, unnest([title, department]) AS x FROM contacts)),
+e AS (SELECT *, concat(' ', trim(regexp_replace(l, '[^a-z0-9]+', ' ', 'g')), ' ') AS b FROM d),
+s AS (SELECT *, CASE WHEN length(l) < 3 OR length(l) > 120 OR list_contains({list(gather.MENU_TEXTS)!r}, l) OR contains(l, 'click here') THEN 0 ELSE {_held(gather.STRONG_DEPARTMENTS, 2.2)} + {_held(gather.ENTITIES, 1.3)} + {_held(gather.FUNCTIONS, 1.0)} + CASE WHEN l LIKE 'board of %' THEN 1.2 ELSE 0 END END AS score FROM e)"""
+
+
+@query(f"WITH {with_sql('contacts')}, {DEPARTMENT_SQL} SELECT contact_id, x AS text, round(score, 6)::DOUBLE AS score, score >= CASE WHEN regexp_matches(b, ' (assessor|clerk|collector|treasurer|registrar) ') AND len(list_filter(string_split(trim(coalesce(x, '')), ' '), lambda w: w <> '')) <= 4 THEN 0.9 ELSE 2.4 END AS is_department FROM s")
+def department_scores(spark, sf_dir):
+    df = spark_table(spark, sf_dir, "contacts").select("contact_id", F.explode(F.array("title", "department")).alias("text"))
+    return df.select("contact_id", "text", gather.department_score("text").alias("score"), gather.reads_as_department("text").alias("is_department"))
+
+
+ROLLED = "r AS (SELECT municipality_id, max((signal_type = 'blocked_homepage')::INT) AS b, max(CASE WHEN signal_type = 'blocked_homepage' THEN value END) AS v, max((signal_type = 'crawl_status' AND lower(trim(value)) = 'homepage_fetch_failed')::INT) AS f, max((signal_type = 'alternate_seed_attempted' AND lower(trim(value)) IN ('true', '1', 'yes', 'attempted'))::INT) AS a FROM fallback_signals GROUP BY 1)"
+
+
+@query(f"WITH {with_sql('municipalities', 'fallback_signals')}, {ROLLED} SELECT m.municipality_id, m.name, CASE WHEN coalesce(b, 0) = 1 THEN 'true' ELSE 'false' END AS blocked_homepage, coalesce(v, '') AS blocked_homepage_value, CASE WHEN coalesce(a, 0) = 1 THEN 'true' ELSE 'false' END AS alternate_seed_attempted, 'false' AS alternate_seed_recovered FROM municipalities m LEFT JOIN r USING (municipality_id) WHERE coalesce(b, 0) = 1 OR coalesce(f, 0) = 1 OR coalesce(a, 0) = 1")
+def troubled_towns(spark, sf_dir):
+    return gather.troubled_towns(towns(spark, sf_dir), spark_table(spark, sf_dir, "fallback_signals"))
+
+
+COUNTED = ("contacts", "service_links", "locations", "signals", "diagnostics")
+
+
+@query(f"WITH {with_sql('municipalities', *COUNTED)} SELECT m.municipality_id, {', '.join(f'(SELECT count(*) FROM {n} x WHERE x.municipality_id = m.municipality_id) AS {n}' for n in COUNTED)} FROM municipalities m")
+def table_counts(spark, sf_dir):
+    return gather.table_counts(towns(spark, sf_dir), **{n: spark_table(spark, sf_dir, n) for n in COUNTED})
+
+
+@query(f"WITH {with_sql('signals')} SELECT coalesce(signal_type, 'unknown') AS signal_type, count(*) AS n FROM signals GROUP BY 1")
+def signal_type_counts(spark, sf_dir):
+    return spark_table(spark, sf_dir, "signals").groupBy(F.coalesce("signal_type", F.lit("unknown")).alias("signal_type")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {ENRICHED}, {with_sql('manifest')} SELECT contact_id, role_normalized, record_rank FROM enriched WHERE municipality_id IN (SELECT municipality_id FROM manifest WHERE batch_id = 'batch_3')")
+def enriched_batch(spark, sf_dir):
+    """Only the contacts of a batch are enriched: ranks are by a key that holds the town."""
+    return enrich.enrich_contacts(gather.of_batch(spark_table(spark, sf_dir, "contacts"), spark_table(spark, sf_dir, "manifest"), "batch_3")).select("contact_id", "role_normalized", "record_rank")
