@@ -123,8 +123,10 @@ def test_heavy_fingerprints_are_split_off(spark, monkeypatch):
     rows = [(i, "one text of all") for i in range(300)] + [(1000 + i, None) for i in range(200)] + [(2000 + i, f"text number {i % 7} of some") for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     one = sorted(map(tuple, simhash.near_duplicates(df).collect()))
+    alike = sorted(map(tuple, simhash.similar_groups(df).collect()))
     for heavy, size in ((100, 16 << 20), (100, 0), (3, 16 << 20)):
         monkeypatch.setattr(simhash, "HEAVY", heavy)
         monkeypatch.setattr(simhash, "HEAVY_BYTES", size)
         assert sorted(map(tuple, simhash.near_duplicates(df).collect())) == one
+        assert sorted(map(tuple, simhash.similar_groups(df).collect())) == alike
     assert len(one) == 540 and one[299][2] == 0 and one[300][2] == 1000

@@ -18,7 +18,8 @@ themselves. Equal sets are one node. Each document is first held against the lea
 documents are then of one group needs no further pair, so a large group of near copies makes no square of pairs.
 
 Defined cases: a null or wordless text has fingerprint zero and is linked like any other; fewer than three words make
-one shingle; repeated rows are copies; a null doc_id keeps its row and never becomes a component_id unless alone.
+one shingle; repeated rows are copies; a null doc_id keeps its row and never becomes a component_id unless alone; columns of
+other names, whatever they are, are not read.
 """
 
 from __future__ import annotations
@@ -154,19 +155,25 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     return state.select("node", "component")
 
 
+def by_key(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """Rows with the class of their key, null where there is none; classes: one row a key, with n, its number of rows. Keys
+    of very many rows, of which there are few, meet these where they lie: no key of the join is hot."""
+    classes = written(classes, "classes")
+    heavy = classes.filter(F.col("n") > HEAVY).drop("n")
+    if heavy.count() * 24 > HEAVY_BYTES:
+        return rows.join(classes.drop("n"), key, "left")
+    few = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(classes.filter(F.col("n") <= HEAVY).drop("n"), key, "left")
+    return rows.join(F.broadcast(heavy), key).unionByName(few)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for each row of docs."""
     prints = written(fingerprints(docs, id_col, text), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "nodes")
     found = written(links(nodes.filter("node is not null")), "links")
     groups = components(found)
-    classes = written(nodes.join(groups, "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component_id")), "classes")
-    heavy = classes.filter(F.col("n") > HEAVY).drop("n")
-    if heavy.count() * 24 > HEAVY_BYTES:
-        named = prints.join(classes.drop("n"), "fp")
-    else:  # fingerprints of many rows, of which there are few, meet their rows where these lie; no key of the join is hot
-        few = prints.join(F.broadcast(heavy.select("fp")), "fp", "left_anti").join(classes.filter(F.col("n") <= HEAVY).drop("n"), "fp")
-        named = prints.join(F.broadcast(heavy), "fp").unionByName(few)
+    classes = nodes.join(groups, "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component_id"))
+    named = by_key(prints, classes, "fp")
     return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -239,7 +246,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
     """(doc_id, component_id), one row for each row of docs: groups by Jaccard similarity of the word shingles."""
     source = narrow(docs, id_col, text)
     sets = written(_sets(source, shingle, True), "shingles")
-    nodes = written(sets.groupBy("same").agg(F.min("doc_id").alias("node"), F.any_value("found").alias("keys")).filter("node is not null"), "nodes")
+    nodes = written(sets.groupBy("same").agg(F.min("doc_id").alias("node"), F.any_value("found").alias("keys"), F.count("*").alias("n")).filter("node is not null"), "nodes")
     keyed = written(nodes.select("same", F.explode("keys").alias("key")), "keys")
     least = keyed.groupBy("key").agg(F.min("same").alias("u"), F.count("*").alias("n")).filter("n > 1").select("key", "u")
     first = written(keyed.join(least, "key").filter("same <> u").select("u", F.col("same").alias("v")).distinct(), "pairs")
@@ -254,9 +261,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
     second = written(second.join(first, ["u", "v"], "left_anti"), "pairs")
     near = near.unionByName(_verified(second, nodes, source, shingle, similarity))
 
-    classes = nodes.join(components(near).select(F.col("node").alias("same"), "component"), "same", "left").select("same", "node", F.coalesce("component", "same").alias("component"))
+    classes = nodes.join(components(near).select(F.col("node").alias("same"), "component"), "same", "left").select("same", "node", "n", F.coalesce("component", "same").alias("component"))
     named = classes.groupBy("component").agg(F.min("node").alias("component_id"))
-    return sets.select("doc_id", "same").join(classes.join(named, "component").select("same", "component_id"), "same", "left").select("doc_id", "component_id")
+    return by_key(sets.select("doc_id", "same"), classes.join(named, "component").select("same", "n", "component_id"), "same").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ run of spaced-out letters, is decoded whole, however long, and once a worker; a
 the lexicon, by a look that admits every reading the lattice has, adds nothing to the score and is not decoded.
 
 Defined cases: null and empty texts have the score of a document without a telling word; labels that are null are not
-used; repeated labels of one id count once (the highest); no usable label at all gives every document the same score.
+used; repeated labels of one id count once (the highest); no usable label at all gives every document the same score;
+repeated rows and rows without an id are scored each; columns of other names, whatever they are, are not read.
 """
 
 from __future__ import annotations
