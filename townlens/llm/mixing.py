@@ -27,7 +27,7 @@ from townlens.llm.spans import let
 
 #: Rounds at most of the first kind and of the second; share of the target at which it counts as met, and fall of the squared
 #: residual, as a share of the squared target, at which it counts as least.
-ROUNDS, PLAIN_ROUNDS, TOLERANCE, UNMET, STILL = 40, 120, 1e-6, 1e-3, 1e-8
+ROUNDS, PLAIN_ROUNDS, TOLERANCE, UNMET, STILL = 40, 120, 1e-6, 1e-3, 1e-6
 MAX_DOMAINS = 64
 #: Bin edges of the features: share of signs, share of distinct words, mean word length.
 EDGES = {
