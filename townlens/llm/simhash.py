@@ -15,7 +15,9 @@ Beside the fingerprints there is a stage by shingle similarity (similar_groups):
 have a Jaccard similarity of at least `similarity` are linked. Candidates are documents that share one of BANDS keys of
 ROWS minhashes each (a pair at 0.8 is missed with a chance of 3 in 100,000), and each link is verified on the sets
 themselves. Equal sets are one node. Each document is first held against the least of its bucket; a bucket whose
-documents are then of one group needs no further pair, so a large group of near copies makes no square of pairs.
+documents are then of one group needs no further pair. Documents of the other buckets are compared where their rarest
+shingles meet, first with the least changed of them, then with all of other groups that can be similar, which misses none: neither a large group of near copies nor a passage that many documents
+share makes a square of pairs.
 
 Defined cases: a null or wordless text has fingerprint zero and is linked like any other; fewer than three words make
 one shingle; repeated rows are copies; a null doc_id keeps its row and never becomes a component_id unless alone; columns of
@@ -242,6 +244,33 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     return out
 
 
+def _prefixes(mixed: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(same, gram, n, left): the first shingles of each of the sets of mixed (same), rare ones first, and how many of its n
+    are left from there on; written. Similar sets share one of their first n - similarity * n + 1 shingles."""
+    ids = nodes.join(mixed.select("same"), "same", "left_semi").select(F.col("node").alias("doc_id")).distinct()
+    one = written(_sets(docs.join(ids, "doc_id", "left_semi"), shingle, False).dropDuplicates(["same"]).select("same", F.explode("found").alias("gram")), "grams")
+    often = one.groupBy("gram").agg(F.count("*").alias("often"))
+    order = F.sort_array(F.collect_list(F.struct("often", "gram"))).alias("order")  # the shingles of one text
+    sets = one.join(often, "gram").groupBy("same").agg(order, F.count("*").alias("n"))
+    first = F.slice("order", F.lit(1), (F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).cast("int"))
+    return written(sets.select("same", "n", F.posexplode(first).alias("at", "x")).filter("x.often > 1").select("same", "x.gram", "n", (F.col("n") - F.col("at")).alias("left")), "prefixes")
+
+
+def _prefix_pairs(tokens: DataFrame, component: DataFrame, similarity: float, star: bool) -> DataFrame:
+    """(u, v): pairs of different components that can be similar, as where they first meet enough is left of both:
+    documents that share what many share, and differ else, meet late. star: each with the one document of a shingle alone
+    that has most left of it, which is the least changed of a group of near copies."""
+    named = tokens.join(component, "same", "left").withColumn("component", F.coalesce("component", "same"))
+    split = named.groupBy("gram").agg((F.min("component") < F.max("component")).alias("split"), F.max_by("same", F.struct(F.col("left") / F.col("n"), "same")).alias("head")).filter("split").select("gram", "head")
+    named = written(named.join(split, "gram"), "named")
+    x = (named.filter("same = head") if star else named).select("gram", F.col("same").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"), F.col("left").alias("lu"))
+    y = named.select(F.col("gram").alias("gram_"), F.col("same").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"), F.col("left").alias("lv"))
+    sizes = F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-9
+    left = F.least("lu", "lv") >= similarity / (1 + similarity) * (F.col("nu") + F.col("nv")) - 1e-9
+    can = (F.col("gram") == F.col("gram_")) & (F.col("cu") != F.col("cv")) & sizes & left & (F.lit(True) if star else F.col("u") < F.col("v"))
+    return written(x.hint("merge").join(y, can).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, component_id), one row for each row of docs: groups by Jaccard similarity of the word shingles."""
     source = narrow(docs, id_col, text)
@@ -254,12 +283,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
 
     grouped = keyed.join(components(near).select(F.col("node").alias("same"), "component"), "same", "left").withColumn("component", F.coalesce("component", "same"))
     split = grouped.groupBy("key").agg((F.min("component") < F.max("component")).alias("split")).filter("split").select("key")
-    mixed = written(grouped.join(split, "key", "left_semi"), "mixed")
-    x = mixed.select("key", F.col("same").alias("u"), F.col("component").alias("cu"))
-    y = mixed.select("key", F.col("same").alias("v"), F.col("component").alias("cv"))
-    second = x.hint("merge").join(y, "key").filter("u < v and cu <> cv").select("u", "v").distinct()
-    second = written(second.join(first, ["u", "v"], "left_anti"), "pairs")
-    near = near.unionByName(_verified(second, nodes, source, shingle, similarity))
+    mixed = written(grouped.join(split, "key", "left_semi").select("same", "component").distinct(), "mixed")
+    tokens = _prefixes(mixed, nodes, source, shingle, similarity)
+    for star in (True, False):
+        found = components(near).select(F.col("node").alias("same"), "component")
+        near = near.unionByName(_verified(_prefix_pairs(tokens, found, similarity, star), nodes, source, shingle, similarity))
 
     classes = nodes.join(components(near).select(F.col("node").alias("same"), "component"), "same", "left").select("same", "node", "n", F.coalesce("component", "same").alias("component"))
     named = classes.groupBy("component").agg(F.min("node").alias("component_id"))
