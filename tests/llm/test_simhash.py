@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -130,3 +131,39 @@ def test_heavy_fingerprints_are_split_off(spark, monkeypatch):
         assert sorted(map(tuple, simhash.near_duplicates(df).collect())) == one
         assert sorted(map(tuple, simhash.similar_groups(df).collect())) == alike
     assert len(one) == 540 and one[299][2] == 0 and one[300][2] == 1000
+
+
+def test_similar_groups_against_brute_force(spark):
+    """A large group of near copies, a passage that dissimilar documents share, chains, copies and short texts."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, passage, texts = fresh(120), fresh(90), []
+    for k in range(60):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append(words)
+    texts += [passage + fresh(rng.randint(5, 60)) for _ in range(60)]
+    chain = fresh(150)
+    for k in range(12):
+        texts.append(list(chain))
+        at = 12 * k
+        chain[at : at + 2] = fresh(2)
+    texts += [fresh(rng.randint(1, 7)) for _ in range(20)] + [texts[3], texts[70], [], []]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for _, t in rows]
+    low = list(range(len(rows)))
+
+    def top(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if sets[i] == sets[j] or (both and both >= 0.8 * len(sets[i] | sets[j])):
+            a, b = sorted((top(i), top(j)))
+            low[b] = a
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {i: top(i) for i in range(len(rows))}
+    assert len(set(got.values())) > 60 and max(Counter(got.values()).values()) > 25
