@@ -85,15 +85,15 @@ def latest(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
 
 
-def coverage_summary(summary: DataFrame, missing: DataFrame, diagnostics: DataFrame) -> DataFrame:
-    """One row: towns, blocked, unblocked, without yield, with a missing group, fully covered."""
+def coverage_summary(summary: DataFrame, missing: DataFrame, diagnostics: DataFrame, batch_id: str = "") -> DataFrame:
+    """One row of a batch: towns, blocked, unblocked, without yield, with a missing group, fully covered."""
     blocked = latest(diagnostics).select("municipality_id", effectively_blocked().alias("blocked"))
     df = summary.join(blocked, "municipality_id", "left").join(missing.select("municipality_id", F.lit(True).alias("lacks")), "municipality_id", "left")
     df = df.select(F.coalesce("blocked", F.lit(False)).alias("b"), F.coalesce("lacks", F.lit(False)).alias("m"), ((F.col("raw") == 0) & (F.col("clean") == 0) & (F.col("winners") == 0)).alias("z"))
     n = lambda test: F.coalesce(F.sum(flag(test)), F.lit(0))
     out = df.agg(F.count("*").alias("municipalities_total"), n(F.col("b")).alias("municipalities_blocked"), n(~F.col("b")).alias("municipalities_unblocked"), n(~F.col("b") & F.col("z")).alias("municipalities_with_zero_yield_unblocked"), n(~F.col("b") & F.col("m")).alias("municipalities_with_any_missing_groups_unblocked"))
     full = F.greatest(F.lit(0).cast("long"), F.col("municipalities_unblocked") - F.col("municipalities_with_any_missing_groups_unblocked"))
-    return out.withColumn("municipalities_fully_covered_unblocked", full)
+    return out.select(F.lit(batch_id).alias("batch_id"), "*", full.alias("municipalities_fully_covered_unblocked"))
 
 
 def vendor_rollup(towns: DataFrame, summary: DataFrame, missing: DataFrame, diagnostics: DataFrame, column: str = "platform") -> DataFrame:

@@ -247,9 +247,9 @@ def batch_summary(spark, sf_dir):
     return summary(spark, sf_dir)[0]
 
 
-@query(f"WITH {SUMMARY}, {with_sql('diagnostics')}, {DIAGNOSED}, f AS (SELECT s.*, coalesce(l.blocked, FALSE) AS b, x.municipality_id IS NOT NULL AS lacks FROM summary s LEFT JOIN last l USING (municipality_id) LEFT JOIN missing x USING (municipality_id)) SELECT count(*) AS municipalities_total, count(*) FILTER (b) AS municipalities_blocked, count(*) FILTER (NOT b) AS municipalities_unblocked, count(*) FILTER (NOT b AND raw = 0 AND clean = 0 AND winners = 0) AS municipalities_with_zero_yield_unblocked, count(*) FILTER (NOT b AND lacks) AS municipalities_with_any_missing_groups_unblocked, greatest(0, count(*) FILTER (NOT b) - count(*) FILTER (NOT b AND lacks)) AS municipalities_fully_covered_unblocked FROM f")
+@query(f"WITH {SUMMARY}, {with_sql('diagnostics')}, {DIAGNOSED}, f AS (SELECT s.*, coalesce(l.blocked, FALSE) AS b, x.municipality_id IS NOT NULL AS lacks FROM summary s LEFT JOIN last l USING (municipality_id) LEFT JOIN missing x USING (municipality_id)) SELECT 'all' AS batch_id, count(*) AS municipalities_total, count(*) FILTER (b) AS municipalities_blocked, count(*) FILTER (NOT b) AS municipalities_unblocked, count(*) FILTER (NOT b AND raw = 0 AND clean = 0 AND winners = 0) AS municipalities_with_zero_yield_unblocked, count(*) FILTER (NOT b AND lacks) AS municipalities_with_any_missing_groups_unblocked, greatest(0, count(*) FILTER (NOT b) - count(*) FILTER (NOT b AND lacks)) AS municipalities_fully_covered_unblocked FROM f")
 def coverage_summary(spark, sf_dir):
-    return reports.coverage_summary(*summary(spark, sf_dir), spark_table(spark, sf_dir, "diagnostics"))
+    return reports.coverage_summary(*summary(spark, sf_dir), spark_table(spark, sf_dir, "diagnostics"), "all")
 
 
 @query(f"WITH {SUMMARY}, {with_sql('diagnostics')}, {DIAGNOSED} SELECT coalesce(nullif(trim(platform), ''), '(blank)') AS vendor, count(*) AS towns, count(*) FILTER (coalesce(blocked, FALSE)) AS blocked, count(*) FILTER (NOT coalesce(blocked, FALSE) AND x.municipality_id IS NULL) AS fully_covered, count(*) FILTER (x.municipality_id IS NOT NULL) AS with_missing_groups, sum(raw)::BIGINT AS raw_contacts, sum(winners)::BIGINT AS role_winners FROM summary s LEFT JOIN last l USING (municipality_id) LEFT JOIN missing x ON x.municipality_id = s.municipality_id GROUP BY 1")
