@@ -228,3 +228,16 @@ def validate(**frames: DataFrame) -> DataFrame:
         one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows", (F.col("rows") > 0).alias("ok"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def tagged_metrics(candidates: DataFrame, winners: DataFrame, contacts: DataFrame) -> DataFrame:
+    """One row about the rows of one page reader: candidates, and winners by the pages they come from. contacts: enriched."""
+    mine = candidates.filter("is_revize = 1")
+    n = lambda test: F.coalesce(F.sum(flag(test)), F.lit(0)).cast("long")
+    scored = mine.agg(F.count("*").alias("candidates_scored"), n(F.col("candidate_state") == "candidate_for_review").alias("candidates_for_review"), n(F.col("invalid_candidate_disqualified") == 1).alias("invalid_candidates_disqualified"))
+    won = winners.select("contact_id", "forced_fallback").join(contacts.select("contact_id", low("source_context").alias("context"), low("page_type").alias("page")), "contact_id").filter(F.col("context").startswith("revize:"))
+    on = lambda kind: n(F.col("context").contains(f"page_class={kind}") | (F.col("page") == kind))
+    chosen = won.agg(F.count("*").alias("winners_selected"), on("staff_directory").alias("winners_from_staff_directory"), on("department_page").alias("winners_from_department_pages"), on("contact_hub").alias("winners_from_contact_hubs"), n(F.col("context").startswith("revize:reconstructed_contact_block")).alias("reconstructed_winners"), n(F.col("forced_fallback") == 1).alias("forced_fallback_winners"))
+    key = ["municipality_id", "role_normalized"]
+    open_roles = mine.select(*key).distinct().join(winners.filter(filled("role_normalized")).select(*key), key, "left_anti").agg(F.count("*").alias("roles_with_no_winner"))
+    return scored.join(chosen).join(open_roles)  # one row each

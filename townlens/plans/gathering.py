@@ -265,3 +265,14 @@ def signal_type_counts(spark, sf_dir):
 def enriched_batch(spark, sf_dir):
     """Only the contacts of a batch are enriched: ranks are by a key that holds the town."""
     return enrich.enrich_contacts(gather.of_batch(spark_table(spark, sf_dir, "contacts"), spark_table(spark, sf_dir, "manifest"), "batch_3")).select("contact_id", "role_normalized", "record_rank")
+
+
+@query(f"""WITH {SCORED}, w AS (SELECT cl, lower(coalesce(page_type, '')) AS p, forced_fallback FROM winners WHERE cl LIKE 'revize:%')
+SELECT (SELECT count(*) FROM cand WHERE tagged) AS candidates_scored, (SELECT count(*) FROM cand WHERE tagged AND candidate_state = 'candidate_for_review') AS candidates_for_review, (SELECT count(*) FROM cand WHERE tagged AND invalid_candidate_disqualified = 1) AS invalid_candidates_disqualified,
+ (SELECT count(*) FROM w) AS winners_selected, (SELECT count(*) FROM w WHERE cl LIKE '%page_class=staff_directory%' OR p = 'staff_directory') AS winners_from_staff_directory, (SELECT count(*) FROM w WHERE cl LIKE '%page_class=department_page%' OR p = 'department_page') AS winners_from_department_pages, (SELECT count(*) FROM w WHERE cl LIKE '%page_class=contact_hub%' OR p = 'contact_hub') AS winners_from_contact_hubs,
+ (SELECT count(*) FROM w WHERE cl LIKE 'revize:reconstructed_contact_block%') AS reconstructed_winners, (SELECT count(*) FROM w WHERE forced_fallback = 1) AS forced_fallback_winners,
+ (SELECT count(*) FROM (SELECT DISTINCT municipality_id, role_normalized FROM cand WHERE tagged EXCEPT SELECT municipality_id, role_normalized FROM winners)) AS roles_with_no_winner""")
+def tagged_metrics(spark, sf_dir):
+    df = settled_enriched(spark, sf_dir)
+    sc = cand.score_candidates(df)
+    return reports.tagged_metrics(sc, cand.best_role_per_town(sc), df)
