@@ -37,9 +37,13 @@ def written(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame:
 def forget(df: DataFrame) -> None:
     """Remove a table made by written() that no later read needs."""
     if path := getattr(df, "_townlens_path", None):
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package wrote."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_of(df: DataFrame, text: str = "text") -> Column:

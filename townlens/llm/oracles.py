@@ -14,4 +14,24 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLES = {"op7_block_topk": TOPK}
+#: Removal of repeated bytes: all windows of 50 bytes, as 100 hex digits, with their least documents.
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, row_number() OVER () AS r FROM documents),
+w AS (SELECT r, doc_id, unnest(range(0, length(h) // 2 - 49)) AS p, unnest(list_transform(range(0, length(h) // 2 - 49), lambda p: substr(h, 2 * p + 1, 100))) AS s FROM d),
+gone AS (SELECT r, p FROM (SELECT r, doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE least < doc_id),
+marked AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM gone),
+runs AS (
+  SELECT r, min(p) AS a, max(p) + 50 AS z
+  FROM (SELECT r, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS run FROM marked) GROUP BY r, run
+), cuts AS (SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS kept_from FROM runs),
+rest AS (
+  SELECT d.r, coalesce(string_agg(substr(h, CAST(2 * kept_from + 1 AS BIGINT), CAST(2 * (a - kept_from) AS BIGINT)), '' ORDER BY a), '') AS before_last,
+    coalesce(max(z), 0) AS last, coalesce(sum(z - a), 0) AS removed, count(z) AS n
+  FROM d LEFT JOIN cuts ON d.r = cuts.r GROUP BY d.r
+)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans,
+  sha256(unhex(before_last || substr(h, CAST(2 * last + 1 AS BIGINT)))) AS kept_sha256
+FROM d JOIN rest ON d.r = rest.r
+"""
+
+ORACLES = {"op7_block_topk": TOPK, "op12_suffix_dedup": REPEATS}
