@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,21 @@ def narrow(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     return df.select(df[id_col].alias("doc_id"), text_of(df, text).alias("text"))
 
 
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows, written, with `at`, their place in their tree from 0, and `n`, the rows of their tree. Rows are dealt by ranges of
+    (tree, order) and each range counts its own, so that a tree may hold all rows. Equal rows get their places in any order."""
+    keys = [F.col(c).asc_nulls_first() for c in ("tree", *order)]
+    held = written(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("row_no", F.monotonically_increasing_id()), "sorted")
+    parts = held.groupBy("tree", F.shiftright("row_no", 33).alias("part")).agg(F.min("row_no").alias("low"), F.count("*").alias("size"))
+    tree = Window.partitionBy("tree")
+    before = F.coalesce(F.sum("size").over(tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select("tree", "part", (before - F.col("low")).alias("move"), F.sum("size").over(tree).alias("n"))
+    placed = held.withColumn("part", F.shiftright("row_no", 33)).join(parts, ["tree", "part"])
+    out = written(placed.withColumn("at", F.col("row_no") + F.col("move")).drop("part", "row_no", "move"), "numbered")
+    forget(held)
+    return out
+
+
 _MEMOS: dict[str, object] = {}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townlens.llm import decontaminate, html_extract, mixing, pii, secret_scan, simhash, suffix_dedup, token_counts, token_output, topk, toxicity
+from townlens.llm import decontaminate, html_extract, importance, merkle, mixing, pii, secret_scan, simhash, suffix_dedup, token_counts, token_output, topk, toxicity
 from townlens.llm.common import table
 
 #: Shares of the tokens that documents of low (0) and high (1) quality should have.
@@ -56,17 +56,26 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("spans", "kept")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ALL = (op1_toxicity_noisy_channel, op2_pii_bootstrap, op3_secret_linking, op4_token_counts, op5_soft_mixing, op6_wrapper_induction, op7_block_topk, op8_simhash_golay, op9_template_decontamination, op10_token_output, op12_suffix_dedup, pipeline)
+ALL = (op1_toxicity_noisy_channel, op2_pii_bootstrap, op3_secret_linking, op4_token_counts, op5_soft_mixing, op6_wrapper_induction, op7_block_topk, op8_simhash_golay, op9_template_decontamination, op10_token_output, op11_importance_resampling, op12_suffix_dedup, op13_merkle_manifest, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
