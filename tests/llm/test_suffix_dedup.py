@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,11 +86,23 @@ def test_other_widths_and_empty_table(spark):
         suffix_dedup.remove_repeats(docs, width=20)
 
 
-def test_finds_the_few_shared_windows_of_differing_pieces():
-    a, b = b"0123456789" * 6, b"789" + b"0123456789" * 5 + b"zzzz"
-    text, window, group = suffix_dedup.shared_windows([a, b], 50)
-    assert {(int(t), int(w)) for t, w in zip(text, window)} >= {(0, 0), (1, 3)}
-    assert len({int(g) for t, w, g in zip(text, window, group) if (t, w) in ((0, 0), (1, 3))}) == 1
+def test_shared_windows_are_those_of_equal_bytes():
+    rng = random.Random(2)
+    core = bytes(rng.choices(range(256), k=90))
+    for core in (core, b"ab" * 40, b"abc" * 10 + bytes(range(100, 160))):
+        raw = [core, core[20:80] + b"!" * 9, b"?" * 4 + core[:70], core[10:60]]
+        at, length, key = suffix_dedup.pieces(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw]), 50)
+        texts = sorted({(k, b"".join(raw)[a : a + n + 49]) for a, n, k in zip(at.tolist(), length.tolist(), key.tolist())})
+        keys, texts = np.array([k for k, _ in texts], np.uint64), [x for _, x in texts]
+        text, window, group = suffix_dedup.shared_windows(texts, keys, 50)
+        got = {}
+        for t, w, g in zip(text.tolist(), window.tolist(), group.tolist()):
+            got.setdefault(g, set()).add((t, w))
+        want = {}
+        for t, x in enumerate(texts):
+            for w in range(len(x) - 49):
+                want.setdefault(x[w : w + 50], set()).add((t, w))
+        assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
 def test_removes_passages_of_the_table_and_leaves_the_first(spark):

@@ -9,7 +9,7 @@ name equal keys, so windows meet by key, and neighbouring windows of one key tra
 3. Each block sends its distinct pieces of the keys that are left, each with its least document.
 4. Where pieces of one key differ, a suffix array of them brings equal windows together (`suffix_array`: suffixes are grouped
    by their Lyndon prefixes in descending order, then each group's order is emitted); the least document of a run of equal
-   windows is the one that keeps them.
+   windows is the one that keeps them. The string that gave the key is one symbol there, as every window of the key has it.
 5. The verdicts go back to the blocks, which cut the bytes.
 
 Blocks send each distinct thing once, so no copy, line or passage makes a key hot by its copies. A key with more than HOT
@@ -135,15 +135,17 @@ def suffix_array(t: list[int]) -> list[int]:
     return order
 
 
-def window_keys(raw: np.ndarray, width: int, gram: int) -> np.ndarray:
-    """The key of each window of `width` bytes: the least hash of the `gram`-byte strings in it, from sums that double."""
+def grown(x: np.ndarray, size: int, join) -> np.ndarray:
+    """join() over each `size` neighbours, from spans that double."""
+    span = 1
+    while span * 2 <= size:
+        x = join(x[:-span], x[span:])
+        span *= 2
+    return join(x[: len(x) - (size - span)], x[size - span :]) if size > span else x
 
-    def grown(x: np.ndarray, size: int, join) -> np.ndarray:
-        span = 1
-        while span * 2 <= size:
-            x = join(x[:-span], x[span:])
-            span *= 2
-        return join(x[: len(x) - (size - span)], x[size - span :]) if size > span else x
+
+def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each string of `gram` bytes."""
 
     def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         y = a * np.uint64(0xBF58476D1CE4E5B9) + b
@@ -152,8 +154,13 @@ def window_keys(raw: np.ndarray, width: int, gram: int) -> np.ndarray:
 
     x = (raw.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     x = grown(x, gram, mixed) * np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(32)
-    return grown(x, width - gram + 1, np.minimum)
+    return x ^ (x >> np.uint64(32))
+
+
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """Keys of hashes: the least of several are small, so they are spread again."""
+    x = hashes * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
 
 def pieces(raw: np.ndarray, ends: np.ndarray, width: int, gram: int = GRAM, step: int = SLICE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +168,7 @@ def pieces(raw: np.ndarray, ends: np.ndarray, width: int, gram: int = GRAM, step
     starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for low in range(0, max(len(raw) - width + 1, 0), step):
-        keys = window_keys(raw[low : low + step + width - 1], width, gram)
+        keys = grown(gram_hashes(raw[low : low + step + width - 1], gram), width - gram + 1, np.minimum)
         n = len(keys)
         inside, cut = np.zeros(n + 1, np.int8), np.zeros(n, bool)
         a, z = np.clip(starts - low, 0, n), np.clip(np.maximum(ends - width + 1, starts) - low, 0, n)
@@ -182,8 +189,7 @@ def pieces(raw: np.ndarray, ends: np.ndarray, width: int, gram: int = GRAM, step
             at = np.repeat(at, parts) + nth * RUN
         keep = inside[at]
         at, length = at[keep], length[keep]
-        key = keys[at] * np.uint64(0xD6E8FEB86659FD93)  # least hashes are small: spread them again
-        found.append((at + low, length, key ^ (key >> np.uint64(32))))
+        found.append((at + low, length, spread(keys[at])))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -332,27 +338,56 @@ def pieces_of_block(width: int, buckets: int, step: int):
     return run
 
 
-def shared_windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Groups of equal windows of the texts, from their suffix array: text, window in it, group. Windows that no other
-    window equals are left out."""
+def shortened(texts: list[bytes], keys: np.ndarray, width: int) -> list[int]:
+    """Where in each text the one string is whose hash is the text's key, for keys all of whose texts have it once; else -1.
+    Windows of such a key all hold that string, so one symbol may stand for it."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(x) for x in texts])
+    ends = np.cumsum(sizes)
+    hashes = spread(gram_hashes(data, GRAM))
+    at = np.arange(len(hashes))
+    of = np.searchsorted(ends, at, "right")
+    hit = (hashes == keys[of]) & (at + GRAM <= ends[of])
+    times = np.bincount(of[hit], minlength=len(texts))
+    place = np.full(len(texts), -1)
+    place[of[hit]] = at[hit] - (ends - sizes)[of[hit]]
+    _, group = np.unique(keys, return_inverse=True)
+    odd = np.bincount(group, weights=times != 1) > 0
+    return np.where(odd[group], -1, place).tolist()
+
+
+def shared_windows(texts: list[bytes], keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Groups of equal windows of texts of one key, from the suffix array of all texts: text, window in it, group. Windows
+    that no other window equals are left out."""
     symbols: list[int] = []
-    for x in texts:
-        symbols += [c + 1 for c in x]
+    places, numbers = shortened(texts, keys, width), np.unique(keys, return_inverse=True)[1].tolist()
+    for x, place, number in zip(texts, places, numbers):
+        if place >= 0:
+            symbols += [c + 1 for c in x[:place]]
+            symbols.append(257 + number)
+            symbols += [c + 1 for c in x[place + GRAM :]]
+        else:
+            symbols += [c + 1 for c in x]
         symbols.append(0)
-    sizes = np.array([len(x) for x in texts])
+    short = np.array(places) >= 0
+    sizes = np.array([len(x) for x in texts]) - short * (GRAM - 1)
+    widths = width - short * (GRAM - 1)
     base = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    flat = np.array(symbols, np.uint16)
+    flat = np.array(symbols, np.int32)
     order = np.array(suffix_array(symbols), np.int64)
     text = np.searchsorted(base, order, "right") - 1
     window = order - base[text]
-    keep = window <= sizes[text] - width
+    keep = window <= (sizes - widths)[text]
     order, text, window = order[keep], text[keep], window[keep]
-    view = np.lib.stride_tricks.sliding_window_view(flat, width)
     same = np.zeros(len(order), bool)
-    for low in range(1, len(order), 1 << 16):
-        some = order[low - 1 : low + (1 << 16)]
-        got = view[some]
-        same[low : low + len(some) - 1] = (got[1:] == got[:-1]).all(axis=1)
+    for kind, size in ((True, width - GRAM + 1), (False, width)):
+        own = np.flatnonzero(short[text] == kind)  # windows of either kind differ: only one holds such a symbol
+        if len(own):
+            view = np.lib.stride_tricks.sliding_window_view(flat, size)
+            for low in range(1, len(own), 1 << 16):
+                some = own[low - 1 : low + (1 << 16)]
+                got = view[order[some]]
+                same[some[1:]] = (got[1:] == got[:-1]).all(axis=1) & (np.diff(some) == 1)
     group = np.cumsum(~same)
     keep = same.copy()
     keep[:-1] |= same[1:]
@@ -377,8 +412,9 @@ def verdicts(width: int, batch: int):
         _, least, _ = reduced(text, doc, np.minimum)
         bits = np.zeros(len(at), np.uint32)  # for the least document of each distinct piece
         for some in differing(all_texts, key[at], width, batch):
-            t, w, g = shared_windows([all_texts[i] for i in some], width)
-            t = np.array(some)[t]
+            some = np.array(some)
+            t, w, g = shared_windows([all_texts[i] for i in some.tolist()], key[at][some], width)
+            t = some[t]
             _, low, sizes = reduced(g, least[t], np.minimum)
             goes = np.repeat(low, sizes) < least[t]
             np.bitwise_or.at(bits, t[goes], np.uint32(1) << w[goes].astype(np.uint32))
