@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ WIDTH = 50
 #: Bytes of the strings whose least hash is a window's key: shorter ones meet by chance, longer ones make more pieces.
 GRAM = 24
 #: Bytes of text that one group of a pass reads, and groups to a file.
-BLOCK, PER_FILE = 1 << 20, 8
+BLOCK, PER_FILE = 1 << 21, 4
 #: Windows hashed at a time, windows of one piece at most, symbols of one suffix array (a key is never parted).
 SLICE, RUN, BATCH = 1 << 18, 32, 60_000
 #: Pieces of one key beyond which its windows are dealt one by one.
@@ -329,10 +330,11 @@ def pieces_of_block(width: int, buckets: int, step: int):
         texts_of = list(known)
         for i in np.flatnonzero(is_hot[first]).tolist():
             key[first[i]] = xxhash.xxh3_64_intdigest(texts_of[i])
+        pack = zstandard.ZstdCompressor(level=3)  # pieces overlap little, but share words: half of what shuffle files make of them
         out = [(-1, number, planes(at), planes(length.astype(np.uint8)), planes(stands.astype(np.uint32)), planes((doc > doc[stands]).astype(np.uint8)))]
         for bucket, which in dealt(key[first], buckets):
             i = first[which]
-            out.append((bucket, number, planes(key[i]), planes(doc[i]), planes(i.astype(np.uint32)), planes(length[i].astype(np.uint8)), b"".join([texts_of[k] for k in which.tolist()])))
+            out.append((bucket, number, planes(key[i]), planes(doc[i]), planes(i.astype(np.uint32)), planes(length[i].astype(np.uint8)), pack.compress(b"".join([texts_of[k] for k in which.tolist()]))))
         return sent(out)
 
     return run
@@ -400,10 +402,11 @@ def verdicts(width: int, batch: int):
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block")
         known: dict[bytes, int] = {}
+        unpack = zstandard.ZstdDecompressor()
         text, key, doc, length, place, owner = [], [], [], [], [], []
         for block, k, d, i, n, t in zip(*(rows[c].to_pylist() for c in ("block", "a", "b", "c", "d", "e"))):
             k, d, i, n = unplanes(k, np.uint64), unplanes(d, np.int64), unplanes(i, np.uint32), unplanes(n, np.uint8).astype(np.int64)
-            z = np.cumsum(n + width - 1)
+            t, z = unpack.decompress(t), np.cumsum(n + width - 1)
             text.append(np.fromiter((known.setdefault(t[a:e], len(known)) for a, e in zip((z - n - width + 1).tolist(), z.tolist())), np.int64, len(n)))
             key.append(k), doc.append(d), length.append(n), place.append(i), owner.append(np.full(len(n), block))
         text, key, doc, length, place, owner = (np.concatenate(x) for x in (text, key, doc, length, place, owner))
@@ -506,7 +509,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = narrow(docs, id_col, text).withColumn("doc_id", F.col("doc_id").cast("long"))
     size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, -(-size // block))
-    files, buckets = max(1, -(-blocks // PER_FILE)), max(1, blocks // 4)
+    files, buckets = max(1, -(-blocks // PER_FILE)), max(1, blocks // 2)
     name, path = f"townlens_{uuid.uuid4().hex}", f"{shared_dir(spark)}/townlens/blocks-{uuid.uuid4().hex}"
     rows = rows.withColumn("block", F.expr(f"pmod(xxhash64(doc_id, text), {blocks})"))
     rows.repartition(files, "block").write.option("path", path).option("compression", "zstd").bucketBy(files, "block").saveAsTable(name)
