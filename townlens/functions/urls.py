@@ -1,4 +1,4 @@
-"""Column functions on absolute urls."""
+"""Column functions on urls: their parts, references made absolute, one form for each."""
 
 from __future__ import annotations
 
@@ -50,3 +50,57 @@ def normalized_path(url: Column | str) -> Column:
     """Decoded path in lower case, slashes squeezed, none at the end; / for the root."""
     p = F.regexp_replace(F.lower(F.try_url_decode(F.replace(path(url), F.lit("+"), F.lit("%2B")))), "/+", "/")
     return F.coalesce(F.nullif(F.regexp_replace(p, "/+$", ""), F.lit("")), F.lit("/"))
+
+
+#: The parts of a reference: scheme, authority, path, query, fragment.
+REFERENCE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+#: Schemes whose references may be relative.
+RELATIVE_SCHEMES = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
+
+
+def without_dots(segments: Column) -> Column:
+    """Segments of a path with `.` dropped and `..` taking back the one before it; either at the end leaves a directory."""
+    none = F.array().cast("array<string>")
+    back = lambda acc: F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))
+    kept = F.aggregate(segments, none, lambda acc, s: F.when(s == "..", back(acc)).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    return F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+
+
+def merged_path(base: Column, relative: Column) -> Column:
+    """A relative path behind the folder of a base path; one that starts with / stands alone."""
+    folder = F.split(base, "/", -1)
+    folder = F.when(F.element_at(folder, -1) == "", folder).otherwise(F.slice(folder, F.lit(1), F.size(folder) - 1))
+    joined = F.concat(folder, F.split(relative, "/", -1))
+    inner = F.filter(F.slice(joined, F.lit(2), F.greatest(F.size(joined) - 2, F.lit(0))), lambda s: s != "")
+    behind = F.when(F.size(joined) < 2, joined).otherwise(F.concat(F.slice(joined, 1, 1), inner, F.array(F.element_at(joined, -1))))
+    path = F.array_join(without_dots(F.when(relative.startswith("/"), F.split(relative, "/", -1)).otherwise(behind)), "/")
+    return F.when(path == "", "/").otherwise(path)
+
+
+def resolve(base: Column | str, reference: Column | str) -> Column:
+    """A reference as found on a page, made absolute against the page's url. Null base and null reference are empty; an empty
+    one leaves the other. References of other schemes stay as they are; an empty authority (file:///) is none."""
+    strip = lambda x: F.regexp_replace(F.regexp_replace(F.coalesce(c(x), F.lit("")), "[\t\r\n]", ""), r"^[\x00-\x20]+|\s+$", "")
+    b, r = strip(base), strip(reference)
+    part = lambda x, i: F.regexp_extract(x, REFERENCE, i)
+    scheme = F.lower(part(b, 1))
+    own = F.lower(part(r, 1))
+
+    def whole(host: Column, path: Column, query: Column, fragment: Column) -> Column:
+        head = F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise("")
+        rooted = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+        place = F.when(host != "", F.concat(F.lit("//"), host, rooted)).otherwise(path)
+        return F.concat(head, place, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""), F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
+
+    apart = ((own != "") & (own != scheme)) | ~F.when(own != "", own).otherwise(scheme).isin(*RELATIVE_SCHEMES)
+    return (
+        F.when(b == "", r).when(r == "", b).when(apart, r)
+        .when(part(r, 2) != "", whole(part(r, 2), part(r, 3), part(r, 4), part(r, 5)))
+        .when(part(r, 3) == "", whole(part(b, 2), part(b, 3), F.when(part(r, 4) != "", part(r, 4)).otherwise(part(b, 4)), part(r, 5)))
+        .otherwise(whole(part(b, 2), merged_path(part(b, 3), part(r, 3)), part(r, 4), part(r, 5)))
+    )
+
+
+def normalize(url: Column | str, base: Column | str) -> Column:
+    """normalize_absolute() of a reference against a page's url."""
+    return normalize_absolute(resolve(base, url))

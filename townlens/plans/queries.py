@@ -642,7 +642,7 @@ def catalog_columns(spark, sf_dir):
     return spark.createDataFrame(rows, "table_name string, column_name string")
 
 
-from townlens.plans import gathering  # noqa: E402, F401  (registers its queries)
+from townlens.plans import gathering, staffing  # noqa: E402, F401  (register their queries)
 
 
 def queries() -> dict[str, Query]:

@@ -19,6 +19,17 @@ VENDORS = ("CivicPlus LLC", "GovernmentJobs", "Vision Government Solutions", Non
 PAGE_KINDS = ("internal_page", "external_portal", None)
 SIGNALS = ("crawl_diagnostics", "blocked_recovery_status", "agenda_vendor", "jobs_vendor", "gis_vendor", "tax_vendor", "email_pattern", None)
 STATUSES = ("active", "Active", "done", "skipped")
+#: Parts of staff blocks whose digits and words are spread over text nodes.
+STAFF_CLASSES = ("staff-card", "contact-box", "employee profile", "news", "resource-link staff")
+STAFF_HEADINGS = ("Jane Doe", "Position Vacant", "Madonna", None, "Mary-Ann O'Neil, Jr.", "Quick Links", "Jane  Doe")
+STAFF_TITLES = (None, "Town Clerk", "Friend", "Chief Assessor")
+STAFF_LINES = ("20 3-555-0142 x 12", "203 555 0143", "Fax: 203-555-0000", "Ann Bell, office of the clerk", "no digits here", "(860) 555-0144 ext. 9", "fax 203-555-0001 or 203-555-0002", "Room 5", "44 5")
+STAFF_MORE = (None, "write jane.doe@t.example.org", "Robert de la Cruz III")
+STAFF_MAILS = (None, "mailto:Pat.Lee@T.example.org?subject=x")
+STAFF_TELS = (None, "tel:+1-203-555-0199", None, "tel:8605550101", None)
+STAFF_PAGES = ("Assessor Department", "Town Hall", "Welcome", "Town of Avon | Tax Collector", None, "Office of Land Use", "Departments")
+STAFF_URLS = ("https://t.example.org/departments/land_use/index.php", "https://t.example.org/departments/staff_directory.php", "https://t.example.org/town/building-inspection/index.php", "https://t.example.org/x/police-department")
+
 #: Code, links, services, contacts, text length, block signal, shell signal of a crawl.
 CRAWLS = ((200, 30, 4, 9, 9000, 0, 0), (403, 0, 0, 0, 300, 1, 0), (200, 1, 0, 0, 500, 1, 0), (200, 0, 0, 0, 800, 0, 1), (200, 40, 0, 0, 9000, 0, 0), (200, 20, 3, 0, 7000, 0, 0), (429, 9, 9, 9, 100, 0, 0), (None, 0, 0, 0, 0, 0, 0), (503, 1, 1, 0, 10, 0, 0), (404, 2, 0, 0, 2000, 1, 1), (401, 0, 0, 0, 0, 0, 0))
 
@@ -44,6 +55,7 @@ def _pools(spark: bool) -> dict[str, str]:
         "signals": f"SELECT concat('g', {s('event_id % 3000')}) AS signal_id, {key('n_name')} AS municipality_id, {p(SIGNALS, 'event_id * 3')} AS signal_type, CASE WHEN event_id % 2 = 0 THEN event_type ELSE props END AS value, CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) / CAST(100 AS DOUBLE) END AS confidence, {p(URLS, 'event_id')} AS source_url, event_id AS seq FROM events JOIN nation ON user_id % 25 = n_nationkey",
         "diagnostics": f"SELECT {key('n_name')} AS municipality_id, event_id AS seq, " + ", ".join(f"{num(k, 'event_id * 7 + user_id')} AS {name}" for k, name in enumerate(("http_status", "extracted_link_count", "candidate_service_link_count", "contact_rows_extracted", "response_text_length", "detected_block_signal", "detected_js_shell_signal"))) + " FROM events JOIN nation ON user_id % 25 = n_nationkey WHERE event_id % 5 = 0",
         "contact_pages": f"SELECT *, CASE layout WHEN 0 THEN concat('<h1>Staff</h1><table><tr><th>Name</th><th>Title</th><th>Phone</th><th>Email</th></tr><tr><td>', name, '</td><td>', title, '</td><td>', dialled, '</td><td><a href=\"mailto:', email, '\">mail</a></td></tr></table><p>', address, '</p><p>', hours, '</p>') WHEN 1 THEN concat('<div><div class=\"contact-name\">', name, '</div><div class=\"contact-position\">', title, '</div><span>', dialled, '</span> <a href=\"mailto:', email, '\">write</a></div><p>', address, '</p><p>', hours, '</p>') WHEN 2 THEN concat('<p>', name, ', ', title, ' - <a href=\"mailto:', email, '\">', email, '</a> ', dialled, '</p><p>', address, '</p><p>', hours, '</p>') ELSE concat('<div>Name: ', name, '<br>Title: ', title, '<br>Phone: ', dialled, '<br>Email: ', email, '</div><p>', address, '</p><p>', hours, '</p>') END AS html FROM (SELECT c_custkey AS page_id, concat('https://t', {s('c_nationkey')}, '.example.org/people/', {s('c_custkey')}) AS url, {pool((0, 1, 2, 3), 'c_custkey', 'INT')} AS layout, {p(('Jane Doe', 'John Smith', 'Mary Ann Jones', 'Ann Bell', 'Carl Dow'), 'c_custkey')} AS name, {p(('Town Clerk', 'Assessor', 'Tax Collector', 'Building Official', 'Town Planner', 'Finance Director', 'Mayor'), 'c_custkey')} AS title, concat('(860) 555-', {s('1000 + c_custkey % 500')}) AS dialled, concat('860555', {s('1000 + c_custkey % 500')}) AS phone, concat('p', {s('c_custkey')}, '@t', {s('c_nationkey')}, '.example.org') AS email, {p(('12 Main Ave.', '7 Elm Street', '203 Middlesex Rd', '1 Oak blvd.'), 'c_custkey * 3')} AS address, 'Hours: Monday-Friday 9 am - 5 pm' AS hours FROM customer ) people",
+        "staff_pages": f"SELECT *, concat('<html><head>', CASE WHEN page_title IS NULL THEN '' ELSE concat('<title>', page_title, '</title>') END, '</head><body><div class=\"', class, '\">', CASE WHEN heading IS NULL THEN '' ELSE concat('<h4>', heading, CASE WHEN heading_title IS NULL THEN '' ELSE concat(' <span>', heading_title, '</span>') END, '</h4>') END, '<p>', line, '</p>', CASE WHEN more IS NULL THEN '' ELSE concat('<p><b>', more, '</b></p>') END, CASE WHEN mail IS NULL THEN '' ELSE concat('<a href=\"', mail, '\">write</a>') END, CASE WHEN tel IS NULL THEN '' ELSE concat('<a href=\"', tel, '\">call</a>') END, '</div></body></html>') AS html FROM (SELECT c_custkey AS page_id, {p(STAFF_URLS, 'c_custkey * 3 + c_nationkey')} AS url, {p(STAFF_CLASSES, 'c_custkey')} AS class, {p(STAFF_HEADINGS, 'c_custkey + c_nationkey')} AS heading, {p(STAFF_TITLES, 'c_custkey * 3')} AS heading_title, {p(STAFF_LINES, 'c_custkey * 2 + c_nationkey')} AS line, {p(STAFF_MORE, 'c_custkey + 2 * c_nationkey')} AS more, {p(STAFF_MAILS, 'c_nationkey')} AS mail, {p(STAFF_TELS, 'c_nationkey * 3 + c_custkey * 2')} AS tel, {p(STAFF_PAGES, 'c_custkey * 5 + c_nationkey')} AS page_title FROM customer ) staff",
         "fallback_signals": f"SELECT {key('n_name')} AS municipality_id, event_id AS seq, {p(('blocked_homepage', 'crawl_status', 'alternate_seed_attempted', 'email_pattern', None, 'gis_vendor', 'crawl_status'), 'event_id')} AS signal_type, {p(('cloudflare_403', 'homepage_fetch_failed', ' Yes', 'ok', None, 'false', 'Attempted', 'bot_protection_403', 'x', 'true', '1'), 'event_id * 3 + user_id')} AS value FROM events JOIN nation ON user_id % 25 = n_nationkey",
         "attempts": f"SELECT event_id, {pool((200, 403, 404, 301, 503, 200, None, 429, 500, 200, 418), 'event_id', 'INT')} AS status, {p(('directory', 'js_shell', 'unknown', 'blocked', 'unknown'), 'event_id')} AS kind, {p((None, '<p>x</p>', '', '<p>y</p>', '<p>z</p>', '<p>w</p>', '<p>v</p>'), 'event_id')} AS body, {pool((0, 0, 1), 'event_id', 'INT')} AS redirects, {p(('https://a/x', 'https://b/y', ''), 'event_id * 2')} AS final_url, {p(('https://a/x', 'https://b/y'), 'event_id')} AS url, {p(('server: cloudflare', 'cf-ray: 1; server: x', 'server: nginx', 'x-cdn: Incapsula', 'server: AkamaiGHost; via: y', ''), 'event_id')} AS headers FROM events",
         "vendor_names": f"SELECT p_partkey, {p(('Revize', 'revize ', ' TOWN WEB', 'townweb', 'Quasar Internet Solutions LLC', 'quasar', '', None, 'Acme', 'AWR Web Design', 'egovlink', 'WordPress', 'CivicLift'), 'p_partkey')} AS vendor FROM part ",
