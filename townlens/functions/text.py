@@ -12,6 +12,11 @@ def c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body names it: long rules else repeat what they build on."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def blank_to_null(x: Column | str) -> Column:
     return F.nullif(F.trim(c(x)), F.lit(""))
 

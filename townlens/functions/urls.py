@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from townlens.functions.text import c
+from townlens.functions.text import c, let
 
 NETLOC = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
@@ -81,26 +81,24 @@ def resolve(base: Column | str, reference: Column | str) -> Column:
     """A reference as found on a page, made absolute against the page's url. Null base and null reference are empty; an empty
     one leaves the other. References of other schemes stay as they are; an empty authority (file:///) is none."""
     strip = lambda x: F.regexp_replace(F.regexp_replace(F.coalesce(c(x), F.lit("")), "[\t\r\n]", ""), r"^[\x00-\x20]+|\s+$", "")
-    b, r = strip(base), strip(reference)
-    part = lambda x, i: F.regexp_extract(x, REFERENCE, i)
-    scheme = F.lower(part(b, 1))
-    own = F.lower(part(r, 1))
-
-    def whole(host: Column, path: Column, query: Column, fragment: Column) -> Column:
-        head = F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise("")
-        rooted = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-        place = F.when(host != "", F.concat(F.lit("//"), host, rooted)).otherwise(path)
-        return F.concat(head, place, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""), F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
-
-    apart = ((own != "") & (own != scheme)) | ~F.when(own != "", own).otherwise(scheme).isin(*RELATIVE_SCHEMES)
-    return (
-        F.when(b == "", r).when(r == "", b).when(apart, r)
-        .when(part(r, 2) != "", whole(part(r, 2), part(r, 3), part(r, 4), part(r, 5)))
-        .when(part(r, 3) == "", whole(part(b, 2), part(b, 3), F.when(part(r, 4) != "", part(r, 4)).otherwise(part(b, 4)), part(r, 5)))
-        .otherwise(whole(part(b, 2), merged_path(part(b, 3), part(r, 3)), part(r, 4), part(r, 5)))
-    )
+    names = ("scheme", "host", "path", "query", "fragment")
+    parts = lambda x: let(strip(x), lambda t: F.struct(t.alias("text"), *[F.regexp_extract(t, REFERENCE, i + 1).alias(n) for i, n in enumerate(names)]))
+
+    def joined(both: Column) -> Column:
+        b, r = both["b"], both["r"]
+        scheme, own = F.lower(b["scheme"]), F.lower(r["scheme"])
+        apart = ((own != "") & (own != scheme)) | ~F.when(own != "", own).otherwise(scheme).isin(*RELATIVE_SCHEMES)
+        host = F.when(r["host"] != "", r["host"]).otherwise(b["host"])
+        path = F.when(r["host"] != "", r["path"]).when(r["path"] == "", b["path"]).otherwise(let(F.struct(b["path"].alias("b"), r["path"].alias("r")), lambda x: merged_path(x["b"], x["r"])))
+        query = F.when((r["host"] != "") | (r["path"] != "") | (r["query"] != ""), r["query"]).otherwise(b["query"])
+        sign = lambda mark, x: F.when(x != "", F.concat(F.lit(mark), x)).otherwise("")
+        rooted = let(path, lambda p: F.when(host == "", p).when((p != "") & ~p.startswith("/"), F.concat(F.lit("//"), host, F.lit("/"), p)).otherwise(F.concat(F.lit("//"), host, p)))
+        whole = F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""), rooted, sign("?", query), sign("#", r["fragment"]))
+        return F.when(b["text"] == "", r["text"]).when(r["text"] == "", b["text"]).when(apart, r["text"]).otherwise(whole)
+
+    return let(F.struct(parts(base).alias("b"), parts(reference).alias("r")), joined)
 
 
 def normalize(url: Column | str, base: Column | str) -> Column:
     """normalize_absolute() of a reference against a page's url."""
-    return normalize_absolute(resolve(base, url))
+    return let(resolve(base, url), normalize_absolute)

@@ -3,11 +3,12 @@ the given `pages` as well as the staged ones, whose parts are known to their twi
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from townlens.operators import fragments
+from townlens.operators import fragments, nearest, routes
 from townlens.plans.queries import query
-from townlens.sources.staging import spark_table, with_sql
+from townlens.sources.staging import pool, spark_table, with_sql
 
 
 def staff_pages(spark, sf_dir):
@@ -43,3 +44,78 @@ def reconstructed_contacts(spark, sf_dir):
 @query(f"WITH {REBUILT} SELECT coalesce(rejection_reason, 'accepted') AS reason, count(*) AS blocks, sum(joins)::BIGINT AS joins FROM judged GROUP BY 1")
 def reconstruction_reasons(spark, sf_dir):
     return fragments.rejection_counts(fragments.reconstruct(fragments.staff_blocks(staff_pages(spark, sf_dir))))
+
+
+# ---- links: every href of the given pages, and relative forms of all kinds on urls of all kinds
+
+
+#: References as pages write them, bases that they are read against.
+HREFS = ("../staff_directory.php", "./contact_us?x=1", "//Other.example.org/government/a/../b", "/departments/finance/#top", "tax-collector.php#top", "?page=2", "mailto:x@y.z", "https://t.example.org/assessor/./land-use", "read-more", "../../../town-clerk/..", "a//b/../profile", "", "#top", "/x/./y/../planning/")
+HREF_LABELS = ("Staff", "Tax &amp; more", "<b>Read</b> more", "", "Employee Profile", "Town Clerk", "Contact us", "x", "Mayor")
+BASES = ("https://t.example.org/departments/index.php", "https://T.example.org/a/b/c?x=1", "http://t.example.org", "https://t.example.org/town/", "https://t.example.org/staff/a/b/")
+
+
+def _anchor(k: int) -> str:
+    return f"'<a class=\"l\" href=\"', {pool(HREFS, f'c_custkey * 3 + {k} * 5 + c_nationkey')}, '\">', {pool(HREF_LABELS, f'c_custkey + {k} * 2 + c_nationkey')}, '</a> '"
+
+
+ANCHORS = f"concat({_anchor(0)}, {_anchor(1)}, {_anchor(2)})"
+
+def linked_pages(spark, sf_dir):
+    """The given pages, and one for each customer with three anchors of the kinds above."""
+    spark.read.parquet(f"{sf_dir}/customer.parquet").createOrReplaceTempView("stage_customer")
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").select((-F.col("page_id").cast("long") - 1).alias("page_id"), "url", "html")
+    return given.unionByName(spark.sql(f"SELECT CAST(c_custkey AS BIGINT) AS page_id, {pool(BASES, 'c_custkey')} AS url, {ANCHORS} AS html FROM stage_customer"))
+
+
+#: Anchors with their targets: the cases of a reference one by one, dot segments by a fold over strings.
+RESOLVED = rf"""staged AS (SELECT CAST(c_custkey AS BIGINT) AS page_id, ['{"', '".join(BASES)}'][c_custkey % {len(BASES)} + 1] AS base, unnest([0, 1, 2]) AS k, c_custkey, c_nationkey FROM customer),
+asked AS (SELECT page_id, base, k::INT AS place, ['{"', '".join(HREFS)}'][(c_custkey * 3 + k * 5 + c_nationkey) % {len(HREFS)} + 1] AS href, ['{"', '".join(HREF_LABELS)}'][(c_custkey + k * 2 + c_nationkey) % {len(HREF_LABELS)} + 1] AS raw_label FROM staged
+  UNION ALL SELECT -page_id::BIGINT - 1, url, unnest(range(len(hs)))::INT, unnest(hs), unnest(ls) FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]+)"[^>]*>(.*?)</a>', 1) AS hs, regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]+)"[^>]*>(.*?)</a>', 2) AS ls FROM pages)),
+split AS (SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS INT) AS place), trim(regexp_replace(replace(regexp_replace(raw_label, '<[^>]*>', ' ', 'g'), '&amp;', '&'), '\s+', ' ', 'g')) AS label, regexp_extract(base, '^(https?)://([^/?#]*)([^?#]*)', ['scheme', 'host', 'path']) AS b, regexp_extract(href, '^([^?#]*)', 1) AS p, regexp_extract(href, '(\?[^#]*)', 1) AS q FROM asked WHERE href <> ''),
+whole AS (SELECT *, CASE WHEN regexp_matches(href, '^[a-z]+:') THEN href WHEN starts_with(href, '//') THEN b.scheme || ':' || p || q WHEN p = '' THEN b.scheme || '://' || b.host || b.path || CASE WHEN q <> '' THEN q ELSE regexp_extract(base, '(\?[^#]*)', 1) END END AS fixed,
+  CASE WHEN starts_with(p, '/') THEN string_split(p[2:], '/') ELSE list_filter(string_split(regexp_replace(b.path, '^/|[^/]*$', '', 'g'), '/'), lambda x: x <> '') || list_filter(string_split(p, '/')[:-2], lambda x: x <> '') || string_split(p, '/')[-1:] END AS segments FROM split),
+folded AS (SELECT *, list_reduce(list_prepend('', segments), lambda acc, x: CASE WHEN x = '..' THEN regexp_replace(acc, '/[^/]*$', '') WHEN x = '.' THEN acc ELSE acc || '/' || x END) || CASE WHEN segments[-1] IN ('.', '..') THEN '/' ELSE '' END AS path FROM whole),
+targets AS (SELECT page_id, base, place, href, nullif(label, '') AS label, regexp_replace(CASE WHEN fixed IS NOT NULL THEN CASE WHEN starts_with(fixed, 'http') THEN fixed END ELSE b.scheme || '://' || b.host || CASE WHEN path = '' THEN '/' ELSE path END || q END, '#.*$', '') AS found FROM folded),
+links AS (SELECT page_id, base, place, href, coalesce(label, '') AS label, regexp_extract(found, '^https?://', 0) || lower(regexp_extract(found, '^https?://([^/?#]*)', 1)) || regexp_replace(found, '^https?://[^/?#]*', '') AS url FROM targets)"""
+
+
+@query(f"WITH {RESOLVED} SELECT page_id, place, href, label, url FROM links")
+def resolved_links(spark, sf_dir):
+    return routes.anchors(linked_pages(spark, sf_dir)).select("page_id", "place", "href", "label", "url")
+
+
+_any = lambda x, words: "regexp_matches(" + x + ", '" + "|".join(words) + "')"
+CHOSEN = rf"""{RESOLVED}, once AS (SELECT *, lower(url || ' ' || label) AS said FROM links WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY place) = 1),
+kinds AS (SELECT *, CASE WHEN {_any('said', ('read more', 'profile'))} THEN 'single_profile_page' WHEN contains(said, 'staff_directory.php') THEN 'staff_directory_php' WHEN contains(said, 'departments/index') THEN 'department_index_page' WHEN contains(said, 'contact_us') THEN 'contact_hub_path' WHEN contains(said, 'contact') THEN 'contact_path' ELSE 'unknown' END AS source_kind FROM once),
+classed AS (SELECT *, CASE WHEN {_any("said || ' ' || source_kind", ('staff_directory', 'staff directory'))} THEN 'staff_directory' WHEN contains(lower(url), '/departments/') THEN 'department_page' WHEN {_any("said || ' ' || source_kind", ('contact_us', '/contact', 'contact us', 'services'))} THEN 'contact_hub' ELSE 'generic' END AS class, {_any('said', routes.ROLE_TERMS)} AS role FROM kinds),"""
+_score = "CASE page_class WHEN 'staff_directory' THEN 126 WHEN 'department_page' THEN 85 WHEN 'contact_hub' THEN 45 ELSE 15 END"
+_rank = "CAST(row_number() OVER (PARTITION BY page_id ORDER BY CASE page_class WHEN 'staff_directory' THEN 0 WHEN 'department_page' THEN 1 WHEN 'contact_hub' THEN 2 ELSE 3 END, score DESC, place) AS INT)"
+
+
+@query(f"WITH {CHOSEN} kept AS (SELECT *, class AS page_class FROM classed WHERE {_any('said', routes.HARVEST)}), scored AS (SELECT *, {_score} + 5 + CASE WHEN role THEN 10 ELSE 0 END AS score FROM kept) SELECT page_id, url, label, source_kind, page_class, score::INT AS score, {_rank} AS rank FROM scored QUALIFY rank <= {routes.MOST}")
+def profile_links(spark, sf_dir):
+    return routes.profile_links(linked_pages(spark, sf_dir))
+
+
+@query(f"WITH {CHOSEN} kept AS (SELECT *, CASE WHEN class = 'generic' THEN 'department_page' ELSE class END AS page_class FROM classed WHERE role OR regexp_matches(lower(url), '/departments/|/government/')), scored AS (SELECT *, {_score} + 12 + CASE WHEN role THEN 18 ELSE 0 END AS score FROM kept) SELECT page_id, url, label, source_kind, page_class, score::INT AS score, {_rank} AS rank FROM scored QUALIFY rank <= {routes.MOST}")
+def department_links(spark, sf_dir):
+    return routes.department_links(linked_pages(spark, sf_dir))
+
+
+# ---- titles near names: addresses of mail in the given texts, the capitalised word before each as its name, and as titles the
+# capitalised words of eight letters or more, for these texts name no office
+
+
+@query(r"""WITH t AS (SELECT doc_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS place FROM documents WHERE text IS NOT NULL),
+n AS (SELECT *, CASE WHEN regexp_matches(w, '^[A-Z][a-z]') THEN place END AS cap FROM t),
+a AS (SELECT doc_id, place AS anchor, max(cap) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS name, w FROM n),
+l AS (SELECT doc_id, place, w AS title FROM t WHERE regexp_matches(w, '^[A-Z][a-z]{7,}$')),
+c AS (SELECT a.doc_id, anchor, a.name, place, title, 10 * abs(place - coalesce(a.name, anchor)) + abs(place - anchor) AS cost FROM (SELECT * FROM a WHERE contains(w, '@')) a LEFT JOIN l ON a.doc_id = l.doc_id)
+SELECT doc_id, anchor, name, place AS title_at, title FROM c QUALIFY row_number() OVER (PARTITION BY doc_id, anchor ORDER BY cost, place) = 1""")
+def nearest_titles(spark, sf_dir):
+    words = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.posexplode(F.split("text", " ", -1)).alias("place", "w")).withColumn("place", F.col("place").cast("long"))
+    before = Window.partitionBy("doc_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    named = words.withColumn("name", F.max(F.when(F.col("w").rlike("^[A-Z][a-z]"), F.col("place"))).over(before))
+    asks = named.filter(F.col("w").contains("@")).select("doc_id", F.col("place").alias("anchor"), "name")
+    return nearest.nearest_titles(words.filter(F.col("w").rlike("^[A-Z][a-z]{7,}$")).select("doc_id", "place", F.col("w").alias("title")), asks)
