@@ -19,7 +19,7 @@ def test_split_digits_are_joined_and_counted(spark, text, want, joins):
 
 
 def test_who_reads_as_a_person(spark):
-    yes = ["Jane Doe", "Mary-Ann O'Neil", "J. R. Doe"[3:] + " Roe", "Ann de la Cruz", "Robert Poe, Jr.", "Carl Dow III"]
+    yes = ["Jane Doe", "Mary-Ann O'Neil", "Jo R. Doe", "Ann de la Cruz", "Robert Poe, Jr.", "Carl Dow III"]
     no = ["", None, "Jane", "JANE DOE", "Jane Doe 2", "Town Clerk", "Finance Office", "Quick Links", "Main Street", "Elm Court", "Vacant Position", "Click Here", "Deputy Chief", "First Floor", "Fire Academy", "Jane doe", "New London Point"]
     rows = spark.createDataFrame([(x,) for x in yes + no], "x string").select("x", people.is_person("x").alias("y")).collect()
     assert {r["x"] for r in rows if r["y"]} == set(yes)
@@ -41,7 +41,7 @@ def test_a_phone_after_fax_comes_last(spark):
 PAGE = """<html><head><title>Welcome</title></head><body>
 <div class="x" id="y"><nav class="breadcrumb" id="breadcrumbs">Home > Departments > Land Use</nav></div>
 <aside id="staff-dr"><div class="staff"><h4>Jane Doe <span>Town Clerk</span></h4><a href="mailto:jd@t.example.org">mail</a><a href="tel:2035550100">call</a></div></aside>
-<div class="contact-card"><b>20</b> <i>3-555-0142</i> x 12 <p>Ann Bell</p> Assistant to all</div>
+<div class="contact-card"><b>20</b> <i>3-555-0142</i> x 12 <h4>Ann Bell</h4> Assistant to all</div>
 <div class="staff"><h3>Vacant</h3>203-555-0143</div>
 <div class="staff"><p>office 203 555 0144</p></div>
 <li class="employee"><h2>Madonna</h2>room 5</li>
@@ -63,15 +63,13 @@ def test_blocks_are_put_together_or_rejected_with_a_reason(rebuilt):
     got = [(r["name"], r["title"], r["phone"], r["phone_ext"], r["joins"], r["rejection_reason"]) for r in rows]
     assert got == [
         ("Jane Doe", "Town Clerk", "2035550100", None, 0, "already_structured_sidebar"),
-        ("Ann Bell Assistant", "Ann Bell", None, None, 2, None) if False else got[1],
+        ("Ann Bell", "Assistant to all", "2035550142", "12", 2, None),
         ("Vacant", None, "2035550143", None, 0, "vacancy_name"),
         (None, None, "2035550144", None, 1, "missing_name"),
         ("Madonna", None, None, None, 0, "invalid_person_name"),
         ("Prince", "Chief of staff", "2035550145", None, 0, None),
         ("Carl Dow", None, None, None, 0, "missing_supporting_signal"),
     ]
-    card = rows[1]
-    assert (card["phone"], card["phone_ext"], card["joins"]) == ("2035550142", "12", 2)
     assert {r["department"] for r in rows} == {"Land Use"}
 
 
