@@ -34,13 +34,62 @@ def deep_path_plan(spark: SparkSession, budget: int = BUDGET) -> DataFrame:
     return first.withColumn("ordinal", F.row_number().over(Window.orderBy("seq"))).filter(F.col("ordinal") <= budget).select("ordinal", "category", "path")  # a fixed list
 
 
-def until_blocked(results: DataFrame, group: str = "municipality_id", order: str = "ordinal", streak: int = STREAK) -> DataFrame:
-    """The probes of each town up to the end of the first run of refused ones (403, 429)."""
+def behind_streak(rows: DataFrame, group: str, order: str, streak: int = STREAK) -> DataFrame:
+    """rows with `blocked`: whether a run of `streak` refused attempts (403, 429) stands before a row in its group."""
     w = Window.partitionBy(group).orderBy(order)
     refused = F.coalesce(F.col("status").isin(403, 429), F.lit(False))
-    df = results.withColumn("_run", F.sum(flag(~refused)).over(w)).withColumn("_len", F.when(refused, F.count(F.when(refused, 1)).over(Window.partitionBy(group, "_run").orderBy(order))).otherwise(0))
-    stopped = F.coalesce(F.max(flag(F.col("_len") >= streak)).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("_stop", stopped).filter("_stop = 0").drop("_run", "_len", "_stop")
+    df = rows.withColumn("_run", F.sum(flag(~refused)).over(w)).withColumn("_len", F.when(refused, F.count(F.when(refused, 1)).over(Window.partitionBy(group, "_run").orderBy(order))).otherwise(0))
+    before = F.max(flag(F.col("_len") >= streak)).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return df.withColumn("blocked", F.coalesce(before, F.lit(0)) == 1).drop("_run", "_len")
+
+
+def until_blocked(results: DataFrame, group: str = "municipality_id", order: str = "ordinal", streak: int = STREAK) -> DataFrame:
+    """The probes of each town up to the end of the first run of refused ones (403, 429)."""
+    return behind_streak(results, group, order, streak).filter(~F.col("blocked")).drop("blocked")
+
+
+#: The phases of a recovery in their order, the discovered links tried, the probes that both kinds share, the
+#: contacts after which deep paths end.
+PHASES = ("home", "fallback", "api", "deep", "sitemap", "robots", "discovered", "known")
+DEEP_ORDER = ("directory", "finance", "clerk", "assessor", "tax", "building", "planning", "departments_root")
+DISCOVERED, PROBES, ENOUGH = 4, 10, 10
+
+
+def recovery_plan(attempts: DataFrame, group: str = "municipality_id", budget: int = PROBES, deep_budget: int = BUDGET) -> DataFrame:
+    """What a recovery of each town does with its attempts (phase, ordinal, url, path, category, status, hit, content_type,
+    text, contacts): every attempt with `outcome`, and `place`, its place among those done.
+
+    Home, fallback and api are always asked. Deep paths come by category, equal paths once, up to their own budget, their own
+    run of refused answers, or enough contacts from pages that pass the extraction gate. Then sitemap, robots, discovered links
+    (the first few) and known paths, equal urls once; the last two share a budget, and all of these end behind a run of refused
+    answers, in which home and fallback count too. outcome: done, duplicate, over_limit, over_budget, blocked or
+    enough_contacts; unknown_phase for a phase that is none. Ordinals are distinct within a town and phase."""
+    by = Window.partitionBy(group)
+    phase = chain(*[(F.col("phase") == p, i) for i, p in enumerate(PHASES)])
+    category = chain(*[(low("category") == k, i) for i, k in enumerate(DEEP_ORDER)], default=len(DEEP_ORDER))
+    lane = F.when(F.col("phase") == "deep", "deep").when(F.col("phase") == "api", "api").otherwise("outer")
+    rows = attempts.withColumns({"_phase": phase, "_lane": lane, "_sub": F.when(F.col("phase") == "deep", category).otherwise(0)})
+    line = by.orderBy("_phase", "_sub", "ordinal")
+    path = F.lower(F.trim(F.coalesce("path", F.lit(""))))
+    key = F.when(F.col("phase") == "deep", F.when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))).when(F.col("phase").isin("discovered", "known"), F.col("url"))
+    rows = rows.withColumns({"_order": F.row_number().over(line), "_key": key, "_probe": F.col("phase").isin("discovered", "known")})
+    rows = rows.withColumn("_limit", (F.col("phase") == "discovered") & (F.row_number().over(Window.partitionBy(group, "phase").orderBy("ordinal")) > DISCOVERED))
+    same = Window.partitionBy(group, "_lane", "_key", "_limit").orderBy("_order")
+    rows = rows.withColumn("outcome", chain((phase.isNull(), "unknown_phase"), (F.col("_limit"), "over_limit"), (F.col("_key").isNotNull() & (F.row_number().over(same) > 1), "duplicate")))
+    counted = Window.partitionBy(group, "_budget").orderBy("_order")
+    rows = rows.withColumn("_budget", F.when(F.col("outcome").isNotNull(), "none").when(F.col("_probe"), "probe").when(F.col("phase") == "deep", "deep").otherwise("free"))
+    nth = F.row_number().over(counted)
+    most = F.when(F.col("_budget") == "probe", budget).when(F.col("_budget") == "deep", deep_budget)
+    rows = rows.withColumn("outcome", F.coalesce("outcome", F.when(nth > most, "over_budget")))
+    live, out = rows.filter("outcome IS NULL").withColumn("_line", F.concat_ws("|", F.col(group).cast("string"), "_lane")), rows.filter("outcome IS NOT NULL")
+    live = behind_streak(live, "_line", "_order")
+    gained = F.when(extraction_gate() & ~F.col("blocked") & (F.col("phase") == "deep"), F.coalesce("contacts", F.lit(0))).otherwise(0)
+    so_far = F.sum(gained).over(Window.partitionBy("_line").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1))
+    enough = (F.col("phase") == "deep") & (F.coalesce(so_far, F.lit(0)) >= ENOUGH)
+    live = live.withColumn("outcome", chain((F.col("blocked") & (F.col("_lane") != "api"), "blocked"), (enough, "enough_contacts"), default="done")).drop("blocked", "_line")
+    both = live.unionByName(out)
+    place = F.when(F.col("outcome") == "done", F.row_number().over(Window.partitionBy(group, F.col("outcome") == "done").orderBy("_order")))
+    return both.withColumn("place", place).drop("_phase", "_lane", "_sub", "_order", "_key", "_probe", "_limit", "_budget")
 
 
 def extraction_gate() -> Column:

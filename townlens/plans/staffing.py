@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from townlens.operators import fragments, nearest, routes
+from townlens.operators import fragments, nearest, page_evidence, recovery, routes
 from townlens.plans.queries import query
 from townlens.sources.staging import pool, spark_table, with_sql
 
@@ -119,3 +119,85 @@ def nearest_titles(spark, sf_dir):
     named = words.withColumn("name", F.max(F.when(F.col("w").rlike("^[A-Z][a-z]"), F.col("place"))).over(before))
     asks = named.filter(F.col("w").contains("@")).select("doc_id", F.col("place").alias("anchor"), "name")
     return nearest.nearest_titles(words.filter(F.col("w").rlike("^[A-Z][a-z]{7,}$")).select("doc_id", "place", F.col("w").alias("title")), asks)
+
+
+# ---- kinds of staff pages: given pages, staff blocks and contact pages with further parts
+
+
+PARTS = ("", "<aside id=\"staff-dr\"><div class=\"staff\">a</div><div class=\"x staff\">b</div><div class=\"staffed\">c</div></aside>", "<h2>Finance <b>Department</b></h2>", "<p>Home > Departments > Tax</p>", "<p>Contact Us</p><p>Directory of Services</p>", "<p>Clerk: Ann</p>", "<p>Email a@b.org 203-555-0100 read more c@d.org 203-555-0101 READ more</p>", "<p>Staff directory: email and phone</p>", "<table><tr><td>Name</td><td>Office phone</td></tr></table>", "<p>read more</p>", "<strong>Town Hall</strong>")
+KIND_URLS = ("https://t.example.org/staff_directory.php", "https://t.example.org/departments/x/", "https://t.example.org/contact_us", "https://t.example.org/x", "https://t.example.org/staff-directory/a", "https://t.example.org/contacts", None)
+
+
+def kind_pages(spark, sf_dir):
+    """The given pages; and contact pages with a part of every kind behind them, some without their own text."""
+    rows = spark_table(spark, sf_dir, "contact_pages").createOrReplaceTempView("stage_contact_pages")  # noqa: F841
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").select((-F.col("page_id").cast("long") - 1).alias("page_id"), "url", "html", F.lit(None).cast("int").alias("status"))
+    return given.unionByName(spark.sql(f"SELECT CAST(page_id AS BIGINT) AS page_id, {KIND_COLUMNS} FROM stage_contact_pages"))
+
+
+KIND_COLUMNS = f"{pool(KIND_URLS, 'page_id * 2')} AS url, concat(CASE WHEN page_id % 3 = 0 THEN html ELSE '' END, {pool(PARTS, 'page_id')}, CASE WHEN page_id % 5 = 0 THEN {pool(PARTS, 'page_id * 7 + 3')} ELSE '' END) AS html, {pool((200, None, 404, 302), 'page_id', 'INT')} AS status"
+_count = lambda x, p: f"len(regexp_extract_all({x}, {p}))"
+KINDS = rf"""{with_sql('contact_pages')},
+kp AS (SELECT page_id::BIGINT AS page_id, {KIND_COLUMNS.replace('STRING', 'VARCHAR').replace('AS string', 'AS VARCHAR')} FROM contact_pages UNION ALL SELECT -page_id::BIGINT - 1, url, html, NULL FROM pages),
+kt AS (SELECT *, lower(coalesce(url, '')) AS u, trim(regexp_replace(regexp_replace(html, '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS t, regexp_extract_all(html, '(?is)<table[^>]*>(.*?)</table>', 1) AS tables FROM kp),
+kc AS (SELECT *, lower(t) AS b, {_count("regexp_extract(html, '(?is)<aside[^>]*id=.staff-dr.[^>]*>(.*?)</aside>', 1)", "'(?is)<div[^>]*class=.([^>]* )?staff( [^>]*)?.>'")} AS sidebar_staff_hits, {_count('html', "'contact-name'")} AS contact_card_hits,
+  (contains(lower(html), 'mailto:') AND regexp_matches(t, '\b[A-Z][a-zA-Z''`.-]+(?:\s+[A-Z][a-zA-Z''`.-]+){{1,2}}\s*,\s*[A-Za-z]'))::INT AS inline_staff_hits, regexp_matches(t, '(?i)\b(manager|clerk|director|administrator|assessor|collector|chief)\s*:\s*[A-Z]')::INT AS labeled_staff_hits,
+  coalesce(list_max(list_transform(tables, lambda x: len(list_filter(['name', 'title', 'department', 'phone', 'email', 'location', 'profession', 'office'], lambda w: contains(lower(CASE WHEN contains(x, '<th') THEN array_to_string(regexp_extract_all(x, '<th>(.*?)</th>', 1), '|') ELSE regexp_extract(x, '<tr>(.*?)</tr>', 1) END), w))))), 0) AS header_hits,
+  least(len(list_distinct(list_transform(regexp_extract_all(html, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{{2,}}\b'), lambda x: lower(x)))), len(list_distinct(list_transform(regexp_extract_all(t, '\(?[2-9][0-9]{{2}}\)?[\s.-]?[0-9]{{3}}[\s.-]?[0-9]{{4}}'), lambda x: x))), greatest({_count('lower(t)', "'read more'")}, 1)) AS profile_block_hits,
+  len(list_filter(regexp_extract_all(html, '(?is)<(?:h1|h2|h3|h4|strong)[^>]*>(.*?)</(?:h1|h2|h3|h4|strong)>', 1), lambda x: regexp_matches(lower(regexp_replace(x, '<[^>]*>', ' ', 'g')), 'administration|finance|police|fire|public works|clerk|assessor|tax collector|zoning|planning|human resources|department|office|division|town hall|city hall'))) AS department_section_hits,
+  (contains(lower(t), 'departments') AND (contains(t, ' > ') OR contains(lower(t), 'breadcrumb')))::INT AS breadcrumb_department_hits, CASE WHEN contains(u, 'contact_us') THEN 2 ELSE 0 END + contains(lower(t), 'contact us')::INT + contains(lower(t), 'directory of services')::INT AS contact_hub_hits,
+  len(list_filter(['name', 'title', 'department', 'phone', 'email', 'location', 'profession'], lambda k: regexp_matches(lower(t), '\b' || k || '\s*[:-]'))) AS key_value_hits, {_count('lower(t)', "'read more'")} AS read_more_hits FROM kt),
+ks AS (SELECT *, CASE WHEN sidebar_staff_hits > 0 THEN 'sidebar_staff' WHEN contact_card_hits > 0 THEN 'contact_card' WHEN inline_staff_hits > 0 THEN 'inline_staff_list' WHEN labeled_staff_hits > 0 THEN 'labeled_staff' WHEN key_value_hits >= 3 AND profile_block_hits <= 1 AND header_hits = 0 THEN 'single_profile_page' WHEN header_hits >= 2 THEN 'table_directory' WHEN profile_block_hits >= 2 THEN 'profile_block' WHEN department_section_hits > 0 THEN 'department_section' ELSE 'unknown' END AS source_type,
+  (status IS NULL OR status BETWEEN 200 AND 399) AND (sidebar_staff_hits + contact_card_hits + inline_staff_hits + labeled_staff_hits > 0 OR header_hits >= 2 OR profile_block_hits >= 2 OR key_value_hits >= 3 OR ((contains(b, 'staff directory') OR contains(u, 'directory')) AND contains(b, 'email') AND contains(b, 'phone')) OR (regexp_matches(u, 'staff_directory.php|/staff-directory') AND regexp_matches(b, 'email|phone'))) AS matched FROM kc),
+kf AS (SELECT *, CASE WHEN regexp_matches(u || ' ' || b || ' ' || source_type, 'staff_directory|staff-directory|staff contacts|staff directory') THEN 'staff_directory' WHEN contains(u, '/departments/') OR (contains(b, 'breadcrumb') AND contains(b, 'departments')) THEN 'department_page' WHEN regexp_matches(u || ' ' || b, 'contact_us|directory_of_services|/contact|contact us|services') THEN 'contact_hub' ELSE 'generic' END AS f FROM ks)"""
+HITS = "sidebar_staff_hits contact_card_hits inline_staff_hits labeled_staff_hits header_hits profile_block_hits department_section_hits breadcrumb_department_hits contact_hub_hits key_value_hits read_more_hits".split()
+
+
+@query(rf"""WITH {KINDS}, kk AS (SELECT *, CASE WHEN header_hits >= 2 OR sidebar_staff_hits > 0 THEN 'staff_directory' WHEN f <> 'staff_directory' AND (contains(u, '/departments/') OR breadcrumb_department_hits > 0 OR (department_section_hits > 0 AND contact_card_hits + inline_staff_hits + labeled_staff_hits > 0)) THEN 'department_page'
+ WHEN f NOT IN ('staff_directory', 'department_page') AND (contact_hub_hits >= 2 OR (contains(u, 'contact') AND profile_block_hits <= 1 AND header_hits <= 1 AND sidebar_staff_hits = 0)) THEN 'contact_hub' WHEN NOT matched THEN 'generic' ELSE f END AS page_class FROM kf)
+SELECT page_id, CASE WHEN matched THEN 'staff_directory_or_profile' ELSE 'unknown' END AS page_kind, source_type, page_class, CASE page_class WHEN 'staff_directory' THEN 1.0 WHEN 'department_page' THEN 0.75 WHEN 'contact_hub' THEN 0.4 ELSE 0.2 END::DOUBLE AS page_priority_score, {', '.join(f'{h}::INT AS {h}' for h in HITS)} FROM kk""")
+def staff_page_kinds(spark, sf_dir):
+    return page_evidence.staff_page_kinds(kind_pages(spark, sf_dir), status="status").drop("signals")
+
+
+@query(f"WITH {KINDS} SELECT source_type, count(*) AS pages, count(*) FILTER (matched) AS matched FROM kf GROUP BY 1")
+def source_type_counts(spark, sf_dir):
+    rows = page_evidence.staff_page_kinds(kind_pages(spark, sf_dir), status="status")
+    return rows.groupBy("source_type").agg(F.count("*").alias("pages"), F.count_if(F.col("page_kind") != "unknown").alias("matched"))
+
+
+# ---- what a recovery does with its attempts: a town for each user of the events
+
+
+#: Phases, answers and pages of attempts; a town has as many as its user has events.
+ATTEMPT_COLUMNS = "CAST(user_id AS BIGINT) AS municipality_id, CAST(event_id AS BIGINT) AS ordinal, " + ", ".join((
+    pool(("known", "deep", "discovered", "deep", "home", "known", "sitemap", "deep", "known", "api", "robots", "deep", "discovered"), "event_id * 7 + user_id") + " AS phase",
+    pool(("/a", "/b", None, "/c", "/d", "/a", "/e", "/f"), "event_id * 3") + " AS url", pool(("/Tax", "/tax/", "/clerk", "/Clerk", "/finance", "/x", "/y"), "event_id * 5") + " AS path",
+    pool(("tax", "directory", "other", "Clerk", "departments_root"), "event_id") + " AS category", pool((200, 403, 200, 429, 403, 403, None, 200, 404), "event_id * 2 + user_id", "INT") + " AS status",
+    pool(("text/html", "application/pdf", "text/HTML; x"), "event_id") + " AS content_type", f"repeat('z', {pool((600, 20, 500), 'event_id * 2', 'INT')}) AS text", pool((0, 4, None, 7), "event_id", "INT") + " AS contacts",
+))
+PLAN = rf"""a AS (SELECT {ATTEMPT_COLUMNS} FROM events),
+o AS (SELECT *, (status = 200)::INT AS hit, list_position(['home', 'fallback', 'api', 'deep', 'sitemap', 'robots', 'discovered', 'known'], phase) AS ph, CASE WHEN phase = 'deep' THEN coalesce(list_position({list(recovery.DEEP_ORDER)!r}, lower(category)), 99) ELSE 0 END AS sub, CASE WHEN phase IN ('deep', 'api') THEN phase ELSE 'outer' END AS lane, CASE WHEN phase = 'deep' THEN lower(rtrim(path, '/')) WHEN phase IN ('discovered', 'known') THEN url END AS k FROM a),
+l AS (SELECT *, row_number() OVER (PARTITION BY municipality_id ORDER BY ph, sub, ordinal) AS i, phase = 'discovered' AND row_number() OVER (PARTITION BY municipality_id, phase ORDER BY ordinal) > 4 AS late FROM o),
+d AS (SELECT *, NOT late AND k IS NOT NULL AND row_number() OVER (PARTITION BY municipality_id, lane, k, late ORDER BY i) > 1 AS again FROM l),
+b AS (SELECT *, count(*) FILTER (NOT late AND NOT again) OVER (PARTITION BY municipality_id, CASE WHEN phase IN ('discovered', 'known') THEN 'p' ELSE phase END ORDER BY i) AS nth FROM d),
+u AS (SELECT *, CASE WHEN late THEN 'over_limit' WHEN again THEN 'duplicate' WHEN (phase = 'deep' AND nth > 20) OR (phase IN ('discovered', 'known') AND nth > 10) THEN 'over_budget' END AS gone FROM b),
+s AS (SELECT *, coalesce(status IN (403, 429), false) AND coalesce(lag(status, 1) OVER w IN (403, 429), false) AND coalesce(lag(status, 2) OVER w IN (403, 429), false) AS third FROM u WHERE gone IS NULL WINDOW w AS (PARTITION BY municipality_id, lane ORDER BY i)),
+f AS (SELECT *, coalesce(i > min(CASE WHEN third THEN i END) OVER (PARTITION BY municipality_id, lane), false) AND lane <> 'api' AS blocked FROM s),
+g AS (SELECT *, coalesce(sum(CASE WHEN phase = 'deep' AND NOT blocked AND hit = 1 AND lower(category) IN {tuple(recovery.EXTRACTABLE)!r} AND contains(lower(content_type), 'html') AND length(text) >= 500 THEN coalesce(contacts, 0) ELSE 0 END) OVER (PARTITION BY municipality_id, lane ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 10 AND phase = 'deep' AS enough FROM f),
+j AS (SELECT municipality_id, ordinal, phase, i, CASE WHEN blocked THEN 'blocked' WHEN enough THEN 'enough_contacts' ELSE 'done' END AS outcome FROM g UNION ALL SELECT municipality_id, ordinal, phase, i, gone FROM u WHERE gone IS NOT NULL)"""
+
+
+def attempts(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
+    return spark.sql(f"SELECT {ATTEMPT_COLUMNS} FROM stage_events").withColumn("hit", (F.col("status") == 200).cast("int"))
+
+
+@query(f"WITH {PLAN} SELECT municipality_id, ordinal, phase, outcome, (CASE WHEN outcome = 'done' THEN row_number() OVER (PARTITION BY municipality_id, outcome = 'done' ORDER BY i) END)::INT AS place FROM j")
+def recovery_plan(spark, sf_dir):
+    return recovery.recovery_plan(attempts(spark, sf_dir)).select("municipality_id", "ordinal", "phase", "outcome", "place")
+
+
+@query(f"WITH {PLAN} SELECT phase, outcome, count(*) AS attempts FROM j GROUP BY ALL")
+def recovery_outcomes(spark, sf_dir):
+    return recovery.recovery_plan(attempts(spark, sf_dir)).groupBy("phase", "outcome").agg(F.count("*").alias("attempts"))
