@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from townlens.functions.text import c, has_any, normalize_whitespace
+from townlens.functions.text import c, has_any, let, normalize_whitespace
 
 # Words and phrases that decide what a line of a staff page is.
 TITLE_HINTS = ("director", "manager", "administrator", "clerk", "collector", "assessor", "chief", "officer", "coordinator", "superintendent", "mayor", "selectman", "assistant", "treasurer", "accounting", "enforcement officer")
@@ -69,21 +69,26 @@ def is_vacancy(x: Column | str) -> Column:
 
 def is_place(x: Column | str) -> Column:
     """Holds a house number, a state, or a word of addresses."""
-    low = F.lower(clean(x))
+    return _place(F.lower(clean(x)))
+
+
+def _place(low: Column) -> Column:
     return low.rlike(r"\b[0-9]{1,5}\b|\bct\b|\bconnecticut\b|\b[0-9]{5}(?:-[0-9]{4})?\b") | has_any(low, *PLACE_TOKENS)
 
 
 def is_person(x: Column | str) -> Column:
     """Reads as a person's name; x has its split digits joined."""
-    text = clean(x)
-    low = F.lower(text)
-    last = F.regexp_replace(F.regexp_extract(low, r"(\S+)$", 1), r"^\.+|\.+$", "")
-    words = F.split(F.regexp_replace(low, r"[^a-z\s]", ""), r"\s+")
-    suffix_apart = clean(F.regexp_replace(text, r"(?i),\s*(Jr\.?|Sr\.?|II|III|IV)$", " $1"))
-    never = is_vacancy(x) | low.isin(*NAME_LITERALS, *ACTION_TEXTS, *GENERIC_HEADINGS) | has_any(low, *NAME_PHRASES, *NAME_FRAGMENTS, *ACTION_PARTS) | is_place(x)
-    never = never | (F.upper(text) == text) | low.rlike("[0-9]") | F.arrays_overlap(words, F.array(*map(F.lit, NAME_TOKENS))) | last.isin(*STREET_ENDS)
-    never = never | low.rlike(r"\b(building|annex|municipal|academy|school)\b") | is_department(x) | is_title(x)
-    return suffix_apart.rlike(PERSON) & ~never
+
+    def judged(both: Column) -> Column:
+        text, low = both["text"], both["low"]
+        last = F.regexp_replace(F.regexp_extract(low, r"(\S+)$", 1), r"^\.+|\.+$", "")
+        words = F.split(F.regexp_replace(low, r"[^a-z\s]", ""), r"\s+")
+        suffix_apart = clean(F.regexp_replace(text, r"(?i),\s*(Jr\.?|Sr\.?|II|III|IV)$", " $1"))
+        never = low.isin(*NAME_LITERALS, *ACTION_TEXTS, *GENERIC_HEADINGS) | has_any(low, *VACANT, *NAME_PHRASES, *NAME_FRAGMENTS, *ACTION_PARTS, *DEPARTMENT_HINTS, *TITLE_HINTS) | _place(low)
+        never = never | (F.upper(text) == text) | low.rlike("[0-9]") | F.arrays_overlap(words, F.array(*map(F.lit, NAME_TOKENS))) | last.isin(*STREET_ENDS)
+        return suffix_apart.rlike(PERSON) & ~never & ~low.rlike(r"\b(building|annex|municipal|academy|school)\b")
+
+    return let(let(clean(x), lambda t: F.struct(t.alias("text"), F.lower(t).alias("low"))), judged)
 
 
 def person_in(text: Column | str) -> Column:
@@ -106,7 +111,10 @@ def department_label(x: Column | str) -> Column:
     low = clean(F.regexp_replace(low, "[_-]", " "))
     for word in (r"\bdepartment(s)?\b", r"\boffice\b", r"\bcontact info\b", r"\bbreadcrumbs?\b"):
         low = F.trim(F.regexp_replace(low, word, ""))
-    low = clean(low)
-    never = low.isin("", *GENERIC_HEADINGS, "government", "departments", "home", "staff", "directory", *DEPARTMENT_LITERALS) | has_any(low, "bids", "rfp", "request for proposal", "main street", ", ct", " connecticut", " jewett city", "town hall")
-    shown = F.array_join(F.transform(F.split(low, " "), lambda w: F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.substr(w, F.lit(2)))), " ")
-    return F.when(~is_place(x) & ~never, shown)
+
+    def shown(low: Column) -> Column:
+        never = low.isin("", *GENERIC_HEADINGS, "government", "departments", "home", "staff", "directory", *DEPARTMENT_LITERALS) | has_any(low, "bids", "rfp", "request for proposal", "main street", ", ct", " connecticut", " jewett city", "town hall")
+        words = F.transform(F.split(low, " "), lambda w: F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.substr(w, F.lit(2))))
+        return F.when(~never, F.array_join(words, " "))
+
+    return F.when(~is_place(x), let(clean(low), shown))

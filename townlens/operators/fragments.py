@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from townlens.functions import people, urls
 from townlens.functions.dom import Element, parse
 from townlens.functions.people import clean
-from townlens.functions.text import chain, has_any
+from townlens.functions.text import chain, has_any, let
 from townlens.operators import extract
 
 #: The marks of staff blocks, of blocks that are never staff, and the confidence of a reconstructed contact.
@@ -135,13 +135,14 @@ URL_PAGES = ("index.php", "staff_directory.php", "staff_directory_.php", "staff-
 
 def url_department(url: Column | str) -> Column:
     """The department that the path of a url names: what follows `departments`, else the last telling segment."""
-    segments = F.filter(F.split(urls.path(url), "/"), lambda s: s != "")
-    low = F.transform(segments, F.lower)
-    after = F.get(segments, F.array_position(low, "departments").cast("int"))
-    follows = F.when((F.array_position(low, "departments") > 0) & ~F.lower(after).isin(*URL_PAGES), people.department_label(after))
-    telling = F.filter(F.reverse(segments), lambda s: ~F.lower(s).isin(*URL_PAGES) & has_any(F.lower(s), "department", *URL_WORDS))
-    reached = (F.array_position(low, "departments") > 0) & after.isNotNull() & ~F.lower(after).isin(*URL_PAGES)
-    return F.when(reached, follows).otherwise(people.department_label(F.get(telling, F.lit(0))))
+
+    def named(segments: Column) -> Column:
+        at = F.array_position(F.transform(segments, F.lower), "departments").cast("int")
+        telling = F.filter(F.reverse(segments), lambda s: ~F.lower(s).isin(*URL_PAGES) & has_any(F.lower(s), "department", *URL_WORDS))
+        after = F.when(at > 0, F.get(segments, at))
+        return let(F.coalesce(F.when(~F.lower(after).isin(*URL_PAGES), after), F.get(telling, F.lit(0))), people.department_label)
+
+    return let(F.filter(F.split(urls.path(url), "/"), lambda s: s != ""), named)
 
 
 def inferred_department(crumbs: Column, h1: Column, title: Column, headings: Column, nav: Column, url: Column) -> Column:
@@ -166,7 +167,7 @@ def phone_and_extension(text: Column, hint: Column) -> tuple[Column, Column]:
     and its extension, else the hint, as at most six digits."""
     part = lambda i: F.regexp_extract_all(text, F.lit(BEFORE_PHONE), F.lit(i))
     found = F.zip_with(part(1), part(2), lambda before, phone: F.struct(F.lower(F.right(before, F.lit(12))).contains("fax").alias("fax"), phone.alias("phone")))
-    first = F.get(F.concat(F.filter(found, lambda x: ~x["fax"]), found), F.lit(0))["phone"]
+    first = let(found, lambda all_of: F.get(F.concat(F.filter(all_of, lambda x: ~x["fax"]), all_of), F.lit(0)))["phone"]
     digits = lambda i: F.regexp_extract(first, extract.PHONE, i)
     own = F.when(first.isNotNull(), F.nullif(digits(4), F.lit("")))
     extension = F.substring(F.regexp_replace(F.coalesce(own, hint), "[^0-9]", ""), 1, 6)

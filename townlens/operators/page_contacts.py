@@ -232,20 +232,22 @@ def department_of(root: Element, url: str | None) -> str | None:
     return words.title() if re.search(r"(?i)department|office|clerk|assessor|collector|finance|planning|zoning|building", words) else None
 
 
-def contacts_of(html: str | None, url: str | None = None) -> list[dict]:
-    """Rows of all readers; the generic one only where the others found nothing. The same email once."""
+def contacts_of(html: str | None, url: str | None = None, merged: bool = True) -> list[dict]:
+    """Rows of all readers; the generic one only where the others found nothing. The same email once, if merged."""
     root = parse(html)
     department = department_of(root, url)
     rows = [*from_tables(root), *from_sidebars(root, department), *from_cards(root), *from_inline(root), *from_labels(root)] or from_lines(root)
-    merged: dict[tuple, dict] = {}
+    if not merged:
+        return rows
+    by_key: dict[tuple, dict] = {}
     for r in rows:
         r["department"] = r["department"] or (department if r["source_kind"] != "generic" else None)
         key = ("email", r["email"]) if r["email"] else ("row", (r["name"] or "").lower(), (r["title"] or "").lower())
-        old = merged.setdefault(key, r)
+        old = by_key.setdefault(key, r)
         if old is not r:
             for f in FIELDS:
                 old[f] = old[f] or r[f]
-    return list(merged.values())
+    return list(by_key.values())
 
 
 def locations_of(html: str | None) -> tuple[str | None, str | None]:
@@ -300,22 +302,26 @@ def candidate_urls(homepage: str, paths: tuple[str, ...], directories: tuple[str
 SCHEMA = ", ".join(f"{f} string" for f in FIELDS) + ", confidence double"
 
 
-def extract_contacts(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One row for each contact found: (page_id, url, fields, confidence)."""
+def extract_contacts(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", merged: bool = True) -> DataFrame:
+    """One row for each contact found: (page_id, url, fields, confidence). Not merged, rows stay as each reader gave them, with
+    row_no, their place in the page."""
     source = pages.select(pages[id_col].alias("page_id"), pages[url].alias("url"), pages[html].alias("html"))
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 some = b.slice(at, 200)
-                rows = [(p, u, r) for p, u, h in zip(*(some.column(c).to_pylist() for c in ("page_id", "url", "html"))) for r in contacts_of(h, u)]
+                rows = [(p, u, r, i) for p, u, h in zip(*(some.column(c).to_pylist() for c in ("page_id", "url", "html"))) for i, r in enumerate(contacts_of(h, u, merged))]
                 columns = [pa.array([x[0] for x in rows], some.column("page_id").type), pa.array([x[1] for x in rows], pa.string())]
                 columns += [pa.array([x[2][f] for x in rows], pa.string()) for f in FIELDS]
                 columns.append(pa.array([CONFIDENCE[x[2]["source_kind"]] for x in rows], pa.float64()))
-                yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", *FIELDS, "confidence"])
+                names = ["page_id", "url", *FIELDS, "confidence"]
+                if not merged:
+                    columns, names = [*columns, pa.array([x[3] for x in rows], pa.int32())], [*names, "row_no"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = source.schema["page_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"page_id {kind}, url string, {SCHEMA}")
+    return source.mapInArrow(run, f"page_id {kind}, url string, {SCHEMA}" + ("" if merged else ", row_no int"))
 
 
 def extract_locations(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:

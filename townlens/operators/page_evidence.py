@@ -126,15 +126,17 @@ def non_contacts(rows: DataFrame, kind: str = "source_kind") -> DataFrame:
     source = F.lower(F.coalesce(F.nullif(clean(kind), F.lit("")), F.lit("unknown")))
     fields = F.concat_ws(" ", *[F.nullif(clean(f), F.lit("")) for f in ("source_context", "name", "title", "department")])
     whole = F.coalesce(F.nullif(F.array_join(F.slice(F.filter(F.transform("lines", clean), lambda x: x != ""), 1, 16), " "), F.lit("")), fields) if "lines" in rows.columns else fields
-    text, name = F.substring(clean(whole), 1, BLOB), clean("name")
     structured = F.concat_ws("", F.trim("email"), F.trim("phone"), F.trim("phone_ext"), F.nullif(clean("title"), F.lit(""))) != ""
-    judged = rows.withColumns({"_text": text, "_structured": structured, "_kind": source})
-    said = c("_text")
-    odd_name = F.lower(name).isin(*DOCUMENT_NAMES) | ((name != "") & ~name.contains(" ") & ~name.rlike(r"^[A-Z][a-zA-Z'`.-]{1,40}$"))
-    words = has_any(F.lower(said), *DOCUMENT_WORDS)
-    weak = (c("_kind") == "department_section") | ((c("_kind") == "labeled_staff") & ~c("_structured"))
-    dense = (F.length(said) > LONG) | (F.regexp_count(said, F.lit(r"[.!?](?:\s|$)")) >= 2) | (F.regexp_count(said, F.lit(":")) >= 2)
-    judged = judged.withColumns({"non_contact": odd_name | (weak & (dense | words)) | (words & dense), "_document": words | odd_name, "_words": words})
-    made_of = chain((c("_kind").isin(*CARDS), "contact_card"), (c("_kind").isin(*ROWS) | ((c("_kind") == "labeled_staff") & c("_structured")), "staff_row"), (c("_kind").isin("labeled_staff", "department_section"), "department_content"), default="unknown")
-    block = F.when(c("_document"), "document_content").otherwise(made_of)
-    return judged.withColumn("block_type", block).drop("_text", "_structured", "_kind", "_document", "_words")
+
+    def judged(x: Column) -> Column:
+        said, name, kind = x["text"], x["name"], x["kind"]
+        odd_name = F.lower(name).isin(*DOCUMENT_NAMES) | ((name != "") & ~name.contains(" ") & ~name.rlike(r"^[A-Z][a-zA-Z'`.-]{1,40}$"))
+        words = has_any(F.lower(said), *DOCUMENT_WORDS)
+        weak = (kind == "department_section") | ((kind == "labeled_staff") & ~x["structured"])
+        dense = (F.length(said) > LONG) | (F.regexp_count(said, F.lit(r"[.!?](?:\s|$)")) >= 2) | (F.regexp_count(said, F.lit(":")) >= 2)
+        made_of = chain((kind.isin(*CARDS), "contact_card"), (kind.isin(*ROWS) | ((kind == "labeled_staff") & x["structured"]), "staff_row"), (kind.isin("labeled_staff", "department_section"), "department_content"), default="unknown")
+        return F.struct((odd_name | (weak & (dense | words)) | (words & dense)).alias("non_contact"), F.when(words | odd_name, "document_content").otherwise(made_of).alias("block_type"))
+
+    read = F.struct(F.substring(clean(whole), 1, BLOB).alias("text"), clean("name").alias("name"), source.alias("kind"), structured.alias("structured"))
+    names = [x for x in rows.columns if x not in ("non_contact", "block_type")]
+    return rows.select(*names, let(read, judged).alias("_judged")).select(*names, "_judged.non_contact", "_judged.block_type")

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from townlens.operators import fragments, nearest, page_evidence, recovery, routes
+from townlens.operators import staff_pages as staff_pages_op
 from townlens.plans.queries import query
 from townlens.sources.staging import pool, spark_table, with_sql
 
@@ -201,3 +202,59 @@ def recovery_plan(spark, sf_dir):
 @query(f"WITH {PLAN} SELECT phase, outcome, count(*) AS attempts FROM j GROUP BY ALL")
 def recovery_outcomes(spark, sf_dir):
     return recovery.recovery_plan(attempts(spark, sf_dir)).groupBy("phase", "outcome").agg(F.count("*").alias("attempts"))
+
+
+# ---- contact rows that are text of documents
+
+
+#: Contexts of the contacts with what documents say in them.
+NOTED = pool(("permit application: see code. Call now. ", "", "a: b c: d ", "certificate ", "Hours. Days. ", "x" * 130 + " "), "seq * 3")
+DOCUMENT_SQL = rf"""{with_sql('contacts')}, e AS (SELECT contact_id, lower(coalesce(nullif(regexp_extract(source_context, 'revize:([a-z_]+)', 1), ''), 'unknown')) AS kind, concat({NOTED.replace('AS string', 'AS VARCHAR')}, coalesce(source_context, '')) AS context, name, title, department, email, phone, phone_ext FROM contacts),
+f AS (SELECT *, trim(regexp_replace(coalesce(name, ''), '\s+', ' ', 'g')) AS n, trim(regexp_replace(concat_ws(' ', nullif(trim(context), ''), nullif(trim(name), ''), nullif(trim(title), ''), nullif(trim(department), '')), '\s+', ' ', 'g'))[1:500] AS t, coalesce(trim(email), '') <> '' OR coalesce(trim(phone), '') <> '' OR coalesce(trim(phone_ext), '') <> '' OR coalesce(trim(title), '') <> '' AS structured FROM e),
+g AS (SELECT *, lower(n) IN ('development permit', 'adopted march', 'cover page', 'international code council') OR (n <> '' AND NOT contains(n, ' ') AND NOT regexp_full_match(n, '[A-Z][a-zA-Z''`.-]{{1,40}}')) AS odd, regexp_matches(lower(t), 'permit|regulation|code|application|certificate|affidavit|cover page') AS words, kind = 'department_section' OR (kind = 'labeled_staff' AND NOT structured) AS weak, length(t) > 120 OR len(regexp_extract_all(t, '[.!?](\s|$)')) >= 2 OR len(string_split(t, ':')) > 2 AS dense FROM f)"""
+
+
+@query(rf"""WITH {DOCUMENT_SQL} SELECT contact_id, CASE WHEN words OR odd THEN 'document_content' WHEN kind IN ('contact_card', 'profile_block', 'single_profile_page', 'department_contact_block', 'reconstructed_contact_block') THEN 'contact_card' WHEN kind IN ('table_directory', 'sidebar_staff', 'inline_staff_list') OR (kind = 'labeled_staff' AND structured) THEN 'staff_row'
+ WHEN kind IN ('labeled_staff', 'department_section') THEN 'department_content' ELSE 'unknown' END AS block_type, odd OR (weak AND (dense OR words)) OR (words AND dense) AS non_contact FROM g""")
+def non_contact_rows(spark, sf_dir):
+    rows = spark_table(spark, sf_dir, "contacts").withColumn("source_kind", F.regexp_extract(F.coalesce("source_context", F.lit("")), "revize:([a-z_]+)", 1))
+    rows = rows.withColumn("source_context", F.concat(F.expr(NOTED), F.coalesce("source_context", F.lit(""))))
+    return page_evidence.non_contacts(rows).select("contact_id", "block_type", "non_contact")
+
+
+# ---- staff pages read whole: structural parts go, sections, profiles and fields are read, rows of one person merge
+
+
+#: Parts that hold no contacts, with the footer, hours and other blocks that each has.
+STRUCTURAL = {"": (0, 0, 0), "<footer><p>Zed Zoe 203-555-0111</p></footer>": (1, 0, 1), "<div id=\"hours-wrap\">Robert Roe 203-555-0112</div>": (0, 1, 1), "<div>Office hours: Al Roe 203-555-0113<div>Resources</div></div>": (0, 1, 1), "<ul class=\"x resource-link\"><li>203-555-0114</li></ul>": (0, 0, 1), "<nav>Related links <a href=\"/y\">z</a></nav>": (0, 0, 1), "<script>RZ.module(1)</script>": (0, 0, 1), "<div class=\"rz-btns-container\"><footer>x</footer></div>": (1, 0, 2), "<p>Office hours</p>": (0, 0, 0)}
+SECTION_HEADS = ("Building Department", "Town Clerk", "Finance", "Police Division")
+WHOLE_HTML = f"concat('<body>', CASE page_id % 3 WHEN 0 THEN concat('<h2>', {pool(SECTION_HEADS, 'page_id')}, '</h2><p>', name, '</p><p>', title, '</p><p>', dialled, '</p>') WHEN 1 THEN concat('<div class=\"person\"><h3>', name, '</h3> reached at ', email, ' or ', dialled, '</div>') ELSE concat('<p>Name: ', name, '</p><p>Title: ', title, '</p><p>Office phone: ', dialled, '</p><p>Email: ', email, '</p>') END, {pool(tuple(STRUCTURAL), 'page_id')}, '</body>')"
+
+
+def whole_pages(spark, sf_dir):
+    """The given pages; and one page for each customer with a section, a profile or fields, and a structural part behind it."""
+    spark_table(spark, sf_dir, "contact_pages").createOrReplaceTempView("stage_contact_pages")
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").select((-F.col("page_id").cast("long") - 1).alias("page_id"), "url", "html")
+    return given.unionByName(spark.sql(f"SELECT CAST(page_id AS BIGINT) AS page_id, url, {WHOLE_HTML} AS html FROM stage_contact_pages"))
+
+
+_blocks = lambda k: pool(tuple(v[k] for v in STRUCTURAL.values()), "page_id", "INT")
+
+
+@query(f"WITH {with_sql('contact_pages')} SELECT page_id::BIGINT AS page_id, {_blocks(0)} AS footer_blocks, {_blocks(1)} AS hours_blocks, {_blocks(2)} AS structural_blocks FROM contact_pages UNION ALL SELECT -page_id::BIGINT - 1, len(regexp_extract_all(html, '<footer'))::INT, 0, len(regexp_extract_all(html, '<footer'))::INT FROM pages")
+def structural_blocks(spark, sf_dir):
+    return staff_pages_op.sanitized(whole_pages(spark, sf_dir)).select("page_id", *staff_pages_op.COUNTED)
+
+
+TRUTH = rf"""{with_sql('contact_pages')}, w AS (SELECT page_id::BIGINT AS page_id, page_id % 3 AS kind, name, CASE WHEN page_id % 3 = 1 OR (page_id % 3 = 0 AND title IN ('Building Official', 'Town Planner')) THEN NULL ELSE title END AS title, CASE WHEN page_id % 3 = 0 THEN {pool(SECTION_HEADS, 'page_id', 'VARCHAR')} END AS department, CASE WHEN page_id % 3 <> 0 THEN email END AS email, phone FROM contact_pages)"""
+
+
+@query(f"WITH {TRUTH} SELECT page_id, CASE kind WHEN 0 THEN 'department_section' WHEN 1 THEN 'profile_block' ELSE 'single_profile_page' END AS source_kind, name, title, department, email, phone FROM w")
+def outline_contacts(spark, sf_dir):
+    rows = staff_pages_op.read_outlines(staff_pages_op.outlines(whole_pages(spark, sf_dir)))
+    return rows.select("page_id", "source_kind", "name", "title", "department", "email", "phone")
+
+
+@query(rf"""WITH {TRUTH} SELECT page_id, name, title, CASE kind WHEN 0 THEN department ELSE NULL END AS department, email, phone, CASE kind WHEN 0 THEN 'department_section' WHEN 1 THEN 'profile_block' ELSE 'single_profile_page' END AS source_kind, CASE kind WHEN 0 THEN 0.74 WHEN 1 THEN 0.79 ELSE 0.78 END::DOUBLE AS confidence, 1::BIGINT AS sightings FROM w""")
+def assembled_contacts(spark, sf_dir):
+    return staff_pages_op.assembled(whole_pages(spark, sf_dir)).select("page_id", "name", "title", "department", "email", "phone", "source_kind", "confidence", "sightings")
