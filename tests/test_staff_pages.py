@@ -15,7 +15,7 @@ SAME = HEAD + "<div class='profile'><strong>Jane Doe</strong> 203-555-0130 daily
 
 @pytest.fixture(scope="module")
 def pages(spark):
-    rows = [(1, "https://t.org/x", SECTIONS), (2, "https://t.org/y", FIELDS_PAGE), (3, None, None), (4, "https://t.org/z", ""), (5, "https://t.org/a", SAME), (6, "https://t.org/b", "<p>Jo Poe, Mayor's aide 203-555-0140</p>")]
+    rows = [(1, "https://t.org/x", SECTIONS), (2, "https://t.org/y", FIELDS_PAGE), (3, None, None), (4, "https://t.org/z", ""), (5, "https://t.org/a", SAME), (6, "https://t.org/b", "<p>Jo Poe 203-555-0140</p>")]
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 

@@ -6,9 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from townlens.operators import fragments, nearest, page_evidence, recovery, routes
+from townlens.operators import candidates as cand
+from townlens.operators import enrich, fragments, nearest, page_evidence, recovery, routes, trace
 from townlens.operators import staff_pages as staff_pages_op
-from townlens.plans.queries import query
+from townlens.plans.oracles import SCORED
+from townlens.plans.queries import query, settled_enriched
+from townlens.sources.shared import settled
 from townlens.sources.staging import pool, spark_table, with_sql
 
 
@@ -258,3 +261,48 @@ def outline_contacts(spark, sf_dir):
 @query(rf"""WITH {TRUTH} SELECT page_id, name, title, CASE kind WHEN 0 THEN department ELSE NULL END AS department, email, phone, CASE kind WHEN 0 THEN 'department_section' WHEN 1 THEN 'profile_block' ELSE 'single_profile_page' END AS source_kind, CASE kind WHEN 0 THEN 0.74 WHEN 1 THEN 0.79 ELSE 0.78 END::DOUBLE AS confidence, 1::BIGINT AS sightings FROM w""")
 def assembled_contacts(spark, sf_dir):
     return staff_pages_op.assembled(whole_pages(spark, sf_dir)).select("page_id", "name", "title", "department", "email", "phone", "source_kind", "confidence", "sightings")
+
+
+# ---- where rows are lost
+
+
+FINGERPRINT = "concat('rtrace_', substr(sha256(concat_ws('||', lower(trim(municipality_id)), " + ", ".join(f"lower(trim(regexp_replace(coalesce({f}, ''), '\\s+', ' ', 'g')))" for f in trace.FIELDS) + ")), 1, 18))"
+_rows = lambda k, name, why: f"SELECT municipality_id, {FINGERPRINT} AS fingerprint, {k} AS k, {why} AS why FROM {name}"
+TRACED = rf"""{SCORED}, tu AS ({_rows(1, 'enriched', "CASE WHEN record_rank > 1 THEN 'duplicate_rank' WHEN is_likely_noise = 1 THEN 'likely_noise' ELSE 'other' END")} UNION ALL {_rows(2, 'clean', "'failed_role_mapping'")} UNION ALL {_rows(3, 'cand', "coalesce(nullif(trim(winner_disqualifier_reason), ''), 'failed_role_mapping_or_scoring')")} UNION ALL {_rows(4, 'winners', 'NULL')}),
+tg AS (SELECT municipality_id, fingerprint, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, count(*) FILTER (k = 3) AS n3, count(*) FILTER (k = 4) AS n4, min(why) FILTER (k = 1) AS w1, min(why) FILTER (k = 2) AS w2, min(why) FILTER (k = 3) AS w3 FROM tu GROUP BY ALL),
+tr AS (SELECT *, CASE WHEN n1 = 0 THEN 'loaded' WHEN n2 = 0 THEN 'clean' WHEN n3 = 0 THEN 'candidates' WHEN n4 = 0 THEN 'winners' END AS drop_stage, CASE WHEN n1 = 0 THEN 'not_loaded' WHEN n2 = 0 THEN w1 WHEN n3 = 0 THEN w2 WHEN n4 = 0 THEN w3 END AS drop_reason, CASE WHEN n2 = 0 THEN n1 WHEN n3 = 0 THEN n2 ELSE n3 END AS lost FROM tg)"""
+
+
+def traced(spark, sf_dir):
+    df = settled_enriched(spark, sf_dir)
+    sc = settled(cand.score_candidates(df), "scored")
+    return trace.contact_trace(df, enrich.clean_contacts(df), sc, cand.best_role_per_town(sc))
+
+
+@query(f"WITH {TRACED} SELECT municipality_id, fingerprint, drop_stage, drop_reason FROM tr")
+def row_traces(spark, sf_dir):
+    return traced(spark, sf_dir).select("municipality_id", "fingerprint", "drop_stage", "drop_reason")
+
+
+@query(f"WITH {TRACED} SELECT municipality_id, drop_stage, drop_reason, sum(lost)::BIGINT AS rows FROM tr WHERE drop_stage IS NOT NULL AND drop_reason <> 'not_loaded' GROUP BY ALL")
+def trace_losses(spark, sf_dir):
+    return trace.trace_losses(traced(spark, sf_dir))
+
+
+KEPT_SQL = rf"""{DOCUMENT_SQL}, r AS (SELECT municipality_id, coalesce(source_url, '') AS page, odd OR (weak AND (dense OR words)) OR (words AND dense) AS gone FROM g JOIN (SELECT contact_id AS id, municipality_id, source_url FROM contacts) ON id = contact_id)"""
+
+
+def judged_contacts(spark, sf_dir):
+    rows = spark_table(spark, sf_dir, "contacts").withColumn("source_kind", F.regexp_extract(F.coalesce("source_context", F.lit("")), "revize:([a-z_]+)", 1))
+    rows = page_evidence.non_contacts(rows.withColumn("source_context", F.concat(F.expr(NOTED), F.coalesce("source_context", F.lit("")))))
+    return rows.withColumns({"kept": ~F.col("non_contact"), "page": F.coalesce("source_url", F.lit(""))})
+
+
+@query(f"WITH {KEPT_SQL}, k AS (SELECT municipality_id, page, count(*) AS seen, count(*) FILTER (NOT gone) AS kept FROM r GROUP BY ALL) SELECT *, kept / seen AS ratio, kept / seen < 0.25 AS alarm FROM k")
+def kept_ratio_alarms(spark, sf_dir):
+    return trace.kept_ratios(judged_contacts(spark, sf_dir), ["municipality_id", "page"])
+
+
+@query(f"WITH {KEPT_SQL}, k AS (SELECT municipality_id, count(*) AS seen, count(*) FILTER (NOT gone) AS kept FROM r GROUP BY ALL) SELECT *, kept / seen AS ratio, seen >= 8 AND kept / seen < 0.25 AS alarm FROM k")
+def kept_ratio_towns(spark, sf_dir):
+    return trace.kept_ratios(judged_contacts(spark, sf_dir), ["municipality_id"], fewest=trace.TOWN_ROWS)
