@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from townlens.functions import people
 from townlens.operators import candidates as cand
-from townlens.operators import enrich, fragments, nearest, page_evidence, recovery, routes, trace
+from townlens.operators import enrich, fragments, nearest, normalize_staff, page_evidence, recovery, routes, trace
 from townlens.operators import staff_pages as staff_pages_op
 from townlens.plans.oracles import SCORED
 from townlens.plans.queries import query, settled_enriched
@@ -306,3 +307,52 @@ def kept_ratio_alarms(spark, sf_dir):
 @query(f"WITH {KEPT_SQL}, k AS (SELECT municipality_id, count(*) AS seen, count(*) FILTER (NOT gone) AS kept FROM r GROUP BY ALL) SELECT *, kept / seen AS ratio, seen >= 8 AND kept / seen < 0.25 AS alarm FROM k")
 def kept_ratio_towns(spark, sf_dir):
     return trace.kept_ratios(judged_contacts(spark, sf_dir), ["municipality_id"], fewest=trace.TOWN_ROWS)
+
+
+# ---- contact rows in one form, doubtful ones demoted
+
+
+STAFF_ROWS = "regexp_extract(coalesce(source_context, ''), 'revize:([a-z_]+)', 1) AS source_kind, regexp_extract(coalesce(source_context, ''), 'page_class=([a-z_]+)', 1) AS page_class"
+
+
+def staff_rows(spark, sf_dir):
+    """The staged contacts as rows of readers: kind and page class out of their context."""
+    pattern = lambda p: F.regexp_extract(F.coalesce("source_context", F.lit("")), p, 1)
+    return spark_table(spark, sf_dir, "contacts").withColumns({"source_kind": pattern("revize:([a-z_]+)"), "page_class": pattern("page_class=([a-z_]+)")})
+
+
+_re = lambda x, words: "regexp_matches(" + x + ", '" + "|".join(w.replace("'", "''") for w in words) + "')"
+_low = lambda x: f"lower(coalesce({x}, ''))"
+_place = lambda x: f"(regexp_matches({_low(x)}, '\\b[0-9]{{1,5}}\\b|\\bct\\b|\\bconnecticut\\b') OR {_re(_low(x), people.PLACE_TOKENS)})"
+_tokens = lambda x: f"len(list_filter(string_split({x}, ' '), lambda w: regexp_matches(w, '[A-Za-z]')))"
+_flag = lambda name, rules: f"CASE WHEN {' OR '.join(rules)} THEN '{name}' END"
+_sql_list = lambda values: "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+NORMAL_SQL = rf"""{with_sql('contacts')}, s0 AS (SELECT contact_id, {STAFF_ROWS}, source_url AS url, confidence, nullif(trim(regexp_replace(coalesce(name, ''), '\s+', ' ', 'g')), '') AS name, nullif(trim(title), '') AS title, nullif(trim(department), '') AS department, nullif(lower(trim(email)), '') AS email, phone, nullif(phone_ext, '') AS phone_ext, coalesce(source_context, '') AS context FROM contacts),
+s1 AS (SELECT *, coalesce(nullif(source_kind, ''), 'unknown') AS kind0, coalesce(nullif(page_class, ''), 'generic') AS class0, name IS NOT NULL AS named, coalesce({_re(_low('name'), ('email me', 'click here', 'request', 'office hours'))}, false) AS clear FROM s0),
+s2 AS (SELECT *, CASE WHEN NOT clear THEN name END AS n1, concat('revize:', kind0, '|page_class=', class0, '|page_priority=', CASE class0 WHEN 'staff_directory' THEN '1.00' WHEN 'department_page' THEN '0.75' WHEN 'contact_hub' THEN '0.40' ELSE '0.20' END, CASE WHEN context <> '' THEN ' | ' || context ELSE '' END)[1:240] AS tagged,
+  CASE WHEN kind0 = 'department_contact_block' THEN 'office_contact_block' WHEN name IN ('Jane Doe', 'John Smith', 'Mary Ann Jones', 'Your Link Name', 'Filling Vacancies', 'Land Use') AND coalesce(title, email, phone) IS NOT NULL THEN 'person_block' WHEN coalesce(email, phone) IS NOT NULL THEN 'office_contact_block' ELSE 'structural_block' END AS block0 FROM s1),
+s3 AS (SELECT *, {_re(_low('n1'), people.DEPARTMENT_HINTS)} AS is_d, {_re(_low('n1'), people.TITLE_HINTS)} AND NOT {_re(_low('n1'), people.DEPARTMENT_HINTS)} AS is_t, {_low('n1')} IN {_sql_list(people.GENERIC_HEADINGS)} AS is_g FROM s2),
+s4 AS (SELECT *, named AND clear AS r1, named AND {_place('n1')} AS r2, named AND ({_low('n1')} IN {_sql_list(people.NAME_LITERALS)} OR {_re(_low('n1'), people.NAME_PHRASES + people.NAME_FRAGMENTS)}) AS r3, named AND is_d AS r4, named AND is_t AS r5, named AND is_g AND NOT is_d AND NOT is_t AS r6, named AND NOT is_d AND NOT is_t AND NOT is_g AND NOT (coalesce({_tokens('n1')}, 0) >= 2 OR (n1 IS NOT NULL AND title IS NOT NULL)) AS r7, CASE WHEN NOT is_d AND NOT is_t THEN n1 END AS n2, coalesce(title, CASE WHEN is_t THEN n1 END) AS t2, coalesce(department, CASE WHEN is_d THEN n1 END) AS d2 FROM s3),
+s5 AS (SELECT *, t2 IS NOT NULL AND ({_low('t2')} IN {_sql_list(people.ACTION_TEXTS)} OR {_re(_low('t2'), people.ACTION_PARTS)}) AS r8, CASE WHEN d2 IS NULL THEN 0 WHEN {_low('d2')} IN {_sql_list(people.ACTION_TEXTS)} OR {_re(_low('d2'), people.ACTION_PARTS)} THEN 9 WHEN {_place('d2')} THEN 10 WHEN lower(d2) = 'education' AND NOT contains({_low('url')}, 'education') AND NOT contains(lower(tagged), 'education department') THEN 11 WHEN {_re(_low('d2'), ('bids and rfp', 'rfp', ', ct', ' main street'))} THEN 12 ELSE 0 END AS rd FROM s4),
+s6 AS (SELECT *, CASE WHEN NOT r8 THEN t2 END AS t3, CASE WHEN rd > 0 THEN NULL ELSE CASE d2 WHEN 'Town Clerk Office' THEN 'Town Clerk' WHEN 'Assessor''s Office' THEN 'Assessor''s' WHEN 'Building Department' THEN 'Building' WHEN 'Revenue Department' THEN 'Revenue' WHEN 'Planning and Zoning' THEN 'Planning And Zoning' WHEN 'Board of Selectmen' THEN 'Board Of Selectmen' WHEN 'Board of Education' THEN 'Board Of Education' ELSE d2 END END AS d3 FROM s5),
+s7 AS (SELECT *, n2 IS NULL AND coalesce(email, phone, t3, d3) IS NOT NULL AS r13, list_filter(string_split(regexp_replace(coalesce(url, ''), '^https?://[^/]*|[?#].*$', '', 'g'), '/'), lambda x: x <> '') AS segs FROM s6),
+s8 AS (SELECT *, CASE WHEN r13 AND (t3 IS NULL OR {_re(_low('t3'), people.TITLE_HINTS)}) THEN 'Department Contact' ELSE t3 END AS t4, CASE WHEN r13 THEN coalesce(d3, CASE list_filter(list_reverse(segs), lambda x: regexp_matches(lower(x), 'department|building|assessor|clerk|finance|planning|zoning|police|fire'))[1] WHEN 'assessor' THEN 'Assessor' WHEN 'clerk' THEN 'Clerk' WHEN 'building' THEN 'Building' WHEN 'planning' THEN 'Planning' END) ELSE d3 END AS d35, CASE WHEN r13 THEN 'department_contact_block' ELSE kind0 END AS kind, CASE WHEN r13 THEN 'office_contact_block' ELSE block0 END AS block FROM s7),
+s9 AS (SELECT *, CASE WHEN r13 AND {_re(_low('d35'), people.TITLE_HINTS)} THEN NULL ELSE d35 END AS d4, coalesce({_tokens('n2')}, 0) >= 2 OR (n2 IS NOT NULL AND t4 IS NOT NULL) AS ok FROM s8),
+s10 AS (SELECT *, n2 IS NOT NULL AND coalesce(t4, email, phone) IS NULL AS bare, email IS NULL AND phone IS NULL AS none FROM s9),
+s11 AS (SELECT *, list_filter([{_flag('department_contamination', ['rd > 0'])}, {_flag('invalid_name', ['r1'])}, {_flag('missing_contact_method', ['(bare AND ok)', 'none'])}, {_flag('role_only_row', ['r4', 'r5', 'r13'])}, {_flag('weak_person_name', ['r2', 'r3', 'r6', 'r7', 'r8', '(bare AND NOT ok)', '(n2 IS NOT NULL AND NOT ok)'])}], lambda x: x IS NOT NULL) AS flags,
+  CASE WHEN {_re(_low('name'), ('vacant', 'vacancy'))} THEN 'vacancy' WHEN coalesce(n2, t4, d4) IS NULL THEN 'missing_person_and_context' END AS gone FROM s10),
+s12 AS (SELECT *, len(flags) > 0 AS noise FROM s11)"""
+
+
+@query(rf"""WITH {NORMAL_SQL} SELECT contact_id, n2 AS name, t4 AS title, d4 AS department, email, phone, phone_ext, kind AS source_kind, block AS block_class, noise::INT AS is_likely_noise, CASE WHEN noise THEN array_to_string(flags, ',') END AS normalization_flag, gone AS "drop",
+ round(least(round(confidence, 3), CASE WHEN block = 'office_contact_block' THEN 0.62::DOUBLE END, CASE WHEN {_re(_low('url'), ('/contact', 'contact_us', 'contact-us', 'staff_directory', 'directory'))} AND (n2 IS NULL OR block <> 'person_block') THEN 0.54::DOUBLE END, CASE WHEN kind = 'department_contact_block' AND {_re(_low('t4'), people.TITLE_HINTS)} THEN 0.5::DOUBLE END, CASE WHEN noise THEN 0.46::DOUBLE END), 6) AS confidence,
+ CASE WHEN noise THEN (tagged || ' | noise=1;norm_flag=' || array_to_string(flags, ','))[1:240] ELSE tagged END AS source_context FROM s12""")
+def normalized_staff_rows(spark, sf_dir):
+    rows = normalize_staff.normalized(staff_rows(spark, sf_dir))
+    return rows.select("contact_id", "name", "title", "department", "email", "phone", "phone_ext", "source_kind", "block_class", "is_likely_noise", "normalization_flag", "drop", F.round("confidence", 6).alias("confidence"), "source_context")
+
+
+@query(rf"""WITH {NORMAL_SQL}, l AS (SELECT unnest(list_filter([CASE WHEN r1 THEN 'name_clear_reject' END, CASE WHEN r2 THEN 'name_address_like' END, CASE WHEN r3 THEN 'name_non_person_label' END, CASE WHEN r4 THEN 'name_is_department' END, CASE WHEN r5 THEN 'name_is_title' END, CASE WHEN r6 THEN 'name_generic_heading' END, CASE WHEN r7 THEN 'name_invalid_pattern' END, CASE WHEN r8 THEN 'title_action_label' END,
+ CASE rd WHEN 9 THEN 'department_action_label' WHEN 10 THEN 'department_address_like' WHEN 11 THEN 'department_ambiguous_education' WHEN 12 THEN 'department_context_noise' END, CASE WHEN r13 THEN 'office_contact' END, CASE WHEN bare AND ok THEN 'name_without_contact' END, CASE WHEN bare AND NOT ok THEN 'name_without_support' END, CASE WHEN none THEN 'no_contact_method' END, CASE WHEN n2 IS NOT NULL AND NOT ok THEN 'name_not_accepted' END, 'drop_' || gone], lambda x: x IS NOT NULL)) AS rule FROM s12) SELECT rule, count(*) AS rows FROM l GROUP BY 1""")
+def staff_row_ledger(spark, sf_dir):
+    return normalize_staff.ledger_counts(normalize_staff.normalized(staff_rows(spark, sf_dir)))
