@@ -60,7 +60,16 @@ def test_against_brute_force(tables):
 
 def test_slots(tables):
     found = {r["doc_id"]: r for r in d.contaminated(*tables).filter("item_id = 100").collect()}
-    assert found[2000]["consistent"] and not found[2001]["consistent"] and set(found) == {2000, 2001}
+    assert set(found) == {2000, 2001} and found[2000]["consistent"] and found[2001]["consistent"]
+    assert found[2000]["filling"] == "kept" and found[2001]["filling"] == "parted"
+
+
+def test_values_may_merge_and_part_only_where_windows_meet_whole(spark):
+    item = "a tank holds 12 litres and the pump moves 30 litres in one hour so how long does it take to fill 40 pots and 40 jars with it"
+    parted_half = " ".join(item.replace("40 jars", "70 jars").replace("40 pots", "55 pots").split()[6:]) + " or something else"
+    texts = [item.replace("12", "15").replace("30", "15"), item.replace("40 jars", "70 jars").replace("40 pots", "55 pots"), parted_half, "we filled 40 pots and 70 jars with a pump that moves 9 litres in an hour"]
+    rows = d.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["consistent"], r["filling"]) for r in rows} == {0: (True, "merged"), 1: (True, "parted"), 2: (False, "parted")}
 
 
 def test_only_contaminated_documents_go(tables):
@@ -68,7 +77,7 @@ def test_only_contaminated_documents_go(tables):
     kept = d.decontaminate(docs, benchmark)
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}
-    assert ids >= {*range(150), 2001, 2002, 2003, 2004, 2008, None} and not ids & {*range(1000, 1040), 2000, 2005, 2006, 2007}
+    assert ids >= {*range(150), 2002, 2003, 2004, 2008} and not ids & {*range(1000, 1040), 2000, 2001, 2005, 2006, 2007, None}
 
 
 def test_broadcast_and_shuffle_agree(tables, monkeypatch):
@@ -107,7 +116,7 @@ def test_insertions_partial_copies_and_second_copies(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r["doc_id"], r["item_id"]): (r["matched"], r["windows"]) for r in d.contaminated(docs, items).filter("consistent").collect()}
     assert got[0, 1] == (45, 52) and got[1, 1] == (44, 52)
-    assert set(got) == {(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)} and got[4, 3][0] == got[4, 3][1]
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (3, 2), (4, 3), (5, 3)} and got[4, 3][0] == got[4, 3][1]
 
 
 def test_repeated_ids_and_numbers_alone(spark):
@@ -117,7 +126,7 @@ def test_repeated_ids_and_numbers_alone(spark):
     df = spark.createDataFrame([(i, t, 1, "h") for i, t in rows], "doc_id long, text string, row int, hash string")
     got = sorted(((r["doc_id"], r["item_id"]) for r in d.contaminated(df, items).filter("consistent").collect()), key=str)
     assert got == [(10, 1), (11, 1), (12, 2), (None, 1)]
-    assert sorted(r["doc_id"] or 0 for r in d.decontaminate(df, items).collect()) == [0, 0, 13, 14]
+    assert sorted(r["doc_id"] for r in d.decontaminate(df, items).collect()) == [11, 13, 14]
 
 
 def test_canonical_words_and_values_in_step(spark):

@@ -7,8 +7,9 @@ the values in step. Windows of WINDOW canonical words (shorter items: one window
 of placeholders alone says nothing and is left out, and an item that has no other windows is compared as it is written.
 
 A document is contaminated by an item when at least LEAST_SHARE of the item's distinct windows meet on one alignment and
-the placeholders of these windows are filled consistently, i.e. one value of the item always became one value of the
-document and no two became the same. An alignment is a place of the document with every window that meets within the
+the placeholders of these windows are filled consistently: one value of the item always became one value of the document
+(two may have become the same), or the windows meet whole, all of the item's, and then a repeated value may have become
+several. `filling` says which: `kept` (one to one), `merged` (two values became one) or `parted`. An alignment is a place of the document with every window that meets within the
 item's length of it, each at the nearest such place: words put in or left out shift the rest without ending it. Every
 alignment with enough windows is judged.
 
@@ -19,7 +20,9 @@ size is under BROADCAST_BYTES, beyond, the join shuffles.
 
 Defined cases: null texts are empty; items without a word meet nothing; rows that share an item_id are judged each by its
 own text and reported once, by the best of them; so are documents that share a doc_id; equal texts are judged once;
-an empty benchmark reports nothing; columns of other names, whatever they are, are not read.
+an empty benchmark reports nothing; rows without an id share the id null in `contaminated`, and `decontaminate` judges every
+row by its text, whatever its id; very long texts are read whole, a row for each word while windows are made; columns of
+other names, whatever they are, are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townlens.llm.common import narrow, written
+from townlens.llm.common import narrow, text_of, written
 
 WINDOW, LEAST_SHARE = 8, 0.5
 BROADCAST_BYTES = 16 << 20
@@ -117,7 +120,7 @@ def _small(df: DataFrame, width: int) -> DataFrame:
 
 
 def _meet(texts: DataFrame, items: DataFrame, known: DataFrame, least_share: float, as_written: bool) -> DataFrame:
-    """(row, item, matched, windows, slots, consistent) of each text (row, text) and item, the best of their alignments."""
+    """(row, item, matched, windows, slots, consistent, filling) of each text (row, text) and item, the best of their alignments."""
     sizes = sorted(r["size"] for r in items.join(known.select("item").distinct(), "item", "left_semi").select("size").distinct().collect())
     marked = marked_text(F.col("text"))
     coded = texts.select("row", (marked if as_written else canonical(marked)).alias("joined")).select("row", _codes(words(F.col("joined")), as_written).alias("w"))
@@ -154,16 +157,16 @@ def _meet(texts: DataFrame, items: DataFrame, known: DataFrame, least_share: flo
     filled = inner.join(theirs, ["item", "i"]).join(values, ["row", "d"]).select("row", "item", "at", "c", "v", "dv").distinct()
     judged = filled.groupBy("row", "item", "at").agg((F.count("*") == F.count_distinct("c", "v")).alias("to"), (F.count("*") == F.count_distinct("c", "dv")).alias("fro"))
     verdict = ways.select("row", "item", "at", "matched", "windows").distinct().join(judged, ["row", "item", "at"], "left")
-    best = verdict.groupBy("row", "item").agg(F.max(F.struct(F.coalesce(F.col("to") & F.col("fro"), F.lit(True)).alias("consistent"), "matched")).alias("best"), F.first("windows").alias("windows"))
+    to, fro = F.coalesce("to", F.lit(True)), F.coalesce("fro", F.lit(True))
+    consistent = to | (F.col("matched") == F.col("windows"))
+    filling = F.when(to & fro, "kept").when(to, "merged").otherwise("parted")
+    best = verdict.groupBy("row", "item").agg(F.max(F.struct(consistent.alias("consistent"), "matched", (to & fro).alias("kept"), filling.alias("filling"))).alias("best"), F.first("windows").alias("windows"))
     slots = theirs.groupBy("item").agg(F.count("*").cast("int").alias("slots"))
-    return best.join(slots, "item", "left").select("row", "item", "best.matched", F.col("windows").cast("int").alias("windows"), F.coalesce("slots", F.lit(0)).alias("slots"), "best.consistent")
+    return best.join(slots, "item", "left").select("row", "item", "best.matched", F.col("windows").cast("int").alias("windows"), F.coalesce("slots", F.lit(0)).alias("slots"), "best.consistent", "best.filling")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, matched, windows, share, slots, consistent) of each document and item that meet."""
-    items = written(read_items(benchmark, window, item_col, text), "items")
-    source = narrow(docs, id_col, text).withColumn("row", F.xxhash64("text"))
-    kinds = source.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
+def _found(source: DataFrame, items: DataFrame, least_share: float) -> DataFrame | None:
+    """What _meet() finds of the texts of source (row, text), with the item_id; None without items."""
     found = None
     if not items.isEmpty():
         known = written(item_windows(items, False), "windows")
@@ -172,16 +175,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
         found = _meet(source, items, known, least_share, False)
         if not bare.isEmpty():
             found = found.unionByName(_meet(source, bare, written(item_windows(bare, True), "windows"), least_share, True))
+    return None if found is None else written(found.join(items.select("item", "item_id"), "item"), "found")
+
+
+def _row(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
+    """(doc_id, item_id, matched, windows, share, slots, consistent, filling) of each document and item that meet."""
+    items = written(read_items(benchmark, window, item_col, text), "items")
+    source = narrow(docs, id_col, text).withColumn("row", _row(F.col("text")))
+    kinds = source.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
+    found = _found(source, items, least_share)
     if found is None:
-        return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, matched long, windows int, share double, slots int, consistent boolean")
-    found = written(found.join(items.select("item", "item_id"), "item"), "found")
+        return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, matched long, windows int, share double, slots int, consistent boolean, filling string")
     named = source.select("doc_id", "row").join(_small(found, 128), "row")
     share = (F.col("matched") / F.col("windows").cast("double")).alias("share")
-    best = named.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", share, "matched", "windows", "slots")).alias("best"))
-    return best.select("doc_id", "item_id", *[f"best.{c}" for c in ("matched", "windows", "share", "slots", "consistent")])
+    best = named.groupBy("doc_id", "item_id").agg(F.max(F.struct("consistent", share, "matched", "windows", "slots", "filling")).alias("best"))
+    return best.select("doc_id", "item_id", *[f"best.{c}" for c in ("matched", "windows", "share", "slots", "consistent", "filling")])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
-    """The rows of docs that no item contaminates; rows without an id stay."""
-    bad = written(contaminated(docs, benchmark, window, least_share, id_col, item_col, text).filter("consistent").select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
+    """The rows of docs whose texts no item contaminates, each judged by its own text."""
+    items = written(read_items(benchmark, window, item_col, text), "items")
+    found = _found(narrow(docs, id_col, text).withColumn("row", _row(F.col("text"))), items, least_share)
+    if found is None:
+        return docs
+    bad = written(found.filter("consistent").select(F.col("row").alias("_bad")).distinct(), "contaminated")
+    return docs.join(bad, _row(text_of(docs, text)) == bad["_bad"], "left_anti")
