@@ -42,7 +42,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 FOLD = str.maketrans(ACCENTS)
 #: Channel prices in bits.
 LEET_COST, WILD_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, SPLIT_COST, PART_COST = 1.0, 3.0, 1.5, 0.5, 3.0, 4.0, 1.6
-G2_MIN, LEAST_EVIDENCE, MAX_LEXICON = 24.0, 4, 2000
+G2_MIN, LEAST_EVIDENCE = 24.0, 4
 MAX_TRAIN = 20_000
 #: Distinct tokens after which a worker's memo starts anew: bounds its memory, changes no result.
 MEMO = 250_000
@@ -261,6 +261,13 @@ def g2(t: float, c: float, n_t: int, n_c: int) -> float:
     return 2 * sum(a * math.log(a * rows / (n * m)) for a, n, m in cells if a > 0)
 
 
+def g2_column(t: Column, c: Column, n_t: int, n_c: int) -> Column:
+    """g2() of two columns."""
+    rows = n_t + n_c
+    cells = ((t, n_t, t + c), (c, n_c, t + c), (n_t - t, n_t, rows - t - c), (n_c - c, n_c, rows - t - c))
+    return 2 * sum((F.when(a > 0, a * F.log(a * F.lit(float(rows)) / (m * F.lit(float(n))))).otherwise(0.0) for a, n, m in cells), F.lit(0.0))
+
+
 def learn(sample: DataFrame) -> dict:
     """The lexicon with a probability for each word, and the rate of the label among documents without any of them."""
     sample = written(sample, "toxicity-train")
@@ -281,8 +288,8 @@ def learn(sample: DataFrame) -> dict:
         return {"lexicon": [], "p": [], "base": (n_t + 0.5) / (n_t + n_c + 1)}
     words = sample.mapInArrow(frequencies, "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     telling = words.filter((F.col("t") >= LEAST_EVIDENCE) & (F.col("t") > F.col("c")) & (F.col("t") * n_c > 3 * F.col("c") * n_t))
-    rows = telling.orderBy(F.col("t") - F.col("c"), "word", ascending=[False, True]).limit(4 * MAX_LEXICON).collect()
-    candidates = {r["word"]: r for r in rows if g2(r["t"], r["c"], n_t, n_c) >= G2_MIN}
+    rows = telling.filter(g2_column(F.col("t"), F.col("c"), n_t, n_c) >= G2_MIN).collect()  # words of at most max_train texts
+    candidates = {r["word"]: r for r in rows}
 
     def contexts(batches):
         for b in batches:
@@ -300,7 +307,6 @@ def learn(sample: DataFrame) -> dict:
         t, c = min(r["t"], around.get((w, 1), 0)), r["c"]
         if t >= LEAST_EVIDENCE and g2(t, c, n_t, n_c) >= G2_MIN and (p := (t + 0.5) / (t + c + 1)) >= 0.5:
             found.append((g2(t, c, n_t, n_c), w, p))
-    found = sorted(found, reverse=True)[:MAX_LEXICON]
     lexicon = sorted(w for _, w, _ in found)
     known = set(lexicon)
 
