@@ -6,11 +6,14 @@ sum_d r_d n_d p_dk against the target token total of each domain k by projected
 a_d = n_d p_d and residual e. At first M is the inverse of the Gram matrix sum_d a_d a_d^T, with which one is a safe and
 fast step: a residual of zero is a minimum in any metric. Where a share of UNMET of the target is left after ROUNDS, rounds
 go on as projected gradient on |e|^2 itself, with a step of a_d / |a_d| . e / L for each document, L the largest
-eigenvalue of sum_d a_d a_d^T / |a_d|, until it no longer falls; `converged` says whether one of the two ends was reached. Each round is one aggregation; the driver holds one number for each domain
+eigenvalue of sum_d a_d a_d^T / |a_d|, until it no longer falls. `converged` says whether the rates that are left are a
+minimum: the target is met, or no document has a slope left. Its slope is a_d / |a_d| . e / |e|, for a rate at the floor only
+where it points upwards, and the largest over all documents is at most SLOPE (the conditions of Karush, Kuhn and Tucker).
+Rounds may end before; then it is false. Each round is one aggregation; the driver holds one number for each domain
 and round. The rate of a document depends on its token count and posterior bins only, so rounds run over the distinct
 pairs with counts. Tokens are words; the domain is an enumeration of at most MAX_DOMAINS labels.
 
-Defined cases: null and empty texts have no tokens, keep rate 1 and take no part; labels that are null or match no
+Defined cases: very long texts are split into words in one row; null and empty texts have no tokens, keep rate 1 and take no part; labels that are null or match no
 document are not used; without usable labels the posterior is uniform and rates are those of one domain; repeated rows
 are documents of their own; a target for which no domain has mass is left unmet (the residual says so); columns of other
 names, whatever they are, are carried along by apply_mix and not read.
@@ -28,6 +31,8 @@ from townlens.llm.spans import let
 #: Rounds at most of the first kind and of the second; share of the target at which it counts as met, and fall of the squared
 #: residual, as a share of the squared target, at which it counts as least.
 ROUNDS, PLAIN_ROUNDS, TOLERANCE, UNMET, STILL = 40, 120, 1e-6, 1e-3, 1e-6
+#: Slope of any document at which rates count as a minimum.
+SLOPE = 1e-3
 MAX_DOMAINS = 64
 #: Bin edges of the features: share of signs, share of distinct words, mean word length.
 EDGES = {
@@ -142,7 +147,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict | list[float] | None
     target = share * budget
 
     steps: list[np.ndarray] = []
-    error, converged, before, plain = 0.0, False, np.inf, False
+    error, before, plain, residual = 0.0, np.inf, False, target
     flat = np.array([[moments[f"u{k}_{j}"] for j in range(K)] for k in range(K)])
     largest = float(np.linalg.eigvalsh(flat)[-1])
     for done in range(ROUNDS + PLAIN_ROUNDS):
@@ -154,11 +159,16 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict | list[float] | None
         if done == ROUNDS and error < UNMET:
             break
         if error < TOLERANCE or largest <= 0 or (plain and before - square <= STILL * max(1.0, float(target @ target))):
-            converged = True
             break
         before = square if plain else np.inf
         still = np.zeros(K)
         steps.append(np.concatenate([still, residual / largest] if plain else [inverse @ residual, still]))
+    converged = error < TOLERANCE or largest <= 0
+    if not converged:
+        last = _rate(steps, floor, mass)
+        slope = sum((m * float(e) for m, e in zip(mass, residual)), F.lit(0.0)) / size / float(np.linalg.norm(residual))
+        left = F.when(size > 0, F.when(last > floor, F.abs(slope)).otherwise(F.greatest(slope, F.lit(0.0))))
+        converged = (classes.agg(F.max(left)).head()[0] or 0.0) <= SLOPE
     rate = F.when(F.col("n_tokens") == 0, F.lit(1.0)).otherwise(_rate(steps, floor, mass))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     rated = soft.withColumn("rate", rate)
