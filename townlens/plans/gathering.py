@@ -8,7 +8,7 @@ from townlens.functions import places, text, urls
 from townlens.operators import candidates as cand
 from townlens.operators import enrich, extract, gather, merge, page_contacts, recovery, reports
 from townlens.plans.oracles import ENRICHED, SCORED
-from townlens.plans.queries import MISSING, query, settled_enriched, towns, winners
+from townlens.plans.queries import MISSING, TOWN_DOMAINS, _files, _has, _hostof, query, settled_enriched, towns, winners
 from townlens.sources import files
 from townlens.sources.staging import spark_table, with_sql
 
@@ -106,9 +106,14 @@ def ordered_candidates(spark, sf_dir):
     return spark_table(spark, sf_dir, "service_links").withColumn("place", F.row_number().over(Window.partitionBy("municipality_id").orderBy(*order))).select("municipality_id", "url", "place")
 
 
-@query()
+PROBED_SQL = f"""{with_sql('service_links')}, {TOWN_DOMAINS}, pk AS (SELECT municipality_id, url, td.domain, lower(coalesce(url, '')) AS u, ' ' || trim(regexp_replace(lower(coalesce(url, '')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS k, {_hostof} AS h FROM service_links JOIN td ON mid = municipality_id),
+pc AS (SELECT *, {_has(extract.DIRECTORY_KEYWORDS + extract.CONTACT_KEYWORDS + extract.OFFICIAL_KEYWORDS + extract.DEPARTMENT_KEYWORDS)} AS contact, {' + '.join(f"contains(u, '{x}')::INT" for x in gather.PROBE_HINTS)} AS hints FROM pk WHERE (h = domain OR ends_with(h, '.' || domain)) AND NOT regexp_matches(u, {_files(gather.FILE_SUFFIXES)})),
+pb AS (SELECT municipality_id, url, round(max(hints + CASE WHEN contact THEN 1.5::DOUBLE ELSE 0 END + 0.15::DOUBLE), 3) AS score FROM pc WHERE contact OR hints > 0 GROUP BY ALL)"""
+
+
+@query(f"WITH {PROBED_SQL} SELECT *, CAST(row_number() OVER (PARTITION BY municipality_id ORDER BY score DESC, url) AS INT) AS place FROM pb QUALIFY place <= 4")
 def discovered_probe_urls(spark, sf_dir):
-    """Top four of each town; golden values in the tests."""
+    """Top four of each town."""
     links = spark_table(spark, sf_dir, "service_links").join(towns(spark, sf_dir).select("municipality_id", F.col("domain").alias("town_domain")), "municipality_id")
     return gather.discovered_probes(links.withColumn("kind", F.lit("sitemap")), "municipality_id", "town_domain")
 

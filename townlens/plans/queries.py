@@ -418,9 +418,9 @@ def link_score(spark, sf_dir):
     return spark_table(spark, sf_dir, "service_links").select("service_id", extract.page_class("url", "label").alias("page_type"), F.round(extract.link_score("url", "label"), 3).alias("score"))
 
 
-@query(f"WITH {LINKED}, m AS (SELECT municipality_id, url, max(score) AS score FROM sc WHERE url IS NOT NULL AND score >= 2.5 GROUP BY ALL) SELECT municipality_id, url, round(score, 3) AS score, row_number() OVER (PARTITION BY municipality_id ORDER BY round(score, 3) DESC, url)::INT AS rank FROM m QUALIFY rank <= 4")
+@query(f"WITH {LINKED}, m AS (SELECT municipality_id, url, max(score) AS score FROM sc WHERE url IS NOT NULL AND score >= 2.5 GROUP BY ALL) SELECT municipality_id, url, round(score, 3) AS score, row_number() OVER (PARTITION BY municipality_id ORDER BY round(score, 3) DESC, url)::INT AS rank FROM m QUALIFY rank <= 35")
 def link_topk(spark, sf_dir):
-    return extract.select_links(spark_table(spark, sf_dir, "service_links"), "municipality_id", most=4).select("municipality_id", "url", "score", "rank")
+    return extract.select_links(spark_table(spark, sf_dir, "service_links"), "municipality_id").select("municipality_id", "url", "score", "rank")
 
 
 @query(f"WITH {LINKED} SELECT page_type, count(*) AS links FROM pt GROUP BY 1")
@@ -575,7 +575,17 @@ def internal_links(spark, sf_dir):
     return df.filter(host.isNotNull() & urls.is_internal(host, F.col("town_domain"))).select("service_id")
 
 
-@query()
+TOWN_DOMAINS = f"td AS (SELECT municipality_id AS mid, domain FROM ({with_sql('municipalities').removeprefix('municipalities AS (')[:-1]}))"
+_hostof = "nullif(regexp_replace(lower(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)), '^www[.]', ''), '')"
+_any_path = lambda x, paths: f"regexp_matches({x}, '{'|'.join(paths)}')"
+_files = lambda suffixes: "'(" + "|".join(x.replace(".", "[.]") for x in suffixes) + ")$'"
+CHILD_SQL = f"""{LINKED}, {TOWN_DOMAINS}, ci AS (SELECT *, {_hostof} AS h, lower(regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)) AS p FROM sc JOIN td ON mid = municipality_id),
+ck AS (SELECT *, CASE WHEN {_has(extract.DEPARTMENT_KEYWORDS + extract.OFFICIAL_KEYWORDS)} OR {_any_path('p', extract.CATEGORY_PATHS)} THEN 'directory_category_page' ELSE page_type END AS kind FROM ci WHERE domain <> '' AND (h = domain OR ends_with(h, '.' || domain)) AND NOT regexp_matches(u, {_files(extract.NON_HTML_SUFFIXES)})),
+cs AS (SELECT *, score + {" + ".join(f"CASE WHEN {_has((w,))} THEN {v}::DOUBLE ELSE 0 END" for w, v in extract.BROAD_WEIGHTS.items())} + CASE WHEN kind = 'directory_category_page' THEN 3.4::DOUBLE WHEN kind IN ('official_page', 'department_page', 'directory_page', 'contact_page') THEN 1.6::DOUBLE ELSE 0 END - CASE WHEN contains(u, 'directory.aspx?eid=') THEN 1.25::DOUBLE ELSE 0 END + CASE WHEN kind IN ('department_page', 'contact_page', 'official_page') AND {_any_path('u', extract.KEY_ROLE_PATHS)} THEN 1.1::DOUBLE ELSE 0 END AS total FROM ck),
+cb AS (SELECT municipality_id, url, round(max(total), 3) AS score FROM cs WHERE NOT (total < 1.2 AND kind = 'candidate') GROUP BY ALL)"""
+
+
+@query(f"WITH {CHILD_SQL} SELECT *, CAST(row_number() OVER (PARTITION BY municipality_id ORDER BY score DESC, url) AS INT) AS rank FROM cb QUALIFY rank <= 8")
 def child_links(spark, sf_dir):
     df = spark_table(spark, sf_dir, "service_links").join(towns(spark, sf_dir).select("municipality_id", F.col("domain").alias("town_domain")), "municipality_id")
     return extract.select_child_links(df, "municipality_id", F.col("town_domain"), F.lit("directory_page")).select("municipality_id", "url", "score", "rank")
