@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from townlens.functions import people
 from townlens.operators import candidates as cand
-from townlens.operators import enrich, fragments, nearest, normalize_staff, page_evidence, recovery, routes, trace
+from townlens.operators import enrich, fragments, merge, nearest, normalize_staff, page_evidence, recovery, routes, trace
 from townlens.operators import staff_pages as staff_pages_op
 from townlens.plans.oracles import SCORED
 from townlens.plans.queries import query, settled_enriched
@@ -356,3 +356,53 @@ def normalized_staff_rows(spark, sf_dir):
  CASE rd WHEN 9 THEN 'department_action_label' WHEN 10 THEN 'department_address_like' WHEN 11 THEN 'department_ambiguous_education' WHEN 12 THEN 'department_context_noise' END, CASE WHEN r13 THEN 'office_contact' END, CASE WHEN bare AND ok THEN 'name_without_contact' END, CASE WHEN bare AND NOT ok THEN 'name_without_support' END, CASE WHEN none THEN 'no_contact_method' END, CASE WHEN n2 IS NOT NULL AND NOT ok THEN 'name_not_accepted' END, 'drop_' || gone], lambda x: x IS NOT NULL)) AS rule FROM s12) SELECT rule, count(*) AS rows FROM l GROUP BY 1""")
 def staff_row_ledger(spark, sf_dir):
     return normalize_staff.ledger_counts(normalize_staff.normalized(staff_rows(spark, sf_dir)))
+
+
+# ---- what recoveries find: trust, interfaces, their endpoints, pages
+
+
+HINTS = {"tax": ("tax",), "clerk": ("clerk",), "directory": ("directory", "clerk")}
+OLD_PATHS = ("/x", "archive")
+
+
+@query(rf"""WITH {PLAN}, e AS (SELECT *, lower(path) AS p, CASE lower(category) WHEN 'tax' THEN contains(lower(path), 'tax') WHEN 'clerk' THEN contains(lower(path), 'clerk') WHEN 'directory' THEN regexp_matches(lower(path), 'directory|clerk') ELSE false END AS aligned FROM o),
+m AS (SELECT municipality_id, max(hit) AS h, max((hit = 1 AND aligned)::INT) AS al, max((hit = 1 AND rtrim(p, '/') <> '')::INT) AS k, max((hit = 1 AND regexp_matches(p, '/x|archive'))::INT) AS l, max((coalesce(contacts, 0) > 0)::INT) AS x FROM e GROUP BY 1)
+SELECT municipality_id, CASE WHEN coalesce(h, 0) = 0 THEN 'none' WHEN x = 1 AND al = 1 AND k = 1 AND l = 0 THEN 'high' WHEN x = 1 THEN 'medium' ELSE 'low' END AS trust, CASE WHEN h = 1 THEN l ELSE 0 END AS legacy_suspected FROM m""")
+def recovery_trust(spark, sf_dir):
+    rows = attempts(spark, sf_dir).withColumn("hit", F.coalesce("hit", F.lit(0))).withColumn("extracted", F.col("contacts"))
+    return recovery.trust(rows, HINTS, OLD_PATHS)
+
+
+SPOKEN = pool(('{"Swagger": 2}', "<html>", "x OpenAPI", "", None), "event_id") + " AS text, " + pool(("/api/v1", "/x", "/API", "/tax"), "event_id * 3 + user_id") + " AS path, " + pool((200, 404, 200, None, 403, 200, 500), "event_id", "INT") + " AS status"
+
+
+@query(f"WITH e AS (SELECT CAST(user_id AS BIGINT) AS municipality_id, {SPOKEN} FROM events), m AS (SELECT municipality_id, max(coalesce(status = 200 AND regexp_matches(lower(coalesce(text, '')), 'swagger|openapi'), false)::INT) AS s, max(coalesce(status = 200 AND contains(lower(path), 'api'), false)::INT) AS r FROM e GROUP BY 1) SELECT municipality_id, greatest(s, r) AS api_hit, CASE WHEN s = 1 THEN 'swagger' WHEN r = 1 THEN 'rest_root' ELSE 'none' END AS api_type FROM m")
+def api_presence(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
+    return recovery.api_presence(spark.sql(f"SELECT CAST(user_id AS BIGINT) AS municipality_id, {SPOKEN} FROM stage_events"))
+
+
+#: Endpoints of interfaces: paths, summaries and tags; each event documents two and a POST.
+ENDPOINTS = ("/staff/contacts", "/departments", "/tax/bills", "/auth/token", "/meetings/{id}", "/records/id", "/health", "/agenda", "/a")
+SUMMARIES, ENDPOINT_TAGS = ("", "List staff", "Login", "Tax assessor data", " Meetings "), ("contact", "x", "records", "planning")
+_endpoint = lambda k: (pool(ENDPOINTS, f"event_id * 2 + {k} * 5"), pool(SUMMARIES, f"event_id + {k}"), pool(ENDPOINT_TAGS, f"event_id * 3 + {k}"))
+_op = lambda k: "'\"', {}, '\": {{\"get\": {{\"summary\": \"', {}, '\", \"tags\": [\"', {}, '\"]}}}}'".format(*_endpoint(k))
+DOCUMENT = f"concat('{{\"paths\": {{', {_op(0)}, ', ', {_op(1)}, ', \"/post/staff\": {{\"post\": {{}}}}}}}}')"
+_points = lambda words, w: f"CASE WHEN regexp_matches(hay, '{'|'.join(words)}') THEN {w} ELSE 0 END"
+
+
+@query(rf"""WITH e AS (SELECT CAST(user_id AS BIGINT) AS municipality_id, unnest([{_endpoint(0)[0]}, {_endpoint(1)[0]}]) AS path, unnest([{_endpoint(0)[1]}, {_endpoint(1)[1]}]) AS summary, unnest([{_endpoint(0)[2]}, {_endpoint(1)[2]}]) AS tag FROM events),
+h AS (SELECT *, lower(path || ' ' || trim(summary) || '  ' || tag) AS hay FROM e), s AS (SELECT *, {_points(('directory', 'staff', 'contact'), 3)} + {_points(('department',), 2)} + {_points(('tax', 'assessor', 'clerk', 'building', 'planning', 'finance'), 2)} + {_points(('agenda', 'meeting', 'minutes', 'publicrecords'), 1)} - {_points(('auth', 'login', 'account', 'token', 'admin'), 5)} - {_points(('health', 'ping', 'telemetry'), 3)} AS score,
+ CASE WHEN regexp_matches(hay, 'directory|staff|contact|official|clerk') THEN 'contact_like' WHEN regexp_matches(hay, 'department|tax|assessor|building|planning|finance') THEN 'department_like' WHEN regexp_matches(hay, 'agenda|meeting|minutes') THEN 'meeting_like' WHEN contains(hay, 'records') THEN 'records_like' ELSE 'other' END AS endpoint_class FROM h),
+k AS (SELECT municipality_id, path, endpoint_class, score::INT AS score, CASE endpoint_class WHEN 'contact_like' THEN 3 WHEN 'department_like' THEN 2 WHEN 'other' THEN 0 ELSE 1 END AS c FROM s WHERE score > 0 AND NOT regexp_matches(lower(path), '[{{}}]|auth|login|account|token|admin|health|ping|telemetry|/ids?$'))
+SELECT municipality_id, path, endpoint_class, score, row_number() OVER (PARTITION BY municipality_id ORDER BY c DESC, score DESC, length(path), path)::INT AS rank FROM k QUALIFY rank <= 3""")
+def top_endpoints(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
+    documents = spark.sql(f"SELECT CAST(user_id AS BIGINT) AS municipality_id, {DOCUMENT} AS text FROM stage_events")
+    return recovery.select_endpoints(recovery.swagger_endpoints(documents)).select("municipality_id", "path", "endpoint_class", "score", "rank")
+
+
+@query(f"WITH {with_sql('service_links')}, p AS (SELECT concat(municipality_id, '|', coalesce(url, '')) AS page_id, * FROM service_links) SELECT page_id, arg_min(url, seq) AS url, arg_max(label, seq) AS title, arg_max(vendor, seq) AS discovered_from, arg_max_null(service_page_type, seq) AS page_type FROM p GROUP BY 1")
+def upsert_pages(spark, sf_dir):
+    rows = spark_table(spark, sf_dir, "service_links").select("municipality_id", "url", F.col("label").alias("title"), F.col("vendor").alias("discovered_from"), F.col("service_page_type").alias("page_type"), "seq")
+    return merge.upsert_pages(rows.withColumn("page_id", F.concat("municipality_id", F.lit("|"), F.coalesce("url", F.lit(""))))).select("page_id", "url", "title", "discovered_from", "page_type")

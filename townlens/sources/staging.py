@@ -52,7 +52,7 @@ def _pools(spark: bool) -> dict[str, str]:
         "contacts": f"SELECT concat('c', {s('c_custkey')}) AS contact_id, {key('n_name')} AS municipality_id, {p(NAMES, 'c_custkey')} AS name, {p(TITLES, 'c_custkey * 5 + c_nationkey')} AS title, {p(DEPARTMENTS, 'c_custkey * 3 + c_nationkey * 2')} AS department, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat({p(('user', 'tax', 'jane.doe', 'info', 'clerk', 'j.smith2'), 'c_custkey')}, CASE WHEN c_custkey % 5 < 3 THEN {s('c_custkey % 60')} ELSE '' END, '@t', {s('c_nationkey')}, '.example.org') END AS email, 'unknown' AS email_type, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('860555', {s('1000 + c_custkey % 500')}) END AS phone, {p((None, '12', '', '7'), 'c_custkey')} AS phone_ext, {p((None, '1 Main St', '2 Elm Ave.'), 'c_custkey')} AS address, {p((None, 'Mon-Fri 9-5'), 'c_custkey')} AS hours, {p(CONTEXTS, 'c_custkey * 2 + c_nationkey')} AS source_context, {p(URLS, 'c_custkey * 7')} AS source_url, CAST(0.4 AS DOUBLE) + CAST(c_custkey % 50 AS DOUBLE) / CAST(100 AS DOUBLE) AS confidence, c_custkey AS seq FROM customer JOIN nation ON c_nationkey = n_nationkey",
         "service_links": f"SELECT concat('s', {s('p_partkey')}) AS service_id, {key('n_name')} AS municipality_id, {p(CATEGORIES, 'p_partkey')} AS category, {p(LABELS, 'p_partkey * 3')} AS label, {p(LINKS, 'p_partkey * 5')} AS url, {p(('t1.example.org', 'x.t2.example.org', 'axisgis.com', None, 'example.org'), 'p_partkey')} AS domain, {p(VENDORS, 'p_partkey * 2')} AS vendor, {p(PAGE_KINDS, 'p_partkey')} AS service_page_type, CAST(0.5 AS DOUBLE) + CAST(p_partkey % 46 AS DOUBLE) / CAST(100 AS DOUBLE) AS confidence, {p(URLS, 'p_partkey')} AS source_url, p_partkey AS seq FROM part JOIN nation ON p_partkey % 25 = n_nationkey",
         "locations": f"SELECT concat('l', {s('s_suppkey')}) AS location_id, {key('n_name')} AS municipality_id, {p((None, '1 Main Street', '2 Elm Ave.', '203 Middlesex Avenue , Connecticut'), 's_suppkey')} AS address, {p((None, 'Mon-Fri 9-5', 'and Mon ,Tue;8 -4', '9–5'), 's_suppkey + s_nationkey')} AS hours, {p(URLS, 's_suppkey')} AS source_url, s_suppkey AS seq FROM supplier JOIN nation ON s_nationkey = n_nationkey",
-        "signals": f"SELECT concat('g', {s('event_id % 3000')}) AS signal_id, {key('n_name')} AS municipality_id, {p(SIGNALS, 'event_id * 3')} AS signal_type, CASE WHEN event_id % 2 = 0 THEN event_type ELSE props END AS value, CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) / CAST(100 AS DOUBLE) END AS confidence, {p(URLS, 'event_id')} AS source_url, event_id AS seq FROM events JOIN nation ON user_id % 25 = n_nationkey",
+        "signals": f"SELECT concat('g', {s('CAST(floor(event_id / 4) AS BIGINT)')}) AS signal_id, {key('n_name')} AS municipality_id, {p(SIGNALS, 'event_id * 3')} AS signal_type, CASE WHEN event_id % 2 = 0 THEN event_type ELSE props END AS value, CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id % 90 AS DOUBLE) / CAST(100 AS DOUBLE) END AS confidence, {p(URLS, 'event_id')} AS source_url, event_id AS seq FROM events JOIN nation ON user_id % 25 = n_nationkey",
         "diagnostics": f"SELECT {key('n_name')} AS municipality_id, event_id AS seq, " + ", ".join(f"{num(k, 'event_id * 7 + user_id')} AS {name}" for k, name in enumerate(("http_status", "extracted_link_count", "candidate_service_link_count", "contact_rows_extracted", "response_text_length", "detected_block_signal", "detected_js_shell_signal"))) + " FROM events JOIN nation ON user_id % 25 = n_nationkey WHERE event_id % 5 = 0",
         "contact_pages": f"SELECT *, CASE layout WHEN 0 THEN concat('<h1>Staff</h1><table><tr><th>Name</th><th>Title</th><th>Phone</th><th>Email</th></tr><tr><td>', name, '</td><td>', title, '</td><td>', dialled, '</td><td><a href=\"mailto:', email, '\">mail</a></td></tr></table><p>', address, '</p><p>', hours, '</p>') WHEN 1 THEN concat('<div><div class=\"contact-name\">', name, '</div><div class=\"contact-position\">', title, '</div><span>', dialled, '</span> <a href=\"mailto:', email, '\">write</a></div><p>', address, '</p><p>', hours, '</p>') WHEN 2 THEN concat('<p>', name, ', ', title, ' - <a href=\"mailto:', email, '\">', email, '</a> ', dialled, '</p><p>', address, '</p><p>', hours, '</p>') ELSE concat('<div>Name: ', name, '<br>Title: ', title, '<br>Phone: ', dialled, '<br>Email: ', email, '</div><p>', address, '</p><p>', hours, '</p>') END AS html FROM (SELECT c_custkey AS page_id, concat('https://t', {s('c_nationkey')}, '.example.org/people/', {s('c_custkey')}) AS url, {pool((0, 1, 2, 3), 'c_custkey', 'INT')} AS layout, {p(('Jane Doe', 'John Smith', 'Mary Ann Jones', 'Ann Bell', 'Carl Dow'), 'c_custkey')} AS name, {p(('Town Clerk', 'Assessor', 'Tax Collector', 'Building Official', 'Town Planner', 'Finance Director', 'Mayor'), 'c_custkey')} AS title, concat('(860) 555-', {s('1000 + c_custkey % 500')}) AS dialled, concat('860555', {s('1000 + c_custkey % 500')}) AS phone, concat('p', {s('c_custkey')}, '@t', {s('c_nationkey')}, '.example.org') AS email, {p(('12 Main Ave.', '7 Elm Street', '203 Middlesex Rd', '1 Oak blvd.'), 'c_custkey * 3')} AS address, 'Hours: Monday-Friday 9 am - 5 pm' AS hours FROM customer ) people",
         "staff_pages": f"SELECT *, concat('<html><head>', CASE WHEN page_title IS NULL THEN '' ELSE concat('<title>', page_title, '</title>') END, '</head><body><div class=\"', class, '\">', CASE WHEN heading IS NULL THEN '' ELSE concat('<h4>', heading, CASE WHEN heading_title IS NULL THEN '' ELSE concat(' <span>', heading_title, '</span>') END, '</h4>') END, '<p>', line, '</p>', CASE WHEN more IS NULL THEN '' ELSE concat('<p><b>', more, '</b></p>') END, CASE WHEN mail IS NULL THEN '' ELSE concat('<a href=\"', mail, '\">write</a>') END, CASE WHEN tel IS NULL THEN '' ELSE concat('<a href=\"', tel, '\">call</a>') END, '</div></body></html>') AS html FROM (SELECT c_custkey AS page_id, {p(STAFF_URLS, 'c_custkey * 3 + c_nationkey')} AS url, {p(STAFF_CLASSES, 'c_custkey')} AS class, {p(STAFF_HEADINGS, 'c_custkey + c_nationkey')} AS heading, {p(STAFF_TITLES, 'c_custkey * 3')} AS heading_title, {p(STAFF_LINES, 'c_custkey * 2 + c_nationkey')} AS line, {p(STAFF_MORE, 'c_custkey + 2 * c_nationkey')} AS more, {p(STAFF_MAILS, 'c_nationkey')} AS mail, {p(STAFF_TELS, 'c_nationkey * 3 + c_custkey * 2')} AS tel, {p(STAFF_PAGES, 'c_custkey * 5 + c_nationkey')} AS page_title FROM customer ) staff",
