@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from townlens.functions.text import c, has_any, let, normalize_whitespace
+from townlens.functions.text import WHITE, c, has_any, let
 
 # Words and phrases that decide what a line of a staff page is.
 TITLE_HINTS = ("director", "manager", "administrator", "clerk", "collector", "assessor", "chief", "officer", "coordinator", "superintendent", "mayor", "selectman", "assistant", "treasurer", "accounting", "enforcement officer")
@@ -34,8 +34,8 @@ SPLIT_DIGITS = (
 
 
 def clean(x: Column | str) -> Column:
-    """One space between words, none outside; null as empty."""
-    return F.coalesce(normalize_whitespace(x), F.lit(""))
+    """One space between words, none outside; null as empty. nullif() would write its argument twice, at each of many levels."""
+    return F.coalesce(F.trim(F.regexp_replace(c(x), WHITE, " ")), F.lit(""))
 
 
 def joined_digits(x: Column | str) -> Column:

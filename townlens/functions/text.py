@@ -79,8 +79,11 @@ def word_count(x: Column | str) -> Column:
     return F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1
 
 
+WHITE = r"[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]+"
+
+
 def normalize_whitespace(x: Column | str) -> Column:
-    return F.nullif(F.trim(F.regexp_replace(c(x), r"[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]+", " ")), F.lit(""))
+    return F.nullif(F.trim(F.regexp_replace(c(x), WHITE, " ")), F.lit(""))
 
 
 def keyword_blob(x: Column | str) -> Column:

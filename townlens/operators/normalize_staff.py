@@ -128,7 +128,7 @@ def normalized(rows: DataFrame) -> DataFrame:
     state = let(raw, first_state)
     for judge in (judge_name, judge_title, judge_department, judge_office, judge_support):
         state = let(state, judge)
-    judged = rows.withColumn("_s", state)
+    judged = rows.select("*", F.explode(F.array(state)).alias("_s"))  # one row each: what reads the state does not repeat its rules
     s = c("_s")
     flags = F.array_sort(F.array_distinct(F.transform(s["ledger"], lambda r: F.element_at(F.create_map(*[F.lit(x) for kv in LEDGER.items() for x in kv]), r))))
     noise = F.size(s["ledger"]) > 0
