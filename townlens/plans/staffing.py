@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from townlens.functions import people
 from townlens.operators import candidates as cand
 from townlens.operators import enrich, fragments, merge, nearest, normalize_staff, page_evidence, recovery, routes, trace
+from townlens.operators import recovery_rows as recovery_rows_op
 from townlens.operators import staff_pages as staff_pages_op
 from townlens.plans.oracles import SCORED
 from townlens.plans.queries import query, settled_enriched
@@ -406,3 +407,43 @@ def top_endpoints(spark, sf_dir):
 def upsert_pages(spark, sf_dir):
     rows = spark_table(spark, sf_dir, "service_links").select("municipality_id", "url", F.col("label").alias("title"), F.col("vendor").alias("discovered_from"), F.col("service_page_type").alias("page_type"), "seq")
     return merge.upsert_pages(rows.withColumn("page_id", F.concat("municipality_id", F.lit("|"), F.coalesce("url", F.lit(""))))).select("page_id", "url", "title", "discovered_from", "page_type")
+
+
+# ---- the full recovery row of each blocked town: a town for each user of the events
+
+
+RECOVERED = {
+    "batch_id": ("b1", "", "b2"), "recovery_mode_attempted": ("yes", "TRUE", "0", "1"), "recovery_result": ("partial_recovery", "odd", "recovered_deep_path"), "known_path_hits": ("3", "x", "2.7", ""), "deep_path_hits": ("4", "", "n"), "deep_path_trust": ("HIGH", "odd", "", "low"),
+    "api_type": ("swagger", "odd", "", "rest_root", ""), "api_inventory_type": ("swagger_ui", "", "none"), "api_inventory_paths": ("/a, /b,,/c", "", "/x"), "deep_extraction_paths": ("", "/p,/q", " "), "playwright_success": ("1", "0", ""), "first_deep_path": ("/d", ""), "homepage_status": ("403", ""),
+}
+NOTED_FIELDS = ("deep_path_hits=7; first_deep_path = /n ;api_hit=0", "API_TYPE=rest_root;api_paths_hit=/api;deep_hit_tax=2", "deep_extraction_zero_reason=blocked;deep_path_trust=medium;playwright_success=2", "", "directory_hit=1;directory_source=known;documented_get_count=5;best_api_endpoint_class=contact_like")
+_json = lambda fields: "concat('{', " + ", ', ', ".join(f"'\"{k}\": \"', {v}, '\"'" for k, v in fields.items()) + ", '}')"
+STATUS_JSON = _json({**{k: pool(v, f"event_id * {i + 1} + user_id") for i, (k, v) in enumerate(RECOVERED.items())}, "notes": pool(NOTED_FIELDS, "event_id + user_id")})
+STATUS_COLUMNS = f"CAST(user_id AS BIGINT) AS municipality_id, event_id AS seq, CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'no json' ELSE {STATUS_JSON} END AS value"
+INVENTORY_COLUMNS = "CAST(user_id AS BIGINT) AS municipality_id, event_id AS seq, CASE event_id % 3 WHEN 0 THEN NULL ELSE " + _json({"documented_get_count": pool(("9", "", "x"), "event_id"), "selected_probe_count": pool(("2", ""), "event_id"), "best_endpoint_path": pool(("/staff", "", "/a"), "event_id * 2"), "best_endpoint_class": pool(("other", ""), "event_id + user_id")}) + " END AS value"
+
+_x = lambda f: f"json_extract_string(p, '$.{f}')"
+_note = lambda f: f"nullif(trim(regexp_extract(n, '(?i)(?:^|;)\\s*{f}=([^;]*)', 1)), '')"
+_int = lambda x: f"CAST(trunc(TRY_CAST(trim({x}) AS DOUBLE)) AS INT)"
+_full = lambda x: f"CASE WHEN trim({x}) <> '' THEN {x} END"
+_plain = {f: (f"coalesce({_int(_x(f))}, {_int(_note(f))}, 0)" if isinstance(d, int) else f"coalesce({_full(_x(f))}, {_note(f)}, '{d}')") for f, d in recovery_rows_op.FIELDS.items() if f not in recovery_rows_op.NO_NOTE}
+_trust = lambda f, values: f"CASE WHEN lower(trim({_plain[f]})) IN {values} THEN lower(trim({_plain[f]})) ELSE 'none' END"
+_special = {
+    "batch_id": f"coalesce({_full(_x('batch_id'))}, 'b0')", "blocked_reason": f"coalesce({_full(_x('blocked_reason'))}, 'http_forbidden')", "recovery_mode_attempted": f"CASE WHEN lower(trim({_x('recovery_mode_attempted')})) IN ('1', 'true', 'yes') THEN 'true' ELSE 'false' END",
+    "recovery_result": f"CASE WHEN {_x('recovery_result')} IN ('partial_recovery', 'recovered_deep_path') THEN {_x('recovery_result')} ELSE '' END", **{f: f"coalesce({_full(_x(f))}, '')" for f in ("homepage_status", "fallback_status", "sitemap_status", "robots_status")}, **{f: f"coalesce({_int(_x(f))}, 0)" for f in ("known_path_hits", "recovered_contact_count", "recovered_role_winner_count")},
+    "deep_path_trust": _trust("deep_path_trust", ("none", "low", "medium", "high")), "api_type": _trust("api_type", ("swagger", "rest_root")), "api_inventory_type": _trust("api_inventory_type", ("swagger_json", "swagger_ui", "rest_json", "html_only", "none")), "notes": "CASE WHEN p IS NULL THEN 'recovery_not_attempted' ELSE n END",
+    "api_hit": f"greatest(coalesce({_int(_x('api_hit'))}, {_int(_note('api_hit'))}, ({_plain['api_paths_hit']} <> '')::INT), ({_trust('api_type', ('swagger', 'rest_root'))} <> 'none')::INT)",
+    **{f: f"CASE WHEN {_plain[f]} <= 0 THEN len(list_filter(string_split({_plain[g]}, ','), lambda x: trim(x) <> ''))::INT ELSE {_plain[f]} END" for f, g in (("deep_extraction_path_count", "deep_extraction_paths"), ("api_endpoint_count", "api_inventory_paths"))},
+    "playwright_attempted": f"CASE WHEN {_plain['playwright_attempted']} <= 0 AND {_plain['playwright_success']} > 0 THEN 1 ELSE {_plain['playwright_attempted']} END",
+    "documented_get_count": f"coalesce({_int('i1')}, {_plain['documented_get_count']})", "selected_api_probe_count": f"coalesce({_int('i2')}, {_plain['selected_api_probe_count']})", "best_api_endpoint": f"coalesce({_full('i3')}, {_plain['best_api_endpoint']})", "best_api_endpoint_class": f"coalesce({_full('i4')}, {_plain['best_api_endpoint_class']})",
+}
+
+
+@query(f"""WITH s AS (SELECT {STATUS_COLUMNS} FROM events), v AS (SELECT {INVENTORY_COLUMNS} FROM events), sl AS (SELECT municipality_id, CASE WHEN starts_with(value, '{{') THEN value END AS p FROM s QUALIFY row_number() OVER (PARTITION BY municipality_id ORDER BY seq DESC) = 1),
+il AS (SELECT municipality_id, json_extract_string(value, '$.documented_get_count') AS i1, json_extract_string(value, '$.selected_probe_count') AS i2, json_extract_string(value, '$.best_endpoint_path') AS i3, json_extract_string(value, '$.best_endpoint_class') AS i4 FROM v QUALIFY row_number() OVER (PARTITION BY municipality_id ORDER BY seq DESC) = 1),
+b AS (SELECT *, coalesce({_x('notes')}, '') AS n FROM (SELECT DISTINCT CAST(user_id AS BIGINT) AS municipality_id FROM events) LEFT JOIN sl USING (municipality_id) LEFT JOIN il USING (municipality_id))
+SELECT municipality_id, {', '.join(f'{_special.get(f) or _plain[f]} AS {f}' for f in recovery_rows_op.FIELDS)} FROM b""")
+def recovery_rows(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
+    blocked = spark.sql("SELECT DISTINCT CAST(user_id AS BIGINT) AS municipality_id, 'b0' AS batch_id, 'http_forbidden' AS blocked_reason FROM stage_events")
+    return recovery_rows_op.recovery_rows(blocked, spark.sql(f"SELECT {STATUS_COLUMNS} FROM stage_events"), spark.sql(f"SELECT {INVENTORY_COLUMNS} FROM stage_events"))
