@@ -241,3 +241,21 @@ def tagged_metrics(candidates: DataFrame, winners: DataFrame, contacts: DataFram
     key = ["municipality_id", "role_normalized"]
     open_roles = mine.select(*key).distinct().join(winners.filter(filled("role_normalized")).select(*key), key, "left_anti").agg(F.count("*").alias("roles_with_no_winner"))
     return scored.join(chosen).join(open_roles)  # one row each
+
+
+#: Words and names of rows that no winner should be made of.
+GARBAGE_PARTS, GARBAGE_NAMES = ("affidavit", "vacanc"), ("building", "tax collector", "department", "office")
+
+
+def demotion_metrics(enriched: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """One row: how far enrichment reached, what it held against the rows of one page reader, and the roles left open."""
+    n = lambda test: F.coalesce(F.sum(flag(test)), F.lit(0)).cast("long")
+    mine, reason, name = low("source_context").startswith("revize:"), F.coalesce("suspicious_reason", F.lit("")), F.trim(low("name"))
+    why = lambda kind: n(mine & (reason == kind))
+    garbage = reason.isin("invalid_person_name", "role_only_name") | has_any(name, *GARBAGE_PARTS) | name.isin(*GARBAGE_NAMES)
+    rows = enriched.agg(
+        n(filled("entity_type")).alias("contacts_with_entity_type"), n(filled("role_normalized")).alias("contacts_with_role_normalized"), why("invalid_person_name").alias("penalty_non_person_name"),
+        why("role_department_mismatch").alias("penalty_role_department_mismatch"), why("non_person_role_candidate").alias("penalty_office_row"), n(mine & garbage).alias("garbage_rows_demoted"),
+    )
+    left = unresolved.agg(F.count("*").alias("roles_unresolved"), n(F.coalesce("forced_fallback_blocked", F.lit(0)) == 1).alias("forced_fallback_blocked"))
+    return rows.join(left)  # one row each

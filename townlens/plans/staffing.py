@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from townlens.functions import people
 from townlens.operators import candidates as cand
-from townlens.operators import enrich, fragments, merge, nearest, normalize_staff, page_evidence, recovery, routes, trace
+from townlens.operators import enrich, fragments, merge, nearest, normalize_staff, page_evidence, recovery, reports, routes, trace
 from townlens.operators import recovery_rows as recovery_rows_op
 from townlens.operators import staff_pages as staff_pages_op
-from townlens.plans.oracles import SCORED
+from townlens.plans.oracles import SCORED, UNRESOLVED
 from townlens.plans.queries import query, settled_enriched
 from townlens.sources.shared import settled
 from townlens.sources.staging import pool, spark_table, with_sql
@@ -447,3 +447,12 @@ def recovery_rows(spark, sf_dir):
     spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("stage_events")
     blocked = spark.sql("SELECT DISTINCT CAST(user_id AS BIGINT) AS municipality_id, 'b0' AS batch_id, 'http_forbidden' AS blocked_reason FROM stage_events")
     return recovery_rows_op.recovery_rows(blocked, spark.sql(f"SELECT {STATUS_COLUMNS} FROM stage_events"), spark.sql(f"SELECT {INVENTORY_COLUMNS} FROM stage_events"))
+
+
+@query(f"""WITH {UNRESOLVED}, dm AS (SELECT *, lower(coalesce(source_context, '')) LIKE 'revize:%' AS mine, coalesce(suspicious_reason, '') AS why, lower(trim(coalesce(name, ''))) AS who FROM enriched)
+SELECT (SELECT count(*) FROM dm WHERE coalesce(trim(entity_type), '') <> '') AS contacts_with_entity_type, (SELECT count(*) FROM dm WHERE coalesce(trim(role_normalized), '') <> '') AS contacts_with_role_normalized, (SELECT count(*) FROM dm WHERE mine AND why = 'invalid_person_name') AS penalty_non_person_name, (SELECT count(*) FROM dm WHERE mine AND why = 'role_department_mismatch') AS penalty_role_department_mismatch,
+ (SELECT count(*) FROM dm WHERE mine AND why = 'non_person_role_candidate') AS penalty_office_row, (SELECT count(*) FROM dm WHERE mine AND (why IN ('invalid_person_name', 'role_only_name') OR who LIKE '%affidavit%' OR who LIKE '%vacanc%' OR who IN ('building', 'tax collector', 'department', 'office'))) AS garbage_rows_demoted, (SELECT count(*) FROM unresolved) AS roles_unresolved, (SELECT count(*) FROM unresolved) AS forced_fallback_blocked""")
+def demotion_metrics(spark, sf_dir):
+    df = settled_enriched(spark, sf_dir)
+    sc = settled(cand.score_candidates(df), "scored")
+    return reports.demotion_metrics(df, cand.unresolved_roles(sc, cand.best_role_per_town(sc)))
