@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from townlens.functions import urls
@@ -26,12 +26,21 @@ CLASS_PRIORITY = {"contact_like": 3, "department_like": 2, "meeting_like": 1, "r
 EXTRACTABLE = ("directory", "finance", "clerk", "assessor", "tax", "building", "planning")
 
 
-def deep_path_plan(spark: SparkSession, budget: int = BUDGET) -> DataFrame:
-    """(ordinal, category, path): paths in priority order, equal ones in any case once, as many as the budget."""
-    rows = [(i, k, p) for i, (k, p) in enumerate((k, p) for k, paths in DEEP_PATHS.items() for p in paths)]
-    df = spark.createDataFrame(rows, "seq int, category string, path string")
-    first = df.withColumn("_rn", F.row_number().over(Window.partitionBy(F.lower("path")).orderBy("seq"))).filter("_rn = 1")
-    return first.withColumn("ordinal", F.row_number().over(Window.orderBy("seq"))).filter(F.col("ordinal") <= budget).select("ordinal", "category", "path")  # a fixed list
+def deep_paths(budget: int = BUDGET) -> list[tuple[int, str, str]]:
+    """(ordinal, category, path): the paths by category in their order of priority, equal ones (case and a last slash apart) once,
+    as many as the budget."""
+    first: dict[str, tuple[str, str]] = {}
+    for category in sorted(DEEP_PATHS, key=DEEP_ORDER.index):
+        for path in DEEP_PATHS[category]:
+            first.setdefault(path.lower().rstrip("/"), (category, path))
+    return [(i, *x) for i, x in enumerate(list(first.values())[:budget], 1)]
+
+
+def deep_path_plan(towns: DataFrame, home: str = "website_url", budget: int = BUDGET) -> DataFrame:
+    """(municipality_id, ordinal, category, path, url): what to probe on each town's site; towns without one have no plan."""
+    listed = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(k).alias("category"), F.lit(p).alias("path")) for i, k, p in deep_paths(budget)])
+    rows = towns.filter(F.trim(F.coalesce(home, F.lit(""))) != "").select("municipality_id", F.col(home).alias("_home"), F.inline(listed))
+    return rows.select("municipality_id", "ordinal", "category", "path", urls.normalize("path", "_home").alias("url"))
 
 
 def behind_streak(rows: DataFrame, group: str, order: str, streak: int = STREAK) -> DataFrame:

@@ -555,9 +555,12 @@ def recovery_result(spark, sf_dir):
     return spark.sql(COUNTED + "stage_events").select("event_id", recovery.recovery_result().alias("recovery_result"), recovery.zero_reason().alias("zero_reason"))
 
 
-@query("WITH p(i, c, x) AS (VALUES " + ", ".join(f"({i}, '{k}', '{p}')" for i, (k, p) in enumerate((k, p) for k, v in recovery.DEEP_PATHS.items() for p in v)) + "), f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY lower(x) ORDER BY i) = 1) SELECT row_number() OVER (ORDER BY i)::INT AS ordinal, c AS category, x AS path FROM f QUALIFY ordinal <= 20")
+PLANNED = [(i, k, p) for i, (k, p) in enumerate((k, p) for k in ("directory", "finance", "clerk", "assessor", "tax", "building", "planning", "departments_root") for p in recovery.DEEP_PATHS[k])]
+
+
+@query("WITH " + with_sql("municipalities") + ", p(i, c, x) AS (VALUES " + ", ".join(f"({i}, '{k}', '{p}')" for i, k, p in PLANNED) + "), f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY lower(x) ORDER BY i) = 1), o AS (SELECT row_number() OVER (ORDER BY i)::INT AS ordinal, c AS category, x AS path FROM f QUALIFY ordinal <= 20) SELECT municipality_id, ordinal, category, path, concat(rtrim(website_url, '/'), path) AS url FROM municipalities, o")
 def deep_path_plan(spark, sf_dir):
-    return recovery.deep_path_plan(spark)
+    return recovery.deep_path_plan(towns(spark, sf_dir))
 
 
 PROBES = "SELECT user_id % 25 AS municipality_id, event_id AS ordinal, CASE WHEN event_id * 7 % 11 < 6 THEN 403 ELSE 200 END AS status FROM "
@@ -650,14 +653,16 @@ def pipeline_validation(spark, sf_dir):
 CATALOG = ("municipalities", "contacts", "service_links", "locations", "signals", "manifest")
 
 
-@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, column_name FROM (DESCRIBE WITH {with_sql(n)} SELECT * FROM {n})" for n in CATALOG))
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, column_name, filled FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM (WITH {with_sql(n)} SELECT * FROM {n})) ON COLUMNS(*) INTO NAME column_name VALUE filled)" for n in CATALOG))
 def catalog_columns(spark, sf_dir):
-    """The columns of the staged tables, as the catalog of the session lists them."""
-    rows = []
+    """The columns of the staged tables, and in how many rows each is filled."""
+    out = None
     for n in CATALOG:
-        spark_table(spark, sf_dir, n).createOrReplaceTempView(f"catalog_{n}")
-        rows += [(n, c.name) for c in spark.catalog.listColumns(f"catalog_{n}")]
-    return spark.createDataFrame(rows, "table_name string, column_name string")
+        df = spark_table(spark, sf_dir, n)
+        counted = df.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count(c).alias("filled")) for c in df.columns]).alias("x"))
+        one = counted.select(F.lit(n).alias("table_name"), F.inline("x"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 from townlens.plans import gathering, staffing  # noqa: E402, F401  (register their queries)
