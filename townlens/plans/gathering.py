@@ -68,9 +68,20 @@ def first_contact_rows(spark, sf_dir):
     return gather.first_of(spark_table(spark, sf_dir, "contacts"), TUPLE, "municipality_id").select("contact_id")
 
 
-@query()
+_ws = lambda f: f"nullif(trim(regexp_replace({f}, '\\s+', ' ', 'g')), '')"
+_unlabelled = lambda f: f"nullif(trim(regexp_replace({_ws(f)}, '^(?i)email\\s+', ''), ' -:;,.'), '')"
+_keyed = lambda x: f"trim(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9]+', ' ', 'g'))"
+_rich = lambda t: "(" + " + ".join(f"CASE WHEN coalesce(trim({t}.{f}), '') <> '' THEN {w} ELSE 0 END" for f, w in gather.RICHNESS.items()) + ")"
+_lead = lambda f: f"CASE WHEN n.rich > r.rich OR (n.rich = r.rich AND n.confidence >= r.confidence) THEN CASE WHEN coalesce(trim(n.{f}), '') <> '' THEN n.{f} ELSE r.{f} END ELSE CASE WHEN coalesce(trim(r.{f}), '') <> '' THEN r.{f} ELSE n.{f} END END AS {f}"
+PAGE_FOLD = f"""{with_sql('contacts')}, mc AS (SELECT seq, source_url, {_ws('name')} AS name, {_unlabelled('title')} AS title, {_unlabelled('department')} AS department, lower(nullif(trim(email), '')) AS email, email_type, nullif(trim(phone), '') AS phone, nullif(trim(phone_ext), '') AS phone_ext, {_ws('address')} AS address, {_ws('hours')} AS hours, {_ws('source_context')} AS source_context, coalesce(confidence, {gather.DEFAULT_CONFIDENCE}) AS confidence FROM contacts),
+mk AS (SELECT *, CASE WHEN email IS NOT NULL THEN 'email|' || email ELSE concat_ws('|', 'row', {_keyed('name')}, coalesce(nullif({_keyed('coalesce(title, department)')}, ''), {_keyed('phone')}), {_keyed('source_url')}) END AS k FROM mc WHERE name IS NOT NULL AND regexp_matches(lower(name), '[a-z]') AND NOT contains(lower(name), 'staff directory') AND NOT regexp_matches(lower(name), '\\b(email|phone|contact|vacant)\\b')),
+mo AS (SELECT *, row_number() OVER (PARTITION BY source_url, k ORDER BY seq) AS i, count(*) OVER (PARTITION BY source_url, k) AS sightings, {_rich('mk')} AS rich FROM mk),
+mr AS (SELECT source_url, k, i, sightings, confidence, {', '.join(gather.MERGED)}, rich FROM mo WHERE i = 1 UNION ALL SELECT *, {_rich('x')} AS rich FROM (SELECT r.source_url, r.k, n.i, r.sightings, greatest(r.confidence, n.confidence) AS confidence, {', '.join(map(_lead, gather.MERGED))} FROM mr r JOIN mo n ON n.source_url IS NOT DISTINCT FROM r.source_url AND n.k = r.k AND n.i = r.i + 1) x)"""
+
+
+@query(f"WITH RECURSIVE {PAGE_FOLD} SELECT source_url, sightings::INT AS sightings, confidence, {', '.join(gather.MERGED)} FROM mr WHERE i = sightings")
 def merged_page_contacts(spark, sf_dir):
-    """A fold in order, held against brute force in the tests."""
+    """A fold in order; also held against brute force in the tests."""
     return gather.merge_contacts(gather.normalize_contacts(spark_table(spark, sf_dir, "contacts")))
 
 
