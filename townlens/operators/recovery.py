@@ -77,11 +77,13 @@ def recovery_plan(attempts: DataFrame, group: str = "municipality_id", budget: i
     phase = chain(*[(F.col("phase") == p, i) for i, p in enumerate(PHASES)])
     category = chain(*[(low("category") == k, i) for i, k in enumerate(DEEP_ORDER)], default=len(DEEP_ORDER))
     lane = F.when(F.col("phase") == "deep", "deep").when(F.col("phase") == "api", "api").otherwise("outer")
-    rows = attempts.withColumns({"_phase": phase, "_lane": lane, "_sub": F.when(F.col("phase") == "deep", category).otherwise(0)})
-    line = by.orderBy("_phase", "_sub", "ordinal")
     path = F.lower(F.trim(F.coalesce("path", F.lit(""))))
     key = F.when(F.col("phase") == "deep", F.when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))).when(F.col("phase").isin("discovered", "known"), F.col("url"))
-    rows = rows.withColumns({"_order": F.row_number().over(line), "_key": key, "_probe": F.col("phase").isin("discovered", "known")})
+    # key and gains are known of a row alone: no window needs texts and urls, and where they are not asked for none sorts them
+    gains = F.when(extraction_gate() & (F.col("phase") == "deep"), F.coalesce("contacts", F.lit(0))).otherwise(0)
+    rows = attempts.withColumns({"_phase": phase, "_lane": lane, "_sub": F.when(F.col("phase") == "deep", category).otherwise(0), "_gains": gains, "_key": key})
+    line = by.orderBy("_phase", "_sub", "ordinal")
+    rows = rows.withColumns({"_order": F.row_number().over(line), "_probe": F.col("phase").isin("discovered", "known")})
     rows = rows.withColumn("_limit", (F.col("phase") == "discovered") & (F.row_number().over(Window.partitionBy(group, "phase").orderBy("ordinal")) > DISCOVERED))
     same = Window.partitionBy(group, "_lane", "_key", "_limit").orderBy("_order")
     rows = rows.withColumn("outcome", chain((phase.isNull(), "unknown_phase"), (F.col("_limit"), "over_limit"), (F.col("_key").isNotNull() & (F.row_number().over(same) > 1), "duplicate")))
@@ -92,13 +94,13 @@ def recovery_plan(attempts: DataFrame, group: str = "municipality_id", budget: i
     rows = rows.withColumn("outcome", F.coalesce("outcome", F.when(nth > most, "over_budget")))
     live, out = rows.filter("outcome IS NULL").withColumn("_line", F.concat_ws("|", F.col(group).cast("string"), "_lane")), rows.filter("outcome IS NOT NULL")
     live = behind_streak(live, "_line", "_order")
-    gained = F.when(extraction_gate() & ~F.col("blocked") & (F.col("phase") == "deep"), F.coalesce("contacts", F.lit(0))).otherwise(0)
+    gained = F.when(~F.col("blocked"), F.col("_gains")).otherwise(0)
     so_far = F.sum(gained).over(Window.partitionBy("_line").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1))
     enough = (F.col("phase") == "deep") & (F.coalesce(so_far, F.lit(0)) >= ENOUGH)
     live = live.withColumn("outcome", chain((F.col("blocked") & (F.col("_lane") != "api"), "blocked"), (enough, "enough_contacts"), default="done")).drop("blocked", "_line")
     both = live.unionByName(out)
     place = F.when(F.col("outcome") == "done", F.row_number().over(Window.partitionBy(group, F.col("outcome") == "done").orderBy("_order")))
-    return both.withColumn("place", place).drop("_phase", "_lane", "_sub", "_order", "_key", "_probe", "_limit", "_budget")
+    return both.withColumn("place", place).drop("_phase", "_lane", "_sub", "_order", "_key", "_probe", "_limit", "_budget", "_gains")
 
 
 def extraction_gate() -> Column:
