@@ -81,6 +81,8 @@ def priority(kind: Column, origin: str, url: Column, label: Column, source: Colu
 def first_targets(links: DataFrame) -> DataFrame:
     """The first anchor of each target of a page."""
     once = Window.partitionBy("page_id", "url").orderBy("place")
+    # a row each: the filter does not go below it, where it would resolve every reference a second time
+    links = links.select(*[x for x in links.columns if x != "url"], F.explode(F.array("url")).alias("url"))
     return links.filter(F.col("url").isNotNull()).withColumn("nth", F.row_number().over(once)).filter("nth = 1").drop("nth")
 
 

@@ -14,7 +14,7 @@ from townlens.operators import staff_pages as staff_pages_op
 from townlens.plans.oracles import SCORED, UNRESOLVED
 from townlens.plans.queries import query, settled_enriched
 from townlens.sources.shared import settled
-from townlens.sources.staging import pool, spark_table, with_sql
+from townlens.sources.staging import pool, spark_table, spread, with_sql
 
 
 def staff_pages(spark, sf_dir):
@@ -69,7 +69,7 @@ ANCHORS = f"concat({_anchor(0)}, {_anchor(1)}, {_anchor(2)})"
 
 def linked_pages(spark, sf_dir):
     """The given pages, and one for each customer with three anchors of the kinds above."""
-    spark.read.parquet(f"{sf_dir}/customer.parquet").createOrReplaceTempView("stage_customer")
+    spread(spark.read.parquet(f"{sf_dir}/customer.parquet"), "c_custkey").createOrReplaceTempView("stage_customer")
     given = spark.read.parquet(f"{sf_dir}/pages.parquet").select((-F.col("page_id").cast("long") - 1).alias("page_id"), "url", "html")
     return given.unionByName(spark.sql(f"SELECT CAST(c_custkey AS BIGINT) AS page_id, {pool(BASES, 'c_custkey')} AS url, {ANCHORS} AS html FROM stage_customer"))
 
