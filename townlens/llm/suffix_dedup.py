@@ -43,6 +43,9 @@ BLOCK, PER_FILE = 1 << 21, 4
 SLICE, RUN, BATCH = 1 << 18, 32, 60_000
 #: Pieces of one key beyond which its windows are dealt one by one.
 HOT = 4096
+#: Bits of a key that pass 1 leaves out, which only asks who else may have it: keys alike in the rest send pieces in vain,
+#: which then meet under their whole keys. 40 bits are left, in half the bytes.
+UNTOLD = np.uint64(24)
 LAST = np.iinfo(np.int64).max
 
 
@@ -264,6 +267,7 @@ def keys_of_block(width: int, buckets: int, step: int):
     def run(rows: pa.Table) -> pa.Table:
         number = rows["block"][0].as_py()
         _, _, key, doc = Block(rows).pieces(width, step)
+        key = key >> UNTOLD
         keys, least, n = reduced(key, doc, np.minimum)
         _, most, _ = reduced(key, doc, np.maximum)
         n = (2 * n + (least < most)).astype(np.uint32)
@@ -306,8 +310,8 @@ def held(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 
 def pieces_of_block(width: int, buckets: int, step: int):
-    """Pass 2: each distinct piece of the wanted keys to the bucket of its key, with its least document; and, as bucket -1,
-    the block's own notes: where each piece starts, its windows, which piece stands for it, whether a smaller document here
+    """Pass 2: each distinct piece of the wanted keys to the bucket of its key, with its least document; and, under a bucket
+    below 0 that is its alone, the block's own notes: where each piece starts, its windows, which piece stands for it, whether a smaller document here
     has the same."""
 
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
@@ -317,8 +321,8 @@ def pieces_of_block(width: int, buckets: int, step: int):
         plain = np.sort(np.concatenate([ungaps(x) for x in wanted["a"].to_pylist()]))
         hot = np.sort(np.concatenate([ungaps(x) for x in wanted["b"].to_pylist()]))
         at, length, key, doc = block.pieces(width, step)
-        is_hot = held(key, hot)
-        keep = is_hot | held(key, plain)
+        is_hot = held(key >> UNTOLD, hot)
+        keep = is_hot | held(key >> UNTOLD, plain)
         at, length, key, doc, is_hot = (x[keep] for x in (at, length, key, doc, is_hot))
         parts = np.where(is_hot, length, 1)  # a hot key's pieces are cut into their windows
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -331,7 +335,7 @@ def pieces_of_block(width: int, buckets: int, step: int):
         for i in np.flatnonzero(is_hot[first]).tolist():
             key[first[i]] = xxhash.xxh3_64_intdigest(texts_of[i])
         pack = zstandard.ZstdCompressor(level=3)  # pieces overlap little, but share words: half of what shuffle files make of them
-        out = [(-1, number, planes(at), planes(length.astype(np.uint8)), planes(stands.astype(np.uint32)), planes((doc > doc[stands]).astype(np.uint8)))]
+        out = [(-1 - number, number, planes(at), planes(length.astype(np.uint8)), planes(stands.astype(np.uint32)), planes((doc > doc[stands]).astype(np.uint8)))]
         for bucket, which in dealt(key[first], buckets):
             i = first[which]
             out.append((bucket, number, planes(key[i]), planes(doc[i]), planes(i.astype(np.uint32)), planes(length[i].astype(np.uint8)), pack.compress(b"".join([texts_of[k] for k in which.tolist()]))))
@@ -397,9 +401,12 @@ def shared_windows(texts: list[bytes], keys: np.ndarray, width: int) -> tuple[np
 
 
 def verdicts(width: int, batch: int):
-    """Pass 3, by bucket: to each block, of its pieces those with windows that start in a smaller document, as bits."""
+    """Pass 3, by bucket: to each block, of its pieces those with windows that start in a smaller document, as bits, as bucket
+    -2; notes of blocks go by as bucket -1, so that the pieces are in shuffle files alone and in no table besides."""
 
     def run(rows: pa.Table) -> pa.Table:
+        if rows["bucket"][0].as_py() < 0:
+            return sent([(-1, *(r[c] for c in ("block", "a", "b", "c", "d"))) for r in rows.to_pylist()])
         rows = rows.sort_by("block")
         known: dict[bytes, int] = {}
         unpack = zstandard.ZstdDecompressor()
@@ -517,11 +524,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         by_block = spark.table(name).groupBy("block")
         keys = by_block.applyInArrow(keys_of_block(width, buckets, step), SENT)
         wanted = keys.groupBy("bucket").applyInArrow(keys_of_several(hot), SENT)
-        found = written(by_block.cogroup(wanted.groupBy("block")).applyInArrow(pieces_of_block(width, buckets, step), SENT), "pieces")
-        said = found.filter("bucket >= 0").groupBy("bucket").applyInArrow(verdicts(width, batch), SENT)
-        notes = found.filter("bucket = -1").unionByName(said)
+        found = by_block.cogroup(wanted.groupBy("block")).applyInArrow(pieces_of_block(width, buckets, step), SENT)
+        notes = written(found.groupBy("bucket").applyInArrow(verdicts(width, batch), SENT), "verdicts")
         out = written(by_block.cogroup(notes.groupBy("block")).applyInArrow(cut_blocks(width, keep_text), KEPT), "kept")
-        forget(found)
+        forget(notes)
         remove(spark, path)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
