@@ -148,3 +148,12 @@ def test_windows_many_items_share(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in d.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == brute(rows, items) and got >= {(i, i) for i in range(20)}
+
+
+def test_long_lists_of_numbers_and_names(spark):
+    """Repeated groups are matched without recursion: a stack that overflows ends the executor."""
+    texts = [(1, ",".join(str(i % 10) for i in range(60_000))), (2, "so said " + " ".join(["Anna Maria"] * 30_000) + " and others")]
+    item = [(9, "the old mill stands by the river and turns no more these days")]
+    docs = spark.createDataFrame([*texts, (3, item[0][1])], "doc_id long, text string")
+    kept = d.decontaminate(docs, spark.createDataFrame(item, "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import pytest
@@ -133,3 +134,17 @@ def test_held_out_accuracy(spark):
     clean = [r["predicted"] for r in rows if r["toxic"] == 0]
     # some labels are wrong on purpose: documents without any telling word that are marked, and the other way round
     assert sum(caught) >= 0.85 * len(caught) > 50 and sum(clean) <= 0.03 * len(clean)
+
+
+def test_gram_counts_in_bounded_memory(monkeypatch):
+    texts = ["a1b  c!! é" * 4000] * 500
+    tracemalloc.start()
+    whole = toxicity.gram_counts(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 and whole.sum() > 0
+    few = ["", "a", "", "é!!  b", "  x"]
+    want = toxicity.gram_counts(few)
+    for n in (1, 2, 3, 7):
+        monkeypatch.setattr(toxicity, "CHUNK", n)
+        assert (toxicity.gram_counts(few) == want).all()

@@ -45,7 +45,9 @@ EDGE = rf"[^\p{{L}}\p{{N}}{BEGIN}-{JOIN}\s\p{{Z}}](?:(?<![.,:/])|(?![0-9])|(?<![
 NAME = r"\p{Lu}\p{Ll}+"
 INSIDE = r"\p{Lu}(?<=[\p{Ll}\p{N}][,;:]?[ \t]\p{Lu})\p{Ll}+"
 NO_MORE = r"(?![\p{L}\p{N}])"
-NUMBER = rf"([0-9]+(?:[.,:/][0-9]+)*)(?:([ \t])((?i:{UNITS})){NO_MORE})?"
+#: Repeated groups are possessive, here and below: Java matches others by recursion, and a list of some thousand numbers or
+#: names then overflows the stack, which ends the executor. Nothing is given back: a part that repeats ends where it must.
+NUMBER = rf"([0-9]+(?:[.,:/][0-9]+)*+)(?:([ \t])((?i:{UNITS})){NO_MORE})?"
 SPACE = r"[\s\p{Z}]+"
 
 
@@ -54,7 +56,7 @@ def marked_text(text: Column) -> Column:
     before once, so that a text goes through each pattern once."""
     t = F.regexp_replace(text, OWN, "")
     t = F.regexp_replace(t, rf"({INSIDE})[ \t](?={NAME}{NO_MORE})", f"$1{JOIN}")
-    t = F.regexp_replace(t, rf"{INSIDE}(?:{JOIN}{NAME})*{NO_MORE}", f"{BEGIN}p$0{END}")
+    t = F.regexp_replace(t, rf"{INSIDE}(?:{JOIN}{NAME})*+{NO_MORE}", f"{BEGIN}p$0{END}")
     t = F.regexp_replace(t, NUMBER, f"{BEGIN}n$1{END}$2{BEGIN}u$3{END}")
     t = F.replace(t, F.lit(f"{BEGIN}u{END}"), F.lit(""))
     return F.regexp_replace(F.lower(t), EDGE, "")

@@ -44,6 +44,8 @@ FOLD = str.maketrans(ACCENTS)
 LEET_COST, WILD_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, SPLIT_COST, PART_COST = 1.0, 3.0, 1.5, 0.5, 3.0, 4.0, 1.6
 G2_MIN, LEAST_EVIDENCE = 24.0, 4
 MAX_TRAIN = 20_000
+#: Characters whose 4-grams are counted at a time: bounds memory, changes no result.
+CHUNK = 1 << 20
 #: Distinct tokens after which a worker's memo starts anew: bounds its memory, changes no result.
 MEMO = 250_000
 
@@ -61,13 +63,19 @@ def symbol_table() -> np.ndarray:
 
 
 def gram_counts(texts: list[str]) -> np.ndarray:
-    """Counts of the 4-grams of symbols; runs of boundaries count as one."""
-    cps = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "replace"), dtype=np.uint32)
-    s = symbol_table()[np.minimum(cps, 0x250)]
-    s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
-    s = np.concatenate([[0, 0], s])
-    codes = ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
-    return np.bincount(codes, minlength=SYMBOLS**ORDER)
+    """Counts of the 4-grams of symbols; runs of boundaries count as one. Symbols are taken CHUNK at a time, with the three
+    before them, so that memory does not grow with the length of the texts."""
+    whole = "\n".join(["", *texts, ""])
+    out, before = np.zeros(SYMBOLS**ORDER, dtype=np.int64), np.zeros(2, dtype=np.int64)
+    for at in range(0, len(whole), CHUNK):
+        cps = np.frombuffer(whole[at : at + CHUNK].encode("utf-32-le", "replace"), dtype=np.uint32)
+        s = symbol_table()[np.minimum(cps, 0x250)]
+        last = before[-1] if at else 1  # the first boundary counts
+        s = np.concatenate([before, s[(s != 0) | (np.concatenate([[last], s[:-1]]) != 0)]])
+        codes = ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
+        out += np.bincount(codes, minlength=SYMBOLS**ORDER)
+        before = s[-3:]
+    return out
 
 
 def char_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> np.ndarray:
