@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +94,11 @@ def test_departments_come_from_six_sources_in_order(spark):
     df = spark.createDataFrame(rows, "crumbs array<string>, h1 string, title string, headings array<string>, nav array<string>, url string, want string")
     got = df.select("want", fragments.inferred_department(*(F.col(c) for c in df.columns[:6])).alias("got")).collect()
     assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_a_long_text_without_a_phone_is_read_once(spark):
+    df = spark.createDataFrame([("no phone 12 " * 10_000,), ("fax 203-555-0001 " + "no phone 12 " * 10_000,)], "t string")
+    began = time.monotonic()
+    rows = df.select(fragments.spoken(F.col("t"), F.lit("5")).alias("s")).select("s.phone", "s.ext").collect()
+    assert sorted((r["phone"] or "", r["ext"]) for r in rows) == [("", "5"), ("2035550001", "5")]
+    assert time.monotonic() - began < 20

@@ -158,20 +158,33 @@ def inferred_department(crumbs: Column, h1: Column, title: Column, headings: Col
     return F.get(F.filter(F.transform(candidates, people.department_label), lambda x: x.isNotNull()), F.lit(0))
 
 
-#: A phone and all text before it, so that what stands right before a phone can be seen.
-BEFORE_PHONE = rf"(?is)(.*?)({extract.PHONE.removeprefix('(?i)')})"
+#: A phone and all text behind the phone before it, so that what stands right before a phone can be seen. \G holds the search to
+#: one pass: a text without a (further) phone would be gone through anew from each of its characters.
+BEFORE_PHONE = rf"(?is)\G(.*?)({extract.PHONE.removeprefix('(?i)')})"
+
+
+def spoken(text: Column, hint: Column) -> Column:
+    """phone and ext: the first phone in text (digits joined) that does not follow `fax` within twelve characters, else the first
+    of all; and its extension, else the hint, as at most six digits."""
+
+    def first(t: Column) -> Column:
+        part = lambda i: F.regexp_extract_all(t, F.lit(BEFORE_PHONE), F.lit(i))
+        found = F.zip_with(part(1), part(2), lambda before, phone: F.struct(F.lower(F.right(before, F.lit(12))).contains("fax").alias("fax"), phone.alias("phone")))
+        return let(found, lambda all_of: F.get(F.concat(F.filter(all_of, lambda x: ~x["fax"]), all_of), F.lit(0)))["phone"]
+
+    def parts(x: Column) -> Column:
+        digits = lambda i: F.regexp_extract(x["phone"], extract.PHONE, i)
+        own = F.when(x["phone"].isNotNull(), F.nullif(digits(4), F.lit("")))
+        extension = F.substring(F.regexp_replace(F.coalesce(own, x["hint"]), "[^0-9]", ""), 1, 6)
+        return F.struct(F.when(x["phone"].isNotNull(), F.concat(digits(1), digits(2), digits(3))).alias("phone"), F.nullif(extension, F.lit("")).alias("ext"))
+
+    return let(F.struct(let(text, first).alias("phone"), hint.alias("hint")), parts)
 
 
 def phone_and_extension(text: Column, hint: Column) -> tuple[Column, Column]:
-    """The first phone in text (digits joined) that does not follow `fax` within twelve characters, else the first of all;
-    and its extension, else the hint, as at most six digits."""
-    part = lambda i: F.regexp_extract_all(text, F.lit(BEFORE_PHONE), F.lit(i))
-    found = F.zip_with(part(1), part(2), lambda before, phone: F.struct(F.lower(F.right(before, F.lit(12))).contains("fax").alias("fax"), phone.alias("phone")))
-    first = let(found, lambda all_of: F.get(F.concat(F.filter(all_of, lambda x: ~x["fax"]), all_of), F.lit(0)))["phone"]
-    digits = lambda i: F.regexp_extract(first, extract.PHONE, i)
-    own = F.when(first.isNotNull(), F.nullif(digits(4), F.lit("")))
-    extension = F.substring(F.regexp_replace(F.coalesce(own, hint), "[^0-9]", ""), 1, 6)
-    return F.when(first.isNotNull(), F.concat(digits(1), digits(2), digits(3))), F.nullif(extension, F.lit(""))
+    """The parts of spoken(), each computed for itself."""
+    both = spoken(text, hint)
+    return both["phone"], both["ext"]
 
 
 def first_phone(text: Column) -> Column:
@@ -192,9 +205,9 @@ def reconstruct(blocks: DataFrame) -> DataFrame:
     line_title = F.get(F.filter(F.slice("lines", 1, 5), lambda x: people.is_title(x) & ((bare(x) != bare(c("name"))) | (bare(c("name")) == ""))), F.lit(0))
     whole = F.concat_ws(" | ", c("linked.phone"), F.nullif("text", F.lit("")), F.concat(F.lit("x"), c("linked.phone_ext")))
     rows = rows.withColumns({"title": F.coalesce(F.nullif(people.joined_digits("heading_title"), F.lit("")), line_title), "email": F.coalesce(mailed, F.get(extract.emails("text"), F.lit(0))), "whole": people.joined_digits(whole)})
-    phone, extension = phone_and_extension(c("whole"), c("linked.phone_ext"))
+    rows = rows.withColumn("spoken", spoken(c("whole"), c("linked.phone_ext")))
     department = inferred_department(c("crumbs"), c("h1"), c("page_title"), c("headings"), c("nav"), c("url"))
-    rows = rows.withColumns({"phone": F.coalesce(phone, c("linked.phone")), "phone_ext": extension, "department": department})
+    rows = rows.withColumns({"phone": F.coalesce("spoken.phone", "linked.phone"), "phone_ext": c("spoken.ext"), "department": department})
     reason = chain(
         ((c("joins") == 0) & c("has_tel") & c("has_mailto"), "already_structured_sidebar"),
         (people.is_vacancy("name"), "vacancy_name"),

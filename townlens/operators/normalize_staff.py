@@ -108,7 +108,7 @@ def first_state(r: Column) -> Column:
     reached = F.concat(trimmed("email"), trimmed("phone"))
     block = chain((F.lower(kind) == OFFICE, "office_contact_block"), (people.is_person(people.joined_digits(r["name"])) & (F.concat(clean(r["title"]), reached) != ""), "person_block"), (reached != "", "office_contact_block"), default="structural_block")
     whole = people.joined_digits(F.concat_ws(" | ", nothing(trimmed("phone")), nothing(context), F.concat(F.lit("x"), nothing(trimmed("phone_ext")))))
-    spoken = let(whole, lambda w: F.struct(*[x.alias(n) for n, x in zip(("phone", "ext"), fragments.phone_and_extension(w, nothing(trimmed("phone_ext"))))]))
+    spoken = fragments.spoken(whole, nothing(trimmed("phone_ext")))
 
     def put(x: Column) -> Column:
         priority = routes.by_class(x["page_class"], routes.CLASS_WEIGHT)
