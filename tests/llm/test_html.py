@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from townlens.llm import html_extract as h
 
 
@@ -116,3 +118,19 @@ def test_all_articles_and_all_of_main_stay():
     assert whole == "Title\nlead\none\ntwo\nlinked words"
     assert h.main_text("<article><p>one</p></article><p>beside</p><article><p>two</p></article>")[0] == "one\ntwo"
     assert h.main_text("<main></main><article>x</article>")[0] in ("", "x")
+
+
+def test_a_rare_layout_and_lines_beside_the_first_pages(spark):
+    """Templates and constant lines come from all pages of a host: a layout of 6 of 600 pages teaches its lines."""
+    rows = [page("a.example", i, f"<article><h1>N{i}</h1><p>body {i}</p></article>") for i in range(600)]
+    rare = [(600 + i, f"https://a.example/r/{i}", f'<table class="data"><tr><td>key {i}</td><td>Total</td></tr></table><section><ul><li>v{i}</li></ul></section>') for i in range(6)]
+    df = spark.createDataFrame([*rows, *rare], "page_id long, url string, html string").repartition(3)
+    for sample in (1, h.SAMPLE):
+        got = {r["page_id"]: r for r in h.extract(df, sample=sample).collect()}
+        assert len(got) == 606 and all(r["aligned"] for r in got.values())
+        assert [got[600 + i]["text"] for i in range(6)] == [f"key {i}\nv{i}" for i in range(6)]
+    # a line that one of ten pages lacks is constant, whichever page the template was made from
+    rows = [(i, f"https://b.example/{i}", f"<article><p>t{i}</p>" + ("<p>All rights reserved.</p>" if i else "<p>Other words.</p>") + "</article>") for i in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = [(k, {r["page_id"]: r["text"] for r in h.extract(df.withColumn("page_id", F.col("page_id") + k), sample=1).collect()}) for k in range(0, 40, 10)]
+    assert all(got[k] == "t0\nOther words." and got[k + 5] == "t5" for k, got in found)

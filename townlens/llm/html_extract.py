@@ -1,12 +1,13 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host share one or more templates. Each page becomes a tree of its block elements in one pass; like siblings
-(same tag, id and class, digits aside) are one node, an iterator of the template. From up to SAMPLE pages a host (those
-with the smallest hash in as many slots) the trees that differ become the host's templates. Every page of the host is
-then aligned, by simple tree matching, with the template it matches best, and for each line of the sampled pages it is
+(same tag, id and class, digits aside) are one node, an iterator of the template. The trees of a host that differ become its
+templates, in rounds: a round takes some of the pages that fit no template yet (those with the smallest hash in as many slots,
+SAMPLE at first, then twice as many, up to MOST), and the rounds end when every page of every host fits one. Every page is
+then aligned, by simple tree matching, with the template it matches best, and for each line of each page it is
 counted in how many of the matching pages the same node has the same line. A line that is the same in CONSTANT of at
-least LEAST_PAGES pages is template; all else that an aligned page holds varies, and is content. So templates come from
-a bounded sample, but what is constant is decided by all pages, by sums that do not depend on their order.
+least LEAST_PAGES pages is template; all else that an aligned page holds varies, and is content. So no layout and no line is
+left out, and all sums are over all pages and do not depend on their order.
 
 Siblings of one node have distinct labels, so the best match of two child lists is a heaviest increasing subsequence:
 exact, in n log n, without a table of pairs, and nothing here recurses, however deep a page is.
@@ -38,12 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from townlens.llm.common import written
+from townlens.llm.common import forget, written
 
 SAMPLE, SAME_TEMPLATE, CONSTANT, LEAST_PAGES = 6, 0.5, 0.9, 3
 BROADCAST_BYTES = 16 << 20
-#: Counted template lines after which a task hands its sums on; changes no result.
-FLUSH = 500_000
+#: Counted lines after which a task hands its sums on; changes no result.
+FLUSH = 200_000
+#: Pages of a host that one round takes at most; the next round takes what fits none of their templates.
+MOST = 192
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -294,10 +297,10 @@ class Template:
         self.tree, self.nodes, self.marks = Tree(labels, parents), nodes, marks
 
 
-def induce(pages: list[str]) -> str | None:
-    """The templates of a host's sampled pages as JSON: the tree of each page unlike those before it, with its lines and
-    those of the like pages at the nodes they match."""
-    found: list[tuple[Tree, set[tuple[int, int]]]] = []
+def induce(pages: list[str], wrapper: str | None = None) -> str | None:
+    """The templates of a host's pages as JSON, behind those of wrapper: the tree of each page unlike those before it, with its
+    lines and those of the like pages at the nodes they match."""
+    found: list[tuple[Tree, set[tuple[int, int]]]] = [(t.tree, set(zip(t.nodes, t.marks))) for t in templates(wrapper)] if wrapper else []
     for html in pages:
         page = Page(html)
         tree, node = Tree.of(page)
@@ -377,6 +380,23 @@ def count_lines(pages: list[tuple[str, str, str]], sums: dict) -> None:
                 held[1] += m in marks[n]
 
 
+def count_all(pages: list[tuple[str, str, str]], sums: dict) -> None:
+    """Add pages (host, html, wrapper) to sums: for each node of each template the pages that have it (mark None), and for each
+    line there the pages that have it."""
+    for host, html, wrapper in pages:
+        which, marks, _ = align(Page(html), wrapper)
+        for x, own in marks.items() if which >= 0 else ():
+            for m in (None, *own):
+                key = (host, which, x, m)
+                sums[key] = sums.get(key, 0) + 1
+
+
+def constant_only(wrapper: str, constant: list) -> str:
+    """The wrapper with no lines but its constant ones, (template, node, mark) each."""
+    lines = [[(n, m) for k, n, m in constant if k == which] for which in range(len(templates(wrapper)))]
+    return json.dumps([[t.tree.labels, t.tree.parents, [n for n, _ in own], [m for _, m in own]] for t, own in zip(templates(wrapper), lines)])
+
+
 def _host(pages: DataFrame, url: str):
     return F.lower(F.regexp_extract(pages[url], HOST, 1))
 
@@ -388,44 +408,79 @@ def _beside(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
     return pages.join(F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers, "host", "left")
 
 
-def wrappers(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(host, wrapper, constant): the templates of each host and the numbers of their lines that are constant; written."""
-    mark = F.xxhash64(pages[id_col].cast("string"), pages[url])
-    named = pages.select(_host(pages, url).alias("host"), mark.alias("mark"), F.pmod(mark, F.lit(sample)).alias("slot"), pages[html].alias("html")).filter("host != '' and html != ''")
-    chosen = written(named.groupBy("host", "slot").agg(F.min("mark").alias("mark")), "sampled")
-    size = chosen.agg(F.sum(F.length("host") + 32)).first()[0] or 0
-    pick = F.broadcast(chosen.select("host", "mark")) if size <= BROADCAST_BYTES else chosen.select("host", "mark")
-    some = named.join(pick, ["host", "mark"]).dropDuplicates(["host", "mark"]).select("host", "mark", "html")
+def _induced(named: DataFrame, sample: int) -> DataFrame:
+    """(host, wrapper): templates that every page (host, mark, html) of the host fits; written."""
+    left, known = named, None
+    while True:
+        slot = F.pmod("mark", F.lit(sample)).alias("slot")
+        chosen = written(left.groupBy("host", slot).agg(F.min("mark").alias("mark")), "sampled")
+        size = chosen.agg(F.sum(F.length("host") + 32)).first()[0] or 0
+        pick = F.broadcast(chosen.select("host", "mark")) if size <= BROADCAST_BYTES else chosen.select("host", "mark")
+        some = left.join(pick, ["host", "mark"]).dropDuplicates(["host", "mark"]).select("host", "mark", "html")
+        some = some.withColumn("wrapper", F.lit(None).cast("string")) if known is None else _beside(some, known)
+
+        def learn(key, group):
+            order = sorted(zip(group.column("mark").to_pylist(), group.column("html").to_pylist()))
+            found = induce([h for _, h in order], group.column("wrapper")[0].as_py())
+            return pa.table({"host": pa.array([key[0].as_py()] if found else [], pa.string()), "wrapper": pa.array([found] if found else [], pa.string())})
+
+        more = written(some.groupBy("host").applyInArrow(learn, "host string, wrapper string"), "templates")
+        known = more if known is None else written(known.join(more, "host", "left_anti").unionByName(more), "templates")
+
+        def unlike(batches):
+            for b in batches:
+                for at in range(0, b.num_rows, 200):
+                    part = b.slice(at, 200)
+                    rows = zip(part.column("html").to_pylist(), part.column("wrapper").to_pylist())
+                    yield part.select(["host", "mark", "html"]).filter(pa.array([align(Page(h), w)[0] < 0 for h, w in rows], pa.bool_()))
+
+        # a page that a round took fits itself, so that every round leaves fewer; hosts without pages left stay as they are
+        beside = _beside(left, more).filter("wrapper is not null").select("host", "mark", "html", "wrapper")
+        rest = written(beside.mapInArrow(unlike, "host string, mark long, html string"), "unlike")
+        if left is not named:
+            forget(left)
+        if rest.isEmpty():
+            return known
+        left, sample = rest, max(sample, min(2 * sample, MOST))
 
-    def learn(key, group):
-        order = sorted(zip(group.column("mark").to_pylist(), group.column("html").to_pylist()))
-        found = induce([h for _, h in order])
-        return pa.table({"host": pa.array([key[0].as_py()] if found else [], pa.string()), "wrapper": pa.array([found] if found else [], pa.string())})
 
-    known = written(some.groupBy("host").applyInArrow(learn, "host string, wrapper string"), "templates")
+def wrappers(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """(host, wrapper, constant): the templates of each host with their constant lines, and the numbers of these; written."""
+    mark = F.xxhash64(pages[id_col].cast("string"), pages[url])
+    named = pages.select(_host(pages, url).alias("host"), mark.alias("mark"), pages[html].alias("html")).filter("host != '' and html != ''")
+    known = _induced(named, sample)
 
     def count(batches):
         sums: dict = {}
 
         def out():
-            hosts, numbers = zip(*sums) if sums else ((), ())
-            cells = list(sums.values())
-            return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(numbers, pa.int64()), pa.array([c[0] for c in cells], pa.int64()), pa.array([c[1] for c in cells], pa.int64())], ["host", "line", "pages", "same"])
+            cells = list(zip(*sums)) if sums else [(), (), (), ()]
+            columns = [pa.array(c, kind) for c, kind in zip((*cells, sums.values()), (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, ["host", "template", "node", "mark", "n"])
 
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 columns = (b.column(c).slice(at, 200).to_pylist() for c in ("host", "html", "wrapper"))
-                count_lines([p for p in zip(*columns) if p[2]], sums)
+                count_all([p for p in zip(*columns) if p[2]], sums)
                 if len(sums) > FLUSH:
                     yield out()
                     sums.clear()
         yield out()
 
-    counted = _beside(named.select("host", "html"), known).select("host", "html", "wrapper").mapInArrow(count, "host string, line long, pages long, same long")
-    total = counted.groupBy("host", "line").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"))
-    fixed = total.filter((F.col("pages") >= LEAST_PAGES) & (F.col("same") >= CONSTANT * F.col("pages")))
-    constant = fixed.groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("constant"))  # lines of SAMPLE pages at most
-    return written(known.join(constant, "host", "left"), "wrappers")
+    counted = _beside(named.select("host", "html"), known).select("host", "html", "wrapper").mapInArrow(count, "host string, template int, node int, mark long, n long")
+    total = counted.groupBy("host", "template", "node", "mark").agg(F.sum("n").alias("n"))
+    often = written(total.filter(F.col("mark").isNull() | (F.col("n") >= CONSTANT * LEAST_PAGES)), "lines")
+    held = often.filter("mark is null").select("host", "template", "node", F.col("n").alias("pages"))
+    fixed = often.filter("mark is not null").join(held, ["host", "template", "node"]).filter((F.col("pages") >= LEAST_PAGES) & (F.col("n") >= CONSTANT * F.col("pages")))
+    constant = fixed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("template", "node", "mark"))).alias("lines"))  # no more than a page of each template has, a ninth more
+
+    def put(batches):
+        for b in batches:
+            lines = [[(x["template"], x["node"], x["mark"]) for x in own or ()] for own in b.column("lines").to_pylist()]
+            found = [constant_only(w, own) for w, own in zip(b.column("wrapper").to_pylist(), lines)]
+            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(found, pa.string()), pa.array([list(range(len(own))) for own in lines], pa.list_(pa.int64()))], ["host", "wrapper", "constant"])
+
+    return written(known.join(constant, "host", "left").select("host", "wrapper", "lines").mapInArrow(put, "host string, wrapper string, constant array<long>"), "wrappers")
 
 
 def extract(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
