@@ -38,7 +38,7 @@ ELSEWHERE = ("reconstructed_contact_block", "table", "contact_card", "profile_bl
 
 def intervals(root: Element) -> list[tuple[Element, int, int]]:
     """Every element with its number in document order and the number after its last descendant."""
-    order = list(root.walk())
+    order = root.walk()
     place = {id(x): i for i, x in enumerate(order)}
     end = list(range(1, len(order) + 1))
     for x in reversed(order):
@@ -74,17 +74,18 @@ def pruned(root: Element) -> dict[str, int]:
                 counts[kind] += 1
             gone.update(id(spans[k][0]) for k in range(i, e))
 
-    has_class = lambda name: [(i, e) for x, i, e in spans if name in x.attrs.get("class", "").split()]
+    marked = [(x, i, e) for x, i, e in spans if x.attrs]
+    has_class = lambda name: [(i, e) for x, i, e in marked if name in x.attrs.get("class", "").split()]
     drop([(i, e) for x, i, e in spans if x.tag == "footer"], "footer_blocks")
     drop(has_class(DROPPED_CLASSES[0]), None)
     drop(has_class(DROPPED_CLASSES[1]), None)
-    drop([(i, e) for x, i, e in spans if x.attrs.get("id") == DROPPED_ID], "hours_blocks")
+    drop([(i, e) for x, i, e in marked if x.attrs.get("id") == DROPPED_ID], "hours_blocks")
     drop(has_class(DROPPED_CLASSES[2]), None)
     drop([(i, e) for x, i, e in spans if x.tag == "script" and "rz.module" in "".join(k for k in x.kids if isinstance(k, str)).lower()], None)
     for x, i, e in spans:
         if x.tag in TEXT_TAGS and id(x) not in gone and (m := STARTS.match(opening(x, gone))):
             drop([(i, e)], "hours_blocks" if m[0] == "office hours" else None)
-    for x, _, _ in spans:
+    for x, _, _ in spans if gone else ():
         if id(x) not in gone:
             x.kids = [k for k in x.kids if isinstance(k, str) or id(k) not in gone]
     return counts
