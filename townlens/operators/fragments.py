@@ -84,7 +84,7 @@ def context_of(root: Element) -> dict:
 def blocks_of(html: str | None) -> list[dict]:
     """The staff blocks of a page: those of the staff sidebar first, then blocks of a telling class, in document order."""
     root = parse(html)
-    every = list(root.walk())
+    every = root.walk()
     side = [x for a in every if a.tag == "aside" and a.attrs.get("id") == "staff-dr" for x in a.walk() if x is not a and "staff" in x.attrs.get("class", "").split()]
     marked = [x for x in every if x.tag in STAFF_TAGS and STAFF.search(x.attrs.get("class", ""))]
     out: list[dict] = []
