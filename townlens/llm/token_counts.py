@@ -114,7 +114,7 @@ class PrefixCounter:
 
     def inner(self, text: str, pieces: list[str]) -> bytes | None:
         """The table with the places inside long pieces; none where a text has no such piece."""
-        if all(len(p) <= LONG for p in pieces):
+        if max(map(len, pieces), default=0) <= LONG:
             return None
         return self.table(text, pieces, {p: self.inside(p) for p in set(pieces)}.__getitem__)
 
