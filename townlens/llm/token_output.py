@@ -43,8 +43,9 @@ MAGIC, VERSION, BLOCK = b"TLPF", 2, 1024
 PERCENTILES = (100.0, 99.0, 97.0, 90.0)
 HEADER = struct.Struct("<4sIIIQIBQQQ")
 BLOCK_HEAD = struct.Struct("<IBH")
-#: Ids of a segment and segments of a file: a file is read as one value.
-SEGMENT_IDS, FILE_SEGMENTS = 1 << 17, 128
+#: Ids of a segment and segments of a file. A file is read as one value, of which JVM and worker hold several copies at a time:
+#: some 4 MB of 16-bit ids.
+SEGMENT_IDS, FILE_SEGMENTS = 1 << 17, 16
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
@@ -208,6 +209,7 @@ def write_token_file(docs: DataFrame, path: str | None = None, tokenizer: str =
     segments.select(F.col("payload").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "none").option("maxRecordsPerFile", FILE_SEGMENTS).text(f"{path}/segments")
 
     def outline(batches):
+        only_memo("token blocks", _nothing)
         for b in batches:
             found = [h for data in _contents(b) for _, h in headers(data)]
             yield pa.RecordBatch.from_arrays([pa.array([h[7] for h in found], pa.int64()), pa.array([h[3] for h in found], pa.int64()), pa.array([h[4] for h in found], pa.int64())], ["part", "docs", "ids"])
@@ -228,6 +230,10 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(f"{path}/segments").select("content")
 
 
+def _nothing() -> None:
+    """Reading keeps no memo; taking its place drops that of the writer, whose words are not needed any more."""
+
+
 def _contents(batch: pa.RecordBatch):
     """The files of a batch, without a copy."""
     for x in batch.column("content"):
@@ -242,6 +248,7 @@ def read_token_file(spark: SparkSession, path: str, id_type: str = "long") -> Da
     key_type = pa.string() if id_type == "string" else pa.int64()
 
     def run(batches):
+        only_memo("token blocks", _nothing)
         for b in batches:
             for data in _contents(b):
                 for at, h in headers(data):
