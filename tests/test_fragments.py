@@ -102,3 +102,27 @@ def test_a_long_text_without_a_phone_is_read_once(spark):
     rows = df.select(fragments.spoken(F.col("t"), F.lit("5")).alias("s")).select("s.phone", "s.ext").collect()
     assert sorted((r["phone"] or "", r["ext"]) for r in rows) == [("", "5"), ("2035550001", "5")]
     assert time.monotonic() - began < 20
+
+
+def test_every_block_line_and_label_of_a_page_is_read(spark):
+    person = lambda i: f"Jane D{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}"
+    nav = '<div id="leftnav">' + "".join(f"<a>Quick links {i}, CT</a>" for i in range(30)) + "<a>Land Use</a></div>"
+    blocks = "".join(f'<div class="staff"><h4>{person(i)}</h4>room 203-555-01{i:02}</div>' for i in range(90))
+    late = '<div class="contact">' + "".join(f"<i>room {i}</i>" for i in range(30)) + "<b>Ann Bell</b><b>203-555-0199</b></div>"
+    pages = spark.createDataFrame([(1, None, nav + blocks), (2, None, late)], "page_id long, url string, html string")
+    rows = {(r["page_id"], r["name"]): r for r in fragments.reconstructed_contacts(pages).collect()}
+    assert set(rows) == {(1, person(i)) for i in range(90)} | {(2, "Ann Bell")}
+    assert {r["department"] for (p, _), r in rows.items() if p == 1} == {"Land Use"} and rows[1, person(89)]["block_no"] == 89
+    assert (rows[2, "Ann Bell"]["phone"], rows[1, person(89)]["phone"]) == ("2035550199", "2035550189")
+
+
+def test_blocks_of_a_page_that_go_in_parts_keep_their_numbers(spark):
+    html = "".join(f'<div class="staff"><h4>Ann Bell</h4>room 203-555-{i:04}</div>' for i in range(2345))
+    pages = spark.createDataFrame([(k, None, html) for k in (1, 2)] + [(3, None, None)], "page_id long, url string, html string")
+    got = fragments.staff_blocks(pages).select("page_id", "block_no", F.get("lines", F.lit(1)).alias("said")).collect()
+    assert sorted(tuple(r) for r in got) == [(k, i, f"room 203-555-{i:04}") for k in (1, 2) for i in range(2345)]
+
+
+def test_one_phone_many_times_in_a_row_is_one(spark):
+    rows = spark.createDataFrame([("203-555-0142 " * 50_000,)], "t string").select(people.joined_digits("t").alias("x"), people.joins_of("t").alias("n")).head()
+    assert tuple(rows) == ("203-555-0142", 1)

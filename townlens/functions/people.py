@@ -29,7 +29,7 @@ SPLIT_DIGITS = (
     (r"(?i)\b([0-9]{2})\s+([0-9][\s.\-]?[0-9]{3}[\s.\-]?[0-9]{4}(?:\s*(?:x|ext\.?|extension)\s*[0-9]{1,6})?)\b", "$1$2"),
     (r"(?i)(?<=[0-9])\s+(?=(?:x|ext\.?|extension)\s*[0-9]{1,6}\b)", ""),
     (r"\b([0-9]{3})\s+([0-9]{3})\s+([0-9]{4})(\b|$)", "$1-$2-$3"),
-    (r"\b([0-9]{3}[-.\s]?[0-9]{3}[-.\s]?[0-9]{4})(?:\s+\1\b)+", "$1"),
+    (r"\b([0-9]{3}[-.\s]?[0-9]{3}[-.\s]?[0-9]{4})(?:\s+\1\b)++", "$1"),
 )
 
 

@@ -1,8 +1,8 @@
 """Contacts put together from the scattered text nodes of staff blocks.
 
 `staff_blocks` finds the blocks of a page and their text nodes in document order: the only step that needs the document, one
-page at a time over Arrow. All that follows is column expressions over one row a block: digits that nodes split are joined,
-then name, title, mail and phone are taken from where each stands first (heading, links, lines, joined text), then the block
+page at a time over Arrow, every block with every line. All that follows is column expressions, the department's over a page,
+the others over one row a block: digits that nodes split are joined, then name, title, mail and phone are taken from where each stands first (heading, links, lines, joined text), then the block
 is accepted or rejected with its reason. No exchange, no group."""
 
 from __future__ import annotations
@@ -25,11 +25,12 @@ STAFF_TAGS = ("div", "li", "article", "section")
 EXCLUDED_CLASSES, EXCLUDED_ID = ("footer-links-box", "rz-btns-container", "resource-link"), "hours-wrap"
 STRUCTURAL_START = re.compile(r"(?:office hours|resources|related links)\b")
 KIND, CONFIDENCE = "reconstructed_contact_block", 0.86
-#: Blocks read of a page, lines read of a block, labels kept of a page's context.
-BLOCKS, LINES, LABELS = 40, 16, 12
+#: Blocks that share a row with one copy of their page's context, and pages and blocks that go to Spark at once: all blocks go.
+TOGETHER, PAGES, SENT = 200, 100, 1000
 TEXT = pa.list_(pa.string())
-BLOCK = {"block_no": pa.int32(), "lines": TEXT, "heading": pa.string(), "heading_title": pa.string(), "mail": pa.string(), "tel": pa.string(), "has_mailto": pa.bool_(), "has_tel": pa.bool_(), "crumbs": TEXT, "h1": pa.string(), "page_title": pa.string(), "headings": TEXT, "nav": TEXT}
-BLOCK_SQL = {pa.int32(): "int", TEXT: "array<string>", pa.string(): "string", pa.bool_(): "boolean"}
+BLOCK = {"block_no": pa.int32(), "lines": TEXT, "heading": pa.string(), "heading_title": pa.string(), "mail": pa.string(), "tel": pa.string(), "has_mailto": pa.bool_(), "has_tel": pa.bool_()}
+CONTEXT = {"crumbs": TEXT, "h1": pa.string(), "page_title": pa.string(), "headings": TEXT, "nav": TEXT}
+SQL = {pa.int32(): "int", TEXT: "array<string>", pa.string(): "string", pa.bool_(): "boolean"}
 
 
 def strings(x: Element) -> list[str]:
@@ -44,7 +45,8 @@ def strings(x: Element) -> list[str]:
     return [s for s in out if s]
 
 
-def structural(x: Element) -> bool:
+def structural(x: Element, lines: list[str]) -> bool:
+    """Whether an element, whose text nodes are lines, stands in a footer or is a part that is never staff."""
     up = x.parent
     while up is not None:
         if up.tag == "footer":
@@ -53,7 +55,7 @@ def structural(x: Element) -> bool:
     classes = x.attrs.get("class", "").lower()
     if any(k in classes for k in EXCLUDED_CLASSES) or x.attrs.get("id", "").lower() == EXCLUDED_ID:
         return True
-    return STRUCTURAL_START.match(" ".join(strings(x)).lower()) is not None
+    return STRUCTURAL_START.match(" ".join(lines).lower()) is not None
 
 
 def context_of(root: Element) -> dict:
@@ -78,11 +80,11 @@ def context_of(root: Element) -> dict:
             low = text().lower()
             if low and any(k in low for k in people.DEPARTMENT_HINTS) and low not in people.ACTION_TEXTS and not any(k in low for k in people.STRUCTURAL_TEXTS):
                 headings[text()] = None
-    return {"crumbs": list(crumbs), "h1": h1, "page_title": title, "headings": list(headings)[:LABELS], "nav": list(nav)[:LABELS]}
+    return {"crumbs": list(crumbs), "h1": h1, "page_title": title, "headings": list(headings), "nav": list(nav)}
 
 
 def blocks_of(html: str | None) -> list[dict]:
-    """The staff blocks of a page: those of the staff sidebar first, then blocks of a telling class, in document order."""
+    """All staff blocks of a page: those of the staff sidebar first, then blocks of a telling class, in document order."""
     root = parse(html)
     every = root.walk()
     side = [x for a in every if a.tag == "aside" and a.attrs.get("id") == "staff-dr" for x in a.walk() if x is not a and "staff" in x.attrs.get("class", "").split()]
@@ -90,10 +92,8 @@ def blocks_of(html: str | None) -> list[dict]:
     out: list[dict] = []
     context = None
     for x in {id(x): x for x in side + marked}.values():
-        if len(out) == BLOCKS:
-            break
         lines = strings(x)
-        if not lines or structural(x):
+        if not lines or structural(x, lines):
             continue
         hrefs = [a.attrs["href"] for a in x.all("a") if "href" in a.attrs]
         mails, tels = ([h for h in hrefs if h.lower().startswith(k)] for k in ("mailto:", "tel:"))
@@ -105,7 +105,7 @@ def blocks_of(html: str | None) -> list[dict]:
         span = head.first("span") if head else None
         name = " ".join(s for k in head.kids if not (isinstance(k, Element) and k.tag == "span") for s in ([k.strip()] if isinstance(k, str) else strings(k))) if head else None
         context = context or context_of(root)
-        out.append({"block_no": len(out), "lines": lines[:LINES], "heading": name, "heading_title": " ".join(strings(span)) if span else None, "mail": mails[0] if mails else None, "tel": tels[0] if tels else None, "has_mailto": bool(mails), "has_tel": bool(tels), **context})
+        out.append({"block_no": len(out), "lines": lines, "heading": name, "heading_title": " ".join(strings(span)) if span else None, "mail": mails[0] if mails else None, "tel": tels[0] if tels else None, "has_mailto": bool(mails), "has_tel": bool(tels), **context})
     return out
 
 
@@ -113,20 +113,36 @@ EMAIL = re.compile(extract.EMAIL)
 
 
 def staff_blocks(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One row a staff block: page_id, url and the fields of BLOCK. Pages without blocks, or null, give none."""
+    """One row a staff block: page_id, url, the department that its page names and the fields of BLOCK. Pages without blocks, or
+    null, give none."""
     source = pages.select(pages[id_col].alias("page_id"), pages[url].alias("url"), pages[html].alias("html"))
+    block = pa.struct(list(BLOCK.items()))
+
+    def batch(rows, kind):
+        columns = [pa.array([x[0] for x in rows], kind), pa.array([x[1] for x in rows], pa.string())]
+        columns += [pa.array([x[2][0][f] for x in rows], k) for f, k in CONTEXT.items()]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([[{f: r[f] for f in BLOCK} for r in x[2]] for x in rows], pa.list_(block))], ["page_id", "url", *CONTEXT, "blocks"])
 
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 100):
-                some = b.slice(at, 100)
-                rows = [(p, u, r) for p, u, h in zip(*(some.column(c).to_pylist() for c in ("page_id", "url", "html"))) for r in blocks_of(h)]
-                columns = [pa.array([x[0] for x in rows], some.column("page_id").type), pa.array([x[1] for x in rows], pa.string())]
-                columns += [pa.array([x[2][f] for x in rows], kind) for f, kind in BLOCK.items()]
-                yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", *BLOCK])
+            kind = b.column("page_id").type
+            for at in range(0, b.num_rows, PAGES):
+                some, rows, held = b.slice(at, PAGES), [], 0
+                for p, u, h in zip(*(some.column(c).to_pylist() for c in ("page_id", "url", "html"))):
+                    found = blocks_of(h)
+                    for i in range(0, len(found), TOGETHER):
+                        rows.append((p, u, found[i : i + TOGETHER]))
+                        held += len(rows[-1][2])
+                        if held >= SENT:
+                            yield batch(rows, kind)
+                            rows, held = [], 0
+                yield batch(rows, kind)
 
     kind = source.schema["page_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"page_id {kind}, url string, " + ", ".join(f"{f} {BLOCK_SQL[k]}" for f, k in BLOCK.items()))
+    fields = ", ".join(f"{f} {SQL[k]}" for f, k in CONTEXT.items()) + ", blocks array<struct<" + ", ".join(f"{f}: {SQL[k]}" for f, k in BLOCK.items()) + ">>"
+    found = source.mapInArrow(run, f"page_id {kind}, url string, {fields}")
+    department = inferred_department(*map(F.col, CONTEXT), F.col("url")).alias("department")
+    return found.select("page_id", "url", department, "blocks").select("page_id", "url", "department", F.inline("blocks"))
 
 
 URL_WORDS = ("building", "assessor", "clerk", "finance", "planning", "zoning", "police", "fire")
@@ -206,8 +222,7 @@ def reconstruct(blocks: DataFrame) -> DataFrame:
     whole = F.concat_ws(" | ", c("linked.phone"), F.nullif("text", F.lit("")), F.concat(F.lit("x"), c("linked.phone_ext")))
     rows = rows.withColumns({"title": F.coalesce(F.nullif(people.joined_digits("heading_title"), F.lit("")), line_title), "email": F.coalesce(mailed, F.get(extract.emails("text"), F.lit(0))), "whole": people.joined_digits(whole)})
     rows = rows.withColumn("spoken", spoken(c("whole"), c("linked.phone_ext")))
-    department = inferred_department(c("crumbs"), c("h1"), c("page_title"), c("headings"), c("nav"), c("url"))
-    rows = rows.withColumns({"phone": F.coalesce("spoken.phone", "linked.phone"), "phone_ext": c("spoken.ext"), "department": department})
+    rows = rows.withColumns({"phone": F.coalesce("spoken.phone", "linked.phone"), "phone_ext": c("spoken.ext")})
     reason = chain(
         ((c("joins") == 0) & c("has_tel") & c("has_mailto"), "already_structured_sidebar"),
         (people.is_vacancy("name"), "vacancy_name"),
