@@ -67,3 +67,12 @@ def test_the_order_differs_on_pages_of_departments(spark):
     about = spark.createDataFrame([(1, "Page", True), (2, None, False)], "page_id long, page_department string, on_department boolean")
     got = {r["page_id"]: (r["department"], r["email"], r["phone_ext"], r["confidence"], r["sightings"]) for r in staff_pages.merged(spark.createDataFrame(two, fields), about).collect()}
     assert got == {1: ("From labels", "j@t.org", "9", 0.81, 2), 2: ("From profile", "j@t.org", "9", 0.81, 2)}
+
+
+def test_a_section_is_read_to_its_end(spark):
+    people = [f"Jane D{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(60)]
+    html = "<h2>Building Office</h2>" + "".join(f"<p>{n}</p><p>Clerk</p><p>203-555-01{i:02}</p>" for i, n in enumerate(people))
+    html += "<h3>Fire Division</h3>" + "<p>open daily</p>" * 40 + "<p>Ann Bell</p><p>Chief</p><p>203-555-0199</p>"
+    pages = spark.createDataFrame([(1, "https://t.org/x", html)], "page_id long, url string, html string")
+    rows = {r["name"]: (r["title"], r["department"], r["phone"]) for r in staff_pages.assembled(pages).collect()}
+    assert rows == {n: ("Clerk", "Building Office", f"20355501{i:02}") for i, n in enumerate(people)} | {"Ann Bell": ("Chief", "Fire Division", "2035550199")}

@@ -28,7 +28,7 @@ TEXT_TAGS = ("section", "div", "aside", "nav", "ul", "ol", "article")
 PROFILE_TAGS, PROFILE_SIZE = ("article", "section", "li", "div"), (24, 420)
 PROFILE_MARKS = re.compile("staff|profile|employee|team|directory|person|card")
 SECTION_HEADS, BREAKS_SECTION = ("h2", "h3", "h4", "strong"), ("h1", "h2", "h3", "h4", "strong")
-SECTION_LINE, SECTION_LINES = 1200, 20
+SECTION_LINE = 1200
 FIELD = r"(?i)^\s*(name|title|position|profession|department|office|phone|office phone|email|location)\s*[:\-]\s*(.+)$"
 CONFIDENCE = {"profile_block": 0.79, "department_section": 0.74, "single_profile_page": 0.78}
 #: The order of the readers on pages of departments and on others: where two rows are one person, the earlier reader's words stay.
@@ -148,15 +148,19 @@ def outline_of(html: str | None) -> dict:
     spans = intervals(root)
     text = lambda x: " ".join(fragments.strings(x))
     lines = [t for s in _raw_strings(root) for line in s.splitlines() if (t := " ".join(line.split()))]
-    sections, profiles, near, tables = [], [], None, []
+    sections, profiles, near, tables, beside = [], [], None, [], {}
     for x, i, e in spans:
         if x.tag == "table":
             tables.append((i, e))
         if x.tag in SECTION_HEADS and any(k in text(x).lower() for k in people.DEPARTMENT_HINTS):
-            beside = [k for k in x.parent.kids if isinstance(k, Element)]
+            if id(x.parent) not in beside:
+                kids = [k for k in x.parent.kids if isinstance(k, Element)]
+                beside[id(x.parent)] = kids, {id(k): n for n, k in enumerate(kids)}
+            kids, at = beside[id(x.parent)]
             under = []
-            for k in beside[next(n for n, y in enumerate(beside) if y is x) + 1 :]:
-                if k.tag in BREAKS_SECTION or len(under) == SECTION_LINES:
+            for n in range(at[id(x)] + 1, len(kids)):
+                k = kids[n]
+                if k.tag in BREAKS_SECTION:
                     break
                 if 0 < len(t := text(k)) <= SECTION_LINE:
                     under.append(t)
@@ -244,13 +248,14 @@ def profile_contact(p: Column, i: Column) -> Column:
 
 def chunks(lines: Column) -> Column:
     """The lines of a section cut behind each that ends a contact: one with a mail, a phone or a word for either, where one
-    stands in the last five lines. Lines behind the last cut belong to none."""
+    stands in the last five lines. Of each contact these five, which are all that it is read from; lines behind the last cut
+    belong to none."""
     none = F.array().cast("array<string>")
     start = F.struct(none.alias("now"), F.array().cast("array<array<string>>").alias("out"))
 
     def step(acc: Column, line: Column) -> Column:
-        now = F.concat(acc["now"], F.array(line))
-        tail = F.array_join(F.slice(now, F.greatest(F.size(now) - 4, F.lit(1)), F.lit(5)), " | ")
+        now = F.concat(F.slice(acc["now"], F.greatest(F.size(acc["now"]) - 3, F.lit(1)), F.lit(4)), F.array(line))
+        tail = F.array_join(now, " | ")
         ends = (F.size(extract.emails(line)) > 0) | (F.size(extract.phones(line)) > 0) | has_any(F.lower(line), "read more", "office phone", "email")
         full = ends & ((F.size(extract.emails(tail)) > 0) | (F.size(extract.phones(tail)) > 0))
         return F.struct(F.when(full, none).otherwise(now).alias("now"), F.when(full, F.concat(acc["out"], F.array(now))).otherwise(acc["out"]).alias("out"))
